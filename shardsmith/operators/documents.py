@@ -46,8 +46,7 @@ def documents_from_lines(
     """
     value = F.col("value")
     if fmt == "text":
-        source = F.to_json(F.struct(value.alias("value")))
-        docs = lines.select(source.alias("_source"))
+        docs = lines.select(text_document(value).alias("_source"))
     elif fmt == "json":
         docs = lines.select(
             F.when(is_json_object(value), compact_json(value)).otherwise(value).alias("_source")
@@ -72,6 +71,11 @@ def documents_from_lines(
     )
 
 
+def text_document(text: Column | str) -> Column:
+    """Raw text kept as is, wrapped as ``{"value": <text>}``."""
+    return F.to_json(F.struct(_col(text).alias("value")))
+
+
 def _json_safe(df: DataFrame) -> list[Column]:
     """Columns for ``to_json``: timestamps printed with all six fraction digits
     (``to_json`` alone keeps milliseconds only)."""
@@ -117,3 +121,26 @@ def envelope(docs: DataFrame, index: str, type_name: str) -> DataFrame:
         "_routing",
         "_source",
     )
+
+
+def documents_from_columns(
+    df: DataFrame,
+    *,
+    id_col: Column | str,
+    source: Column | str,
+    routing_col: Column | str | None = None,
+    seq_col: Column | str | None = None,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """Documents whose id, routing and seq come from columns and whose body is
+    an already-built JSON text column (validated later against a mapping)."""
+    _id = _col(id_col).cast("string")
+    routing = _col(routing_col).cast("string") if routing_col is not None else _id
+    seq = _col(seq_col).cast("bigint") if seq_col is not None else F.lit(0).cast("bigint")
+    return df.select(
+        _id.alias("_id"),
+        routing.alias("_routing"),
+        seq.alias("_seq"),
+        _col(source).cast("string").alias("_source"),
+        *[F.col(c) for c in (keep or [])],
+    )

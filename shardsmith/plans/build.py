@@ -122,7 +122,7 @@ def prepare(docs: DataFrame, spec: IndexSpec) -> DataFrame:
     ok = F.col("_reason").isNull()
     return (
         checked.withColumn("_status", F.when(ok, F.lit(ACCEPTED)).otherwise(F.lit(REJECTED)))
-        .withColumn("_shard", F.when(ok, hash_bucket(F.col("_routing"), spec.shards)))
+        .withColumn("_shard", hash_bucket(F.col("_routing"), spec.shards))
         .withColumn("_hash", F.xxhash64("_id", "_source"))
         .withColumn("_bytes", F.octet_length("_source").cast("bigint"))
     )
