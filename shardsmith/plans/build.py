@@ -70,6 +70,7 @@ SNAPSHOT_SCHEMA = T.StructType(
         T.StructField("rejects", T.LongType()),
         T.StructField("data_schema", T.StringType()),
         T.StructField("created", T.StringType()),
+        T.StructField("tag", T.StringType()),
     ]
 )
 
@@ -140,9 +141,20 @@ def accepted_dir(dest: str, index: str, gen: str) -> str:
     return f"{_stage_root(dest, index, gen)}/_status={ACCEPTED}"
 
 
+def spread(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Spread a narrow input (a few unsplittable files, one row group) over the
+    cluster before the CPU-heavy parse/validate/hash step.  Inputs that already
+    have at least as many splits as the cluster has task slots are left alone,
+    so a large input is never shuffled here."""
+    slots = spark.sparkContext.defaultParallelism
+    if docs.rdd.getNumPartitions() < slots:
+        return docs.repartition(slots)
+    return docs
+
+
 def ingest(spark: SparkSession, docs: DataFrame, dest: str, spec: IndexSpec, gen: str) -> dict:
     """Job 1: one pass over the input; returns the observed ingest metrics (A2)."""
-    prepared = prepare(docs, spec)
+    prepared = prepare(spread(spark, docs), spec)
     obs = Observation(f"ingest_{gen}")
     observed = prepared.observe(
         obs,
@@ -185,11 +197,14 @@ def shard_layout(staged: DataFrame, spec: IndexSpec, sizes: dict[int, int]) -> D
         .repartitionById(total, F.col("_part"))
     )
     if spec.dedup:
-        w = Window.partitionBy("_shard", "_part", "_id").orderBy(F.desc("_seq"), F.desc("_source"))
+        # highest version wins; on equal versions a later write (_arrival) wins,
+        # then the greater source text, so the choice never depends on shuffle order
+        order = [F.desc("_seq")] + ([F.desc("_arrival")] if "_arrival" in staged.columns else []) + [F.desc("_source")]
+        w = Window.partitionBy("_shard", "_part", "_id").orderBy(*order)
         out = parted.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
     else:
         out = parted.sortWithinPartitions("_shard", "_part", "_id")
-    return out.drop("_part")
+    return out.drop("_part", "_arrival")
 
 
 def _data_columns(df: DataFrame) -> list[str]:
@@ -271,7 +286,7 @@ def _write_manifest(spark: SparkSession, dest: str, index: str, gen: str, rows:
 
 
 def _commit(spark: SparkSession, dest: str, spec: IndexSpec, gen: str, parent: str | None,
-            rows: list[dict], rejects: int, data_schema: str) -> dict:
+            rows: list[dict], rejects: int, data_schema: str, tag: str | None = None) -> dict:
     snap = {
         "index": spec.index,
         "snapshot": layout.snapshot_name(spec.index),
@@ -285,6 +300,7 @@ def _commit(spark: SparkSession, dest: str, spec: IndexSpec, gen: str, parent: s
         "rejects": rejects,
         "data_schema": data_schema,
         "created": _dt.datetime.now(_dt.timezone.utc).isoformat(),
+        "tag": tag,
     }
     df = spark.createDataFrame([tuple(snap[f.name] for f in SNAPSHOT_SCHEMA.fields)], SNAPSHOT_SCHEMA)
     df.coalesce(1).write.mode("errorifexists").json(layout.snapshot_path(dest, spec.index, gen))
@@ -388,7 +404,7 @@ def restore_snapshot(spark: SparkSession, dest: str, index: str, generation: str
 
 # ---------------------------------------------------------------- upsert ----
 
-def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec) -> BuildResult:
+def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec, tag: str | None = None) -> BuildResult:
     """Add or replace documents in the current generation.
 
     Only shards that receive a change are rewritten (base rows of those
@@ -414,7 +430,9 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec)
         base = restore_snapshot(spark, dest, spec.index, base_snap["generation"]).where(F.col("_shard").isin(touched))
         base = base.withColumn("_shard", F.col("_shard").cast("int"))
         cols = [c for c in _data_columns(staged_changes)]
-        merged = staged_changes.select(*cols).unionByName(base.select(*[c for c in cols if c in base.columns]), allowMissingColumns=True)
+        merged = staged_changes.select(*cols, F.lit(1).alias("_arrival")).unionByName(
+            base.select(*[c for c in cols if c in base.columns], F.lit(0).alias("_arrival")), allowMissingColumns=True
+        )
         sizes = {s: change_sizes.get(s, 0) + base_man[s]["bytes"] for s in touched}
         observed = publish(spark, merged, dest, spec, gen, sizes)
         data_schema = spark.read.parquet(layout.data_path(dest, spec.index, gen)).schema.json()
@@ -433,7 +451,7 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec)
             rows.append(carried)
     _write_manifest(spark, dest, spec.index, gen, rows)
     snap = _commit(spark, dest, spec, gen, base_snap["generation"], rows, int(ingest_metrics["rejects"]),
-                   data_schema or base_snap["data_schema"])
+                   data_schema or base_snap["data_schema"], tag)
     return BuildResult(dest, spec.index, gen, spec.shards, {**ingest_metrics, **observed, "snapshot": snap})
 
 
