@@ -49,6 +49,7 @@ from shardsmith.plans.build import (
 )
 from shardsmith.session import shared_dir
 from shardsmith.sources.lines import read_lines, source_label
+from shardsmith.sources.tables import read_table
 from shardsmith.sources.template import mapping_from_schema, parse_template
 
 N = 8  # shard count used by the checks unless a query says otherwise
@@ -69,7 +70,7 @@ EDGE_LINES = ["[1,2]", "", "nope", "42", "null", '"text"', "[]", "true"]
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{sf.rstrip('/')}/{name}.parquet")
 
 
 def _scratch(spark: SparkSession, name: str) -> str:

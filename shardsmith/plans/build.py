@@ -141,20 +141,9 @@ def accepted_dir(dest: str, index: str, gen: str) -> str:
     return f"{_stage_root(dest, index, gen)}/_status={ACCEPTED}"
 
 
-def spread(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Spread a narrow input (a few unsplittable files, one row group) over the
-    cluster before the CPU-heavy parse/validate/hash step.  Inputs that already
-    have at least as many splits as the cluster has task slots are left alone,
-    so a large input is never shuffled here."""
-    slots = spark.sparkContext.defaultParallelism
-    if docs.rdd.getNumPartitions() < slots:
-        return docs.repartition(slots)
-    return docs
-
-
 def ingest(spark: SparkSession, docs: DataFrame, dest: str, spec: IndexSpec, gen: str) -> dict:
     """Job 1: one pass over the input; returns the observed ingest metrics (A2)."""
-    prepared = prepare(spread(spark, docs), spec)
+    prepared = prepare(docs, spec)
     obs = Observation(f"ingest_{gen}")
     observed = prepared.observe(
         obs,
@@ -178,33 +167,77 @@ def partition_plan(sizes: dict[int, int], n: int, target_bytes: int) -> tuple[li
     return ks, offsets, acc
 
 
-def _part_id(ks: list[int], offsets: list[int]) -> Column:
+def _part_id(ks: list[int], offsets: list[int], scatter: Column) -> Column:
+    """Task id = first task of the shard + a slice within the shard's ``k``.
+    Rows of one id share a slice unless ``scatter`` is true for them; those
+    are spread by their position in the staged scan instead."""
     shard1 = F.col("_shard") + 1
-    k = F.element_at(F.array(*[F.lit(x) for x in ks]), shard1)
+    k = F.element_at(F.array(*[F.lit(x) for x in ks]), shard1).cast("bigint")
     off = F.element_at(F.array(*[F.lit(x) for x in offsets]), shard1)
-    return (off + F.pmod(F.xxhash64("_id"), k.cast("bigint"))).cast("int")
+    slice_ = F.when(scatter, F.pmod(F.monotonically_increasing_id(), k)).otherwise(F.pmod(F.xxhash64("_id"), k))
+    return (off + slice_).cast("int")
+
+
+# A hot id is one whose rows are at least this share of the sample.
+HOT_SHARE = 0.01
+HOT_SAMPLE_ROWS = 200_000
+
+
+def hot_ids(staged: DataFrame, accepted: int, sample_rows: int = HOT_SAMPLE_ROWS, share: float = HOT_SHARE) -> list[tuple[int, str]]:
+    """Ids that hold a large share of all rows, found in a bounded sample of
+    the staged ``_shard, _id`` columns.  The sample only plans the layout; no
+    row is dropped.  At most 1/share ids can qualify, so the list is small."""
+    if accepted <= 0:
+        return []
+    frac = min(1.0, sample_rows / accepted)
+    sample = staged.select("_shard", "_id")
+    if frac < 1.0:
+        sample = sample.sample(fraction=frac, seed=17)
+    n_sample = max(1.0, accepted * frac)
+    need = max(50, int(math.ceil(share * n_sample)))
+    rows = sample.groupBy("_shard", "_id").count().where(F.col("count") >= need).collect()
+    return [(r["_shard"], r["_id"]) for r in rows]
+
+
+def _is_hot(hot: list[tuple[int, str]]) -> Column:
+    if not hot:
+        return F.lit(False)
+    keys = [f"{s}\u0000{i}" for s, i in hot]
+    return F.concat_ws("\u0000", F.col("_shard").cast("string"), F.col("_id")).isin(keys)
+
 
+def _dedup(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rank-1 per key: highest version, then later arrival, then greater source."""
+    order = [F.desc("_seq")] + ([F.desc("_arrival")] if "_arrival" in df.columns else []) + [F.desc("_source")]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
-def shard_layout(staged: DataFrame, spec: IndexSpec, sizes: dict[int, int]) -> DataFrame:
+
+def shard_layout(staged: DataFrame, spec: IndexSpec, sizes: dict[int, int],
+                 hot: list[tuple[int, str]] | None = None) -> DataFrame:
     """The single shuffle: shard slices by ``repartitionById``, then last write
     wins per (shard, id) on the same exchange.  Output is sorted by
-    (shard, id) within each task, which is also the writer's required order."""
+    (shard, id) within each task, which is also the writer's required order.
+
+    Hot ids (``hot``) are scattered over their shard's tasks, reduced to one
+    row per task there, and the few survivors are reduced once more in a
+    small second step; without dedup every row is scattered."""
     n = spec.shards
     ks, offsets, total = partition_plan(sizes, n, spec.target_file_bytes)
+    hot = hot or []
+    is_hot = _is_hot(hot) if spec.dedup else F.lit(True)
     parted = (
         staged.withColumn("_shard", checked_shard(F.col("_shard"), n))
-        .withColumn("_part", _part_id(ks, offsets))
+        .withColumn("_part", _part_id(ks, offsets, is_hot))
         .repartitionById(total, F.col("_part"))
     )
-    if spec.dedup:
-        # highest version wins; on equal versions a later write (_arrival) wins,
-        # then the greater source text, so the choice never depends on shuffle order
-        order = [F.desc("_seq")] + ([F.desc("_arrival")] if "_arrival" in staged.columns else []) + [F.desc("_source")]
-        w = Window.partitionBy("_shard", "_part", "_id").orderBy(*order)
-        out = parted.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    else:
-        out = parted.sortWithinPartitions("_shard", "_part", "_id")
-    return out.drop("_part", "_arrival")
+    if not spec.dedup:
+        return parted.sortWithinPartitions("_shard", "_part", "_id").drop("_part", "_arrival")
+    if not hot:
+        return _dedup(parted, ["_shard", "_part", "_id"]).drop("_part", "_arrival")
+    cold = _dedup(parted.where(~_is_hot(hot)), ["_shard", "_part", "_id"])
+    hot_final = _dedup(_dedup(parted.where(_is_hot(hot)), ["_shard", "_part", "_id"]), ["_shard", "_id"])
+    return cold.unionByName(hot_final).drop("_part", "_arrival")
 
 
 def _data_columns(df: DataFrame) -> list[str]:
@@ -219,9 +252,13 @@ def publish(
     spec: IndexSpec,
     gen: str,
     sizes: dict[int, int],
+    hot: list[tuple[int, str]] | None = None,
 ) -> dict:
-    """Job 3: write the shard files of generation ``gen``; returns observed totals."""
-    laid = shard_layout(staged.select(*_data_columns(staged)), spec, sizes)
+    """Job 3: write the shard files of generation ``gen``; returns observed
+    totals and the schema of the written rows (``data_schema``)."""
+    laid = shard_layout(staged.select(*_data_columns(staged)), spec, sizes, hot)
+    fields = [f for f in laid.schema.fields if f.name != "_shard"] + [T.StructField("_shard", T.IntegerType())]
+    data_schema = T.StructType(fields).json()
     obs = Observation(f"publish_{gen}")
     observed = laid.observe(
         obs,
@@ -232,7 +269,7 @@ def publish(
     observed.write.mode("errorifexists").partitionBy("_shard").parquet(
         layout.data_path(dest, spec.index, gen)
     )
-    return dict(obs.get)
+    return {**obs.get, "data_schema": data_schema}
 
 
 def shard_stats(written: DataFrame) -> DataFrame:
@@ -280,9 +317,29 @@ def _manifest_rows(
     return out
 
 
+def _write_json_rows(spark: SparkSession, folder: str, rows: list[dict]) -> None:
+    """Write a few driver-side rows (n manifest rows, one commit row) as one
+    JSON-lines file: written under a hidden name, then renamed into place, so
+    readers never see a partial file.  Fails if the file already exists."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    final = jvm.org.apache.hadoop.fs.Path(f"{folder}/part-00000.json")
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{folder}/_tmp-part-00000.json")
+    fs = final.getFileSystem(conf)
+    if fs.exists(final):
+        raise FileExistsError(str(final))
+    out = fs.create(tmp, False)
+    try:
+        data = "".join(json.dumps(r, separators=(",", ":")) + "\n" for r in rows).encode("utf-8")
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    if not fs.rename(tmp, final):
+        raise OSError(f"could not move {tmp} to {final}")
+
+
 def _write_manifest(spark: SparkSession, dest: str, index: str, gen: str, rows: list[dict]) -> None:
-    df = spark.createDataFrame([tuple(r[f.name] for f in MANIFEST_SCHEMA.fields) for r in rows], MANIFEST_SCHEMA)
-    df.coalesce(1).write.mode("errorifexists").parquet(layout.manifest_path(dest, index, gen))
+    _write_json_rows(spark, layout.manifest_path(dest, index, gen), rows)
 
 
 def _commit(spark: SparkSession, dest: str, spec: IndexSpec, gen: str, parent: str | None,
@@ -302,8 +359,7 @@ def _commit(spark: SparkSession, dest: str, spec: IndexSpec, gen: str, parent: s
         "created": _dt.datetime.now(_dt.timezone.utc).isoformat(),
         "tag": tag,
     }
-    df = spark.createDataFrame([tuple(snap[f.name] for f in SNAPSHOT_SCHEMA.fields)], SNAPSHOT_SCHEMA)
-    df.coalesce(1).write.mode("errorifexists").json(layout.snapshot_path(dest, spec.index, gen))
+    _write_json_rows(spark, layout.snapshot_path(dest, spec.index, gen), [snap])
     return snap
 
 
@@ -337,8 +393,10 @@ def build_index(spark: SparkSession, docs: DataFrame, dest: str, spec: IndexSpec
     staged = spark.read.parquet(accepted_dir(dest, spec.index, gen)) if ingest_metrics["scanned"] > ingest_metrics["rejects"] else None
     if staged is not None:
         sizes = {r["_shard"]: r["b"] for r in staged.groupBy("_shard").agg(F.sum("_bytes").alias("b")).collect()}
-        observed = publish(spark, staged, dest, spec, gen, sizes)
-        data_schema = spark.read.parquet(layout.data_path(dest, spec.index, gen)).schema.json()
+        accepted = int(ingest_metrics["scanned"] - ingest_metrics["rejects"])
+        hot = hot_ids(staged, accepted) if spec.dedup else []
+        observed = publish(spark, staged, dest, spec, gen, sizes, hot)
+        data_schema = observed.pop("data_schema")
     else:
         observed = {"docs": 0, "bytes": 0, "checksum": 0}
         data_schema = ""
@@ -368,7 +426,7 @@ def latest_snapshot(spark: SparkSession, dest: str, index: str, generation: str
 
 def read_manifest(spark: SparkSession, dest: str, index: str, generation: str | None = None) -> DataFrame:
     gen = generation or latest_snapshot(spark, dest, index)["generation"]
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(layout.manifest_path(dest, index, gen))
+    return spark.read.schema(MANIFEST_SCHEMA).json(layout.manifest_path(dest, index, gen))
 
 
 def read_rejects(spark: SparkSession, dest: str, index: str, generation: str) -> DataFrame:
@@ -434,8 +492,10 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec,
             base.select(*[c for c in cols if c in base.columns], F.lit(0).alias("_arrival")), allowMissingColumns=True
         )
         sizes = {s: change_sizes.get(s, 0) + base_man[s]["bytes"] for s in touched}
-        observed = publish(spark, merged, dest, spec, gen, sizes)
-        data_schema = spark.read.parquet(layout.data_path(dest, spec.index, gen)).schema.json()
+        n_merged = sum(base_man[s]["docs"] for s in touched) + int(ingest_metrics["scanned"] - ingest_metrics["rejects"])
+        hot = hot_ids(merged, n_merged) if spec.dedup else []
+        observed = publish(spark, merged, dest, spec, gen, sizes, hot)
+        data_schema = observed.pop("data_schema")
     else:
         observed = {"docs": 0, "bytes": 0, "checksum": 0}
         data_schema = base_snap["data_schema"]

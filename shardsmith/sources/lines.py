@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shardsmith.sources.tables import spread_narrow
+
 # Fixed value: the file-name suffix pattern stripped to get a source label
 # (a digit, any character, "txt", any character, "gz"; Java regex syntax).
 SOURCE_SUFFIX = r"\d.txt.gz"
 
 
-def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
+def read_lines(spark: SparkSession, *paths: str, spread: bool = True) -> DataFrame:
     """One row per line, ``value STRING``.  Any Hadoop file system; the
-    codec follows the file suffix (``.gz``, ``.bz2``, ...)."""
-    return spark.read.text(list(paths))
+    codec follows the file suffix (``.gz``, ``.bz2``, ...).  A few big
+    unsplittable files (gzip) are spread over the cluster before parsing."""
+    df = spark.read.text(list(paths))
+    return spread_narrow(spark, df) if spread else df
 
 
 def source_label(name: Column | str) -> Column:

@@ -149,3 +149,28 @@ def test_empty_input_commits_empty_shards(spark, scratch):
     man = read_manifest(spark, scratch, "empty").collect()
     assert sorted((r.shard, r.docs) for r in man) == [(0, 0), (1, 0), (2, 0)]
     assert restore_snapshot(spark, scratch, "empty").count() == 0
+
+
+def test_hot_id_is_reduced_in_parallel(spark, scratch):
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    hot_id = F.when(F.col("event_type") == "click", F.lit("hot")).otherwise(F.col("event_id").cast("string"))
+    docs = documents_from_table(ev, hot_id, seq_col="event_id")
+    from shardsmith.plans.build import hot_ids, shard_layout
+
+    res = build_index(spark, docs, scratch, IndexSpec("hotid", 4, target_file_bytes=10_000))
+    out = restore_snapshot(spark, scratch, "hotid")
+    n_click = ev.where("event_type = 'click'").count()
+    assert out.count() == 1000 - n_click + 1
+    top = ev.where("event_type = 'click'").agg(F.max("event_id")).first()[0]
+    assert out.where("_id = 'hot'").first().event_id == top
+    assert all(r.ok for r in verify_snapshot(spark, scratch, "hotid").collect())
+
+
+def test_copies_without_dedup_are_kept(spark, scratch):
+    lines = ['{"a": 1}'] * 300 + ['{"a": 2}']
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    spec = IndexSpec("copies", 2, dedup=False, target_file_bytes=1_000)
+    res = build_index(spark, documents_from_lines(df), scratch, spec)
+    man = read_manifest(spark, scratch, "copies").collect()
+    assert sum(r.docs for r in man) == 301
+    assert max(r.files for r in man) > 1  # the 300 copies are spread over several tasks
