@@ -13,7 +13,8 @@ def shard_counts(spark: SparkSession, prepared: DataFrame, n: int) -> DataFrame:
 
     ``prepared`` is the output of :func:`shardsmith.plans.build.prepare`
     (``_shard`` from routing, ``_status``)."""
-    per = prepared.where(F.col("_shard").isNotNull()).groupBy(F.col("_shard").alias("shard")).agg(
+    # documents without a routing value (shard NULL) fall out in the grid join
+    per = prepared.groupBy(F.col("_shard").alias("shard")).agg(
         F.count(F.lit(1)).alias("submitted"),
         F.count(F.when(F.col("_status") == "accepted", 1)).alias("accepted"),
     )

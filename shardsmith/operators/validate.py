@@ -15,6 +15,8 @@ All checks are built-in expressions over one parsed VARIANT per document.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,27 +39,41 @@ def _first_duplicate(keys: Column) -> Column:
     return F.element_at(F.filter(keys, lambda k: F.size(F.filter(keys, lambda x: x == k)) > 1), 1)
 
 
-class _Checks:
-    def __init__(self) -> None:
-        self.items: list[tuple[Column, str, Column]] = []
+def _variant_keys(v: Column, path: str) -> Column:
+    """Member names of the object at ``path`` (NULL if it is not an object)."""
+    return F.map_keys(F.try_variant_get(v, path, "map<string,variant>"))
+
+
+class _Plan:
+    """Collects, per member, the columns to materialise once (kinds) and the
+    checks/values computed from them, so that no JSON or VARIANT expression is
+    evaluated more than once per row."""
+
+    def __init__(self, numeric_text: bool) -> None:
+        self.numeric_text = numeric_text
+        self.kinds: list[tuple[str, Column]] = []  # (column name, expression)
+        self.checks: list[tuple[Column, str, Column]] = []
+
+    def kind(self, v: Column, path: str) -> Column:
+        name = f"_k{len(self.kinds)}"
+        self.kinds.append((name, variant_kind(v, path)))
+        return F.col(name)
 
     def add(self, cond: Column, reason: str, field: Column) -> None:
-        self.items.append((cond, reason, field))
+        self.checks.append((cond, reason, field))
 
     def reason(self) -> Column:
-        return F.coalesce(*[F.when(c, F.lit(r)) for c, r, _ in self.items], F.lit(None).cast("string"))
+        return F.coalesce(*[F.when(c, F.lit(r)) for c, r, _ in self.checks], F.lit(None).cast("string"))
 
     def field(self) -> Column:
-        return F.coalesce(*[F.when(c, f) for c, _, f in self.items], F.lit(None).cast("string"))
+        return F.coalesce(*[F.when(c, f) for c, _, f in self.checks], F.lit(None).cast("string"))
 
 
-def _scalar(spec: FieldSpec, v: Column, path: str, numeric_text: bool) -> tuple[Column, Column]:
-    """(bad, typed value) for one scalar member."""
-    kind = variant_kind(v, path)
+def _scalar(spec: FieldSpec, v: Column, path: str, kind: Column, numeric_text: bool) -> tuple[Column, Column]:
+    """(bad, typed value) for one scalar member, given its materialised kind."""
     present = kind.isNotNull() & (kind != "VOID")
     text = F.try_variant_get(v, path, "string")
-    target = spec.spark_type.simpleString()
-    value = F.try_variant_get(v, path, target)
+    value = F.try_variant_get(v, path, spec.spark_type.simpleString())
     if spec.kind in INTEGRAL:
         ok = kind.isin(_INT_KINDS) | kind.rlike(r"^DECIMAL\(\d+,0\)$")
         if numeric_text:
@@ -72,71 +88,77 @@ def _scalar(spec: FieldSpec, v: Column, path: str, numeric_text: bool) -> tuple[
         ok = kind == "STRING"
     else:  # string-like: any scalar prints as text, objects and arrays do not
         ok = ~(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
+    good = present & ok
+    value = F.when(good, value)
     bad = present & (~ok | value.isNull())
-    return bad, F.when(present & ok, value)
+    return bad, value
 
 
-def _members(spec_fields, v, src, names, checks, numeric_text, strict) -> list[Column]:
+def _members(spec_fields, v, names, plan: _Plan) -> list[Column]:
     values = []
     for spec in spec_fields:
         path = json_path(*names, spec.name)
         fname = F.lit(".".join([*names, spec.name]))
+        kind = plan.kind(v, path)
+        present = kind.isNotNull() & (kind != "VOID")
         if spec.kind == "object":
-            kind = variant_kind(v, path)
-            present = kind.isNotNull() & (kind != "VOID")
-            checks.add(present & ~kind.startswith("OBJECT"), WRONG_TYPE, fname)
+            plan.add(present & ~kind.startswith("OBJECT"), WRONG_TYPE, fname)
             if spec.dynamic == "strict":
-                sub = object_keys(F.get_json_object(src, path))
-                extra = F.array_except(sub, F.array(*[F.lit(c.name) for c in spec.children]))
-                checks.add(
-                    present & (F.size(extra) > 0),
-                    UNDECLARED_FIELD,
-                    F.concat_ws(".", fname, F.element_at(extra, 1)),
-                )
-            kids = _members(spec.children, v, src, [*names, spec.name], checks, numeric_text, strict)
-            values.append(
-                F.when(present, F.struct(*[k.alias(c.name) for k, c in zip(kids, spec.children)]))
-            )
+                extra = F.array_except(_variant_keys(v, path), F.array(*[F.lit(c.name) for c in spec.children]))
+                plan.add(present & (F.size(extra) > 0), UNDECLARED_FIELD, F.concat_ws(".", fname, F.element_at(extra, 1)))
+            kids = _members(spec.children, v, [*names, spec.name], plan)
+            values.append(F.when(present, F.struct(*[k.alias(c.name) for k, c in zip(kids, spec.children)])))
         elif spec.kind == "nested":
-            kind = variant_kind(v, path)
-            present = kind.isNotNull() & (kind != "VOID")
-            checks.add(present & ~kind.startswith("ARRAY"), WRONG_TYPE, fname)
+            plan.add(present & ~kind.startswith("ARRAY"), WRONG_TYPE, fname)
             if spec.dynamic == "strict":
                 declared = F.array(*[F.lit(c.name) for c in spec.children])
-                elems = F.from_json(F.get_json_object(src, path), "array<string>")
-                has_extra = F.exists(
-                    elems, lambda e: F.size(F.array_except(F.json_object_keys(e), declared)) > 0
-                )
-                checks.add(present & kind.startswith("ARRAY") & has_extra, UNDECLARED_FIELD, fname)
+                elems = F.try_variant_get(v, path, "array<map<string,variant>>")
+                has_extra = F.exists(elems, lambda e: F.size(F.array_except(F.map_keys(e), declared)) > 0)
+                plan.add(present & kind.startswith("ARRAY") & has_extra, UNDECLARED_FIELD, fname)
             values.append(F.try_variant_get(v, path, spec.spark_type.simpleString()))
         else:
-            bad, value = _scalar(spec, v, path, numeric_text)
-            checks.add(bad, WRONG_TYPE, fname)
+            bad, value = _scalar(spec, v, path, kind, plan.numeric_text)
+            plan.add(bad, WRONG_TYPE, fname)
             values.append(value)
     return values
 
 
-def validate(docs: DataFrame, mapping: Mapping, *, numeric_text: bool = True) -> DataFrame:
-    """Add ``_reason``, ``_field`` and typed mapping columns to ``docs``."""
+def validate(docs: DataFrame, mapping: Mapping, *, numeric_text: bool = True, observation=None) -> DataFrame:
+    """Add ``_reason``, ``_field`` and typed mapping columns to ``docs``.
+
+    Three projections: parse once (member names + VARIANT), materialise each
+    declared member's kind, then derive the reason and typed values from those
+    columns.  Filters on ``_reason`` that Spark pushes down therefore repeat
+    only cheap comparisons, never a JSON parse."""
     src = F.col("_source")
     v = F.col("_v")
-    keys = object_keys(src)
-    checks = _Checks()
-    checks.add(keys.isNull(), NOT_AN_OBJECT, F.lit(None).cast("string"))
-    checks.add(F.size(keys) != F.size(F.array_distinct(keys)), DUPLICATE_FIELD, _first_duplicate(keys))
-    checks.add(v.isNull(), DUPLICATE_FIELD, F.lit(None).cast("string"))
+    keys = F.col("_keys")
+    plan = _Plan(numeric_text)
+    plan.add(keys.isNull(), NOT_AN_OBJECT, F.lit(None).cast("string"))
+    plan.add(F.size(keys) != F.size(F.array_distinct(keys)), DUPLICATE_FIELD, _first_duplicate(keys))
+    plan.add(v.isNull(), DUPLICATE_FIELD, F.lit(None).cast("string"))
     if mapping.strict:
         extra = F.array_except(keys, F.array(*[F.lit(n) for n in mapping.field_names]))
-        checks.add(F.size(extra) > 0, UNDECLARED_FIELD, F.element_at(extra, 1))
-    values = _members(mapping.fields, v, src, [], checks, numeric_text, mapping.strict)
-    checks.add(F.col("_id").isNull() | F.col("_routing").isNull(), MISSING_ID, F.lit(None).cast("string"))
-    parsed = docs.withColumn("_v", F.try_parse_json(src))
-    return parsed.select(
+        plan.add(F.size(extra) > 0, UNDECLARED_FIELD, F.element_at(extra, 1))
+    values = _members(mapping.fields, v, [], plan)
+    plan.add(F.col("_id").isNull() | F.col("_routing").isNull(), MISSING_ID, F.lit(None).cast("string"))
+    parsed = docs.select("*", object_keys(src).alias("_keys"), F.try_parse_json(src).alias("_v"))
+    kinded = parsed.select("*", *[e.alias(n) for n, e in plan.kinds])
+    checked = kinded.select(
         *[c for c in docs.columns],
-        checks.reason().alias("_reason"),
-        checks.field().alias("_field"),
+        plan.reason().alias("_reason"),
+        plan.field().alias("_field"),
         *[val.alias(spec.name) for val, spec in zip(values, mapping.fields)],
     )
+    # Validation counts, observed as the rows pass.  Predicates are not pushed
+    # through an observation, so a later filter on ``_reason`` reads the
+    # computed column instead of re-running the checks below it.
+    name = observation or f"validation_{uuid.uuid4().hex[:12]}"
+    return checked.observe(
+        name,
+        F.count(F.lit(1)).alias("docs"),
+        F.count(F.col("_reason")).alias("rejects"),
+    )
 
 
 def typed_projection(docs: DataFrame, mapping: Mapping, *, numeric_text: bool = True) -> DataFrame:
