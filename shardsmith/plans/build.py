@@ -52,6 +52,7 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("max_id", T.StringType()),
         T.StructField("checksum", T.LongType()),
         T.StructField("files", T.LongType()),
+        T.StructField("file_bytes", T.LongType()),
         T.StructField("data_gen", T.StringType()),
     ]
 )
@@ -284,6 +285,14 @@ def shard_stats(written: DataFrame) -> DataFrame:
     )
 
 
+def shard_file_bytes(written: DataFrame) -> DataFrame:
+    """A4, physical: bytes on disk per shard (each file counted once)."""
+    files = written.select(
+        F.col("_shard").cast("int").alias("shard"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("size")
+    ).distinct()
+    return files.groupBy("shard").agg(F.sum("size").cast("bigint").alias("file_bytes"))
+
+
 def _manifest_rows(
     spark: SparkSession, dest: str, spec: IndexSpec, gen: str, shards: list[int] | None
 ) -> list[dict]:
@@ -291,14 +300,15 @@ def _manifest_rows(
     path = layout.data_path(dest, spec.index, gen)
     try:
         written = spark.read.parquet(path)
-        rows = {r.shard: r.asDict() for r in shard_stats(written).collect()}  # <= n rows
+        stats = shard_stats(written).join(shard_file_bytes(written), "shard", "left")
+        rows = {r.shard: r.asDict() for r in stats.collect()}  # <= n rows
     except Exception as exc:  # nothing written: every shard empty
         if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
             raise
         rows = {}
     out = []
     for s in shards if shards is not None else range(spec.shards):
-        r = rows.get(s, {"docs": 0, "bytes": 0, "min_id": None, "max_id": None, "checksum": 0, "files": 0})
+        r = rows.get(s, {"docs": 0, "bytes": 0, "min_id": None, "max_id": None, "checksum": 0, "files": 0, "file_bytes": 0})
         out.append(
             {
                 "index": spec.index,
@@ -311,6 +321,7 @@ def _manifest_rows(
                 "max_id": r["max_id"],
                 "checksum": int(r["checksum"] or 0),
                 "files": int(r["files"]),
+                "file_bytes": int(r["file_bytes"] or 0),
                 "data_gen": gen,
             }
         )
@@ -515,6 +526,30 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec,
     return BuildResult(dest, spec.index, gen, spec.shards, {**ingest_metrics, **observed, "snapshot": snap})
 
 
+def compact_index(spark: SparkSession, dest: str, spec: IndexSpec) -> BuildResult:
+    """Rewrite every shard of the newest generation into id-sorted files of
+    about ``spec.target_file_bytes`` each, as a new generation.  Rows are
+    already unique per (shard, id), so no validation or routing is redone."""
+    base_snap = latest_snapshot(spark, dest, spec.index)
+    if base_snap["shards"] != spec.shards:
+        raise ValueError(f"index has {base_snap['shards']} shards, spec says {spec.shards}")
+    base_man = read_manifest(spark, dest, spec.index, base_snap["generation"]).collect()  # n rows
+    gen = layout.new_generation()
+    docs = restore_snapshot(spark, dest, spec.index, base_snap["generation"])
+    docs = docs.withColumn("_shard", F.col("_shard").cast("int"))
+    if sum(r.docs for r in base_man):
+        sizes = {r.shard: r.bytes for r in base_man}
+        observed = publish(spark, docs, dest, spec, gen, sizes)
+        data_schema = observed.pop("data_schema")
+    else:
+        observed, data_schema = {"docs": 0, "bytes": 0, "checksum": 0}, base_snap["data_schema"]
+    rows = _manifest_rows(spark, dest, spec, gen, None)
+    _check(rows, observed, spec.shards, None)
+    _write_manifest(spark, dest, spec.index, gen, rows)
+    snap = _commit(spark, dest, spec, gen, base_snap["generation"], rows, 0, data_schema)
+    return BuildResult(dest, spec.index, gen, spec.shards, {**observed, "snapshot": snap})
+
+
 # ---------------------------------------------------------------- verify ----
 
 def verify_snapshot(spark: SparkSession, dest: str, index: str, generation: str | None = None) -> DataFrame:

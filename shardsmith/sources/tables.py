@@ -15,12 +15,12 @@ def input_bytes(spark: SparkSession, df: DataFrame) -> int:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     total = 0
     for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))  # inputFiles() gives encoded URIs
         total += p.getFileSystem(conf).getFileStatus(p).getLen()
     return total
 
 
-def spread_narrow(spark: SparkSession, df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+def spread_narrow(spark: SparkSession, df: DataFrame, min_bytes: int | None = None) -> DataFrame:
     """Apply to a bare scan (the check plans it, which is free without an
     exchange).  Spread a frame over all task slots when its scan has fewer splits
     than the cluster has slots (one big row group, a few ``.gz`` files) and it
@@ -34,7 +34,7 @@ def spread_narrow(spark: SparkSession, df: DataFrame, min_bytes: int = SPREAD_MI
     slots = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df
-    if input_bytes(spark, df) < min_bytes:
+    if input_bytes(spark, df) < (SPREAD_MIN_BYTES if min_bytes is None else min_bytes):
         return df
     return df.repartition(slots, F.monotonically_increasing_id())
 

@@ -174,3 +174,44 @@ def test_copies_without_dedup_are_kept(spark, scratch):
     man = read_manifest(spark, scratch, "copies").collect()
     assert sum(r.docs for r in man) == 301
     assert max(r.files for r in man) > 1  # the 300 copies are spread over several tasks
+
+
+def test_compact_after_upserts(spark, scratch):
+    cust = spark.read.parquet(f"{SF001}/customer.parquet")
+    spec = IndexSpec("cc", 4, type_name="customer", target_file_bytes=4_000)
+    build_index(spark, documents_from_table(cust, "c_custkey"), scratch, spec)
+    many = read_manifest(spark, scratch, "cc").collect()
+    assert max(r.files for r in many) > 1
+    from shardsmith.plans.build import compact_index
+
+    spec_big = IndexSpec("cc", 4, type_name="customer")
+    res = compact_index(spark, scratch, spec_big)
+    man = read_manifest(spark, scratch, "cc").collect()
+    assert all(r.files == 1 for r in man) and sum(r.docs for r in man) == cust.count()
+    assert all(r.file_bytes > 0 for r in man)
+    assert all(r.ok for r in verify_snapshot(spark, scratch, "cc").collect())
+
+
+def test_source_label_from_file_names(spark, scratch):
+    from shardsmith.sources.lines import read_lines, with_source_label
+
+    for name in ["ALL CATEGORIES0.txt.gz", "BOOKS7.txt.gz"]:
+        path = f"{scratch}/src/{name}"
+        import gzip
+
+        local = path[len("file:"):] if path.startswith("file:") else path
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        with gzip.open(local, "wt") as fh:
+            fh.write('{"a": 1}\n{"a": 2}\n')
+    df = with_source_label(read_lines(spark, f"{scratch}/src", spread=False))
+    got = sorted({r.source for r in df.collect()})
+    assert got == ["ALL CATEGORIES", "BOOKS"] and df.count() == 4
+    from shardsmith.sources import tables
+
+    old = tables.SPREAD_MIN_BYTES
+    try:  # force the spread path: the label must be taken before it
+        tables.SPREAD_MIN_BYTES = 0
+        spread = read_lines(spark, f"{scratch}/src", label="source")
+        assert sorted({r.source for r in spread.collect()}) == ["ALL CATEGORIES", "BOOKS"]
+    finally:
+        tables.SPREAD_MIN_BYTES = old
