@@ -76,7 +76,7 @@ def text_document(text: Column | str) -> Column:
     return F.to_json(F.struct(_col(text).alias("value")))
 
 
-def _json_safe(df: DataFrame) -> list[Column]:
+def json_safe_columns(df: DataFrame) -> list[Column]:
     """Columns for ``to_json``: timestamps printed with all six fraction digits
     (``to_json`` alone keeps milliseconds only)."""
     out = []
@@ -107,7 +107,7 @@ def documents_from_table(
         _id.alias("_id"),
         routing.alias("_routing"),
         seq.alias("_seq"),
-        F.to_json(F.struct(*_json_safe(body))).alias("_source"),
+        F.to_json(F.struct(*json_safe_columns(body))).alias("_source"),
         *[F.col(c) for c in cols],
     )
 
