@@ -80,12 +80,28 @@ def get_by_id(index: DataFrame, n: int, ids: Iterable[str], routing: Iterable[st
     return index.where(cond)
 
 
-def multi_get(index: DataFrame, n: int, wanted: DataFrame, id_col: str = "_id", routing_col: str | None = None) -> DataFrame:
-    """Q2 for many ids held in a DataFrame: join on (shard, id).  When the id
-    list is small Spark broadcasts it and prunes shard folders at run time
-    (dynamic partition pruning); when it is large it is an ordinary join."""
+# Largest id list that is broadcast to every task (about 100 MB of keys).
+BROADCAST_IDS = 2_000_000
+
+
+def multi_get(
+    index: DataFrame,
+    n: int,
+    wanted: DataFrame,
+    id_col: str = "_id",
+    routing_col: str | None = None,
+    broadcast_limit: int = BROADCAST_IDS,
+) -> DataFrame:
+    """Q2 for many ids held in a DataFrame: semi-join on (shard, id).
+
+    The distinct requested keys are counted first.  Up to ``broadcast_limit``
+    they are broadcast, so the index side is never shuffled and Spark prunes
+    shard folders at run time (dynamic partition pruning on ``_shard``).
+    Above the limit it is an ordinary shuffled join."""
     keys = wanted.select(
         F.col(id_col).cast("string").alias("_id"),
         hash_bucket(F.col(routing_col or id_col).cast("string"), n).alias("_shard"),
     ).distinct()
+    if keys.count() <= broadcast_limit:
+        keys = F.broadcast(keys)
     return index.join(keys, ["_shard", "_id"], "left_semi")

@@ -63,3 +63,14 @@ def test_route_lookup_broadcasts_the_n_row_table(spark):
     table = route_table(spark, 8, limit=100)
     df = spark.range(1000).select((F.col("id") % 8).cast("string").alias("r"))
     assert "BroadcastHashJoin" in _plan(route_lookup(df, "r", table))
+
+
+def test_multi_get_broadcasts_only_under_the_checked_bound(spark, customers):
+    from shardsmith.operators.search import multi_get
+
+    wanted = spark.createDataFrame([("1",), ("42",)], "_id string")
+    small = multi_get(customers, 8, wanted)
+    assert "BroadcastHashJoin" in _plan(small) and small.count() == 2
+    big = multi_get(customers, 8, wanted, broadcast_limit=1)
+    initial = big._jdf.queryExecution().sparkPlan().toString()  # before AQE re-plans with run-time sizes
+    assert "SortMergeJoin" in initial and big.count() == 2
