@@ -151,9 +151,14 @@ def ingest(spark: SparkSession, docs: DataFrame, dest: str, spec: IndexSpec, gen
         F.count(F.lit(1)).alias("scanned"),
         F.count(F.when(F.col("_status") == REJECTED, 1)).alias("rejects"),
         F.coalesce(F.sum(F.when(F.col("_status") == ACCEPTED, F.col("_bytes"))), F.lit(0)).alias("bytes"),
+        F.kll_sketch_agg_bigint(F.when(F.col("_status") == ACCEPTED, _id_key()), F.lit(SKETCH_K)).alias("id_sketch"),
     )
     observed.write.mode("errorifexists").partitionBy("_status").parquet(_stage_root(dest, spec.index, gen))
-    return dict(obs.get)
+    metrics = dict(obs.get)
+    sketch = metrics.pop("id_sketch", None)
+    accepted = metrics["scanned"] - metrics["rejects"]
+    metrics["hot"] = hot_keys(spark, sketch) if accepted > 0 else []
+    return metrics
 
 
 # --------------------------------------------------------------- publish ----
@@ -179,32 +184,36 @@ def _part_id(ks: list[int], offsets: list[int], scatter: Column) -> Column:
     return (off + slice_).cast("int")
 
 
-# A hot id is one whose rows are at least this share of the sample.
-HOT_SHARE = 0.01
-HOT_SAMPLE_ROWS = 200_000
+# Hot ids: found from a quantile sketch of hash(shard, id) that the ingest pass
+# observes anyway.  An id holding a share p of the rows fills about p * 200 of
+# the 201 quantile points below, so 3 or more points mean roughly >= 1.5 %.
+SKETCH_K = 1000
+QUANTILE_POINTS = 200
+HOT_MIN_POINTS = 3
 
 
-def hot_ids(staged: DataFrame, accepted: int, sample_rows: int = HOT_SAMPLE_ROWS, share: float = HOT_SHARE) -> list[tuple[int, str]]:
-    """Ids that hold a large share of all rows, found in a bounded sample of
-    the staged ``_shard, _id`` columns.  The sample only plans the layout; no
-    row is dropped.  At most 1/share ids can qualify, so the list is small."""
-    if accepted <= 0:
+def _id_key() -> Column:
+    return F.xxhash64(F.col("_shard"), F.col("_id"))
+
+
+def hot_keys(spark: SparkSession, sketch: bytes | None, min_points: int = HOT_MIN_POINTS) -> list[int]:
+    """Hashes of (shard, id) pairs that hold a large share of the accepted rows.
+    At most QUANTILE_POINTS / min_points of them, so the list is tiny."""
+    if not sketch:
         return []
-    frac = min(1.0, sample_rows / accepted)
-    sample = staged.select("_shard", "_id")
-    if frac < 1.0:
-        sample = sample.sample(fraction=frac, seed=17)
-    n_sample = max(1.0, accepted * frac)
-    need = max(50, int(math.ceil(share * n_sample)))
-    rows = sample.groupBy("_shard", "_id").count().where(F.col("count") >= need).collect()
-    return [(r["_shard"], r["_id"]) for r in rows]
+    qs = F.array(*[F.lit(i / QUANTILE_POINTS) for i in range(QUANTILE_POINTS + 1)])
+    one = spark.createDataFrame([(bytes(sketch),)], "s binary")
+    points = one.select(F.kll_sketch_get_quantile_bigint("s", qs).alias("q")).first().q or []
+    counts: dict[int, int] = {}
+    for v in points:
+        counts[v] = counts.get(v, 0) + 1
+    return sorted(v for v, c in counts.items() if c >= min_points)
 
 
-def _is_hot(hot: list[tuple[int, str]]) -> Column:
+def _is_hot(hot: list[int]) -> Column:
     if not hot:
         return F.lit(False)
-    keys = [f"{s}\u0000{i}" for s, i in hot]
-    return F.concat_ws("\u0000", F.col("_shard").cast("string"), F.col("_id")).isin(keys)
+    return _id_key().isin(hot)
 
 
 def _dedup(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -215,12 +224,12 @@ def _dedup(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def shard_layout(staged: DataFrame, spec: IndexSpec, sizes: dict[int, int],
-                 hot: list[tuple[int, str]] | None = None) -> DataFrame:
+                 hot: list[int] | None = None) -> DataFrame:
     """The single shuffle: shard slices by ``repartitionById``, then last write
     wins per (shard, id) on the same exchange.  Output is sorted by
     (shard, id) within each task, which is also the writer's required order.
 
-    Hot ids (``hot``) are scattered over their shard's tasks, reduced to one
+    Hot ids (``hot``: hashes of (shard, id)) are scattered over their shard's tasks, reduced to one
     row per task there, and the few survivors are reduced once more in a
     small second step; without dedup every row is scattered."""
     n = spec.shards
@@ -253,7 +262,7 @@ def publish(
     spec: IndexSpec,
     gen: str,
     sizes: dict[int, int],
-    hot: list[tuple[int, str]] | None = None,
+    hot: list[int] | None = None,
 ) -> dict:
     """Job 3: write the shard files of generation ``gen``; returns observed
     totals and the schema of the written rows (``data_schema``)."""
@@ -404,8 +413,7 @@ def build_index(spark: SparkSession, docs: DataFrame, dest: str, spec: IndexSpec
     staged = spark.read.parquet(accepted_dir(dest, spec.index, gen)) if ingest_metrics["scanned"] > ingest_metrics["rejects"] else None
     if staged is not None:
         sizes = {r["_shard"]: r["b"] for r in staged.groupBy("_shard").agg(F.sum("_bytes").alias("b")).collect()}
-        accepted = int(ingest_metrics["scanned"] - ingest_metrics["rejects"])
-        hot = hot_ids(staged, accepted) if spec.dedup else []
+        hot = ingest_metrics["hot"] if spec.dedup else []
         observed = publish(spark, staged, dest, spec, gen, sizes, hot)
         data_schema = observed.pop("data_schema")
     else:
@@ -503,8 +511,8 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec,
             base.select(*[c for c in cols if c in base.columns], F.lit(0).alias("_arrival")), allowMissingColumns=True
         )
         sizes = {s: change_sizes.get(s, 0) + base_man[s]["bytes"] for s in touched}
-        n_merged = sum(base_man[s]["docs"] for s in touched) + int(ingest_metrics["scanned"] - ingest_metrics["rejects"])
-        hot = hot_ids(merged, n_merged) if spec.dedup else []
+        # base rows are unique per id, so only the changes can bring a hot id
+        hot = ingest_metrics["hot"] if spec.dedup else []
         observed = publish(spark, merged, dest, spec, gen, sizes, hot)
         data_schema = observed.pop("data_schema")
     else:
