@@ -85,6 +85,7 @@ class IndexSpec:
     numeric_text: bool = True
     dedup: bool = True
     target_file_bytes: int = 256 * 1024 * 1024
+    keep_staging: bool = False  # keep the staged accepted copy after commit
 
     def __post_init__(self) -> None:
         if not isinstance(self.shards, int) or self.shards < 1:
@@ -423,6 +424,8 @@ def build_index(spark: SparkSession, docs: DataFrame, dest: str, spec: IndexSpec
     _check(rows, observed, spec.shards, None)
     _write_manifest(spark, dest, spec.index, gen, rows)
     snap = _commit(spark, dest, spec, gen, None, rows, int(ingest_metrics["rejects"]), data_schema)
+    if not spec.keep_staging:
+        remove_staging(spark, dest, spec.index, gen)
     return BuildResult(dest, spec.index, gen, spec.shards, {**ingest_metrics, **observed, "snapshot": snap})
 
 
@@ -475,8 +478,10 @@ def restore_snapshot(spark: SparkSession, dest: str, index: str, generation: str
             return spark.createDataFrame([], "_id string, _routing string, _seq bigint, _source string, _shard int")
         return spark.createDataFrame([], schema)
     paths = [layout.shard_path(dest, index, r.data_gen, r.shard) for r in parts]
-    df = spark.read.option("basePath", layout.data_root(dest, index)).parquet(*paths)
-    return df.drop("gen")
+    reader = spark.read.option("basePath", layout.data_root(dest, index))
+    if schema is not None:  # declared schema: no footer reads to infer it
+        reader = reader.schema(T.StructType([f for f in schema.fields if f.name != "_shard"]))
+    return reader.parquet(*paths).drop("gen")
 
 
 # ---------------------------------------------------------------- upsert ----
@@ -531,6 +536,8 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec,
     _write_manifest(spark, dest, spec.index, gen, rows)
     snap = _commit(spark, dest, spec, gen, base_snap["generation"], rows, int(ingest_metrics["rejects"]),
                    data_schema or base_snap["data_schema"], tag)
+    if not spec.keep_staging:
+        remove_staging(spark, dest, spec.index, gen)
     return BuildResult(dest, spec.index, gen, spec.shards, {**ingest_metrics, **observed, "snapshot": snap})
 
 
@@ -594,7 +601,12 @@ def verify_snapshot(spark: SparkSession, dest: str, index: str, generation: str
 
 def remove_staging(spark: SparkSession, dest: str, index: str, generation: str) -> bool:
     """Delete the accepted staging copy of a committed generation (rejects stay)."""
+    return delete_path(spark, accepted_dir(dest, index, generation))
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete a folder through the Hadoop file system API."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(accepted_dir(dest, index, generation))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.delete(path, True))
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))

@@ -18,7 +18,7 @@ import sys
 import time
 
 from shardsmith.operators.documents import documents_from_lines
-from shardsmith.plans.build import IndexSpec, build_index, remove_staging
+from shardsmith.plans.build import IndexSpec, build_index
 from shardsmith.session import get_spark
 from shardsmith.sources.lines import read_lines
 from shardsmith.sources.template import load_template
@@ -59,9 +59,8 @@ def run(spark, a: argparse.Namespace) -> dict:
     if a.id_field is None:
         spec.dedup = False  # generated ids: equal lines stay separate documents
     t = time.time()
+    spec.keep_staging = a.keep_staging
     res = build_index(spark, docs, a.dest, spec)
-    if not a.keep_staging:
-        remove_staging(spark, a.dest, a.index, res.generation)
     snap = res.metrics["snapshot"]
     return {
         "index": a.index,
