@@ -48,9 +48,10 @@ from shardsmith.plans.build import (
     verify_snapshot,
 )
 from shardsmith.session import shared_dir
+from shardsmith.streaming.upserts import start_upsert_stream
 from shardsmith.sources.lines import read_lines, source_label
 from shardsmith.sources.tables import read_table
-from shardsmith.sources.template import mapping_from_schema, parse_template
+from shardsmith.sources.template import parse_template
 
 N = 8  # shard count used by the checks unless a query says otherwise
 
@@ -107,10 +108,6 @@ def _event_docs(spark: SparkSession, sf: str) -> DataFrame:
     return documents_from_table(ev, "event_id", routing_col="user_id", seq_col="event_id")
 
 
-def _customer_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return documents_from_table(_t(spark, sf, "customer"), "c_custkey")
-
-
 def _publish_table(spark: SparkSession, sf: str, table: str, id_col, name: str, routing_col=None):
     df = _t(spark, sf, table)
     docs = documents_from_table(df, id_col, routing_col=routing_col)
@@ -404,6 +401,38 @@ def q_get_by_id(spark, sf):
     return multi_get(idx, N, wanted).select("c_custkey", F.col("_shard").cast("int").alias("shard"))
 
 
+# Mapping of the versioned event documents used by the stream.
+STREAM_TEMPLATE = """
+{"mappings": {"event": {"dynamic": "strict", "properties": {
+   "u": {"type": "long"}, "e": {"type": "long"}, "props": {"type": "string"}}}}}
+"""
+
+
+def q_stream_upsert(spark, sf):
+    """Versioned event documents (id = user, version = event id) arrive as JSON
+    lines, one folder per event type, and are applied by the streaming
+    upsert sink, three files per micro-batch; the index then holds each user's
+    latest event, the same as a batch last-write-wins."""
+    mapping = parse_template(STREAM_TEMPLATE)
+    spec = IndexSpec("events_by_user", N, mapping=mapping)
+    dest = _scratch(spark, "stream_upsert")
+    empty = spark.createDataFrame([], "value string")
+    build_index(spark, documents_from_lines(empty, id_field="u", seq_field="e"), dest, spec)
+    inbox = _scratch(spark, "stream_inbox")
+    ev = _t(spark, sf, "events")
+    body = F.to_json(F.struct(F.col("user_id").alias("u"), F.col("event_id").alias("e"), "props"))
+    ev.select(body.alias("value"), "event_type").write.partitionBy("event_type").text(inbox)
+    q = start_upsert_stream(
+        spark, inbox, dest, spec, id_field="u", seq_field="e", checkpoint=_scratch(spark, "stream_ckpt"),
+        query_name="stream_upsert", trigger={"availableNow": True}, max_files_per_trigger=3,
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    out = restore_snapshot(spark, dest, "events_by_user")
+    return out.select(F.col("u").alias("user_id"), F.col("e").alias("event_id"), "props")
+
+
 def q_term_stats(spark, sf):
     idx = _part_index(spark, sf, "term_stats")
     return term_stats(idx, ["p_brand", "p_type"])
@@ -448,6 +477,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_topk": q_search_topk,
     "get_by_id": q_get_by_id,
     "term_stats": q_term_stats,
+    "stream_upsert": q_stream_upsert,
 }
 
 
@@ -604,6 +634,8 @@ def oracle_sql() -> dict[str, str]:
         "(SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')",
         "term_stats": "SELECT 'p_brand' AS field, p_brand AS term, count(*) AS docs FROM part GROUP BY 2 "
         "UNION ALL SELECT 'p_type', p_type, count(*) FROM part GROUP BY 2",
+        "stream_upsert": "SELECT user_id, event_id, props FROM (SELECT user_id, event_id, props, "
+        "row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1",
     }
 
 

@@ -304,18 +304,14 @@ def shard_file_bytes(written: DataFrame) -> DataFrame:
 
 
 def _manifest_rows(
-    spark: SparkSession, dest: str, spec: IndexSpec, gen: str, shards: list[int] | None
+    spark: SparkSession, dest: str, spec: IndexSpec, gen: str, shards: list[int] | None, written_docs: int = 1
 ) -> list[dict]:
     """Job 4: n manifest rows for the shards written in ``gen``."""
-    path = layout.data_path(dest, spec.index, gen)
-    try:
-        written = spark.read.parquet(path)
+    rows: dict = {}
+    if written_docs > 0:
+        written = spark.read.parquet(layout.data_path(dest, spec.index, gen))
         stats = shard_stats(written).join(shard_file_bytes(written), "shard", "left")
         rows = {r.shard: r.asDict() for r in stats.collect()}  # <= n rows
-    except Exception as exc:  # nothing written: every shard empty
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-            raise
-        rows = {}
     out = []
     for s in shards if shards is not None else range(spec.shards):
         r = rows.get(s, {"docs": 0, "bytes": 0, "min_id": None, "max_id": None, "checksum": 0, "files": 0, "file_bytes": 0})
@@ -420,7 +416,7 @@ def build_index(spark: SparkSession, docs: DataFrame, dest: str, spec: IndexSpec
     else:
         observed = {"docs": 0, "bytes": 0, "checksum": 0}
         data_schema = ""
-    rows = _manifest_rows(spark, dest, spec, gen, None)
+    rows = _manifest_rows(spark, dest, spec, gen, None, observed["docs"])
     _check(rows, observed, spec.shards, None)
     _write_manifest(spark, dest, spec.index, gen, rows)
     snap = _commit(spark, dest, spec, gen, None, rows, int(ingest_metrics["rejects"]), data_schema)
@@ -523,7 +519,7 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec,
     else:
         observed = {"docs": 0, "bytes": 0, "checksum": 0}
         data_schema = base_snap["data_schema"]
-    new_rows = {r["shard"]: r for r in _manifest_rows(spark, dest, spec, gen, touched)} if touched else {}
+    new_rows = {r["shard"]: r for r in _manifest_rows(spark, dest, spec, gen, touched, observed["docs"])} if touched else {}
     _check(list(new_rows.values()), observed, spec.shards, touched)
     rows = []
     for s in range(spec.shards):
@@ -558,7 +554,7 @@ def compact_index(spark: SparkSession, dest: str, spec: IndexSpec) -> BuildResul
         data_schema = observed.pop("data_schema")
     else:
         observed, data_schema = {"docs": 0, "bytes": 0, "checksum": 0}, base_snap["data_schema"]
-    rows = _manifest_rows(spark, dest, spec, gen, None)
+    rows = _manifest_rows(spark, dest, spec, gen, None, observed["docs"])
     _check(rows, observed, spec.shards, None)
     _write_manifest(spark, dest, spec.index, gen, rows)
     snap = _commit(spark, dest, spec, gen, base_snap["generation"], rows, 0, data_schema)

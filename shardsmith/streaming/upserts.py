@@ -39,9 +39,13 @@ def start_upsert_stream(
     routing_field: str | None = None,
     query_name: str = "stream",
     trigger: dict | None = None,
+    max_files_per_trigger: int | None = None,
 ):
     """Start the stream; returns the ``StreamingQuery``."""
-    stream = spark.readStream.text(source_dir)
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.text(source_dir).select("value")
 
     def each(batch: DataFrame, batch_id: int) -> None:
         apply_batch(batch.sparkSession, batch, batch_id, dest, spec, id_field, seq_field, routing_field, query_name)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import FIXTURES, SF001
 from shardsmith.functions.hashing import bucket_py
-from shardsmith.operators.documents import documents_from_columns, documents_from_lines, documents_from_table
+from shardsmith.operators.documents import documents_from_lines, documents_from_table
 from shardsmith.operators.search import get_by_id, multi_get
 from shardsmith.plans import layout
 from shardsmith.plans.alias import add_alias, resolve_alias

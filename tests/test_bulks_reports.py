@@ -2,7 +2,6 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from shardsmith.functions.hashing import bucket_py
 from shardsmith.operators.dedup import assign_bulks, bulk_summary, latest_by_id
 from shardsmith.operators.documents import documents_from_table
 from shardsmith.operators.report import largest_shard, term_stats

@@ -1,10 +1,8 @@
-import json
 import os
-import time
 
 from conftest import FIXTURES
 from shardsmith.plans.build import IndexSpec, build_index, list_snapshots, restore_snapshot
-from shardsmith.plans.job import main, parse_args, run
+from shardsmith.plans.job import parse_args, run
 from shardsmith.operators.documents import documents_from_lines
 from shardsmith.sources.template import load_template
 from shardsmith.streaming.upserts import start_upsert_stream
