@@ -115,6 +115,19 @@ def _members(spec_fields, v, names, plan: _Plan) -> list[Column]:
                 elems = F.try_variant_get(v, path, "array<map<string,variant>>")
                 has_extra = F.exists(elems, lambda e: F.size(F.array_except(F.map_keys(e), declared)) > 0)
                 plan.add(present & kind.startswith("ARRAY") & has_extra, UNDECLARED_FIELD, fname)
+            scalars = [c for c in spec.children if c.kind not in ("object", "nested")]
+            if scalars:
+                elems_v = F.try_variant_get(v, path, "array<variant>")
+
+                def elem_bad(e: Column) -> Column:
+                    out = F.lit(False)
+                    for c in scalars:
+                        cpath = json_path(c.name)
+                        bad, _ = _scalar(c, e, cpath, variant_kind(e, cpath), plan.numeric_text)
+                        out = out | F.coalesce(bad, F.lit(False))
+                    return out
+
+                plan.add(present & kind.startswith("ARRAY") & F.exists(elems_v, elem_bad), WRONG_TYPE, fname)
             values.append(F.try_variant_get(v, path, spec.spark_type.simpleString()))
         else:
             bad, value = _scalar(spec, v, path, kind, plan.numeric_text)

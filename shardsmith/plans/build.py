@@ -84,7 +84,8 @@ class IndexSpec:
     mapping: Mapping | None = None
     numeric_text: bool = True
     dedup: bool = True
-    target_file_bytes: int = 256 * 1024 * 1024
+    # ~1 GiB per write task: 100 TB -> ~100k tasks/files (row groups stay 128 MB)
+    target_file_bytes: int = 1024 * 1024 * 1024
     keep_staging: bool = False  # keep the staged accepted copy after commit
 
     def __post_init__(self) -> None:

@@ -36,7 +36,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--id-field")
     p.add_argument("--routing-field")
     p.add_argument("--seq-field")
-    p.add_argument("--target-file-mb", type=int, default=256)
+    p.add_argument("--target-file-mb", type=int, default=1024)
     p.add_argument("--keep-staging", action="store_true")
     p.add_argument("--master")
     a = p.parse_args(argv)

@@ -62,9 +62,12 @@ def test_nested_mapping(spark):
         "o": {"properties": {"x": {"type": "long"}, "y": {"type": "string"}}},
         "tags": {"type": "nested", "properties": {"k": {"type": "string"}}},
     }}}}))
-    lines = ['{"o":{"x":1,"y":"a"},"tags":[{"k":"p"}]}', '{"o":{"x":1,"z":2}}', '{"tags":[{"k":"p","q":1}]}', '{"o":5}']
+    lines = ['{"o":{"x":1,"y":"a"},"tags":[{"k":"p"}]}', '{"o":{"x":1,"z":2}}', '{"tags":[{"k":"p","q":1}]}', '{"o":5}',
+             '{"o":{"x":1.5}}', '{"tags":[{"k":"p"},{"k":{"deep":1}}]}']
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     rows = validate(documents_from_lines(df), m).select("_reason", "_field", "o", "tags").collect()
+    assert (rows[4]._reason, rows[4]._field) == ("wrong_type", "o.x")
+    assert (rows[5]._reason, rows[5]._field) == ("wrong_type", "tags")
     assert (rows[0]._reason, rows[0].o.x, rows[0].tags[0].k) == (None, 1, "p")
     assert (rows[1]._reason, rows[1]._field) == ("undeclared_field", "o.z")
     assert (rows[2]._reason, rows[2]._field) == ("undeclared_field", "tags")
