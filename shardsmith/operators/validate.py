@@ -55,8 +55,12 @@ class _Plan:
         self.checks: list[tuple[Column, str, Column]] = []
 
     def kind(self, v: Column, path: str) -> Column:
+        return self.column(variant_kind(v, path))
+
+    def column(self, expr: Column) -> Column:
+        """Materialise ``expr`` once in the lower projection; returns a reference."""
         name = f"_k{len(self.kinds)}"
-        self.kinds.append((name, variant_kind(v, path)))
+        self.kinds.append((name, expr))
         return F.col(name)
 
     def add(self, cond: Column, reason: str, field: Column) -> None:
@@ -69,11 +73,18 @@ class _Plan:
         return F.coalesce(*[F.when(c, f) for c, _, f in self.checks], F.lit(None).cast("string"))
 
 
-def _scalar(spec: FieldSpec, v: Column, path: str, kind: Column, numeric_text: bool) -> tuple[Column, Column]:
-    """(bad, typed value) for one scalar member, given its materialised kind."""
+def _scalar(spec: FieldSpec, v: Column, path: str, kind: Column, numeric_text: bool,
+            plan: "_Plan | None" = None) -> tuple[Column, Column]:
+    """(bad, typed value) for one scalar member, given its kind.  With a plan,
+    the raw typed value and (for STRING kinds only) the text are materialised
+    next to the kind, so the checks above only compare columns."""
     present = kind.isNotNull() & (kind != "VOID")
     text = F.try_variant_get(v, path, "string")
     value = F.try_variant_get(v, path, spec.spark_type.simpleString())
+    if plan is not None:
+        value = plan.column(value)
+        if spec.kind in INTEGRAL | FRACTIONAL | {"boolean"}:
+            text = plan.column(F.when(F.schema_of_variant(F.variant_get(v, path, "variant")) == "STRING", text))
     if spec.kind in INTEGRAL:
         ok = kind.isin(_INT_KINDS) | kind.rlike(r"^DECIMAL\(\d+,0\)$")
         if numeric_text:
@@ -130,7 +141,7 @@ def _members(spec_fields, v, names, plan: _Plan) -> list[Column]:
                 plan.add(present & kind.startswith("ARRAY") & F.exists(elems_v, elem_bad), WRONG_TYPE, fname)
             values.append(F.try_variant_get(v, path, spec.spark_type.simpleString()))
         else:
-            bad, value = _scalar(spec, v, path, kind, plan.numeric_text)
+            bad, value = _scalar(spec, v, path, kind, plan.numeric_text, plan)
             plan.add(bad, WRONG_TYPE, fname)
             values.append(value)
     return values
