@@ -39,6 +39,7 @@ from shardsmith.plans.alias import resolve_aliases
 from shardsmith.plans.build import (
     IndexSpec,
     build_index,
+    compact_index,
     ingest,
     latest_snapshot,
     prepare,
@@ -302,7 +303,12 @@ def q_shard_grid(spark, sf):
 
 
 def q_compact_shards(spark, sf):
-    dest, res = _publish_table(spark, sf, "orders", "o_orderkey", "compact_shards")
+    """Publish orders in small files (64 KiB target: several per shard), then
+    compact the generation into one id-sorted file per shard."""
+    docs = documents_from_table(_t(spark, sf, "orders"), "o_orderkey")
+    dest = _scratch(spark, "compact_shards")
+    build_index(spark, docs, dest, IndexSpec("orders", N, type_name="orders", target_file_bytes=64 * 1024))
+    res = compact_index(spark, dest, IndexSpec("orders", N, type_name="orders"))
     return res.manifest(spark).select("shard", "files")
 
 

@@ -159,7 +159,7 @@ def ingest(spark: SparkSession, docs: DataFrame, dest: str, spec: IndexSpec, gen
     metrics = dict(obs.get)
     sketch = metrics.pop("id_sketch", None)
     accepted = metrics["scanned"] - metrics["rejects"]
-    metrics["hot"] = hot_keys(spark, sketch) if accepted > 0 else []
+    metrics["hot"] = hot_keys(sketch) if accepted > 0 else []
     return metrics
 
 
@@ -198,20 +198,28 @@ def _id_key() -> Column:
     return F.xxhash64(F.col("_shard"), F.col("_id"))
 
 
-def hot_keys(spark: SparkSession, sketch: bytes | None, min_points: int = HOT_MIN_POINTS) -> list[int]:
-    """Hashes of (shard, id) pairs that hold a large share of the accepted rows.
-    At most QUANTILE_POINTS / min_points of them, so the list is tiny."""
+def hot_keys(sketch: bytes | None, min_points: int = HOT_MIN_POINTS) -> list[int]:
+    """Hashes of (shard, id) pairs that hold a large share of the accepted rows,
+    read from the observed sketch on the driver (a few KB, no Spark job).  At
+    most QUANTILE_POINTS / min_points of them, so the list is tiny."""
     if not sketch:
         return []
-    qs = F.array(*[F.lit(i / QUANTILE_POINTS) for i in range(QUANTILE_POINTS + 1)])
-    one = spark.createDataFrame([(bytes(sketch),)], "s binary")
-    points = one.select(F.kll_sketch_get_quantile_bigint("s", qs).alias("q")).first().q or []
+    points = kll_quantiles(bytes(sketch), [i / QUANTILE_POINTS for i in range(QUANTILE_POINTS + 1)])
     counts: dict[int, int] = {}
     for v in points:
         counts[v] = counts.get(v, 0) + 1
     return sorted(v for v, c in counts.items() if c >= min_points)
 
 
+def kll_quantiles(sketch: bytes, ranks: list[float]) -> list[int]:
+    """Quantiles of a serialized KLL sketch, evaluated by Spark's own function
+    on the driver's local expression evaluator (one literal row)."""
+    spark = SparkSession.getActiveSession()
+    lit = F.lit(bytearray(sketch)).cast("binary")
+    expr = F.kll_sketch_get_quantile_bigint(lit, F.array(*[F.lit(r) for r in ranks]))
+    return spark.range(1).select(expr.alias("q")).first().q or []
+
+
 def _is_hot(hot: list[int]) -> Column:
     if not hot:
         return F.lit(False)
