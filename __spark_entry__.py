@@ -51,7 +51,7 @@ from shardsmith.plans.build import (
 from shardsmith.session import shared_dir
 from shardsmith.streaming.upserts import start_upsert_stream
 from shardsmith.sources.lines import read_lines, source_label
-from shardsmith.sources.tables import read_table
+from shardsmith.sources.tables import input_bytes, read_table
 from shardsmith.sources.template import parse_template
 
 N = 8  # shard count used by the checks unless a query says otherwise
@@ -303,11 +303,14 @@ def q_shard_grid(spark, sf):
 
 
 def q_compact_shards(spark, sf):
-    """Publish orders in small files (64 KiB target: several per shard), then
-    compact the generation into one id-sorted file per shard."""
-    docs = documents_from_table(_t(spark, sf, "orders"), "o_orderkey")
+    """Publish orders in small files (a target of a fifth of the table's file
+    size: several files per shard), then compact the generation into one
+    id-sorted file per shard."""
+    orders = _t(spark, sf, "orders")
+    small = max(16 * 1024, input_bytes(spark, orders) // 5)
+    docs = documents_from_table(orders, "o_orderkey")
     dest = _scratch(spark, "compact_shards")
-    build_index(spark, docs, dest, IndexSpec("orders", N, type_name="orders", target_file_bytes=64 * 1024))
+    build_index(spark, docs, dest, IndexSpec("orders", N, type_name="orders", target_file_bytes=small))
     res = compact_index(spark, dest, IndexSpec("orders", N, type_name="orders"))
     return res.manifest(spark).select("shard", "files")
 
@@ -417,7 +420,7 @@ STREAM_TEMPLATE = """
 def q_stream_upsert(spark, sf):
     """Versioned event documents (id = user, version = event id) arrive as JSON
     lines, one folder per event type, and are applied by the streaming
-    upsert sink, three files per micro-batch; the index then holds each user's
+    upsert sink in three micro-batches; the index then holds each user's
     latest event, the same as a batch last-write-wins."""
     mapping = parse_template(STREAM_TEMPLATE)
     spec = IndexSpec("events_by_user", N, mapping=mapping)
@@ -428,9 +431,10 @@ def q_stream_upsert(spark, sf):
     ev = _t(spark, sf, "events")
     body = F.to_json(F.struct(F.col("user_id").alias("u"), F.col("event_id").alias("e"), "props"))
     ev.select(body.alias("value"), "event_type").write.partitionBy("event_type").text(inbox)
+    n_files = len(spark.read.text(inbox).inputFiles())
     q = start_upsert_stream(
         spark, inbox, dest, spec, id_field="u", seq_field="e", checkpoint=_scratch(spark, "stream_ckpt"),
-        query_name="stream_upsert", trigger={"availableNow": True}, max_files_per_trigger=3,
+        query_name="stream_upsert", trigger={"availableNow": True}, max_files_per_trigger=-(-n_files // 3),
     )
     q.awaitTermination()
     if q.exception() is not None:

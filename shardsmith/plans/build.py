@@ -153,14 +153,9 @@ def ingest(spark: SparkSession, docs: DataFrame, dest: str, spec: IndexSpec, gen
         F.count(F.lit(1)).alias("scanned"),
         F.count(F.when(F.col("_status") == REJECTED, 1)).alias("rejects"),
         F.coalesce(F.sum(F.when(F.col("_status") == ACCEPTED, F.col("_bytes"))), F.lit(0)).alias("bytes"),
-        F.kll_sketch_agg_bigint(F.when(F.col("_status") == ACCEPTED, _id_key()), F.lit(SKETCH_K)).alias("id_sketch"),
     )
     observed.write.mode("errorifexists").partitionBy("_status").parquet(_stage_root(dest, spec.index, gen))
-    metrics = dict(obs.get)
-    sketch = metrics.pop("id_sketch", None)
-    accepted = metrics["scanned"] - metrics["rejects"]
-    metrics["hot"] = hot_keys(sketch) if accepted > 0 else []
-    return metrics
+    return dict(obs.get)
 
 
 # --------------------------------------------------------------- publish ----
@@ -186,38 +181,36 @@ def _part_id(ks: list[int], offsets: list[int], scatter: Column) -> Column:
     return (off + slice_).cast("int")
 
 
-# Hot ids: found from a quantile sketch of hash(shard, id) that the ingest pass
-# observes anyway.  An id holding a share p of the rows fills about p * 200 of
-# the 201 quantile points below, so 3 or more points mean roughly >= 1.5 %.
-SKETCH_K = 1000
-QUANTILE_POINTS = 200
-HOT_MIN_POINTS = 3
+# Hot ids are looked for only when some shard gets more than one write task
+# (otherwise each shard is one task anyway).  A bounded row sample of the
+# staged (shard, id) hashes is counted; an id is hot when its sampled rows
+# stand for at least half a write task's worth of data.
+HOT_SAMPLE_ROWS = 2_000_000
+HOT_MIN_HITS = 50
 
 
 def _id_key() -> Column:
     return F.xxhash64(F.col("_shard"), F.col("_id"))
 
 
-def hot_keys(sketch: bytes | None, min_points: int = HOT_MIN_POINTS) -> list[int]:
-    """Hashes of (shard, id) pairs that hold a large share of the accepted rows,
-    read from the observed sketch on the driver (a few KB, no Spark job).  At
-    most QUANTILE_POINTS / min_points of them, so the list is tiny."""
-    if not sketch:
-        return []
-    points = kll_quantiles(bytes(sketch), [i / QUANTILE_POINTS for i in range(QUANTILE_POINTS + 1)])
-    counts: dict[int, int] = {}
-    for v in points:
-        counts[v] = counts.get(v, 0) + 1
-    return sorted(v for v, c in counts.items() if c >= min_points)
-
+def hot_ids(staged: DataFrame, accepted: int, total_bytes: int, target_bytes: int,
+            sample_rows: int = HOT_SAMPLE_ROWS) -> list[int]:
+    """Hashes of (shard, id) pairs that hold a large share of the rows.
 
-def kll_quantiles(sketch: bytes, ranks: list[float]) -> list[int]:
-    """Quantiles of a serialized KLL sketch, evaluated by Spark's own function
-    on the driver's local expression evaluator (one literal row)."""
-    spark = SparkSession.getActiveSession()
-    lit = F.lit(bytearray(sketch)).cast("binary")
-    expr = F.kll_sketch_get_quantile_bigint(lit, F.array(*[F.lit(r) for r in ranks]))
-    return spark.range(1).select(expr.alias("q")).first().q or []
+    The sample (at most ``sample_rows`` rows, seeded, so a re-run draws the
+    same rows) only plans the layout; no row is dropped.  At most
+    ``sample_rows / HOT_MIN_HITS`` hashes can qualify, so the list is bounded.
+    A cold id that collides with a hot hash merely takes the two-step path."""
+    if accepted <= 0:
+        return []
+    frac = min(1.0, sample_rows / accepted)
+    share = min(0.01, target_bytes / (2.0 * max(total_bytes, 1)))
+    need = max(HOT_MIN_HITS, int(math.ceil(share * accepted * frac)))
+    keys = staged.select(_id_key().alias("h"))
+    if frac < 1.0:
+        keys = keys.sample(fraction=frac, seed=17)
+    rows = keys.groupBy("h").count().where(F.col("count") >= need).select("h").collect()
+    return sorted(r.h for r in rows)
 
 
 def _is_hot(hot: list[int]) -> Column:
@@ -226,6 +219,13 @@ def _is_hot(hot: list[int]) -> Column:
     return _id_key().isin(hot)
 
 
+def _find_hot(staged: DataFrame, spec: IndexSpec, sizes: dict[int, int], accepted: int) -> list[int]:
+    ks, _, _ = partition_plan(sizes, spec.shards, spec.target_file_bytes)
+    if not spec.dedup or max(ks) <= 1:
+        return []
+    return hot_ids(staged, accepted, sum(sizes.values()), spec.target_file_bytes)
+
+
 def _dedup(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rank-1 per key: highest version, then later arrival, then greater source."""
     order = [F.desc("_seq")] + ([F.desc("_arrival")] if "_arrival" in df.columns else []) + [F.desc("_source")]
@@ -419,7 +419,7 @@ def build_index(spark: SparkSession, docs: DataFrame, dest: str, spec: IndexSpec
     staged = spark.read.parquet(accepted_dir(dest, spec.index, gen)) if ingest_metrics["scanned"] > ingest_metrics["rejects"] else None
     if staged is not None:
         sizes = {r["_shard"]: r["b"] for r in staged.groupBy("_shard").agg(F.sum("_bytes").alias("b")).collect()}
-        hot = ingest_metrics["hot"] if spec.dedup else []
+        hot = _find_hot(staged, spec, sizes, ingest_metrics["scanned"] - ingest_metrics["rejects"])
         observed = publish(spark, staged, dest, spec, gen, sizes, hot)
         data_schema = observed.pop("data_schema")
     else:
@@ -522,7 +522,7 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec,
         )
         sizes = {s: change_sizes.get(s, 0) + base_man[s]["bytes"] for s in touched}
         # base rows are unique per id, so only the changes can bring a hot id
-        hot = ingest_metrics["hot"] if spec.dedup else []
+        hot = _find_hot(staged_changes, spec, sizes, ingest_metrics["scanned"] - ingest_metrics["rejects"])
         observed = publish(spark, merged, dest, spec, gen, sizes, hot)
         data_schema = observed.pop("data_schema")
     else:
