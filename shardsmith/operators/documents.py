@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardsmith.functions.jsonfn import compact_json, is_json_object, json_path
+from shardsmith.functions.jsonfn import compact_json
 
 ENVELOPE = ["_id", "_routing", "_seq", "_source"]
 
@@ -48,21 +48,22 @@ def documents_from_lines(
     if fmt == "text":
         docs = lines.select(text_document(value).alias("_source"))
     elif fmt == "json":
-        docs = lines.select(
-            F.when(is_json_object(value), compact_json(value)).otherwise(value).alias("_source")
-        )
+        # one parse: the compact print is NULL for invalid JSON and starts
+        # with "{" only for an object (the raw line is kept otherwise)
+        compact = compact_json(value)
+        is_obj = compact.startswith("{") & F.ltrim(value).startswith("{")
+        docs = lines.select(F.when(is_obj, compact).otherwise(value).alias("_source"))
     else:
         raise ValueError(f"fmt must be 'json' or 'text', got {fmt!r}")
+    # id, routing and version members in one more parse (top-level names)
+    names = list(dict.fromkeys(f for f in (id_field, routing_field, seq_field) if f))
+    if names:
+        docs = docs.select("_source", F.json_tuple("_source", *names)).toDF("_source", *[f"_m{i}" for i in range(len(names))])
+    member = {n: F.col(f"_m{i}") for i, n in enumerate(names)}
     src = F.col("_source")
-    _id = (
-        F.get_json_object(src, json_path(id_field)) if id_field else F.sha2(src, 256)
-    )
-    routing = F.get_json_object(src, json_path(routing_field)) if routing_field else F.col("_id")
-    seq = (
-        F.get_json_object(src, json_path(seq_field)).try_cast("bigint")
-        if seq_field
-        else F.lit(0).cast("bigint")
-    )
+    _id = member[id_field] if id_field else F.sha2(src, 256)
+    routing = member[routing_field] if routing_field else F.col("_id")
+    seq = member[seq_field].try_cast("bigint") if seq_field else F.lit(0).cast("bigint")
     return (
         docs.withColumn("_id", _id)
         .withColumn("_routing", routing)
