@@ -222,3 +222,22 @@ def test_source_label_from_file_names(spark, scratch):
         assert sorted({r.source for r in spread.collect()}) == ["ALL CATEGORIES", "BOOKS"]
     finally:
         tables.SPREAD_MIN_BYTES = old
+
+
+def test_build_survives_task_retries():
+    import json
+    import subprocess
+    import sys
+
+    import tempfile
+
+    here = os.path.dirname(os.path.abspath(__file__))
+    marker = os.path.join(tempfile.mkdtemp(prefix="retry-"), "failed-once")
+    out = subprocess.run(
+        [sys.executable, os.path.join(here, "scripts", "retry_build.py"), os.path.dirname(here), SF001, marker],
+        capture_output=True, text=True, timeout=600,
+    )
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert os.path.exists(marker)  # a task attempt really failed and was retried
+    res = json.loads(out.stdout.strip().splitlines()[-1])
+    assert res["clean"] == res["faulty"] and sum(r[1] for r in res["clean"]) == 1000
