@@ -31,10 +31,13 @@ def spread_narrow(spark: SparkSession, df: DataFrame, min_bytes: int | None = No
     row number), which is unique, so the spread is even whatever the data
     holds, needs no sort, and a re-run of a scan task yields the same
     positions (file splits are read in a fixed order)."""
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < slots
+        big = narrow and input_bytes(spark, df) >= (SPREAD_MIN_BYTES if min_bytes is None else min_bytes)
+    except Exception:  # no RDD/JVM access (e.g. a remote session): leave the scan as it is
         return df
-    if input_bytes(spark, df) < (SPREAD_MIN_BYTES if min_bytes is None else min_bytes):
+    if not big:
         return df
     return df.repartition(slots, F.monotonically_increasing_id())
 
