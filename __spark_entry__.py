@@ -274,7 +274,7 @@ def q_bulk_batches(spark, sf):
         li, F.concat_ws("-", "l_orderkey", "l_linenumber"), routing_col="l_orderkey", source_cols=["l_orderkey", "l_linenumber"]
     )
     bulked = assign_bulks(assign_shards(docs, N), 1000, order=("_id",))
-    return bulk_summary(bulked)
+    return bulk_summary(bulked, 1000)
 
 
 def q_latest_by_id(spark, sf):

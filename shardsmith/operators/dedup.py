@@ -56,14 +56,10 @@ def assign_bulks(
     )
 
 
-def bulk_summary(bulked: DataFrame, shard: str = "_shard") -> DataFrame:
-    """Per shard: number of bulks and size of the last one."""
-    per = bulked.groupBy(F.col(shard).alias("shard")).agg(
+def bulk_summary(bulked: DataFrame, bulk_size: int, shard: str = "_shard") -> DataFrame:
+    """Per shard: number of bulks and size of the last one, in one aggregation
+    (ranks are contiguous, so every bulk but the last is full)."""
+    return bulked.groupBy(F.col(shard).alias("shard")).agg(
         (F.max("_bulk") + 1).alias("bulks"),
-        F.count(F.lit(1)).alias("_docs"),
-        F.max("_bulk").alias("_last"),
+        (F.count(F.lit(1)) - F.max("_bulk") * bulk_size).alias("last_bulk_docs"),
     )
-    last = bulked.groupBy(F.col(shard).alias("shard"), F.col("_bulk").alias("_last")).agg(
-        F.count(F.lit(1)).alias("last_bulk_docs")
-    )
-    return per.join(last, ["shard", "_last"]).select("shard", "bulks", "last_bulk_docs")

@@ -20,7 +20,7 @@ def test_bulk_ranks_match_brute_force(spark):
     assert len(merged) == len(got) and (merged["_rank"] == merged["_rank_bf"]).all()
     assert (merged["_bulk"] == merged["_rank_bf"] // 100).all()
     summ = {r.shard: (r.bulks, r.last_bulk_docs) for r in bulk_summary(
-        assign_bulks(docs, 100, order=("_id",), partitions=7)).collect()}
+        assign_bulks(docs, 100, order=("_id",), partitions=7), 100).collect()}
     for s, g in exp.groupby("_shard"):
         c = len(g)
         assert summ[s] == (-(-c // 100), c - (-(-c // 100) - 1) * 100)
