@@ -367,6 +367,16 @@ def q_upsert_docs(spark, sf):
     return restore_snapshot(spark, dest, "customer").select(*cols)
 
 
+def q_upsert_delta(spark, sf):
+    """The same changes as ``upsert_docs``, applied as a delta layer (no shard
+    rewritten) and read back through the layers."""
+    dest, res = _publish_table(spark, sf, "customer", "c_custkey", "upsert_delta")
+    changes = documents_from_table(_customer_changes(spark, sf), "c_custkey", seq_col=F.lit(1))
+    upsert(spark, changes, dest, IndexSpec("customer", N, type_name="customer"), mode="delta")
+    cols = _t(spark, sf, "customer").columns
+    return restore_snapshot(spark, dest, "customer").select(*cols)
+
+
 def q_resolve_alias(spark, sf):
     nation = _t(spark, sf, "nation")
     region = _t(spark, sf, "region")
@@ -481,6 +491,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "restore_snapshot": q_restore_snapshot,
     "verify_snapshot": q_verify_snapshot,
     "upsert_docs": q_upsert_docs,
+    "upsert_delta": q_upsert_delta,
     "resolve_alias": q_resolve_alias,
     "search_term": q_search_term,
     "search_range": q_search_range,
@@ -633,6 +644,11 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT c_custkey, c_name, c_nationkey, c_acctbal + 100, c_mktsegment, 1 FROM customer "
         "WHERE c_mktsegment = 'AUTOMOBILE' UNION ALL SELECT s_suppkey + 1000000, s_name, s_nationkey, "
         "s_acctbal, 'SUPPLIER', 1 FROM supplier)) WHERE rn = 1",
+        "upsert_delta": f"SELECT {customer_cols} FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey "
+        f"ORDER BY seq DESC) AS rn FROM (SELECT {customer_cols}, 0 AS seq FROM customer UNION ALL "
+        f"SELECT c_custkey, c_name, c_nationkey, c_acctbal + 100, c_mktsegment, 1 FROM customer "
+        "WHERE c_mktsegment = 'AUTOMOBILE' UNION ALL SELECT s_suppkey + 1000000, s_name, s_nationkey, "
+        "s_acctbal, 'SUPPLIER', 1 FROM supplier)) WHERE rn = 1",
         "resolve_alias": "SELECT alias, index FROM (SELECT lower(r_name) AS alias, lower(n_name) AS index, "
         "row_number() OVER (PARTITION BY lower(r_name) ORDER BY n_nationkey DESC, lower(n_name) DESC) AS rn "
         "FROM nation JOIN region ON n_regionkey = r_regionkey) WHERE rn = 1",

@@ -54,6 +54,11 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("files", T.LongType()),
         T.StructField("file_bytes", T.LongType()),
         T.StructField("data_gen", T.StringType()),
+        # delta layers (upsert mode "delta"): rows in the base generation, the
+        # delta generations on top of it (oldest first) and their row count
+        T.StructField("base_docs", T.LongType()),
+        T.StructField("delta_gens", T.StringType()),
+        T.StructField("delta_docs", T.LongType()),
     ]
 )
 
@@ -338,6 +343,9 @@ def _manifest_rows(
                 "files": int(r["files"]),
                 "file_bytes": int(r["file_bytes"] or 0),
                 "data_gen": gen,
+                "base_docs": int(r["docs"]),
+                "delta_gens": "",
+                "delta_docs": 0,
             }
         )
     return out
@@ -467,37 +475,88 @@ def read_rejects(spark: SparkSession, dest: str, index: str, generation: str) ->
     return df.select("_id", "_source", F.col("_reason").alias("reason"), F.col("_field").alias("field"))
 
 
+def _layers(row) -> tuple[int, list[str]]:
+    base_docs = row["base_docs"] if row["base_docs"] is not None else row["docs"]
+    deltas = [g for g in (row["delta_gens"] or "").split(",") if g]
+    return base_docs, deltas
+
+
+# Columns of a document frame when nothing has been written yet.
+EMPTY_DOCS_SCHEMA = "_id string, _routing string, _seq bigint, _source string, _hash bigint, _bytes bigint, _shard int"
+# Bookkeeping columns kept in delta files only (what each delta row replaced).
+DELTA_ONLY = ("_old_seq", "_old_hash", "_old_bytes")
+
+# Largest delta (rows) whose keys are broadcast when applied at read time.
+BROADCAST_DELTA_ROWS = 2_000_000
+
+
 def restore_snapshot(spark: SparkSession, dest: str, index: str, generation: str | None = None) -> DataFrame:
     """The documents of the newest committed generation (or ``generation``).
 
     Only generations with a snapshot row are visible.  Each shard is read from
     the generation that last wrote it (upserts carry untouched shards over),
     and ``_shard`` stays a partition column, so shard filters prune files.
+    Delta layers (``upsert(mode="delta")``) are applied on read: the newest
+    delta row per (shard, id) replaces the base row through an anti-join on
+    the delta keys, broadcast when the deltas are within a counted bound, so
+    the base is never shuffled.
     """
     snap = latest_snapshot(spark, dest, index, generation)
-    man = read_manifest(spark, dest, index, snap["generation"])
-    parts = man.where(F.col("docs") > 0).select("shard", "data_gen").collect()  # <= n rows
+    man = read_manifest(spark, dest, index, snap["generation"]).collect()  # n rows
     schema = T.StructType.fromJson(json.loads(snap["data_schema"])) if snap["data_schema"] else None
-    if not parts:
+    base_paths, delta_paths, delta_rows = [], [], 0
+    for r in man:
+        base_docs, deltas = _layers(r)
+        if base_docs > 0:
+            base_paths.append(layout.shard_path(dest, index, r["data_gen"], r["shard"]))
+        delta_paths += [layout.shard_path(dest, index, g, r["shard"]) for g in deltas]
+        delta_rows += int(r["delta_docs"] or 0)
+    if not base_paths and not delta_paths:
         if schema is None:
-            return spark.createDataFrame([], "_id string, _routing string, _seq bigint, _source string, _shard int")
+            return spark.createDataFrame([], EMPTY_DOCS_SCHEMA)
         return spark.createDataFrame([], schema)
-    paths = [layout.shard_path(dest, index, r.data_gen, r.shard) for r in parts]
     reader = spark.read.option("basePath", layout.data_root(dest, index))
     if schema is not None:  # declared schema: no footer reads to infer it
         reader = reader.schema(T.StructType([f for f in schema.fields if f.name != "_shard"]))
-    return reader.parquet(*paths).drop("gen")
+    base = reader.parquet(*base_paths).drop("gen") if base_paths else None
+    if not delta_paths:
+        return base
+    cols = [f.name for f in schema.fields] if schema is not None else None
+    deltas = spark.read.option("basePath", layout.data_root(dest, index)).parquet(*delta_paths)
+    w = Window.partitionBy("_shard", "_id").orderBy(F.desc("gen"))
+    latest = deltas.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+    if cols or base is not None:
+        latest = latest.select(*(cols or base.columns))
+    else:
+        latest = latest.drop("_rn", "gen", *DELTA_ONLY)
+    if base is None:
+        return latest
+    keys = latest.select("_shard", "_id")
+    if delta_rows <= BROADCAST_DELTA_ROWS:
+        keys = F.broadcast(keys)
+    return base.join(keys, ["_shard", "_id"], "left_anti").select(*base.columns).unionByName(latest.select(*base.columns))
 
 
 # ---------------------------------------------------------------- upsert ----
 
-def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec, tag: str | None = None) -> BuildResult:
+def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec, tag: str | None = None,
+           mode: str = "rewrite") -> BuildResult:
     """Add or replace documents in the current generation.
 
-    Only shards that receive a change are rewritten (base rows of those
-    shards + changes, last write wins); the others are carried over by
-    reference in the new manifest.
+    ``mode="rewrite"``: only shards that receive a change are rewritten (base
+    rows of those shards + changes, last write wins); the others are carried
+    over by reference in the new manifest.
+
+    ``mode="delta"``: nothing is rewritten.  The winning changes (version at
+    least the stored one; a tie goes to the later write) are written as a
+    delta layer of the touched shards, and the manifest is updated
+    incrementally from the rows they replace, which are found with a
+    semi-join on the change keys that reads only key columns.  Cost follows
+    the size of the change, not of the shards.  ``compact_index`` folds the
+    layers back into one base.
     """
+    if mode not in ("rewrite", "delta"):
+        raise ValueError(f"mode must be 'rewrite' or 'delta', got {mode!r}")
     base_snap = latest_snapshot(spark, dest, spec.index)
     base_man = {r.shard: r.asDict() for r in read_manifest(spark, dest, spec.index, base_snap["generation"]).collect()}
     if base_snap["shards"] != spec.shards:
@@ -513,6 +572,9 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec,
             for r in staged_changes.groupBy("_shard").agg(F.sum("_bytes").alias("b")).collect()
         }
         touched = sorted(change_sizes)
+    if touched and mode == "delta":
+        return _upsert_delta(spark, staged_changes, dest, spec, gen, base_snap, base_man, change_sizes,
+                             ingest_metrics, tag)
     if touched:
         base = restore_snapshot(spark, dest, spec.index, base_snap["generation"]).where(F.col("_shard").isin(touched))
         base = base.withColumn("_shard", F.col("_shard").cast("int"))
@@ -546,6 +608,78 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec,
     return BuildResult(dest, spec.index, gen, spec.shards, {**ingest_metrics, **observed, "snapshot": snap})
 
 
+def _upsert_delta(spark, staged_changes, dest, spec, gen, base_snap, base_man, change_sizes, ingest_metrics, tag):
+    touched = sorted(change_sizes)
+    cols = _data_columns(staged_changes)
+    latest = _dedup(staged_changes.select(*cols), ["_shard", "_id"])  # newest change per key
+    keys = latest.select("_shard", "_id")
+    if keys.count() <= BROADCAST_DELTA_ROWS:  # checked bound before broadcasting
+        keys = F.broadcast(keys)
+    current = restore_snapshot(spark, dest, spec.index, base_snap["generation"]).where(F.col("_shard").isin(touched))
+    existing = current.select(
+        F.col("_shard").cast("int").alias("_shard"), "_id",
+        F.col("_seq").alias("_old_seq"), F.col("_hash").alias("_old_hash"), F.col("_bytes").alias("_old_bytes"),
+    ).join(keys, ["_shard", "_id"], "left_semi")
+    winners = latest.join(existing, ["_shard", "_id"], "left").where(
+        F.col("_old_seq").isNull() | (F.col("_seq") >= F.col("_old_seq"))
+    )
+    laid = shard_layout(winners, spec, change_sizes)
+    data_schema = base_snap["data_schema"]
+    if not data_schema:  # first rows of an index that was built empty
+        fields = [f for f in laid.schema.fields if f.name not in ("_shard", *DELTA_ONLY)]
+        data_schema = T.StructType(fields + [T.StructField("_shard", T.IntegerType())]).json()
+    obs = Observation(f"delta_{gen}")
+    laid.observe(
+        obs,
+        F.count(F.lit(1)).alias("docs"),
+        F.coalesce(F.sum("_bytes"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.bit_xor("_hash"), F.lit(0)).alias("checksum"),
+    ).write.mode("errorifexists").partitionBy("_shard").parquet(layout.data_path(dest, spec.index, gen))
+    observed = dict(obs.get)
+    stats: dict = {}
+    if observed["docs"] > 0:
+        written = spark.read.parquet(layout.data_path(dest, spec.index, gen))
+        per = written.groupBy(F.col("_shard").cast("int").alias("shard")).agg(
+            F.count(F.lit(1)).alias("added"),
+            F.sum("_bytes").cast("bigint").alias("added_bytes"),
+            F.bit_xor("_hash").alias("added_xor"),
+            F.min("_id").alias("min_id"),
+            F.max("_id").alias("max_id"),
+            F.count("_old_seq").alias("replaced"),
+            F.coalesce(F.sum("_old_bytes"), F.lit(0)).cast("bigint").alias("replaced_bytes"),
+            F.coalesce(F.bit_xor("_old_hash"), F.lit(0)).alias("replaced_xor"),
+            F.count_distinct(F.col("_metadata.file_path")).alias("files"),
+        ).join(shard_file_bytes(written), "shard", "left")
+        stats = {r.shard: r.asDict() for r in per.collect()}  # <= touched shards
+    if (sum(x["added"] for x in stats.values()), sum(x["added_bytes"] for x in stats.values()),
+            _xor([x["added_xor"] for x in stats.values()])) != (observed["docs"], observed["bytes"], _xor([observed["checksum"]])):
+        raise RuntimeError(f"delta files disagree with the write job: {stats} vs {observed}")
+    rows = []
+    for s in range(spec.shards):
+        r = dict(base_man[s])
+        r["generation"] = gen
+        x = stats.get(s)
+        if x:
+            base_docs, deltas = _layers(r)
+            r["docs"] = r["docs"] + x["added"] - x["replaced"]
+            r["bytes"] = r["bytes"] + x["added_bytes"] - x["replaced_bytes"]
+            r["checksum"] = _xor([r["checksum"], x["added_xor"], x["replaced_xor"]])
+            r["min_id"] = min(v for v in (r["min_id"], x["min_id"]) if v is not None)
+            r["max_id"] = max(v for v in (r["max_id"], x["max_id"]) if v is not None)
+            r["files"] = int(r["files"]) + int(x["files"])
+            r["file_bytes"] = int(r["file_bytes"] or 0) + int(x["file_bytes"] or 0)
+            r["base_docs"] = base_docs
+            r["delta_gens"] = ",".join(deltas + [gen])
+            r["delta_docs"] = int(r["delta_docs"] or 0) + int(x["added"])
+        rows.append(r)
+    _write_manifest(spark, dest, spec.index, gen, rows)
+    snap = _commit(spark, dest, spec, gen, base_snap["generation"], rows, int(ingest_metrics["rejects"]),
+                   data_schema, tag)
+    if not spec.keep_staging:
+        remove_staging(spark, dest, spec.index, gen)
+    return BuildResult(dest, spec.index, gen, spec.shards, {**ingest_metrics, **observed, "snapshot": snap})
+
+
 def compact_index(spark: SparkSession, dest: str, spec: IndexSpec) -> BuildResult:
     """Rewrite every shard of the newest generation into id-sorted files of
     about ``spec.target_file_bytes`` each, as a new generation.  Rows are

@@ -1,7 +1,8 @@
 """Continuous upserts (W10 on a stream).
 
 New JSON lines arriving in a folder are applied to a published index, one
-new generation per micro-batch, through ``foreachBatch``.  The batch id is
+new generation per micro-batch (a delta layer by default), through
+``foreachBatch``.  The batch id is
 stored in the committed snapshot row, so a micro-batch that is replayed after
 a failure (Structured Streaming re-runs the last uncommitted batch) is
 recognised and skipped: at most one generation per batch.
@@ -18,13 +19,13 @@ from shardsmith.plans.build import IndexSpec, list_snapshots, upsert
 
 def apply_batch(spark: SparkSession, lines: DataFrame, batch_id: int, dest: str, spec: IndexSpec,
                 id_field: str, seq_field: str | None = None, routing_field: str | None = None,
-                query_name: str = "stream") -> str | None:
+                query_name: str = "stream", mode: str = "delta") -> str | None:
     tag = f"{query_name}:{batch_id}"
     seen = list_snapshots(spark, dest, spec.index).where(F.col("tag") == tag).limit(1).count()
     if seen:
         return None
     docs = documents_from_lines(lines, id_field=id_field, seq_field=seq_field, routing_field=routing_field)
-    return upsert(spark, docs, dest, spec, tag=tag).generation
+    return upsert(spark, docs, dest, spec, tag=tag, mode=mode).generation
 
 
 def start_upsert_stream(
@@ -40,15 +41,18 @@ def start_upsert_stream(
     query_name: str = "stream",
     trigger: dict | None = None,
     max_files_per_trigger: int | None = None,
+    mode: str = "delta",
 ):
-    """Start the stream; returns the ``StreamingQuery``."""
+    """Start the stream; returns the ``StreamingQuery``.  Each micro-batch is
+    applied as a delta layer by default (cost follows the batch, not the
+    index); run ``compact_index`` now and then to fold the layers."""
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.text(source_dir).select("value")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch.sparkSession, batch, batch_id, dest, spec, id_field, seq_field, routing_field, query_name)
+        apply_batch(batch.sparkSession, batch, batch_id, dest, spec, id_field, seq_field, routing_field, query_name, mode)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).queryName(query_name)
     if trigger:

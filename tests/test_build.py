@@ -241,3 +241,54 @@ def test_build_survives_task_retries():
     assert os.path.exists(marker)  # a task attempt really failed and was retried
     res = json.loads(out.stdout.strip().splitlines()[-1])
     assert res["clean"] == res["faulty"] and sum(r[1] for r in res["clean"]) == 1000
+
+
+def test_delta_upserts_layer_verify_and_compact(spark, scratch):
+    from shardsmith.plans.build import compact_index
+
+    cust = spark.read.parquet(f"{SF001}/customer.parquet")
+    spec = IndexSpec("cd", 8, type_name="customer")
+    base = build_index(spark, documents_from_table(cust, "c_custkey"), scratch, spec)
+    change = cust.where("c_custkey = 7").withColumn("c_name", F.lit("changed"))
+    new = spark.createDataFrame([(10**6, "new", 1, 1.0, "NEW")], cust.schema)
+    d1 = upsert(spark, documents_from_table(change.unionByName(new), "c_custkey", seq_col=F.lit(1)), scratch, spec, mode="delta")
+    man = {r.shard: r for r in read_manifest(spark, scratch, "cd").collect()}
+    touched = {bucket_py("7", 8), bucket_py(str(10**6), 8)}
+    for s, r in man.items():
+        assert r.data_gen == base.generation  # no shard rewritten
+        assert (r.delta_gens == d1.generation) == (s in touched)
+    out = restore_snapshot(spark, scratch, "cd")
+    assert out.count() == cust.count() + 1 and out.where("c_custkey = 7").first().c_name == "changed"
+    assert all(r.ok for r in verify_snapshot(spark, scratch, "cd").collect())
+    # a lower version loses, an equal version (a later write) wins
+    older = cust.where("c_custkey = 7").withColumn("c_name", F.lit("older"))
+    upsert(spark, documents_from_table(older, "c_custkey", seq_col=F.lit(0)), scratch, spec, mode="delta")
+    assert restore_snapshot(spark, scratch, "cd").where("c_custkey = 7").first().c_name == "changed"
+    same = cust.where("c_custkey = 7").withColumn("c_name", F.lit("again"))
+    upsert(spark, documents_from_table(same, "c_custkey", seq_col=F.lit(1)), scratch, spec, mode="delta")
+    out = restore_snapshot(spark, scratch, "cd")
+    assert out.count() == cust.count() + 1 and out.where("c_custkey = 7").first().c_name == "again"
+    assert all(r.ok for r in verify_snapshot(spark, scratch, "cd").collect())
+    assert get_by_id(out, 8, ["7"]).first().c_name == "again"
+    before = sorted((r._id, r._source) for r in out.collect())
+    compact_index(spark, scratch, spec)
+    man = read_manifest(spark, scratch, "cd").collect()
+    assert all(not r.delta_gens for r in man)
+    after = sorted((r._id, r._source) for r in restore_snapshot(spark, scratch, "cd").collect())
+    assert before == after
+    assert all(r.ok for r in verify_snapshot(spark, scratch, "cd").collect())
+
+
+def test_rewrite_after_delta_keeps_everything(spark, scratch):
+    cust = spark.read.parquet(f"{SF001}/customer.parquet")
+    spec = IndexSpec("cr", 4, type_name="customer")
+    build_index(spark, documents_from_table(cust, "c_custkey"), scratch, spec)
+    a = cust.where("c_custkey < 20").withColumn("c_name", F.lit("delta"))
+    upsert(spark, documents_from_table(a, "c_custkey", seq_col=F.lit(1)), scratch, spec, mode="delta")
+    b = cust.where("c_custkey = 3").withColumn("c_name", F.lit("rewrite"))
+    upsert(spark, documents_from_table(b, "c_custkey", seq_col=F.lit(2)), scratch, spec)
+    out = restore_snapshot(spark, scratch, "cr")
+    assert out.count() == cust.count()
+    names = {r.c_custkey: r.c_name for r in out.where("c_custkey < 20").collect()}
+    assert names[3] == "rewrite" and all(v == "delta" for k, v in names.items() if k != 3)
+    assert all(r.ok for r in verify_snapshot(spark, scratch, "cr").collect())
