@@ -1,4 +1,3 @@
-import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import SF001
