@@ -50,6 +50,8 @@ def run(spark, a: argparse.Namespace) -> dict:
     pattern = mapping.index_pattern
     if pattern not in ("*", a.index) and not (pattern.endswith("*") and a.index.startswith(pattern[:-1])):
         raise ValueError(f"index {a.index!r} does not match the template pattern {pattern!r}")
+    if a.format == "text" and "value" not in mapping.field_names:
+        mapping = None  # plain text becomes {"value": line}; nothing in the mapping to check it against
     spec = IndexSpec(
         a.index, a.shards, type_name=a.type, mapping=mapping, target_file_bytes=a.target_file_mb * 1024 * 1024
     )

@@ -19,6 +19,17 @@ def test_cli_job(spark, scratch):
     assert got.count() == 50 and got.select("a", "b").where("a = 7").first().b == "v7"
 
 
+def test_cli_job_plain_text(spark, scratch):
+    src = f"{scratch}/text"
+    lines = ["first line", "second line", "first line"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(src)
+    args = parse_args([src, f"{scratch}/out", "2", os.path.join(FIXTURES, "template.json"), "txt", "mydata", "--format", "text"])
+    out = run(spark, args)
+    assert (out["scanned"], out["docs"], out["rejects"]) == (3, 3, 0)  # equal lines stay separate documents
+    got = sorted(r._source for r in restore_snapshot(spark, f"{scratch}/out", "txt").collect())
+    assert got == ['{"value":"first line"}', '{"value":"first line"}', '{"value":"second line"}']
+
+
 def test_stream_upserts(spark, scratch):
     mapping = load_template(spark, os.path.join(FIXTURES, "template.json"))
     spec = IndexSpec("s", 4, mapping=mapping)
