@@ -539,14 +539,34 @@ def restore_snapshot(spark: SparkSession, dest: str, index: str, generation: str
 
 # ---------------------------------------------------------------- upsert ----
 
+# upsert mode "auto": a delta layer while the change is small next to the
+# shards it touches and their existing layers are still thin; else rewrite.
+AUTO_DELTA_MAX_CHANGE = 0.10
+AUTO_DELTA_MAX_LAYERED = 0.25
+
+
+def choose_mode(base_man: dict, change_sizes: dict[int, int]) -> str:
+    touched = list(change_sizes)
+    shard_bytes = sum(int(base_man[s]["bytes"] or 0) for s in touched)
+    docs = sum(int(base_man[s]["docs"] or 0) for s in touched)
+    layered = sum(int(base_man[s]["delta_docs"] or 0) for s in touched)
+    small = sum(change_sizes.values()) <= AUTO_DELTA_MAX_CHANGE * shard_bytes
+    thin = layered <= AUTO_DELTA_MAX_LAYERED * max(docs, 1)
+    return "delta" if small and thin else "rewrite"
+
+
 def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec, tag: str | None = None,
-           mode: str = "rewrite") -> BuildResult:
+           mode: str = "auto") -> BuildResult:
     """Add or replace documents in the current generation.
 
     ``mode="rewrite"``: only shards that receive a change are rewritten (base
     rows of those shards + changes, last write wins); the others are carried
     over by reference in the new manifest.
 
+    ``mode="auto"`` (default) picks delta for a change that is small next to
+    the shards it touches (and while their layers are thin), rewrite otherwise;
+    a rewrite also folds the touched shards' layers.
+
     ``mode="delta"``: nothing is rewritten.  The winning changes (version at
     least the stored one; a tie goes to the later write) are written as a
     delta layer of the touched shards, and the manifest is updated
@@ -555,8 +575,8 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec,
     the size of the change, not of the shards.  ``compact_index`` folds the
     layers back into one base.
     """
-    if mode not in ("rewrite", "delta"):
-        raise ValueError(f"mode must be 'rewrite' or 'delta', got {mode!r}")
+    if mode not in ("auto", "rewrite", "delta"):
+        raise ValueError(f"mode must be 'auto', 'rewrite' or 'delta', got {mode!r}")
     base_snap = latest_snapshot(spark, dest, spec.index)
     base_man = {r.shard: r.asDict() for r in read_manifest(spark, dest, spec.index, base_snap["generation"]).collect()}
     if base_snap["shards"] != spec.shards:
@@ -572,6 +592,8 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec,
             for r in staged_changes.groupBy("_shard").agg(F.sum("_bytes").alias("b")).collect()
         }
         touched = sorted(change_sizes)
+    if touched and mode == "auto":
+        mode = choose_mode(base_man, change_sizes)
     if touched and mode == "delta":
         return _upsert_delta(spark, staged_changes, dest, spec, gen, base_snap, base_man, change_sizes,
                              ingest_metrics, tag)

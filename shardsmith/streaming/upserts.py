@@ -1,8 +1,8 @@
 """Continuous upserts (W10 on a stream).
 
 New JSON lines arriving in a folder are applied to a published index, one
-new generation per micro-batch (a delta layer by default), through
-``foreachBatch``.  The batch id is
+new generation per micro-batch (a delta layer or a shard rewrite, chosen by
+size), through ``foreachBatch``.  The batch id is
 stored in the committed snapshot row, so a micro-batch that is replayed after
 a failure (Structured Streaming re-runs the last uncommitted batch) is
 recognised and skipped: at most one generation per batch.
@@ -19,7 +19,7 @@ from shardsmith.plans.build import IndexSpec, list_snapshots, upsert
 
 def apply_batch(spark: SparkSession, lines: DataFrame, batch_id: int, dest: str, spec: IndexSpec,
                 id_field: str, seq_field: str | None = None, routing_field: str | None = None,
-                query_name: str = "stream", mode: str = "delta") -> str | None:
+                query_name: str = "stream", mode: str = "auto") -> str | None:
     tag = f"{query_name}:{batch_id}"
     seen = list_snapshots(spark, dest, spec.index).where(F.col("tag") == tag).limit(1).count()
     if seen:
@@ -41,11 +41,12 @@ def start_upsert_stream(
     query_name: str = "stream",
     trigger: dict | None = None,
     max_files_per_trigger: int | None = None,
-    mode: str = "delta",
+    mode: str = "auto",
 ):
-    """Start the stream; returns the ``StreamingQuery``.  Each micro-batch is
-    applied as a delta layer by default (cost follows the batch, not the
-    index); run ``compact_index`` now and then to fold the layers."""
+    """Start the stream; returns the ``StreamingQuery``.  A micro-batch that is
+    small next to the shards it touches becomes a delta layer (cost follows
+    the batch, not the index); a large one, or one landing on shards whose
+    layers have grown, rewrites those shards, which folds their layers."""
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

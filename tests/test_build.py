@@ -100,7 +100,8 @@ def test_upsert_rewrites_only_touched_shards(spark, scratch):
     base = build_index(spark, docs, scratch, spec)
     change = cust.where("c_custkey = 7").withColumn("c_name", F.lit("changed"))
     new = spark.createDataFrame([(10**6, "new", 1, 1.0, "NEW")], cust.schema)
-    res = upsert(spark, documents_from_table(change.unionByName(new), "c_custkey", seq_col=F.lit(1)), scratch, spec)
+    res = upsert(spark, documents_from_table(change.unionByName(new), "c_custkey", seq_col=F.lit(1)), scratch, spec,
+                 mode="rewrite")
     man = {r.shard: r for r in read_manifest(spark, scratch, "customer").collect()}
     touched = {bucket_py("7", 8), bucket_py(str(10**6), 8)}
     for s, r in man.items():
@@ -292,3 +293,21 @@ def test_rewrite_after_delta_keeps_everything(spark, scratch):
     names = {r.c_custkey: r.c_name for r in out.where("c_custkey < 20").collect()}
     assert names[3] == "rewrite" and all(v == "delta" for k, v in names.items() if k != 3)
     assert all(r.ok for r in verify_snapshot(spark, scratch, "cr").collect())
+
+
+def test_auto_mode_picks_by_size(spark, scratch):
+    cust = spark.read.parquet(f"{SF001}/customer.parquet")
+    spec = IndexSpec("ca", 2, type_name="customer")
+    base = build_index(spark, documents_from_table(cust, "c_custkey"), scratch, spec)
+    one = cust.where("c_custkey = 5").withColumn("c_name", F.lit("one"))
+    r1 = upsert(spark, documents_from_table(one, "c_custkey", seq_col=F.lit(1)), scratch, spec)
+    man = read_manifest(spark, scratch, "ca").collect()
+    assert all(r.data_gen == base.generation for r in man)  # small change: a delta layer
+    assert any(r.delta_gens == r1.generation for r in man)
+    many = cust.withColumn("c_name", F.lit("all"))
+    r2 = upsert(spark, documents_from_table(many, "c_custkey", seq_col=F.lit(2)), scratch, spec)
+    man = read_manifest(spark, scratch, "ca").collect()
+    assert all(r.data_gen == r2.generation and not r.delta_gens for r in man)  # large: rewrite, layers folded
+    out = restore_snapshot(spark, scratch, "ca")
+    assert out.count() == cust.count() and {r.c_name for r in out.collect()} == {"all"}
+    assert all(r.ok for r in verify_snapshot(spark, scratch, "ca").collect())
