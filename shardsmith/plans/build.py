@@ -37,6 +37,10 @@ from shardsmith.operators.validate import MISSING_ID, validate
 from shardsmith.plans import layout
 from shardsmith.sources.template import Mapping
 
+class ConcurrentUpdateError(RuntimeError):
+    """Another writer committed a newer generation of the same index."""
+
+
 ACCEPTED = "accepted"
 REJECTED = "rejected"
 
@@ -378,6 +382,14 @@ def _write_manifest(spark: SparkSession, dest: str, index: str, gen: str, rows:
 
 def _commit(spark: SparkSession, dest: str, spec: IndexSpec, gen: str, parent: str | None,
             rows: list[dict], rejects: int, data_schema: str, tag: str | None = None) -> dict:
+    if parent is not None:
+        # optimistic concurrency: the generation this one was built on must
+        # still be the newest committed one, or another writer got there first
+        newest = latest_snapshot(spark, dest, spec.index)["generation"]
+        if newest != parent:
+            raise ConcurrentUpdateError(
+                f"{spec.index}: built on {parent}, but {newest} was committed meanwhile; retry the update"
+            )
     snap = {
         "index": spec.index,
         "snapshot": layout.snapshot_name(spec.index),

@@ -311,3 +311,26 @@ def test_auto_mode_picks_by_size(spark, scratch):
     out = restore_snapshot(spark, scratch, "ca")
     assert out.count() == cust.count() and {r.c_name for r in out.collect()} == {"all"}
     assert all(r.ok for r in verify_snapshot(spark, scratch, "ca").collect())
+
+
+def test_concurrent_update_is_refused(spark, scratch):
+    from shardsmith.plans import build as B
+
+    cust = spark.read.parquet(f"{SF001}/customer.parquet")
+    spec = IndexSpec("cu", 2, type_name="customer")
+    build_index(spark, documents_from_table(cust, "c_custkey"), scratch, spec)
+    one = documents_from_table(cust.where("c_custkey = 5"), "c_custkey", seq_col=F.lit(1))
+    orig = B.ingest
+
+    def racing_ingest(*a, **k):  # another writer commits while this upsert is running
+        B.ingest = orig
+        upsert(spark, documents_from_table(cust.where("c_custkey = 6"), "c_custkey", seq_col=F.lit(1)), scratch, spec)
+        return orig(*a, **k)
+
+    B.ingest = racing_ingest
+    try:
+        with pytest.raises(B.ConcurrentUpdateError):
+            upsert(spark, one, scratch, spec)
+    finally:
+        B.ingest = orig
+    assert restore_snapshot(spark, scratch, "cu").count() == cust.count()
