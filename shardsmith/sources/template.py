@@ -102,6 +102,9 @@ def parse_template(text: str, type_name: str | None = None) -> Mapping:
     mappings = doc.get("mappings", {})
     if not mappings:
         raise ValueError("template has no mappings")
+    if "properties" in mappings and isinstance(mappings["properties"], dict):
+        # typeless form: {"mappings": {"dynamic": ..., "properties": {...}}}
+        mappings = {type_name or "_doc": mappings}
     if type_name is None:
         if len(mappings) != 1:
             raise ValueError(f"template has several types {sorted(mappings)}; name one")

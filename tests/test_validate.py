@@ -83,3 +83,9 @@ def test_text_mode_wraps_raw_line(spark):
     df = spark.createDataFrame([('not "json"',)], "value string")
     (r,) = documents_from_lines(df, fmt="text").collect()
     assert r._source == '{"value":"not \\"json\\""}'
+
+
+def test_typeless_template():
+    m = parse_template('{"mappings": {"dynamic": "strict", "properties": {"a": {"type": "integer"}, "t": {"type": "keyword"}}}}')
+    assert m.type_name == "_doc" and m.strict and m.struct_type.simpleString() == "struct<a:int,t:string>"
+    assert parse_template('{"mappings": {"properties": {"a": {"type": "long"}}}}', "x").type_name == "x"
