@@ -81,6 +81,11 @@ def _scalar(spec: FieldSpec, v: Column, path: str, kind: Column, numeric_text: b
     present = kind.isNotNull() & (kind != "VOID")
     text = F.try_variant_get(v, path, "string")
     value = F.try_variant_get(v, path, spec.spark_type.simpleString())
+    if spec.kind == "date":  # text is parsed; an integral number counts as epoch milliseconds
+        value = F.when(
+            F.schema_of_variant(F.variant_get(v, path, "variant")).isin(_INT_KINDS),
+            F.timestamp_millis(F.try_variant_get(v, path, "bigint")),
+        ).otherwise(value)
     if plan is not None:
         value = plan.column(value)
         if spec.kind in INTEGRAL | FRACTIONAL | {"boolean"}:
@@ -96,7 +101,7 @@ def _scalar(spec: FieldSpec, v: Column, path: str, kind: Column, numeric_text: b
     elif spec.kind == "boolean":
         ok = (kind == "BOOLEAN") | ((kind == "STRING") & F.lower(text).isin("true", "false"))
     elif spec.kind == "date":
-        ok = kind == "STRING"
+        ok = (kind == "STRING") | kind.isin(_INT_KINDS)
     else:  # string-like: any scalar prints as text, objects and arrays do not
         ok = ~(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
     good = present & ok

@@ -89,3 +89,13 @@ def test_typeless_template():
     m = parse_template('{"mappings": {"dynamic": "strict", "properties": {"a": {"type": "integer"}, "t": {"type": "keyword"}}}}')
     assert m.type_name == "_doc" and m.strict and m.struct_type.simpleString() == "struct<a:int,t:string>"
     assert parse_template('{"mappings": {"properties": {"a": {"type": "long"}}}}', "x").type_name == "x"
+
+
+def test_date_field_text_and_epoch_millis(spark):
+    m = parse_template('{"mappings": {"t": {"dynamic": "strict", "properties": {"d": {"type": "date"}}}}}')
+    lines = ['{"d": "2024-01-02T03:04:05"}', '{"d": 1704164645000}', '{"d": "not a date"}', '{"d": true}']
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    rows = validate(documents_from_lines(df), m).select("_reason", "d").collect()
+    assert rows[0]._reason is None and rows[1]._reason is None
+    assert rows[0].d == rows[1].d  # both 2024-01-02 03:04:05 UTC
+    assert [r._reason for r in rows[2:]] == ["wrong_type", "wrong_type"]
