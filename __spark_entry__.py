@@ -446,7 +446,9 @@ def q_stream_upsert(spark, sf):
         spark, inbox, dest, spec, id_field="u", seq_field="e", checkpoint=_scratch(spark, "stream_ckpt"),
         query_name="stream_upsert", trigger={"availableNow": True}, max_files_per_trigger=-(-n_files // 3),
     )
-    q.awaitTermination()
+    if not q.awaitTermination(600):  # availableNow ends by itself; never wait forever
+        q.stop()
+        raise TimeoutError("stream_upsert: the stream did not finish within 600 s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     out = restore_snapshot(spark, dest, "events_by_user")
