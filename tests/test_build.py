@@ -334,3 +334,14 @@ def test_concurrent_update_is_refused(spark, scratch):
     finally:
         B.ingest = orig
     assert restore_snapshot(spark, scratch, "cu").count() == cust.count()
+
+
+def test_quick_verify_reads_small_columns(spark, built):
+    dest, _ = built
+    quick = verify_snapshot(spark, dest, "events", deep=False)
+    assert all(r.ok for r in quick.collect())
+    plan = quick._jdf.queryExecution().executedPlan().toString()
+    import re
+
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert schemas and all("_source" not in s for s in schemas)
