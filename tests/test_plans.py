@@ -74,3 +74,15 @@ def test_multi_get_broadcasts_only_under_the_checked_bound(spark, customers):
     big = multi_get(customers, 8, wanted, broadcast_limit=1)
     initial = big._jdf.queryExecution().sparkPlan().toString()  # before AQE re-plans with run-time sizes
     assert "SortMergeJoin" in initial and big.count() == 2
+
+
+def test_spread_narrow_only_spreads_big_narrow_scans(spark):
+    from shardsmith.sources.tables import read_table
+
+    slots = spark.sparkContext.defaultParallelism
+    docs = read_table(spark, "/root/testdata/sf0.01/documents.parquet")  # one row group, > 1 MiB
+    assert docs.rdd.getNumPartitions() == slots
+    assert "monotonically_increasing_id" in docs._jdf.queryExecution().optimizedPlan().toString()
+    nation = read_table(spark, "/root/testdata/sf0.01/nation.parquet")  # tiny: left as a bare scan
+    assert "Repartition" not in nation._jdf.queryExecution().optimizedPlan().toString()
+    assert docs.count() == spark.read.parquet("/root/testdata/sf0.01/documents.parquet").count()
