@@ -173,8 +173,9 @@ def validate(docs: DataFrame, mapping: Mapping, *, numeric_text: bool = True, ob
     plan.add(F.col("_id").isNull() | F.col("_routing").isNull(), MISSING_ID, F.lit(None).cast("string"))
     parsed = docs.select("*", object_keys(src).alias("_keys"), F.try_parse_json(src).alias("_v"))
     kinded = parsed.select("*", *[e.alias(n) for n, e in plan.kinds])
+    declared = set(mapping.field_names)
     checked = kinded.select(
-        *[c for c in docs.columns],
+        *[c for c in docs.columns if c not in declared],  # validated values replace same-named columns
         plan.reason().alias("_reason"),
         plan.field().alias("_field"),
         *[val.alias(spec.name) for val, spec in zip(values, mapping.fields)],

@@ -100,6 +100,8 @@ class IndexSpec:
     def __post_init__(self) -> None:
         if not isinstance(self.shards, int) or self.shards < 1:
             raise ValueError(f"shards must be a positive int, got {self.shards!r}")
+        if self.target_file_bytes < 1:
+            raise ValueError(f"target_file_bytes must be positive, got {self.target_file_bytes!r}")
         if not self.index or "/" in self.index:
             raise ValueError(f"bad index name {self.index!r}")
         if self.mapping is not None and self.type_name == "_doc":

@@ -345,3 +345,17 @@ def test_quick_verify_reads_small_columns(spark, built):
 
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert schemas and all("_source" not in s for s in schemas)
+
+
+def test_table_documents_checked_against_a_mapping(spark, scratch):
+    from shardsmith.sources.template import parse_template
+
+    cust = spark.read.parquet(f"{SF001}/customer.parquet")
+    m = parse_template('{"mappings": {"c": {"dynamic": "strict", "properties": {'
+                       '"c_custkey": {"type": "long"}, "c_name": {"type": "keyword"}, "c_nationkey": {"type": "integer"},'
+                       '"c_acctbal": {"type": "double"}, "c_mktsegment": {"type": "keyword"}}}}}')
+    res = build_index(spark, documents_from_table(cust, "c_custkey"), scratch, IndexSpec("cm", 4, mapping=m))
+    assert res.metrics["rejects"] == 0 and res.metrics["docs"] == cust.count()
+    out = restore_snapshot(spark, scratch, "cm")
+    assert out.columns.count("c_name") == 1
+    assert out.select("c_custkey", "c_name").exceptAll(cust.select("c_custkey", "c_name")).count() == 0
