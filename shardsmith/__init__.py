@@ -31,6 +31,7 @@ from shardsmith.operators.routing import (  # noqa: F401
 from shardsmith.operators.search import exists, get_by_id, multi_get, range_, search, term  # noqa: F401
 from shardsmith.operators.validate import rejects, typed_projection, validate  # noqa: F401
 from shardsmith.plans.alias import add_alias, resolve_alias, resolve_aliases  # noqa: F401
+from shardsmith.plans.read import lookup, open_index  # noqa: F401
 from shardsmith.plans.build import (  # noqa: F401
     IndexSpec,
     build_index,

@@ -359,3 +359,16 @@ def test_table_documents_checked_against_a_mapping(spark, scratch):
     out = restore_snapshot(spark, scratch, "cm")
     assert out.columns.count("c_name") == 1
     assert out.select("c_custkey", "c_name").exceptAll(cust.select("c_custkey", "c_name")).count() == 0
+
+
+def test_lookup_through_alias(spark, scratch):
+    from shardsmith.plans.read import lookup, open_index
+
+    cust = spark.read.parquet(f"{SF001}/customer.parquet")
+    build_index(spark, documents_from_table(cust, "c_custkey"), scratch, IndexSpec("cust_v1", 5, type_name="customer"))
+    add_alias(spark, scratch, "customers", "cust_v1")
+    docs, n = open_index(spark, scratch, "customers")
+    assert n == 5 and docs.count() == cust.count()
+    got = lookup(spark, scratch, "customers", ["42", "7"]).select("c_custkey").collect()
+    assert sorted(r.c_custkey for r in got) == [7, 42]
+    assert lookup(spark, scratch, "cust_v1", ["42"]).count() == 1
