@@ -490,14 +490,17 @@ def read_manifest(spark: SparkSession, dest: str, index: str, generation: str |
     return spark.read.schema(MANIFEST_SCHEMA).json(layout.manifest_path(dest, index, gen))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def read_rejects(spark: SparkSession, dest: str, index: str, generation: str) -> DataFrame:
     path = rejects_dir(dest, index, generation)
-    try:
-        df = spark.read.parquet(path)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" not in str(exc):
-            raise
+    if not path_exists(spark, path):  # nothing was refused
         return spark.createDataFrame([], "_id string, _source string, reason string, field string")
+    df = spark.read.parquet(path)
     return df.select("_id", "_source", F.col("_reason").alias("reason"), F.col("_field").alias("field"))
 
 

@@ -9,17 +9,15 @@ from pyspark.sql import functions as F
 
 from shardsmith.operators.search import get_by_id
 from shardsmith.plans.alias import alias_rows, resolve_aliases
-from shardsmith.plans.build import latest_snapshot, restore_snapshot
+from shardsmith.plans import layout
+from shardsmith.plans.build import latest_snapshot, path_exists, restore_snapshot
 
 
 def resolve_name(spark: SparkSession, dest: str, name: str) -> str:
     """An alias resolves to its newest index; any other name is an index name."""
-    try:
-        rows = resolve_aliases(alias_rows(spark, dest).where(F.col("alias") == name)).collect()
-    except Exception as exc:  # no alias has been written yet
-        if "PATH_NOT_FOUND" not in str(exc):
-            raise
-        rows = []
+    if not path_exists(spark, layout.aliases_root(dest)):  # no alias written yet
+        return name
+    rows = resolve_aliases(alias_rows(spark, dest).where(F.col("alias") == name)).collect()
     return rows[0]["index"] if rows else name
 
 
