@@ -2,7 +2,7 @@
 
     spark-submit -m shardsmith.plans.job <input> <dest> <shards> <template> <index> <type>
         [--format json|text] [--id-field F] [--routing-field F] [--seq-field F]
-        [--target-file-mb N] [--keep-staging]
+        [--target-file-mb N] [--keep-staging] [--upsert]
 
 Same six positional arguments as the original job: input lines (any Hadoop
 path or glob; compression by suffix), destination root, shard count, mapping
@@ -18,7 +18,7 @@ import sys
 import time
 
 from shardsmith.operators.documents import documents_from_lines
-from shardsmith.plans.build import IndexSpec, build_index
+from shardsmith.plans.build import IndexSpec, build_index, upsert
 from shardsmith.session import get_spark
 from shardsmith.sources.lines import read_lines
 from shardsmith.sources.template import load_template
@@ -38,6 +38,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--seq-field")
     p.add_argument("--target-file-mb", type=int, default=1024)
     p.add_argument("--keep-staging", action="store_true")
+    p.add_argument("--upsert", action="store_true", help="apply the input to the existing index instead of building")
     p.add_argument("--master")
     a = p.parse_args(argv)
     if a.shards < 1:
@@ -62,7 +63,7 @@ def run(spark, a: argparse.Namespace) -> dict:
         spec.dedup = False  # generated ids: equal lines stay separate documents
     t = time.time()
     spec.keep_staging = a.keep_staging
-    res = build_index(spark, docs, a.dest, spec)
+    res = upsert(spark, docs, a.dest, spec) if a.upsert else build_index(spark, docs, a.dest, spec)
     snap = res.metrics["snapshot"]
     return {
         "index": a.index,

@@ -17,6 +17,13 @@ def test_cli_job(spark, scratch):
     assert (out["scanned"], out["docs"], out["rejects"]) == (52, 50, 2)
     got = restore_snapshot(spark, f"{scratch}/out", "idx")
     assert got.count() == 50 and got.select("a", "b").where("a = 7").first().b == "v7"
+    # the same job with --upsert applies new lines to the committed index
+    src2 = f"{scratch}/input2"
+    spark.createDataFrame([('{"a": 7, "b": "new"}',), ('{"a": 99, "b": "added"}',)], "value string").coalesce(1).write.text(src2)
+    args2 = parse_args([src2, f"{scratch}/out", "4", os.path.join(FIXTURES, "template.json"), "idx", "mydata", "--id-field", "a", "--upsert"])
+    run(spark, args2)
+    got = restore_snapshot(spark, f"{scratch}/out", "idx")
+    assert got.count() == 51 and got.where("a = 7").first().b == "new"
 
 
 def test_cli_job_plain_text(spark, scratch):
