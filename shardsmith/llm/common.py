@@ -38,9 +38,11 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-def same_row(a: DataFrame, b: DataFrame, id_col: str) -> Column:
-    """Join condition on the row key and the id, null ids included."""
-    return (a[ROW_KEY] == b[ROW_KEY]) & a[id_col].eqNullSafe(b[id_col])
+def join_rows(left: DataFrame, right: DataFrame, id_col: str, how: str = "left") -> DataFrame:
+    """Join on the row key and the id, null ids included; the right side's keys are dropped."""
+    right = right.withColumnsRenamed({id_col: "__right_id", ROW_KEY: "__right_key"})
+    on = (F.col(ROW_KEY) == F.col("__right_key")) & F.col(id_col).eqNullSafe(F.col("__right_id"))
+    return left.join(right, on, how).drop("__right_id", "__right_key")
 
 
 def words(text: str | None) -> list[bytes]:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardsmith.llm.common import ROW_KEY, SPACE, add_columns, row_key, same_row
+from shardsmith.llm.common import ROW_KEY, SPACE, add_columns, join_rows, row_key
 from shardsmith.llm.runs import mark_runs
 
 
@@ -77,7 +77,7 @@ def apply_keep(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     docs = docs.select(*names).withColumn(ROW_KEY, row_key(id_col, text_col))
     right = bitmaps.select(F.col(id_col), F.col(ROW_KEY), "n_dropped", F.col("keep").alias("__keep"))
-    joined = docs.join(right, same_row(docs, right, id_col), "left").select(*(docs[c] for c in names), right["n_dropped"], "__keep")
+    joined = join_rows(docs, right, id_col).select(*names, "n_dropped", "__keep")
 
     def make():
         def cut(texts, keeps):

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardsmith.llm import line_dedup, quality, substring_dedup
+from shardsmith.llm import decontaminate, language, line_dedup, mixing, ngram_join, pii, quality, revisits, secrets, substring_dedup
+from shardsmith.llm.common import materialize
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +25,98 @@ def documents(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", "text", *cols)
 
 
+@query
+def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.jaccard_components(documents(spark, sf)).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLES["op1_ngram_join"] = """
+WITH RECURSIVE ws AS (
+  SELECT doc_id, list_filter_words AS w FROM (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x20\\x09-\\x0D]+') AS list_filter_words FROM documents)),
+spots AS (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, least(len(w), 1)))) AS i FROM ws),
+shingles AS (SELECT DISTINCT doc_id, hash(array_to_string(w[i + 1 : i + 5], ' ')) AS s FROM spots),
+size AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+          FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM pairs JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, e.b FROM reach JOIN edges e ON e.a = reach.r)
+SELECT d.doc_id, coalesce(max(n), 0) AS n_shingles, min(r) AS component_id
+FROM documents d JOIN reach USING (doc_id) LEFT JOIN size USING (doc_id) GROUP BY d.doc_id
+"""
+
+
+def _records(spark: SparkSession, sf: str) -> DataFrame:
+    """Archive records from ``pages``: each page is captured (at ten seconds times its id), then revisited twice.
+
+    Every seventh first revisit shows another ETag, every eleventh second one asks for a URL never captured.
+    """
+    pages = table(spark, sf, "pages")
+    tag = F.concat(F.lit('"'), F.md5("html"), F.lit('"'))
+    i, no = F.col("page_id"), F.lit(None).cast("string")
+    row = lambda k, kind, url, time, status, headers, payload: F.struct((i * 3 + k).alias("record_id"), F.lit(kind).alias("record_type"), url.alias("url"), time.alias("time"), F.lit(status).alias("status"), headers.alias("headers"), payload.alias("payload"))
+    sent = lambda etag, age, length, kind: F.create_map(F.lit("ETag"), etag, F.lit("Cache-Control"), F.lit(age), F.lit("Content-Length"), length, F.lit("Content-Type"), F.lit(kind))
+    first = row(0, "response", F.col("url"), i * 10, 200, sent(tag, "max-age=60", F.length("html").cast("string"), "text/html"), F.col("html"))
+    second = row(1, "revisit", F.concat("url", F.lit("#seen")), i * 10 + 4, 304, sent(F.when(i % 7 == 3, F.lit('"other"')).otherwise(F.concat(F.lit("W/"), tag)), "max-age=120", F.lit("0"), "text/plain"), no)
+    third = row(2, "revisit", F.when(i % 11 == 0, F.concat("url", F.lit("x"))).otherwise(F.col("url")), i * 10 + 90_000, 304, sent(tag, "no-cache", F.lit("0"), "text/plain"), no)
+    return pages.select(F.explode(F.array(first, second, third)).alias("r")).select("r.*")
+
+
+@query
+def op2_revisits(spark: SparkSession, sf: str) -> DataFrame:
+    """For each record what it resolves to, its headers and the digest of its payload."""
+    out = revisits.resolve_revisits(_records(spark, sf))
+    headers = F.array_join(F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "; ")
+    return out.select("record_id", "record_type", "outcome", "refers_to", headers.alias("headers"), F.sha2(F.col("payload"), 256).alias("payload_sha256"))
+
+
+ORACLES["op2_revisits"] = """
+WITH pages2 AS (SELECT page_id AS i, url, html, '"' || md5(html) || '"' AS tag FROM pages),
+records AS (
+  SELECT i * 3 AS record_id, 'response' AS record_type, url, i * 10 AS time, tag AS etag, 'max-age=60' AS age,
+         length(html)::VARCHAR AS len, 'text/html' AS kind, html AS payload FROM pages2
+  UNION ALL
+  SELECT i * 3 + 1, 'revisit', url || '#seen', i * 10 + 4, CASE WHEN i % 7 = 3 THEN '"other"' ELSE 'W/' || tag END,
+         'max-age=120', '0', 'text/plain', NULL FROM pages2
+  UNION ALL
+  SELECT i * 3 + 2, 'revisit', CASE WHEN i % 11 = 0 THEN url || 'x' ELSE url END, i * 10 + 90000, tag,
+         'no-cache', '0', 'text/plain', NULL FROM pages2),
+parts AS (
+  SELECT *, regexp_replace(trim(url), '#.*$', '') AS u FROM records),
+canon AS (
+  SELECT *, regexp_replace(lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)), '^www[.]|:(80|443)$', '')
+    || regexp_replace(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '')
+    || CASE WHEN q = '' THEN '' ELSE '?' || q END AS c
+  FROM (SELECT *, coalesce(array_to_string(list_sort([p FOR p IN string_split(regexp_extract(u, '[?](.*)$', 1), '&')
+          IF p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|gclid|fbclid)(=|$)')]), '&'), '') AS q FROM parts)),
+found AS (
+  SELECT v.record_id, max({'t': r.time, 'id': r.record_id}) AS hit
+  FROM canon v JOIN canon r ON r.c = v.c AND r.record_type = 'response' AND r.time < v.time
+  WHERE v.record_type = 'revisit' GROUP BY v.record_id),
+joined AS (
+  SELECT v.*, r.record_id AS source, r.etag AS old_tag, r.len AS old_len, r.kind AS old_kind, r.payload AS old_payload
+  FROM records v LEFT JOIN found f USING (record_id) LEFT JOIN records r ON r.record_id = f.hit.id),
+judged AS (
+  SELECT *, CASE WHEN record_type = 'response' THEN 'response' WHEN source IS NULL THEN 'no_response'
+    WHEN regexp_replace(old_tag, '^W/', '') = regexp_replace(etag, '^W/', '') THEN 'resolved' ELSE 'mismatch' END AS outcome
+  FROM joined)
+SELECT record_id, record_type, outcome, CASE WHEN outcome = 'resolved' THEN source END AS refers_to,
+  'cache-control: ' || age || '; content-length: ' || CASE WHEN outcome = 'resolved' THEN old_len ELSE len END
+    || '; content-type: ' || CASE WHEN outcome = 'resolved' THEN old_kind ELSE kind END || '; etag: ' || etag AS headers,
+  sha256(CASE WHEN outcome = 'resolved' THEN old_payload ELSE payload END) AS payload_sha256
+FROM judged
+"""
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """One row for each document and benchmark item found in it."""
+    out = decontaminate.contamination(documents(spark, sf), table(spark, sf, "benchmark"))
+    return out.select("doc_id", F.explode("contamination").alias("c")).select("doc_id", F.col("c.item").alias("item_id"), "c.similarity", "c.start_word", "c.n_words")
+
+
 @query
 def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """doc_id, bytes, repeated and dropped bytes, digest of what is kept, and the spans."""
@@ -35,11 +128,42 @@ def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op5_tokenizer_fertility(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf, "lang").select("doc_id", "lang", "text")
-    measured = quality.materialize(quality.measure(docs).drop("text"), "quality")
+    measured = materialize(quality.measure(docs).drop("text"), "quality")
     out = quality.judge(measured, quality.fit_bands(measured))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by", "n_tokens", "chars_per_token", "fallback_share", "token_entropy")
 
 
+@query
+def op6_secret_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """Every candidate with the forest's score; labels come from published formats."""
+    docs = documents(spark, sf, "source")
+    found = materialize(secrets.with_features(secrets.findings(docs), secrets.dictionary(docs)), "secret_features")
+    model = secrets.train(secrets.label_by_format(found))
+    out = secrets.score(found, model)
+    return out.select("doc_id", "start", "end", F.sha2("value", 256).alias("value_sha256"), "path", "n", "transitions", "coverage", "announced", F.round("score", 6).alias("score"), "is_secret")
+
+
+@query
+def op7_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf, "lang").withColumn("held_out", language.held_out("doc_id"))
+    langs, model = language.train(docs.filter(~F.col("held_out")))
+    return language.predict(docs.drop("lang"), langs, model).select("doc_id", "held_out", "lang_pred", "score", "mixture")
+
+
+@query
+def op8_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    out = pii.personal_data(documents(spark, sf))
+    listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return out.select("doc_id", *map(count, pii.KINDS), F.sha2(listed("spans"), 256).alias("base_sha256"), listed("all_spans").alias("spans"), "n_added")
+
+
+@query
+def op9_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Each use of a document: how long it is, the pass, the block and the place in the mixed order."""
+    return mixing.mix_sources(documents(spark, sf, "source")).select("doc_id", "source", "n_tokens", "pass", "block", "mix_pos")
+
+
 @query
 def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     out = line_dedup.drop_lines(documents(spark, sf))

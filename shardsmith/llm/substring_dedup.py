@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardsmith.llm.common import ROW_KEY, add_columns, row_key, same_row
+from shardsmith.llm.common import ROW_KEY, add_columns, join_rows, row_key
 from shardsmith.llm.runs import mark_runs
 
 GEAR = np.array([xxhash.xxh3_64_intdigest(bytes([b])) & 0xFFFFFFFF for b in range(256)], np.uint32)
@@ -123,7 +123,7 @@ def drop_repeats(docs: DataFrame, min_bytes: int = 100, bits: int = 5, least: in
     names = [c for c in docs.columns if c not in extra]
     base = docs.select(*names).withColumn(ROW_KEY, row_key(id_col, text_col))
     found = repeated_stretches(docs, min_bytes, bits, least, most, id_col, text_col)
-    joined = base.join(found, same_row(base, found, id_col), "left").select(*(base[c] for c in names), found["stretches"], found["dropped"])
+    joined = join_rows(base, found, id_col).select(*names, "stretches", "dropped")
 
     def make():
         def cut(texts, dropped):
