@@ -54,6 +54,18 @@ from shardsmith.sources.lines import read_lines, source_label
 from shardsmith.sources.tables import input_bytes, read_table
 from shardsmith.sources.template import parse_template
 
+# The corpus operators are a part of their own; without it the rest stands.
+try:
+    import corpus_pipeline
+    from shardsmith.llm import queries as corpus_queries
+except ImportError as missing:
+    if missing.name not in ("corpus_pipeline", "shardsmith.llm", "shardsmith.llm.queries"):
+        raise
+    CORPUS_QUERIES, CORPUS_SQL = {}, {}
+else:
+    CORPUS_QUERIES = {**corpus_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    CORPUS_SQL = dict(corpus_queries.ORACLES)
+
 N = 8  # shard count used by the checks unless a query says otherwise
 
 # The sample mapping (integer ``a``, string ``b``, strict, 8 shards).
@@ -581,6 +593,7 @@ def oracle_sql() -> dict[str, str]:
         f"CAST(1 AS BIGINT) AS files FROM customer GROUP BY 3"
     )
     return {
+        **CORPUS_SQL,
         "scan_lines": "SELECT count(*) AS lines, CAST(min(length(props)) AS INTEGER) AS min_len, "
         "CAST(max(length(props)) AS INTEGER) AS max_len FROM events",
         "source_label": "SELECT page_id, regexp_replace(upper(regexp_extract(url, '://([^/:]+)', 1)) || "
@@ -679,4 +692,4 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {**QUERIES, **CORPUS_QUERIES}
