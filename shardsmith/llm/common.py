@@ -104,28 +104,6 @@ def word_ids(ws: list[bytes]) -> np.ndarray:
     return np.fromiter((seen.setdefault(w, len(seen)) for w in ws), np.int64, len(ws))
 
 
-class WordHasher:
-    """64-bit hashes of words, remembered up to a bounded number of them."""
-
-    def __init__(self, limit: int = 400_000):
-        import xxhash
-
-        self.known: dict[bytes, int] = {}
-        self.limit, self.hash = limit, xxhash.xxh3_64_intdigest
-
-    def __call__(self, ws: list[bytes]) -> np.ndarray:
-        known, h = self.known, self.hash
-        if len(known) > self.limit:
-            known.clear()
-        try:
-            return np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
-        except KeyError:
-            for w in set(ws):
-                if w not in known:
-                    known[w] = h(w)
-            return np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
-
-
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # odd constant: 2^64 over the golden ratio
 
 
@@ -138,12 +116,59 @@ def scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+class WordHasher:
+    """64-bit hashes of the words of a text, all at once.
+
+    A word's hash is the sum of its bytes' table values times powers of an odd
+    number, taken from running sums over the text and scrambled; upper-case
+    A-Z have the values of their lower-case letters, white space ends a word.
+    """
+
+    BASE, INVERSE = 0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)
+
+    def __init__(self):
+        self.space = np.zeros(256, bool)
+        self.space[list(SPACE.encode())] = True
+        self.value = scramble(np.arange(1, 257, dtype=np.uint64))
+        self.value[65:91] = self.value[97:123]
+        self.value[self.space] = 0
+        self.powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+    def _powers(self, n: int) -> list[np.ndarray]:
+        if len(self.powers[0]) < n:
+            n = 1 << max(16, (n - 1).bit_length())
+            for k, base in enumerate((self.BASE, self.INVERSE)):
+                p = np.full(n, base, np.uint64)
+                p[0] = 1
+                self.powers[k] = np.multiply.accumulate(p)
+        return self.powers
+
+    def __call__(self, text: str | bytes | None) -> np.ndarray:
+        data = text.encode() if isinstance(text, str) else text or b""
+        b = np.frombuffer(data, np.uint8)
+        if not len(b):
+            return np.empty(0, np.uint64)
+        edge = np.ones(len(b) + 2, bool)
+        edge[1:-1] = self.space[b]
+        cuts = np.flatnonzero(edge[1:] != edge[:-1])
+        start, end = cuts[::2], cuts[1::2]
+        power, inverse = self._powers(len(b) + 1)
+        total = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum(self.value[b] * power[: len(b)], out=total[1:])
+        return scramble((total[end] - total[start]) * inverse[start])
+
+
+# Odd multipliers, one for each place in a shingle of up to eight words.
+_PLACES = scramble(np.arange(11, 19, dtype=np.uint64)) | np.uint64(1)
+
+
 def shingle_hashes(h: np.ndarray, size: int = 5) -> np.ndarray:
     """Hashes of the ``size``-word windows in order; fewer words give one hash of the whole sequence; none, none."""
     if len(h) == 0:
         return h
     k = min(size, len(h))
-    acc = h[: len(h) - k + 1] + np.uint64(k)
+    n = len(h) - k + 1
+    acc = h[:n] * _PLACES[0] + np.uint64(k)
     for i in range(1, k):
-        acc = scramble(acc) + h[i : len(h) - k + 1 + i]
+        acc += h[i : n + i] * _PLACES[i % 8]
     return scramble(acc)

@@ -2,9 +2,10 @@
 
 Windows of a few sizes slide over each text, word by word.  Each has a 64-bit
 SimHash of its words.  The sizes form a ladder; a benchmark item is probed by
-all its own windows of the largest ladder size that fits it and of the largest
-that fits half of it, so a verbatim item always has windows at distance 0, and
-so has one with a change in either half.  Fingerprints are cut into
+windows that tile it, of the largest ladder size that fits it and of the
+largest that fits half of it.  A verbatim item has all of them at distance 0,
+and an item changed in one place has one of the smaller ones at distance 0,
+for two at least lie side by side.  Fingerprints are cut into
 ``radius + 1`` blocks: two within the radius agree in one block at least, so
 the block tables find every pair within the radius.  A pair lines the item up
 with a place in the text; there the item-sized windows are compared exactly by
@@ -30,33 +31,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardsmith.llm.common import WordHasher, add_columns, scramble, shingle_hashes, words
+from shardsmith.llm.common import SPACE, WordHasher, add_columns, shingle_hashes
 
 SHINGLE = 5
-SEGMENT = 8192  # windows fingerprinted at a time
+SHORTEST = 8  # words of a probe, if the item has them: shorter windows are alike by chance
+WORDS_AT_ONCE = 100_000  # words of texts whose windows are looked up together
+SEGMENT = 2048  # windows fingerprinted at a time; their counts fit a processor's cache
 
 
 def ladder(longest: int) -> list[int]:
-    """Window sizes: every size to 8 words, then each a fifth larger."""
-    sizes = list(range(1, 9))
+    """Window sizes: every size to 5 words, then each half as large again."""
+    sizes = list(range(1, 6))
     while sizes[-1] < longest:
-        sizes.append(max(sizes[-1] + 1, sizes[-1] * 6 // 5))
+        sizes.append(sizes[-1] * 3 // 2 + 1)
     return sizes
 
 
 def fingerprints(h: np.ndarray, sizes: list[int]):
-    """(size, first window, SimHashes) of all windows of the words hashed in ``h``, a segment at a time."""
+    """(size, first window, SimHashes) of all windows of the words hashed in ``h``, a segment at a time.
+
+    A bit of a SimHash is set when more than half of the window's words have it.
+    """
     widest = max(sizes)
-    for lo in range(0, max(1, len(h)), SEGMENT):
+    kind = np.uint8 if widest < 256 else np.uint32
+    for lo in range(0, len(h), SEGMENT):
         part = h[lo : lo + SEGMENT + widest - 1]
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        total = np.zeros((64, len(part) + 1), np.int16)
-        np.cumsum(bits.T, axis=1, dtype=np.int16, out=total[:, 1:])
+        # sums over 1, 2, 4 ... words; a window's sum is made of those
+        doubled = [np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(kind, copy=False)]
+        while 2 << (len(doubled) - 1) <= min(widest, len(part)):
+            d, step = doubled[-1], 1 << (len(doubled) - 1)
+            doubled.append(d[:-step] + d[step:])
         for size in sizes:
             n = min(len(part) - size + 1, SEGMENT)
-            if n > 0:
-                ones = total[:, size : size + n] - total[:, :n] > size // 2
-                yield size, lo, np.ascontiguousarray(np.packbits(ones, axis=0, bitorder="little").T).view(np.uint64)[:, 0]
+            if n <= 0:
+                continue
+            total, at = None, 0
+            for k in range(size.bit_length() - 1, -1, -1):
+                if size >> k & 1:
+                    total = doubled[k][at : at + n] if total is None else total + doubled[k][at : at + n]
+                    at += 1 << k
+            yield size, lo, np.packbits(total > size // 2, axis=1, bitorder="little").view(np.uint64)[:, 0]
+
+
+def tiles(n: int, size: int) -> list[int]:
+    """Where windows of ``size`` words start that cover ``n`` words: side by side, and one at the end."""
+    return sorted({*range(0, n - size + 1, size), n - size})
 
 
 class Blocks:
@@ -67,20 +86,20 @@ class Blocks:
         edges = np.linspace(0, 64, radius + 2).astype(int)
         for lo, hi in zip(edges[:-1], edges[1:]):
             shift, mask = np.uint64(lo), np.uint64((1 << int(hi - lo)) - 1)
-            value = (prints >> shift) & mask
+            value = ((prints >> shift) & mask).view(np.int64)
             order = np.argsort(value, kind="stable")
             there = None
             if hi - lo <= 20:
                 there = np.zeros(1 << int(hi - lo), bool)
-                there[value.astype(np.int64)] = True
+                there[value] = True
             self.tables.append((shift, mask, value[order], order, there))
 
     def pairs(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index into ``x``, index into the prints) of the pairs within the radius; a pair may come more than once."""
         left, right = [], []
         for shift, mask, value, order, there in self.tables:
-            v = (x >> shift) & mask
-            at = np.flatnonzero(there[v.astype(np.int64)]) if there is not None else np.arange(len(x))
+            v = ((x >> shift) & mask).view(np.int64)
+            at = np.flatnonzero(there[v]) if there is not None else np.arange(len(x))
             if len(at):
                 lo, hi = np.searchsorted(value, v[at], "left"), np.searchsorted(value, v[at], "right")
                 n = hi - lo
@@ -95,17 +114,18 @@ class Blocks:
 class Benchmark:
     """Items prepared for the search: probes by window size, shingles and weights."""
 
-    def __init__(self, items: list[list[bytes]], radius: int, weights: dict[int, float]):
-        self.items, self.weights, self.hasher = items, weights, WordHasher()
-        self.shingles = [Counter(shingle_hashes(self.hasher(ws), SHINGLE).tolist()) for ws in items]
+    def __init__(self, items: list[str], radius: int, weights: dict[int, float]):
+        self.weights, self.hasher = weights, WordHasher()
+        self.hashes = [self.hasher(t) for t in items]
+        self.lengths = [len(h) for h in self.hashes]
+        self.shingles = [Counter(shingle_hashes(h, SHINGLE).tolist()) for h in self.hashes]
         probes: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        steps = ladder(max(map(len, items)))
-        for k, ws in enumerate(items):
-            h = scramble(self.hasher(ws))
-            for most in {len(ws), max(len(ws) // 2, min(SHINGLE, len(ws)))}:
+        steps = ladder(max(self.lengths))
+        for k, (h, n) in enumerate(zip(self.hashes, self.lengths)):
+            for most in {n, min(n, max(n // 2, SHORTEST))}:
                 size = max(s for s in steps if s <= most)
-                for _, lo, prints in fingerprints(h, [size]):
-                    probes[size] += [(int(p), k, lo + i) for i, p in enumerate(prints)]
+                prints = np.concatenate([p for _, _, p in fingerprints(h, [size])])
+                probes[size] += [(int(prints[i]), k, i) for i in tiles(n, size)]
         self.sizes = sorted(probes)
         self.blocks = {s: Blocks(np.array([p for p, _, _ in v], np.uint64), radius) for s, v in probes.items()}
         self.item_of = {s: np.array([k for _, k, _ in v]) for s, v in probes.items()}
@@ -120,25 +140,46 @@ class Benchmark:
             either += w * max(a[s], b[s])
         return both / either if either else 0.0
 
-    def search(self, text: str | None, threshold: float, slack: int) -> list[tuple[int, float, int, int]]:
-        """(item, similarity, first word, words) of each item found, its best place; by item."""
-        ws = words(text)
-        h = self.hasher(ws)
-        mixed = scramble(h)
-        sizes = [s for s in self.sizes if s <= len(ws)]
-        places: set[tuple[int, int]] = set()
-        if sizes:
-            for size, lo, prints in fingerprints(mixed, sizes):
-                i, j = self.blocks[size].pairs(prints)
-                if len(i):
-                    start = i + lo - self.offset[size][j]
-                    places.update(zip(self.item_of[size][j].tolist(), start.tolist()))
+    def search(self, texts: list[str | None], threshold: float, slack: int) -> list[list[tuple[int, float, int, int]]]:
+        """For each text (item, similarity, first word, words) of the items found, their best place; by item."""
+        out, held, n = [], [], 0
+        for t in texts:
+            held.append(self.hasher(t))
+            n += len(held[-1])
+            if n >= WORDS_AT_ONCE:
+                out += self._search(held, threshold, slack)
+                held, n = [], 0
+        return out + self._search(held, threshold, slack)
+
+    def _search(self, hashes: list[np.ndarray], threshold: float, slack: int) -> list[list[tuple[int, float, int, int]]]:
+        prints: dict[int, list] = defaultdict(list)
+        for t, h in enumerate(hashes):
+            sizes = [s for s in self.sizes if s <= len(h)]
+            if sizes:
+                for size, lo, p in fingerprints(h, sizes):
+                    prints[size].append((t, lo, p))
+        places: dict[int, set[tuple[int, int]]] = defaultdict(set)
+        for size, parts in prints.items():
+            i, j = self.blocks[size].pairs(np.concatenate([p for _, _, p in parts]))
+            ends = np.cumsum([len(p) for _, _, p in parts])
+            at = np.searchsorted(ends, i, "right")
+            first = np.array([lo for _, lo, _ in parts]) - ends + [len(p) for _, _, p in parts]
+            text = np.array([t for t, _, _ in parts])
+            for t, k, p in zip(text[at].tolist(), self.item_of[size][j].tolist(), (i + first[at] - self.offset[size][j]).tolist()):
+                places[t].add((k, p))
+        return [self._best(h, places[t], threshold, slack) if t in places else [] for t, h in enumerate(hashes)]
+
+    def _best(self, h: np.ndarray, places: set[tuple[int, int]], threshold: float, slack: int) -> list[tuple[int, float, int, int]]:
         best: dict[int, tuple[float, int, int]] = {}
         tried: set[tuple[int, int]] = set()
+        shingles = shingle_hashes(h, SHINGLE)
         for k, p in places:
-            n = len(self.items[k])
+            n = self.lengths[k]
+            around = shingles[max(p - slack, 0) : max(p + n + slack, 1)]
+            if not any(map(self.shingles[k].__contains__, around.tolist())):
+                continue  # nothing in common at any of the places tried
             for q in range(p - slack, p + slack + 1):
-                lo, hi = max(q, 0), min(q + n, len(ws))
+                lo, hi = max(q, 0), min(q + n, len(h))
                 if hi > lo and (k, q) not in tried:
                     tried.add((k, q))
                     s = self.similarity(h[lo:hi], k)
@@ -152,7 +193,7 @@ def shingle_weights(benchmark: DataFrame, text_col: str) -> dict[int, float]:
     hasher = WordHasher()
     found: Counter = Counter()
     for r in benchmark.select(text_col).toLocalIterator():
-        found.update(set(shingle_hashes(hasher(words(r[0])), SHINGLE).tolist()))
+        found.update(set(shingle_hashes(hasher(r[0]), SHINGLE).tolist()))
     return {s: 1 / n for s, n in found.items() if n > 1}
 
 
@@ -166,18 +207,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, radius: int = 3, thresh
     blocks = max(1, -(-items.count() // items_at_once))
     parts = []
     for b in range(blocks):
-        rows = [(r["item"], words(r["text"])) for r in items.filter(F.pmod(F.xxhash64("text", "item"), F.lit(blocks)) == b).sort("item", "text").collect()]
-        rows = [r for r in rows if r[1]]
+        rows = [(r["item"], r["text"]) for r in items.filter(F.pmod(F.xxhash64("text", "item"), F.lit(blocks)) == b).sort("item", "text").collect()]
+        rows = [r for r in rows if r[1].strip(SPACE)]
         if not rows:
             continue
         shipped = spark.sparkContext.broadcast((rows, weights))  # items_at_once items at most, on average
 
         def make(shipped=shipped):
             rows, weights = shipped.value
-            bench = Benchmark([ws for _, ws in rows], radius, weights)
+            bench = Benchmark([t for _, t in rows], radius, weights)
 
             def search(texts):
-                return [[[{"item": rows[k][0], "similarity": s, "start_word": p, "n_words": n} for k, s, p, n in bench.search(t, threshold, slack)] for t in texts]]
+                return [[[{"item": rows[k][0], "similarity": s, "start_word": p, "n_words": n} for k, s, p, n in found] for found in bench.search(texts, threshold, slack)]]
 
             return search
 

@@ -5,22 +5,25 @@ documents link when ``den * intersection >= num * union`` (3/4).  Steps:
 
 1.  Documents with equal sets are one *class*; only classes are compared.
 2.  Shingles are ordered by a count sketch over all documents, rare ones
-    first (any one order gives right results).  Two linked sets share a
-    shingle among the first ``n - ceil(t * n) + 1`` of each: the prefixes.
+    first (any one order gives right results).  Two linked sets share l
+    shingles among the first ``n - ceil(t * n) + l`` of each, the prefixes,
+    or all that they must share, if that is fewer; l is ``SHARED``.
 3.  Postings (shingle of a prefix, class) travel packed, by hash buckets, and
-    those of shingles with a single class go.  Classes of equal size with
-    the same remaining prefix are one *group*.
-4.  Group pairs that share a posting are filtered by size, then expanded to
-    their classes, which are verified on the whole sets.
+    those of shingles with a single class go; so do classes that are left
+    with fewer postings than any link needs.  Classes of equal size with the
+    same remaining prefix are one *group*.
+4.  Group pairs are filtered by size and by the postings that they share,
+    then expanded to their classes, which are verified on the whole sets.
 
 Links only have to yield components, so a pair within a component is never
-looked at again: first each group is verified against one hub, the group it
+looked at again.  First each group is verified against one hub, the group it
 shares most postings with among the first groups of its shingles, and each
-class against the first of its group; those links make components; then the
-pairs between different components that are left are verified, all of them,
-in a loop that takes one hub for each component and shingle at a time while
-postings still join components, and at last all that is left.  So a group of
-n near copies costs n verifications for each round, not n squared.
+class against the first of its group; then each class against a hub in
+another component.  The pairs between different components that are left are
+compared in place, list by list, by size and by a bitmap of 1024 bits (an
+exact bound), and only those that it can't tell apart come out and are
+verified.  So a group of n near copies costs 2n verifications, and no pairs
+of it are ever listed.
 
 Defined cases: a null or empty text, or one without words, has the empty set
 (0 shingles) and links with nothing, so it is its own component; fewer than
@@ -38,15 +41,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardsmith.llm.common import ROW_KEY, WordHasher, materialize, row_key, scramble, shingle_hashes, sum_vectors, words
+from shardsmith.llm.common import ROW_KEY, WordHasher, materialize, row_key, shingle_hashes, sum_vectors
 
 SKETCH_ROWS, SKETCH_BITS = 2, 19
+SHARED = 8  # shingles that the prefixes of linked sets share at least (or all that they must share, if fewer)
 PIECE = 1 << 15  # counters of the sketch in one row of a table
 BUCKET_POSTINGS = 400_000  # postings of a bucket, on average
+LIST = 1024  # classes of a list that are compared with one another in one place
+BUCKET_ROWS = 20_000  # rows of lists in a bucket, on average
+BITMAP = 1024  # bits of a class' bitmap
 
 
 def shingle_set(hasher: WordHasher, text: str | None, size: int) -> np.ndarray:
-    return np.unique(shingle_hashes(hasher(words(text)), size))
+    s = np.sort(shingle_hashes(hasher(text), size))
+    new = np.ones(len(s), bool)
+    new[1:] = s[1:] != s[:-1]
+    return s[new]
 
 
 def set_id(s: np.ndarray) -> bytes:
@@ -54,9 +64,8 @@ def set_id(s: np.ndarray) -> bytes:
 
 
 def _cells(s: np.ndarray) -> list[np.ndarray]:
-    """The counter of each shingle in each row of the sketch."""
-    shift = np.uint64(64 - SKETCH_BITS)
-    return [(scramble(s + np.uint64(r + 1)) >> shift).astype(np.int64) for r in range(SKETCH_ROWS)]
+    """The counter of each shingle in each row of the sketch: different bits of the hash."""
+    return [((s << np.uint64(r * SKETCH_BITS)) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64) for r in range(SKETCH_ROWS)]
 
 
 def sketch_counts(sketch: np.ndarray, s: np.ndarray) -> np.ndarray:
@@ -64,11 +73,16 @@ def sketch_counts(sketch: np.ndarray, s: np.ndarray) -> np.ndarray:
     return np.min([sketch[r][c] for r, c in enumerate(_cells(s))], axis=0)
 
 
+def least_overlap(n: int, num: int, den: int) -> int:
+    """What a set of ``n`` shares at least with any set it links to."""
+    return -(-num * n // den)
+
+
 def prefix(s: np.ndarray, sketch: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The first ``n - ceil(num / den * n) + 1`` shingles, rare ones first, ties by hash."""
-    n = len(s)
-    keep = n - -(-num * n // den) + 1
-    return s[np.lexsort((s, sketch_counts(sketch, s)))[:keep]]
+    """The first ``n - least_overlap(n) + SHARED`` shingles, rare ones first, ties by hash."""
+    keep = min(len(s), len(s) - least_overlap(len(s), num, den) + SHARED)
+    key = (np.minimum(sketch_counts(sketch, s), (1 << 24) - 1).astype(np.uint64) << np.uint64(40)) | (s >> np.uint64(24))
+    return s[key <= np.partition(key, keep - 1)[keep - 1]]
 
 
 def _sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -92,9 +106,7 @@ def _sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
                 n.append(len(s))
                 sid.append(set_id(s))
                 for row, at in zip(sketch, _cells(s)):
-                    row += np.bincount(at, minlength=len(row)) if len(at) > 20_000 else 0
-                    if len(at) <= 20_000:
-                        np.add.at(row, at, 1)
+                    np.add.at(row, at, 1)
             k = b.num_rows
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.nulls(k, pa.string()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=names)
         flat = sketch.reshape(-1, PIECE)
@@ -193,6 +205,12 @@ def _fits(x: str, y: str, num: int, den: int):
     return den * F.least(x, y) >= num * F.greatest(x, y)
 
 
+def _needed(x: str, y: str, num: int, den: int):
+    """The postings that linked sets of sizes ``x`` and ``y`` share at least."""
+    overlap = F.ceil((F.col(x) + F.col(y)) * num / (num + den))
+    return F.least(overlap, F.lit(SHARED))
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, comp): the smallest node reachable from each node of the edges (a, b).
 
@@ -213,19 +231,20 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
-def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int = 5, hub_rounds: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, row key, n_shingles, component_id) for every row."""
     made = materialize(_sets(docs, size, id_col, text_col), "ngram_sets")
     rows = made.filter(F.col("key").isNull()).select("id", ROW_KEY, "n", "sid")
     sketch = _sketch(made)
     classes = rows.filter("n > 0").groupBy("sid").agg(F.min(F.struct("id", ROW_KEY)).alias("rep"), F.min("id").alias("first"), F.first("n").alias("n"))
-    total = int(rows.agg(F.sum(F.col("n") - F.ceil(F.col("n") * num / den) + 1)).head()[0] or 0)
+    total = int(rows.agg(F.sum(F.col("n") - F.ceil(F.col("n") * num / den) + SHARED)).head()[0] or 0)
     buckets = max(1, total // BUCKET_POSTINGS)
     common = max(1 << 16, 4 * int(sketch[0].mean()))
     postings = materialize(_postings(docs, sketch, buckets, common, size, num, den, text_col), "ngram_postings")
 
     # groups: equal size, equal remaining prefix; the smallest class stands for it
     members = postings.groupBy("sid", "n").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    members = members.filter(F.size("tokens") >= F.least(F.ceil(F.col("n") * num / den), F.lit(SHARED)))
     members = materialize(members.select("sid", "n", F.xxhash64("n", "tokens").alias("g1"), F.xxhash64(F.lit(1), "tokens", "n").alias("g2")), "ngram_members")
     groups = members.groupBy("g1", "g2").agg(F.min("sid").alias("gid"))
     members = materialize(members.join(groups, ["g1", "g2"]).select("sid", "n", "gid"), "ngram_groups")
@@ -235,24 +254,18 @@ def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int =
     links = _verify(members.filter("sid <> gid").select(F.col("sid").alias("a"), F.col("gid").alias("b")), sets, num, den)
     hubs = lists.groupBy("token").agg(F.min("gid").alias("hub"))
     hubs = lists.join(hubs, "token").join(members.select(F.col("sid").alias("hub"), F.col("n").alias("m")), "hub")
-    hubs = hubs.filter((F.col("gid") != F.col("hub")) & _fits("n", "m", num, den)).groupBy("gid", "hub").agg(F.count(F.lit(1)).alias("shared"))
+    hubs = hubs.filter((F.col("gid") != F.col("hub")) & _fits("n", "m", num, den)).groupBy("gid", "n", "hub", "m").agg(F.count(F.lit(1)).alias("shared"))
+    hubs = hubs.filter(F.col("shared") >= _needed("n", "m", num, den))
     hubs = hubs.groupBy("gid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
     tried = materialize(hubs.select(F.col("gid").alias("a"), F.col("hub").alias("b")), "ngram_hubs")
     links = materialize(links.unionByName(_verify(tried, sets, num, den)), "ngram_links")
     comp = components(links, "ngram_components")
 
-    round_ = 0
-    while True:
-        pairs = materialize(_open_pairs(lists, members, comp, round_ < hub_rounds, num, den), "ngram_pairs")
-        more = materialize(_verify(pairs, sets, num, den), "ngram_links")
-        found = not more.isEmpty()
-        if found:
-            links = links.unionByName(more)
-            comp = components(links, "ngram_components")
-        if round_ >= hub_rounds:
-            break
-        # when a hub round joins nothing, go on to all pairs that are left
-        round_ = round_ + 1 if found else hub_rounds
+    for last in (False, True):
+        apart = materialize(_open_rows(lists, members, comp), "ngram_open")
+        pairs = _close_pairs(apart.join(sets.select("sid", "bits"), "sid"), num, den) if last else _hub_pairs(apart, num, den)
+        links = links.unionByName(materialize(_verify(materialize(pairs, "ngram_pairs"), sets, num, den), "ngram_links"))
+        comp = components(links, "ngram_components")
 
     named = classes.select("sid", "first").join(comp.select(F.col("node").alias("sid"), "comp"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     least = named.groupBy("comp").agg(F.min("first").alias("component_id"))
@@ -263,34 +276,79 @@ def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int =
 
 
 def _candidate_sets(docs: DataFrame, reps: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(sid, shingles) of the classes in ``reps``, from the text of one document of each."""
-    want = reps.select("sid", F.col("rep.id").alias("__id"), F.col(f"rep.{ROW_KEY}").alias("__key"))
-    src = docs.select(F.col(id_col).alias("__doc"), row_key(id_col, text_col).alias(ROW_KEY), F.col(text_col).alias("__text"))
-    found = src.join(want, (F.col(ROW_KEY) == F.col("__key")) & F.col("__doc").eqNullSafe(F.col("__id"))).select("sid", "__text")
+    """(sid, shingles, bits) of the classes in ``reps``, from the text of one document of each.
+
+    A shingle turns over one bit of the bitmap, so bitmaps differ in at most as many bits as sets in shingles.
+    """
+    want = reps.select("sid", F.col(f"rep.{ROW_KEY}").alias("__key"))
+    src = docs.select(row_key(id_col, text_col).alias(ROW_KEY), F.col(text_col).alias("__text"))
+    # joined and reduced by the row key alone, so that the texts move once; a text of another set is told by its set
+    found = src.join(want, F.col(ROW_KEY) == F.col("__key")).select("sid", "__key", "__text")
+    found = found.withColumn("__hash", F.xxhash64("__text")).dropDuplicates(["__key", "sid", "__hash"]).select("sid", "__text")
 
     def run(batches):
         hasher = WordHasher()
         for b in batches:
-            made = [shingle_set(hasher, t, size).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.binary())], names=["sid", "shingles"])
+            made = [shingle_set(hasher, t, size) for t in b.column(1).to_pylist()]
+            same = [set_id(s) == sid for s, sid in zip(made, b.column(0).to_pylist())]
+            maps = [np.packbits(np.bincount((s >> np.uint64(20)).astype(np.int64) % BITMAP, minlength=BITMAP) & 1).tobytes() for s in made]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in made], pa.binary()), pa.array(maps, pa.binary())], names=["sid", "shingles", "bits"]).filter(pa.array(same, pa.bool_()))
 
-    return found.mapInArrow(run, "sid binary, shingles binary").dropDuplicates(["sid"])
+    return found.mapInArrow(run, "sid binary, shingles binary, bits binary")
 
 
-def _open_pairs(lists: DataFrame, members: DataFrame, comp: DataFrame, by_hub: bool, num: int, den: int) -> DataFrame:
-    """Class pairs to verify: they share a shingle of their prefixes, and their components differ.
-
-    ``by_hub``: only with the first class of another component on each shingle's list, so that a
-    list gives as many pairs as it has rows; else all of them.
-    """
+def _open_rows(lists: DataFrame, members: DataFrame, comp: DataFrame) -> DataFrame:
+    """(token, sid, n, comp, low, size): the lists, by class, of shingles that join components; ``low``: the first component."""
     label = members.join(comp.select(F.col("node").alias("sid"), "comp"), "sid", "left").select("gid", "sid", "n", F.coalesce("comp", "sid").alias("comp"))
     rows = lists.select("token", "gid").join(label, "gid").select("token", "sid", "n", "comp")
-    mixed = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
-    rows = materialize(rows.join(mixed, "token").select("token", "sid", "n", "comp", "low", "high"), "ngram_open")
-    if by_hub:
-        first = rows.filter("comp = low").groupBy("token").agg(F.min(F.struct("sid", "n")).alias("h")).select("token", F.col("h.sid").alias("hub"), F.col("h.n").alias("m"))
-        pairs = rows.filter("comp <> low").join(first, "token").filter(_fits("n", "m", num, den))
-        return pairs.groupBy("sid", "hub").agg(F.count(F.lit(1)).alias("shared")).groupBy("sid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub")).select(F.col("sid").alias("a"), F.col("hub").alias("b"))
-    other = rows.select("token", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"))
-    pairs = rows.select("token", F.col("sid").alias("a"), "n", "comp").join(other, "token")
-    return pairs.filter((F.col("comp") < F.col("comp_b")) & _fits("n", "m", num, den)).select("a", "b").distinct()
+    mixed = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size")).filter("low <> high")
+    return rows.join(mixed.select("token", "low", "size"), "token").select("token", "sid", "n", "comp", "low", "size")
+
+
+def _hub_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """For each class the first class of another component that it shares most postings with."""
+    first = rows.filter("comp = low").groupBy("token").agg(F.min(F.struct("sid", "n")).alias("h")).select("token", F.col("h.sid").alias("hub"), F.col("h.n").alias("m"))
+    pairs = rows.filter("comp <> low").join(first, "token").filter(_fits("n", "m", num, den))
+    pairs = pairs.groupBy("sid", "n", "hub", "m").agg(F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= _needed("n", "m", num, den))
+    return pairs.groupBy("sid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub")).select(F.col("sid").alias("a"), F.col("hub").alias("b"))
+
+
+def _close_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """The class pairs of different components on a list that size and bitmaps can't tell apart.
+
+    A list longer than ``LIST`` is cut into blocks, and every pair of blocks is a list.  Lists
+    travel in buckets; within a bucket pairs are compared where they are, and only those that may
+    link come out: two sets share at most half of what their sizes exceed the bits in which their
+    bitmaps differ.
+    """
+    cut = F.ceil(F.col("size") / LIST).cast("int")
+    mine = F.pmod(F.xxhash64("sid"), F.col("cuts")).cast("int")
+    rows = rows.withColumn("cuts", cut).withColumn("x", mine).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    rows = rows.withColumn("list", F.xxhash64("token", F.least("x", "y"), F.greatest("x", "y")))
+    parts = max(1, rows.count() // BUCKET_ROWS)
+    rows = rows.select(F.pmod("list", F.lit(parts)).alias("bucket"), "list", "sid", "n", F.xxhash64("comp").alias("comp"), "bits")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["list", "sid"])
+        of, n, comp = (pdf[c].to_numpy() for c in ("list", "n", "comp"))
+        sid = pdf["sid"].to_numpy()
+        bits = np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), -1)
+        good: set[tuple[bytes, bytes]] = set()
+        left = np.arange(len(pdf))
+        step = 1
+        while len(left):  # each row with the one ``step`` after it on its list
+            left = left[left + step < len(of)]
+            left = left[of[left] == of[left + step]]
+            right = left + step
+            small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
+            ok = (comp[left] != comp[right]) & (den * small >= num * large)
+            i, j = left[ok], right[ok]
+            for k in range(0, len(i), 50_000):
+                a, b = i[k : k + 50_000], j[k : k + 50_000]
+                both = (n[a] + n[b] - np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)) // 2
+                near = den * both >= num * (n[a] + n[b] - both)
+                good.update(zip(sid[a[near]], sid[b[near]]))
+            step += 1
+        return pd.DataFrame(list(good), columns=["a", "b"])
+
+    return rows.groupBy("bucket").applyInPandas(compare, "a binary, b binary").distinct()

@@ -132,7 +132,7 @@ def candidates(text: str, spans: list[tuple[int, int, str]], hasher: WordHasher,
                 picked.append((s, e, i, False))
     out = []
     for s, e, i, seed in picked:
-        one, two = _hashes(hasher(ws[max(0, i - 2) : i])) if i else ((), ())
+        one, two = _hashes(hasher(b" ".join(ws[max(0, i - 2) : i]))) if i else ((), ())
         out.append((s, e, text[s:e].lower(), seed, int(one[-1:].view(np.int64)[0]) if i else None, int(two[-1:].view(np.int64)[0]) if i > 1 else None))
     return out
 
@@ -171,9 +171,9 @@ def count_patterns(docs: DataFrame, patterns: list[int], text_col: str = "text")
         total = np.zeros(len(wanted), np.int64)
         for b in batches:
             for text in b.column(0).to_pylist():
-                ws = words(text)[:-1]
-                if ws:
-                    for h in _hashes(hasher(ws)):
+                one = hasher(text)[:-1]  # something follows
+                if len(one):
+                    for h in _hashes(one):
                         at = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
                         total += np.bincount(at[wanted[at] == h], minlength=len(wanted))
         hit = np.flatnonzero(total)
