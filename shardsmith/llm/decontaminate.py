@@ -176,7 +176,7 @@ class Benchmark:
         for k, p in places:
             n = self.lengths[k]
             around = shingles[max(p - slack, 0) : max(p + n + slack, 1)]
-            if not any(map(self.shingles[k].__contains__, around.tolist())):
+            if n >= SHINGLE and not any(map(self.shingles[k].__contains__, around.tolist())):
                 continue  # nothing in common at any of the places tried
             for q in range(p - slack, p + slack + 1):
                 lo, hi = max(q, 0), min(q + n, len(h))

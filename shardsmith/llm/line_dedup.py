@@ -19,10 +19,11 @@ gives no bitmaps; other columns are not touched.
 
 from __future__ import annotations
 
-import string
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,15 +33,28 @@ from shardsmith.llm.runs import mark_runs
 
 
 def line_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each line with a key: its two hashes, document, position and the document's line count."""
-    lines = F.split(F.col(text_col), "\n", -1)
-    key = F.translate(F.btrim(F.col("line"), F.lit(SPACE)), string.ascii_uppercase, string.ascii_lowercase)
-    return (
-        docs.select(F.col(id_col), row_key(id_col, text_col).alias(ROW_KEY), F.size(lines).alias("n_lines"), F.posexplode(lines).alias("pos", "line"))
-        .withColumn("line", key)
-        .filter(F.col("line") != "")
-        .select(F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), F.col("line")).alias("k2"), id_col, ROW_KEY, "pos", "n_lines")
-    )
+    """One row for each line with a key: the key's 128-bit hash, document, position and the document's line count."""
+    src = docs.select(F.col(id_col), row_key(id_col, text_col).alias(ROW_KEY), F.col(text_col).cast("binary").alias("__bytes")).filter(F.length("__bytes") > 0)
+    schema = T.StructType([T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), src.schema[id_col], T.StructField(ROW_KEY, T.LongType()), T.StructField("pos", T.IntegerType()), T.StructField("n_lines", T.IntegerType())])
+
+    def run(batches):
+        space = SPACE.encode()
+        for b in batches:
+            hashes, at, pos, size = [], [], [], []
+            for i, data in enumerate(b.column(2).to_pylist()):
+                lines = data.split(b"\n")
+                for k, line in enumerate(lines):
+                    key = line.strip(space).lower()
+                    if key:
+                        hashes.append(xxhash.xxh3_128_digest(key))
+                        at.append(i)
+                        pos.append(k)
+                        size.append(len(lines))
+            d = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), b.column(0).take(rows), b.column(1).take(rows), pa.array(pos, pa.int32()), pa.array(size, pa.int32())], names=schema.names)
+
+    return src.mapInArrow(run, schema)
 
 
 def keep_bitmaps(docs: DataFrame, at_least: int = 10, keep_first: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -220,7 +220,8 @@ def bootstrap(docs: DataFrame, found: DataFrame, support: int = 5, confidence: f
             .filter((F.col("confidence") >= confidence) & (F.col("good") >= support))
         )
         patterns = materialize(patterns.select("pattern", "confidence"), "pii_patterns")
-        doubt = F.coalesce(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6))), F.lit(0.0))
+        # greatest() passes nulls over: an instance of no voting pattern must have no doubt taken away
+        doubt = F.when(F.col("confidence").isNull(), 0.0).otherwise(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6))))
         scores = edges.join(patterns, "pattern", "left").groupBy("instance").agg(F.when(F.max("seed") == 1, F.lit(1.0)).otherwise(1 - F.exp(F.sum(doubt))).alias("score"))
         scores = materialize(scores, "pii_scores")
     return patterns, scores.filter(F.col("score") >= accept)
