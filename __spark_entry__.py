@@ -289,6 +289,11 @@ def q_bulk_batches(spark, sf):
     return bulk_summary(bulked, 1000)
 
 
+def q_bulk_ranks(spark, sf):
+    docs = documents_from_table(_t(spark, sf, "orders"), "o_orderkey")
+    return assign_bulks(assign_shards(docs, N), 1000, order=("_id",)).select("o_orderkey", "_shard", "_rank", "_bulk")
+
+
 def q_latest_by_id(spark, sf):
     ev = _t(spark, sf, "events")
     docs = assign_shards(
@@ -495,6 +500,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shard_bytes": q_shard_bytes,
     "largest_shard": q_largest_shard,
     "bulk_batches": q_bulk_batches,
+    "bulk_ranks": q_bulk_ranks,
     "latest_by_id": q_latest_by_id,
     "build_index": q_build_index,
     "shard_grid": q_shard_grid,
@@ -594,6 +600,9 @@ def oracle_sql() -> dict[str, str]:
     )
     return {
         **CORPUS_SQL,
+        "bulk_ranks": f"SELECT o_orderkey, _shard, row_number() OVER w - 1 AS _rank, (row_number() OVER w - 1) // 1000 AS _bulk "
+        f"FROM (SELECT o_orderkey, {_duck_bucket('CAST(o_orderkey AS VARCHAR)')} AS _shard FROM orders) "
+        "WINDOW w AS (PARTITION BY _shard ORDER BY CAST(o_orderkey AS VARCHAR))",
         "scan_lines": "SELECT count(*) AS lines, CAST(min(length(props)) AS INTEGER) AS min_len, "
         "CAST(max(length(props)) AS INTEGER) AS max_len FROM events",
         "source_label": "SELECT page_id, regexp_replace(upper(regexp_extract(url, '://([^/:]+)', 1)) || "

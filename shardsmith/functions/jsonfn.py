@@ -25,8 +25,16 @@ def object_keys(text: Column | str) -> Column:
 
 
 def is_json_object(text: Column | str) -> Column:
-    """True only for a JSON object (arrays, scalars, blank, junk -> false)."""
-    return object_keys(text).isNotNull()
+    """True only for one JSON object (arrays, scalars, blank, junk -> false).
+
+    The parser stops after a first value, so text behind it would go unseen.
+    The text is therefore parsed wrapped as well: alone in an array, and as
+    the one member of an object; what follows an object breaks one of them.
+    """
+    x = _as_col(text)
+    alone = F.json_array_length(F.concat(F.lit("["), x, F.lit("]"))) == 1
+    member = F.size(F.json_object_keys(F.concat(F.lit('{"v":'), x, F.lit("}")))) == 1
+    return F.coalesce(object_keys(x).isNotNull() & alone & member, F.lit(False))
 
 
 def json_path(*names: str) -> str:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shardsmith.session import shared_dir
+
 
 def latest_by_id(docs: DataFrame, keys: tuple[str, ...] = ("_shard", "_id"), seq: str = "_seq") -> DataFrame:
     """One row per key, the one with the highest ``seq``; ties go to the
@@ -27,10 +29,12 @@ def assign_bulks(
     of ``bulk_size``: adds ``_rank`` (0-based within the shard) and ``_bulk``.
 
     A shard is not funnelled through one task: rows are range-partitioned on
-    (shard, order), each task counts its rows per shard, and a task's offset
-    within a shard is the sum of the counts of earlier tasks.  The count table
-    has at most (tasks + shards) rows, since each task holds one contiguous
-    key range.  ``order`` must make rows unique within a shard.
+    (shard, order) and written, with their task and place, to the shared
+    folder; a task's offset within a shard is the sum of the counts of earlier
+    tasks.  Counts and rows are read from the same files, so they can't differ
+    whatever columns are kept.  The count table has at most (tasks + shards)
+    rows, since each task holds one contiguous key range.  Rows equal in
+    ``order`` get ranks of their own, in no stated order.
     """
     if bulk_size < 1:
         raise ValueError("bulk_size must be >= 1")
@@ -43,6 +47,9 @@ def assign_bulks(
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mono", F.monotonically_increasing_id())
     )
+    path = shared_dir(spark, "bulks", unique=True)
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
     counts = ranged.groupBy("_pid", shard).agg(
         F.min("_mono").alias("_first"), F.count(F.lit(1)).alias("_cnt")
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardsmith.functions.jsonfn import compact_json
+from shardsmith.functions.jsonfn import compact_json, is_json_object
 
 ENVELOPE = ["_id", "_routing", "_seq", "_source"]
 
@@ -48,11 +48,8 @@ def documents_from_lines(
     if fmt == "text":
         docs = lines.select(text_document(value).alias("_source"))
     elif fmt == "json":
-        # one parse: the compact print is NULL for invalid JSON and starts
-        # with "{" only for an object (the raw line is kept otherwise)
-        compact = compact_json(value)
-        is_obj = compact.startswith("{") & F.ltrim(value).startswith("{")
-        docs = lines.select(F.when(is_obj, compact).otherwise(value).alias("_source"))
+        # the raw line is kept when it is not one object and nothing else
+        docs = lines.select(F.when(is_json_object(value), compact_json(value)).otherwise(value).alias("_source"))
     else:
         raise ValueError(f"fmt must be 'json' or 'text', got {fmt!r}")
     # id, routing and version members in one more parse (top-level names)

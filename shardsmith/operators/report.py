@@ -9,16 +9,18 @@ from shardsmith.operators.routing import shard_grid
 
 
 def shard_counts(spark: SparkSession, prepared: DataFrame, n: int) -> DataFrame:
-    """A1: per shard, documents submitted and accepted (every shard listed).
+    """A1: per shard, documents submitted and accepted (every shard listed;
+    documents without a routing value have a row with a NULL shard, so that the
+    submitted ones add up to all that were scanned).
 
     ``prepared`` is the output of :func:`shardsmith.plans.build.prepare`
     (``_shard`` from routing, ``_status``)."""
-    # documents without a routing value (shard NULL) fall out in the grid join
     per = prepared.groupBy(F.col("_shard").alias("shard")).agg(
         F.count(F.lit(1)).alias("submitted"),
         F.count(F.when(F.col("_status") == "accepted", 1)).alias("accepted"),
     )
-    return shard_grid(spark, n, per)
+    grid = shard_grid(spark, n, per)
+    return grid.unionByName(per.where(F.col("shard").isNull()).select(*grid.columns))
 
 
 def reject_summary(rejects: DataFrame) -> DataFrame:

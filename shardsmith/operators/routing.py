@@ -31,27 +31,34 @@ def route_table(
     *,
     candidates: DataFrame | None = None,
     limit: int = 1_000_000,
+    most: int = 1_000_000_000,
 ) -> DataFrame:
     """For each bucket the smallest candidate integer hitting it, and its
     slot = rank of that integer (discovery order).  Columns ``slot, route, bucket``.
 
-    ``candidates`` is a one-column frame of non-negative integers (default
-    ``range(limit)``).  Fails, naming the missing buckets, if some bucket is
+    ``candidates`` is a one-column frame of non-negative integers.  By default
+    the search goes up from 0: ``limit`` integers, then ten times as many for
+    the buckets still missing, and so on up to ``most``, the caller's bound on
+    the time it may take.  Fails, naming the missing buckets, if some bucket is
     never hit.  The result has at most ``n`` rows.
     """
+    def first_hits(cand: DataFrame, missing: list[int]) -> dict[int, int]:
+        hits = cand.where(F.col("x").isNotNull()).withColumn("bucket", hash_bucket(F.col("x").cast("string"), n))
+        if len(missing) < n:
+            hits = hits.where(F.col("bucket").isin(missing))
+        return {r.bucket: r.x for r in hits.groupBy("bucket").agg(F.min("x").alias("x")).collect()}  # at most n rows
+
     if candidates is None:
-        cand = spark.range(limit).select(F.col("id").alias("x"))
+        found: dict[int, int] = {}
+        lo, hi = 0, min(limit, most)
+        while lo < hi and len(found) < n:
+            cand = spark.range(lo, hi).select(F.col("id").alias("x"))
+            found |= first_hits(cand, [b for b in range(n) if b not in found])
+            lo, hi = hi, min(hi * 10, most)
     else:
-        cand = candidates.select(F.col(candidates.columns[0]).cast("bigint").alias("x"))
-    firsts = (
-        cand.where(F.col("x").isNotNull())
-        .withColumn("bucket", hash_bucket(F.col("x").cast("string"), n))
-        .groupBy("bucket")
-        .agg(F.min("x").alias("x"))
-    )
-    found = firsts.select("bucket").collect()  # at most n rows
+        found = first_hits(candidates.select(F.col(candidates.columns[0]).cast("bigint").alias("x")), list(range(n)))
     if len(found) < n:
-        have = {r.bucket for r in found}
+        have = set(found)
         missing = [b for b in range(n) if b not in have]
         shown = ", ".join(map(str, missing[:50])) + (" ..." if len(missing) > 50 else "")
         raise ValueError(
@@ -59,6 +66,7 @@ def route_table(
             f"candidates; missing buckets: {shown}"
         )
     # n rows: ranking them in one task is fine
+    firsts = spark.createDataFrame([(b, x) for b, x in sorted(found.items())], "bucket int, x bigint")
     w = Window.orderBy("x")
     return firsts.select(
         (F.row_number().over(w) - 1).cast("int").alias("slot"),

@@ -66,18 +66,20 @@ def search(
 
 def get_by_id(index: DataFrame, n: int, ids: Iterable[str], routing: Iterable[str] | None = None) -> DataFrame:
     """Q2: fetch documents by id.  The shard is computed on the driver from the
-    routing (default: the id), so the scan only opens those shard folders."""
+    routing (default: the id), so the scan only opens those shard folders.
+    One list of ids for each shard, so the condition is as deep as the log of
+    the number of shards; for ids by the million use :func:`multi_get`."""
     ids = [str(i) for i in ids]
     routes = [str(r) for r in routing] if routing is not None else ids
     if len(routes) != len(ids):
         raise ValueError("ids and routing differ in length")
-    cond = None
+    by_shard: dict[int, list[str]] = {}
     for i, r in zip(ids, routes):
-        c = (F.col("_shard") == bucket_py(r, n)) & (F.col("_id") == i)
-        cond = c if cond is None else cond | c
-    if cond is None:
-        return index.limit(0)
-    return index.where(cond)
+        by_shard.setdefault(bucket_py(r, n), []).append(i)
+    conds = [(F.col("_shard") == s) & F.col("_id").isin(wanted) for s, wanted in sorted(by_shard.items())]
+    while len(conds) > 1:
+        conds = [a | b for a, b in zip(conds[::2], conds[1::2])] + (conds[-1:] if len(conds) % 2 else [])
+    return index.where(conds[0]) if conds else index.limit(0)
 
 
 # Largest id list that is broadcast to every task (about 100 MB of keys).

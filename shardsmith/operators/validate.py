@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardsmith.functions.jsonfn import json_path, object_keys, variant_kind
+from shardsmith.functions.jsonfn import is_json_object, json_path, object_keys, variant_kind
 from shardsmith.sources.template import FRACTIONAL, INTEGRAL, FieldSpec, Mapping
 
 # Reason codes written to the rejects table.
@@ -171,7 +171,7 @@ def validate(docs: DataFrame, mapping: Mapping, *, numeric_text: bool = True, ob
         plan.add(F.size(extra) > 0, UNDECLARED_FIELD, F.element_at(extra, 1))
     values = _members(mapping.fields, v, [], plan)
     plan.add(F.col("_id").isNull() | F.col("_routing").isNull(), MISSING_ID, F.lit(None).cast("string"))
-    parsed = docs.select("*", object_keys(src).alias("_keys"), F.try_parse_json(src).alias("_v"))
+    parsed = docs.select("*", F.when(is_json_object(src), object_keys(src)).alias("_keys"), F.try_parse_json(src).alias("_v"))
     kinded = parsed.select("*", *[e.alias(n) for n, e in plan.kinds])
     declared = set(mapping.field_names)
     checked = kinded.select(

@@ -25,7 +25,7 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,7 +33,8 @@ from pyspark.sql import types as T
 
 from shardsmith.functions.hashing import hash_bucket
 from shardsmith.operators.routing import checked_shard
-from shardsmith.operators.validate import MISSING_ID, validate
+from shardsmith.functions.jsonfn import is_json_object
+from shardsmith.operators.validate import MISSING_ID, NOT_AN_OBJECT, validate
 from shardsmith.plans import layout
 from shardsmith.sources.template import Mapping
 
@@ -132,7 +133,8 @@ def prepare(docs: DataFrame, spec: IndexSpec) -> DataFrame:
     else:
         checked = docs.withColumn(
             "_reason",
-            F.when(F.col("_id").isNull() | F.col("_routing").isNull(), F.lit(MISSING_ID)),
+            F.when(~is_json_object("_source"), F.lit(NOT_AN_OBJECT))
+            .when(F.col("_id").isNull() | F.col("_routing").isNull(), F.lit(MISSING_ID)),
         ).withColumn("_field", F.lit(None).cast("string"))
     ok = F.col("_reason").isNull()
     return (
@@ -733,8 +735,9 @@ def _upsert_delta(spark, staged_changes, dest, spec, gen, base_snap, base_man, c
 
 def compact_index(spark: SparkSession, dest: str, spec: IndexSpec) -> BuildResult:
     """Rewrite every shard of the newest generation into id-sorted files of
-    about ``spec.target_file_bytes`` each, as a new generation.  Rows are
-    already unique per (shard, id), so no validation or routing is redone."""
+    about ``spec.target_file_bytes`` each, as a new generation.  The rows of
+    the base are final: nothing is validated, routed or de-duplicated again,
+    and the result must have the base's totals, or it is not committed."""
     base_snap = latest_snapshot(spark, dest, spec.index)
     if base_snap["shards"] != spec.shards:
         raise ValueError(f"index has {base_snap['shards']} shards, spec says {spec.shards}")
@@ -744,12 +747,13 @@ def compact_index(spark: SparkSession, dest: str, spec: IndexSpec) -> BuildResul
     docs = docs.withColumn("_shard", F.col("_shard").cast("int"))
     if sum(r.docs for r in base_man):
         sizes = {r.shard: r.bytes for r in base_man}
-        observed = publish(spark, docs, dest, spec, gen, sizes)
+        observed = publish(spark, docs, dest, replace(spec, dedup=False), gen, sizes)
         data_schema = observed.pop("data_schema")
     else:
         observed, data_schema = {"docs": 0, "bytes": 0, "checksum": 0}, base_snap["data_schema"]
     rows = _manifest_rows(spark, dest, spec, gen, None, observed["docs"])
-    _check(rows, observed, spec.shards, None)
+    base = {"docs": sum(r.docs for r in base_man), "bytes": sum(r.bytes for r in base_man), "checksum": _xor([r.checksum for r in base_man])}
+    _check(rows, base, spec.shards, None)
     _write_manifest(spark, dest, spec.index, gen, rows)
     snap = _commit(spark, dest, spec, gen, base_snap["generation"], rows, 0, data_schema)
     return BuildResult(dest, spec.index, gen, spec.shards, {**observed, "snapshot": snap})

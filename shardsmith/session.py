@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -33,11 +32,14 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A folder under the cluster's shared ``spark.checkpoint.dir``.
 
     The checkpoint directory is the one folder every executor can reach; it
-    is read from the session.  Only when it is unset (local tests) do we pick
-    a local one and register it on the session.
+    is read from the session.  Only when it is unset and the master is local
+    (tests) do we pick a local one and register it on the session; on a cluster
+    that would scatter files over the executors, so it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="shardsmith-")
         spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
@@ -46,15 +48,3 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         path = f"{path}/{uuid.uuid4().hex}"
     return path
-
-
-def to_local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (only used by tests that inspect files)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
