@@ -18,7 +18,7 @@ def test_route_table_8_slot_is_not_bucket(spark):
 
 def test_route_table_33_reports_missing(spark):
     with pytest.raises(ValueError) as e:
-        route_table(spark, 33, limit=10**6)
+        route_table(spark, 33, limit=10**6, most=10**6)
     msg = str(e.value)
     assert "only 16 of 33" in msg and "missing buckets" in msg
 
