@@ -82,6 +82,8 @@ SNAPSHOT_SCHEMA = T.StructType(
         T.StructField("data_schema", T.StringType()),
         T.StructField("created", T.StringType()),
         T.StructField("tag", T.StringType()),
+        T.StructField("dedup", T.BooleanType()),
+        T.StructField("commit_no", T.LongType()),
     ]
 )
 
@@ -397,16 +399,19 @@ def _write_manifest(spark: SparkSession, dest: str, index: str, gen: str, rows:
 
 
 def _commit(spark: SparkSession, dest: str, spec: IndexSpec, gen: str, parent: str | None,
-            rows: list[dict], rejects: int, data_schema: str, tag: str | None = None) -> dict:
-    if parent is not None:
-        # optimistic concurrency: the generation this one was built on must
-        # still be the newest committed one, or another writer got there first
-        newest = latest_snapshot(spark, dest, spec.index)["generation"]
-        if newest != parent:
-            raise ConcurrentUpdateError(
-                f"{spec.index}: built on {parent}, but {newest} was committed meanwhile; retry the update"
-            )
+            rows: list[dict], rejects: int, data_schema: str, tag: str | None = None, dedup: bool | None = None) -> dict:
+    """The commit row.  The order of commits is their number, not the
+    time at which a build began, so a rebuild that ends last is what readers
+    see.  An update built on ``parent`` commits only if that is still the
+    newest generation, or another writer got there first."""
+    newest = newest_snapshot(spark, dest, spec.index)
+    if parent is not None and (newest is None or newest["generation"] != parent):
+        raise ConcurrentUpdateError(
+            f"{spec.index}: built on {parent}, but {newest and newest['generation']} was committed meanwhile; retry the update"
+        )
     snap = {
+        "commit_no": (newest["commit_no"] or 0) + 1 if newest else 1,
+        "dedup": spec.dedup if dedup is None else dedup,
         "index": spec.index,
         "snapshot": layout.snapshot_name(spec.index),
         "type": spec.type_name,
@@ -477,14 +482,26 @@ def list_snapshots(spark: SparkSession, dest: str, index: str) -> DataFrame:
     return spark.read.schema(SNAPSHOT_SCHEMA).json(layout.snapshots_root(dest, index))
 
 
+def _newest(snaps: DataFrame) -> dict | None:
+    row = snaps.orderBy(F.desc_nulls_last("commit_no"), F.desc("generation")).first()
+    return row.asDict() if row else None
+
+
+def newest_snapshot(spark: SparkSession, dest: str, index: str) -> dict | None:
+    """The row committed last, or None if nothing is committed yet."""
+    if not path_exists(spark, layout.snapshots_root(dest, index)):
+        return None
+    return _newest(list_snapshots(spark, dest, index))
+
+
 def latest_snapshot(spark: SparkSession, dest: str, index: str, generation: str | None = None) -> dict:
     snaps = list_snapshots(spark, dest, index)
     if generation is not None:
         snaps = snaps.where(F.col("generation") == generation)
-    row = snaps.orderBy(F.desc("generation")).first()
-    if row is None:
+    snap = _newest(snaps)
+    if snap is None:
         raise FileNotFoundError(f"no committed snapshot of {index!r} under {dest!r}")
-    return row.asDict()
+    return snap
 
 
 def read_manifest(spark: SparkSession, dest: str, index: str, generation: str | None = None) -> DataFrame:
@@ -515,7 +532,7 @@ def _layers(row) -> tuple[int, list[str]]:
 # Columns of a document frame when nothing has been written yet.
 EMPTY_DOCS_SCHEMA = "_id string, _routing string, _seq bigint, _source string, _hash bigint, _bytes bigint, _shard int"
 # Bookkeeping columns kept in delta files only (what each delta row replaced).
-DELTA_ONLY = ("_old_seq", "_old_hash", "_old_bytes")
+DELTA_ONLY = ("_replaces", "_old_seq", "_old_hash", "_old_bytes")
 
 # Largest delta (rows) whose keys are broadcast when applied at read time.
 BROADCAST_DELTA_ROWS = 2_000_000
@@ -552,14 +569,13 @@ def restore_snapshot(spark: SparkSession, dest: str, index: str, generation: str
     base = reader.parquet(*base_paths).drop("gen") if base_paths else None
     if not delta_paths:
         return base
-    cols = [f.name for f in schema.fields] if schema is not None else None
-    deltas = spark.read.option("basePath", layout.data_root(dest, index)).parquet(*delta_paths)
+    # the reader has the declared columns: those that a layer lacks are NULL
+    deltas = reader.parquet(*delta_paths).drop(*DELTA_ONLY)
+    if snap["dedup"] is False:  # nothing is ever replaced: layers only add rows
+        latest = deltas.drop("gen")
+        return latest if base is None else base.unionByName(latest.select(*base.columns))
     w = Window.partitionBy("_shard", "_id").orderBy(F.desc("gen"))
-    latest = deltas.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-    if cols or base is not None:
-        latest = latest.select(*(cols or base.columns))
-    else:
-        latest = latest.drop("_rn", "gen", *DELTA_ONLY)
+    latest = deltas.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", "gen")
     if base is None:
         return latest
     keys = latest.select("_shard", "_id")
@@ -605,6 +621,12 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec,
     semi-join on the change keys that reads only key columns.  Cost follows
     the size of the change, not of the shards.  ``compact_index`` folds the
     layers back into one base.
+
+    All modes give the same rows and the same counts.  An index built with
+    ``dedup=False`` keeps every copy: changes are added and replace nothing
+    (the spec must say the same as the index).  Columns are the union of
+    the index's and the changes', NULL where a row has none; a column whose
+    type differs is an error before anything is written.
     """
     if mode not in ("auto", "rewrite", "delta"):
         raise ValueError(f"mode must be 'auto', 'rewrite' or 'delta', got {mode!r}")
@@ -612,6 +634,9 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec,
     base_man = {r.shard: r.asDict() for r in read_manifest(spark, dest, spec.index, base_snap["generation"]).collect()}
     if base_snap["shards"] != spec.shards:
         raise ValueError(f"index has {base_snap['shards']} shards, spec says {spec.shards}")
+    if base_snap["dedup"] is not None and base_snap["dedup"] != spec.dedup:
+        raise ValueError(f"index was built with dedup={base_snap['dedup']}, spec says {spec.dedup}")
+    union_fields(base_snap["data_schema"], prepare(changes, spec).schema)
     gen = layout.new_generation()
     ingest_metrics = ingest(spark, changes, dest, spec, gen)
     if ingest_metrics["scanned"] == ingest_metrics["rejects"]:
@@ -631,13 +656,12 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec,
     if touched:
         base = restore_snapshot(spark, dest, spec.index, base_snap["generation"]).where(F.col("_shard").isin(touched))
         base = base.withColumn("_shard", F.col("_shard").cast("int"))
-        cols = [c for c in _data_columns(staged_changes)]
-        merged = staged_changes.select(*cols, F.lit(1).alias("_arrival")).unionByName(
-            base.select(*[c for c in cols if c in base.columns], F.lit(0).alias("_arrival")), allowMissingColumns=True
+        merged = base.withColumn("_arrival", F.lit(0)).unionByName(
+            staged_changes.select(*_data_columns(staged_changes), F.lit(1).alias("_arrival")), allowMissingColumns=True
         )
         sizes = {s: change_sizes.get(s, 0) + base_man[s]["bytes"] for s in touched}
         # base rows are unique per id, so only the changes can bring a hot id
-        hot = _find_hot(staged_changes, spec, sizes, ingest_metrics["scanned"] - ingest_metrics["rejects"])
+        hot = _find_hot(staged_changes, spec, change_sizes, ingest_metrics["scanned"] - ingest_metrics["rejects"])
         observed = publish(spark, merged, dest, spec, gen, sizes, hot)
         data_schema = observed.pop("data_schema")
     else:
@@ -661,26 +685,44 @@ def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec,
     return BuildResult(dest, spec.index, gen, spec.shards, {**ingest_metrics, **observed, "snapshot": snap})
 
 
-def _upsert_delta(spark, staged_changes, dest, spec, gen, base_snap, base_man, change_sizes, ingest_metrics, tag):
-    touched = sorted(change_sizes)
-    cols = _data_columns(staged_changes)
-    latest = _dedup(staged_changes.select(*cols), ["_shard", "_id"])  # newest change per key
+def union_fields(data_schema: str, changes: T.StructType) -> str:
+    """The index's columns, then those that only the changes have, ``_shard`` last (JSON)."""
+    base = T.StructType.fromJson(json.loads(data_schema)).fields if data_schema else []
+    fields = {f.name: f for f in base if f.name != "_shard"}
+    for f in changes.fields:
+        if f.name in ("_shard", "_status", "_reason", "_field", "gen", *DELTA_ONLY):
+            continue
+        old = fields.setdefault(f.name, f)
+        if old.dataType.simpleString() != f.dataType.simpleString():
+            raise ValueError(f"column {f.name!r} is {old.dataType.simpleString()} in the index, {f.dataType.simpleString()} in the changes")
+    return T.StructType([*fields.values(), T.StructField("_shard", T.IntegerType())]).json()
+
+
+def _delta_winners(spark, staged_changes, dest, spec, base_snap, touched) -> DataFrame:
+    """The changes that enter the layer, with what each replaces; without dedup, all of them, replacing nothing."""
+    changes = staged_changes.select(*_data_columns(staged_changes))
+    if not spec.dedup:
+        nothing = {c: F.lit(None).cast("boolean" if c == "_replaces" else "bigint") for c in DELTA_ONLY}
+        return changes.withColumns(nothing)
+    latest = _dedup(changes, ["_shard", "_id"])  # newest change per key
     keys = latest.select("_shard", "_id")
     if keys.count() <= BROADCAST_DELTA_ROWS:  # checked bound before broadcasting
         keys = F.broadcast(keys)
     current = restore_snapshot(spark, dest, spec.index, base_snap["generation"]).where(F.col("_shard").isin(touched))
     existing = current.select(
-        F.col("_shard").cast("int").alias("_shard"), "_id",
+        F.col("_shard").cast("int").alias("_shard"), "_id", F.lit(True).alias("_replaces"),
         F.col("_seq").alias("_old_seq"), F.col("_hash").alias("_old_hash"), F.col("_bytes").alias("_old_bytes"),
     ).join(keys, ["_shard", "_id"], "left_semi")
-    winners = latest.join(existing, ["_shard", "_id"], "left").where(
+    # a stored row without a version is lower than any version, as in a rewrite
+    return latest.join(existing, ["_shard", "_id"], "left").where(
         F.col("_old_seq").isNull() | (F.col("_seq") >= F.col("_old_seq"))
     )
+
+
+def _upsert_delta(spark, staged_changes, dest, spec, gen, base_snap, base_man, change_sizes, ingest_metrics, tag):
+    winners = _delta_winners(spark, staged_changes, dest, spec, base_snap, sorted(change_sizes))
     laid = shard_layout(winners, spec, change_sizes)
-    data_schema = base_snap["data_schema"]
-    if not data_schema:  # first rows of an index that was built empty
-        fields = [f for f in laid.schema.fields if f.name not in ("_shard", *DELTA_ONLY)]
-        data_schema = T.StructType(fields + [T.StructField("_shard", T.IntegerType())]).json()
+    data_schema = union_fields(base_snap["data_schema"], laid.schema)
     obs = Observation(f"delta_{gen}")
     laid.observe(
         obs,
@@ -698,7 +740,7 @@ def _upsert_delta(spark, staged_changes, dest, spec, gen, base_snap, base_man, c
             F.bit_xor("_hash").alias("added_xor"),
             F.min("_id").alias("min_id"),
             F.max("_id").alias("max_id"),
-            F.count("_old_seq").alias("replaced"),
+            F.count("_replaces").alias("replaced"),
             F.coalesce(F.sum("_old_bytes"), F.lit(0)).cast("bigint").alias("replaced_bytes"),
             F.coalesce(F.bit_xor("_old_hash"), F.lit(0)).alias("replaced_xor"),
             F.count_distinct(F.col("_metadata.file_path")).alias("files"),
@@ -755,7 +797,7 @@ def compact_index(spark: SparkSession, dest: str, spec: IndexSpec) -> BuildResul
     base = {"docs": sum(r.docs for r in base_man), "bytes": sum(r.bytes for r in base_man), "checksum": _xor([r.checksum for r in base_man])}
     _check(rows, base, spec.shards, None)
     _write_manifest(spark, dest, spec.index, gen, rows)
-    snap = _commit(spark, dest, spec, gen, base_snap["generation"], rows, 0, data_schema)
+    snap = _commit(spark, dest, spec, gen, base_snap["generation"], rows, 0, data_schema, dedup=base_snap["dedup"])
     return BuildResult(dest, spec.index, gen, spec.shards, {**observed, "snapshot": snap})
 
 
