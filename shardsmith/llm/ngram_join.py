@@ -218,19 +218,37 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     star), written to the shared folder; nothing comes to the driver but whether it has changed.
     """
     edges = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
-    while True:
+    seen = _digest(edges)
+    while seen[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), name)
-        if new.exceptAll(edges).isEmpty() and edges.exceptAll(new).isEmpty():
+        before, seen, edges = seen, _digest(new), new
+        if before == seen:
             break
-        edges = new
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
+def _digest(edges: DataFrame) -> tuple:
+    """Count, sum and parity of the edges' hashes: one row, by which two sets of edges are told apart."""
+    h = F.xxhash64("u", "v")
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h)).head())
+
+
+def merge_components(comp: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """``comp`` (node, comp) after further links (a, b): only the components that they join are worked on."""
+    ends = links.select("a", "b")
+    for end in ("a", "b"):
+        ends = ends.join(comp.select(F.col("node").alias(end), F.col("comp").alias(f"__{end}")), end, "left")
+    joined = components(ends.select(F.coalesce("__a", "a").alias("a"), F.coalesce("__b", "b").alias("b")), name)
+    moved = comp.join(joined.select(F.col("node").alias("comp"), F.col("comp").alias("__to")), "comp", "left")
+    fresh = joined.join(comp.select("node"), "node", "left_anti").select("node", "comp")
+    return materialize(moved.select("node", F.coalesce("__to", "comp").alias("comp")).unionByName(fresh), name)
+
+
 def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, row key, n_shingles, component_id) for every row."""
     made = materialize(_sets(docs, size, id_col, text_col), "ngram_sets")
@@ -264,8 +282,8 @@ def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int =
     for last in (False, True):
         apart = materialize(_open_rows(lists, members, comp), "ngram_open")
         pairs = _close_pairs(apart.join(sets.select("sid", "bits"), "sid"), num, den) if last else _hub_pairs(apart, num, den)
-        links = links.unionByName(materialize(_verify(materialize(pairs, "ngram_pairs"), sets, num, den), "ngram_links"))
-        comp = components(links, "ngram_components")
+        links = _verify(materialize(pairs, "ngram_pairs"), sets, num, den)
+        comp = merge_components(comp, links, "ngram_components")
 
     named = classes.select("sid", "first").join(comp.select(F.col("node").alias("sid"), "comp"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     least = named.groupBy("comp").agg(F.min("first").alias("component_id"))
