@@ -174,7 +174,10 @@ def _group(lang_col: str | None) -> Column:
 
 
 def fit_bands(measured: DataFrame, lang_col: str | None = "lang", spread: float = 6.0, floor: float = 0.1, min_group: int = 50) -> DataFrame:
-    """(group, octave, <measure>_low, <measure>_high): the bands, from all documents that pass the base rules."""
+    """(group, octave, <measure>_low, <measure>_high): the bands, from all documents that pass the base rules.
+
+    Written as a table, so that its size is known when it is joined: documents of one group are many.
+    """
     ok = measured.filter(~F.col("base_failed")).select(_group(lang_col).alias("__group"), _octave().alias("__octave"), *BANDS)
     quartiles = ok.groupBy("__group", "__octave").agg(F.count(F.lit(1)).alias("__n"), *(F.percentile(m, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(m) for m in BANDS))
     cols = []
@@ -183,7 +186,7 @@ def fit_bands(measured: DataFrame, lang_col: str | None = "lang", spread: float
         # a share that is 0 for most has quartiles of 0: 100 thousandths are always allowed
         room = F.greatest(spread * (q3 - q1), floor * q2, F.lit(100.0 if m == "fallback_share" else 1.0))
         cols += [(q1 - room if low else F.lit(None).cast("double")).alias(f"{m}_low"), (q3 + room if high else F.lit(None).cast("double")).alias(f"{m}_high")]
-    return quartiles.filter(F.col("__n") >= min_group).select("__group", "__octave", *cols)
+    return materialize(quartiles.filter(F.col("__n") >= min_group).select("__group", "__octave", *cols), "quality_bands")
 
 
 def _octave() -> Column:
