@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardsmith.functions.hashing import djb2_hash, hash_bucket
+from shardsmith.functions.hashing import bucket_py, djb2_hash, hash_bucket
 from shardsmith.functions.jsonfn import compact_json, is_json_object
 from shardsmith.operators.dedup import assign_bulks, bulk_summary, latest_by_id
 from shardsmith.operators.documents import (
@@ -40,6 +40,7 @@ from shardsmith.plans.build import (
     IndexSpec,
     build_index,
     compact_index,
+    delete_path,
     ingest,
     latest_snapshot,
     prepare,
@@ -394,6 +395,74 @@ def q_upsert_delta(spark, sf):
     return restore_snapshot(spark, dest, "customer").select(*cols)
 
 
+def q_upsert_modes(spark, sf):
+    """The same changes in each upsert mode: what is read back, what the commit row counts, and whether all shards verify."""
+    changes = documents_from_table(_customer_changes(spark, sf), "c_custkey", seq_col=F.lit(1))
+    parts = []
+    for mode in ("rewrite", "delta", "auto"):
+        dest, res = _publish_table(spark, sf, "customer", "c_custkey", f"upsert_modes_{mode}")
+        upsert(spark, changes, dest, IndexSpec("customer", N, type_name="customer"), mode=mode)
+        counted = latest_snapshot(spark, dest, "customer")["docs"]
+        sound = verify_snapshot(spark, dest, "customer").where("NOT ok").isEmpty()
+        parts.append(
+            restore_snapshot(spark, dest, "customer").agg(
+                F.lit(mode).alias("mode"),
+                F.count(F.lit(1)).alias("docs"),
+                F.count(F.when(F.col("c_mktsegment") == "SUPPLIER", 1)).alias("suppliers"),
+                F.lit(counted).cast("bigint").alias("counted"),
+                F.lit(sound).alias("sound"),
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_compact_copies(spark, sf):
+    """Texts without ids, copies kept, compacted by a spec that says nothing of copies: none may go."""
+    texts = _t(spark, sf, "conversations").select(F.coalesce("text", F.lit("")).alias("value"))
+    dest = _scratch(spark, "compact_copies")
+    build_index(spark, documents_from_lines(texts, fmt="text"), dest, IndexSpec("texts", N, dedup=False))
+    compact_index(spark, dest, IndexSpec("texts", N))
+    sound = verify_snapshot(spark, dest, "texts").where("NOT ok").isEmpty()
+    return restore_snapshot(spark, dest, "texts").agg(
+        F.count(F.lit(1)).alias("docs"), F.count_distinct("_id").alias("texts"), F.lit(sound).alias("sound")
+    )
+
+
+def q_verify_damaged(spark, sf):
+    """Customers routed by segment; then one segment's shard loses its folder, another's the rows of the segment."""
+    dest, res = _publish_table(spark, sf, "customer", "c_custkey", "verify_damaged", routing_col="c_mktsegment")
+    thinned = layout.shard_path(dest, "customer", res.generation, bucket_py("MACHINERY", N))
+    rest = _scratch(spark, "verify_damaged_rest")
+    spark.read.parquet(thinned).where("c_mktsegment <> 'MACHINERY'").write.parquet(rest)
+    spark.read.parquet(rest).write.mode("overwrite").parquet(thinned)
+    delete_path(spark, layout.shard_path(dest, "customer", res.generation, bucket_py("BUILDING", N)))
+    return verify_snapshot(spark, dest, "customer").select("shard", "ok", "reason")
+
+
+def q_nested_fields(spark, sf):
+    """Turns as an array of objects.  The turn's number decides the fault: 1 -> undeclared member two levels down,
+    2 -> an object where text is declared, 3 -> a number where an object is."""
+    turn = F.col("turn")
+    talk = lambda element: F.to_json(F.struct(F.array(element).alias("turns")))
+    body = (
+        F.when(turn == 1, talk(F.struct("turn", F.struct("role", F.lit(1).alias("zzz")).alias("who"))))
+        .when(turn == 2, talk(F.struct("turn", F.struct(F.struct("role").alias("role")).alias("who"))))
+        .when(turn == 3, talk(turn))
+        .otherwise(talk(F.struct("turn", F.struct("role").alias("who"))))
+    )
+    cv = _t(spark, sf, "conversations")
+    docs = documents_from_columns(cv, id_col=F.concat_ws("-", "conv_id", "turn"), source=body, keep=["conv_id", "turn"])
+    checked = validate(docs, parse_template(TALK_TEMPLATE))
+    return checked.select("conv_id", "turn", F.col("_reason").alias("reason"), F.col("_field").alias("field"))
+
+
+# Mapping of the documents of ``nested_fields``.
+TALK_TEMPLATE = """
+{"mappings": {"talk": {"dynamic": "strict", "properties": {"turns": {"type": "nested", "properties": {
+   "turn": {"type": "integer"}, "who": {"properties": {"role": {"type": "string"}}}}}}}}}
+"""
+
+
 def q_resolve_alias(spark, sf):
     nation = _t(spark, sf, "nation")
     region = _t(spark, sf, "region")
@@ -512,6 +581,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "verify_snapshot": q_verify_snapshot,
     "upsert_docs": q_upsert_docs,
     "upsert_delta": q_upsert_delta,
+    "upsert_modes": q_upsert_modes,
+    "compact_copies": q_compact_copies,
+    "verify_damaged": q_verify_damaged,
+    "nested_fields": q_nested_fields,
     "resolve_alias": q_resolve_alias,
     "search_term": q_search_term,
     "search_range": q_search_range,
@@ -673,6 +746,15 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT c_custkey, c_name, c_nationkey, c_acctbal + 100, c_mktsegment, 1 FROM customer "
         "WHERE c_mktsegment = 'AUTOMOBILE' UNION ALL SELECT s_suppkey + 1000000, s_name, s_nationkey, "
         "s_acctbal, 'SUPPLIER', 1 FROM supplier)) WHERE rn = 1",
+        "upsert_modes": "SELECT mode, docs, suppliers, docs AS counted, true AS sound FROM (VALUES ('rewrite'), ('delta'), ('auto')) m(mode), "
+        "(SELECT count(DISTINCT k) AS docs FROM (SELECT c_custkey AS k FROM customer UNION ALL SELECT s_suppkey + 1000000 FROM supplier)), "
+        "(SELECT count(*) AS suppliers FROM supplier)",
+        "compact_copies": "SELECT count(*) AS docs, count(DISTINCT coalesce(text, '')) AS texts, true AS sound FROM conversations",
+        "verify_damaged": f"SELECT shard, reason IS NULL AS ok, reason FROM (SELECT shard, CASE WHEN shard = {_duck_bucket(chr(39) + 'BUILDING' + chr(39))} "
+        f"THEN 'missing_folder' WHEN shard = {_duck_bucket(chr(39) + 'MACHINERY' + chr(39))} THEN 'docs' END AS reason "
+        f"FROM (SELECT CAST(i AS INTEGER) AS shard FROM range({N}) t(i)))",
+        "nested_fields": "SELECT conv_id, turn, CASE turn WHEN 1 THEN 'undeclared_field' WHEN 2 THEN 'wrong_type' WHEN 3 THEN 'wrong_type' END "
+        "AS reason, CASE WHEN turn IN (1, 2, 3) THEN 'turns' END AS field FROM conversations",
         "resolve_alias": "SELECT alias, index FROM (SELECT lower(r_name) AS alias, lower(n_name) AS index, "
         "row_number() OVER (PARTITION BY lower(r_name) ORDER BY n_nationkey DESC, lower(n_name) DESC) AS rn "
         "FROM nation JOIN region ON n_regionkey = r_regionkey) WHERE rn = 1",

@@ -110,6 +110,44 @@ def _scalar(spec: FieldSpec, v: Column, path: str, kind: Column, numeric_text: b
     return bad, value
 
 
+def _below(spec: FieldSpec, e: Column, rule) -> Column:
+    """Whether ``rule(child, value)`` holds for an object or nested member below ``e``, at its place or in its array."""
+    out = F.lit(False)
+    for c in spec.children:
+        path = json_path(c.name)
+        if c.kind == "object":
+            out = out | rule(c, F.try_variant_get(e, path, "variant"))
+        elif c.kind == "nested":
+            out = out | F.coalesce(F.exists(F.try_variant_get(e, path, "array<variant>"), lambda x: rule(c, x)), F.lit(False))
+    return out
+
+
+def _undeclared_inside(spec: FieldSpec, e: Column) -> Column:
+    """Whether the variant ``e``, an element of an array, has an undeclared member at any level."""
+    out = _below(spec, e, _undeclared_inside)
+    if spec.dynamic == "strict":
+        extra = F.array_except(_variant_keys(e, "$"), F.array(*[F.lit(c.name) for c in spec.children]))
+        out = out | F.coalesce(F.size(extra) > 0, F.lit(False))
+    return out
+
+
+def _wrong_inside(spec: FieldSpec, e: Column, numeric_text: bool) -> Column:
+    """Whether ``e`` is no object, or has a member of a wrong kind at any level; a JSON null is no value."""
+    kind = F.schema_of_variant(e)
+    out = F.coalesce((kind != "VOID") & ~kind.startswith("OBJECT"), F.lit(False))
+    for c in spec.children:
+        path = json_path(c.name)
+        member = variant_kind(e, path)
+        if c.kind == "nested":
+            bad = (member != "VOID") & ~member.startswith("ARRAY")
+        elif c.kind != "object":
+            bad, _ = _scalar(c, e, path, member, numeric_text)
+        else:
+            continue
+        out = out | F.coalesce(bad, F.lit(False))
+    return out | _below(spec, e, lambda c, x: _wrong_inside(c, x, numeric_text))
+
+
 def _members(spec_fields, v, names, plan: _Plan) -> list[Column]:
     values = []
     for spec in spec_fields:
@@ -126,24 +164,11 @@ def _members(spec_fields, v, names, plan: _Plan) -> list[Column]:
             values.append(F.when(present, F.struct(*[k.alias(c.name) for k, c in zip(kids, spec.children)])))
         elif spec.kind == "nested":
             plan.add(present & ~kind.startswith("ARRAY"), WRONG_TYPE, fname)
-            if spec.dynamic == "strict":
-                declared = F.array(*[F.lit(c.name) for c in spec.children])
-                elems = F.try_variant_get(v, path, "array<map<string,variant>>")
-                has_extra = F.exists(elems, lambda e: F.size(F.array_except(F.map_keys(e), declared)) > 0)
-                plan.add(present & kind.startswith("ARRAY") & has_extra, UNDECLARED_FIELD, fname)
-            scalars = [c for c in spec.children if c.kind not in ("object", "nested")]
-            if scalars:
-                elems_v = F.try_variant_get(v, path, "array<variant>")
-
-                def elem_bad(e: Column) -> Column:
-                    out = F.lit(False)
-                    for c in scalars:
-                        cpath = json_path(c.name)
-                        bad, _ = _scalar(c, e, cpath, variant_kind(e, cpath), plan.numeric_text)
-                        out = out | F.coalesce(bad, F.lit(False))
-                    return out
-
-                plan.add(present & kind.startswith("ARRAY") & F.exists(elems_v, elem_bad), WRONG_TYPE, fname)
+            elems = F.try_variant_get(v, path, "array<variant>")
+            undeclared = F.exists(elems, lambda e: _undeclared_inside(spec, e))
+            wrong = F.exists(elems, lambda e: _wrong_inside(spec, e, plan.numeric_text))
+            plan.add(present & kind.startswith("ARRAY") & undeclared, UNDECLARED_FIELD, fname)
+            plan.add(present & kind.startswith("ARRAY") & wrong, WRONG_TYPE, fname)
             values.append(F.try_variant_get(v, path, spec.spark_type.simpleString()))
         else:
             bad, value = _scalar(spec, v, path, kind, plan.numeric_text, plan)

@@ -538,8 +538,15 @@ DELTA_ONLY = ("_replaces", "_old_seq", "_old_hash", "_old_bytes")
 BROADCAST_DELTA_ROWS = 2_000_000
 
 
-def restore_snapshot(spark: SparkSession, dest: str, index: str, generation: str | None = None) -> DataFrame:
-    """The documents of the newest committed generation (or ``generation``).
+def _shard_folders(dest: str, index: str, row) -> list[str]:
+    """The folders that a manifest row names: base, then layers."""
+    base_docs, deltas = _layers(row)
+    gens = ([row["data_gen"]] if base_docs > 0 else []) + deltas
+    return [layout.shard_path(dest, index, g, row["shard"]) for g in gens]
+
+
+def restore_snapshot(spark: SparkSession, dest: str, index: str, generation: str | None = None, without: list[int] = ()) -> DataFrame:
+    """The documents of the newest committed generation (or ``generation``), of all shards but ``without``.
 
     Only generations with a snapshot row are visible.  Each shard is read from
     the generation that last wrote it (upserts carry untouched shards over),
@@ -554,6 +561,8 @@ def restore_snapshot(spark: SparkSession, dest: str, index: str, generation: str
     schema = T.StructType.fromJson(json.loads(snap["data_schema"])) if snap["data_schema"] else None
     base_paths, delta_paths, delta_rows = [], [], 0
     for r in man:
+        if r["shard"] in without:
+            continue
         base_docs, deltas = _layers(r)
         if base_docs > 0:
             base_paths.append(layout.shard_path(dest, index, r["data_gen"], r["shard"]))
@@ -587,9 +596,10 @@ def restore_snapshot(spark: SparkSession, dest: str, index: str, generation: str
 # ---------------------------------------------------------------- upsert ----
 
 # upsert mode "auto": a delta layer while the change is small next to the
-# shards it touches and their existing layers are still thin; else rewrite.
+# shards it touches and their existing layers are still thin and few; else rewrite.
 AUTO_DELTA_MAX_CHANGE = 0.10
 AUTO_DELTA_MAX_LAYERED = 0.25
+AUTO_DELTA_MAX_LAYERS = 8
 
 
 def choose_mode(base_man: dict, change_sizes: dict[int, int]) -> str:
@@ -599,7 +609,8 @@ def choose_mode(base_man: dict, change_sizes: dict[int, int]) -> str:
     layered = sum(int(base_man[s]["delta_docs"] or 0) for s in touched)
     small = sum(change_sizes.values()) <= AUTO_DELTA_MAX_CHANGE * shard_bytes
     thin = layered <= AUTO_DELTA_MAX_LAYERED * max(docs, 1)
-    return "delta" if small and thin else "rewrite"
+    few = all(len(_layers(base_man[s])[1]) < AUTO_DELTA_MAX_LAYERS for s in touched)
+    return "delta" if small and thin and few else "rewrite"
 
 
 def upsert(spark: SparkSession, changes: DataFrame, dest: str, spec: IndexSpec, tag: str | None = None,
@@ -811,12 +822,15 @@ def verify_snapshot(spark: SparkSession, dest: str, index: str, generation: str
     (a full read: the integrity check); ``deep=False`` uses the stored per-row
     ``_bytes``/``_hash`` and reads only small columns.  Both check that every
     row's routing hashes to the shard it is stored in.  One row per shard:
-    ``shard, ok, docs, expected_docs``.
+    ``shard, ok, reason, docs, expected_docs``; the reason is the first that
+    holds of ``missing_folder``, ``docs``, ``bytes``, ``checksum`` and
+    ``misrouted``, NULL for a sound shard.
     """
     snap = latest_snapshot(spark, dest, index, generation)
     n = snap["shards"]
     man = read_manifest(spark, dest, index, snap["generation"])
-    docs = restore_snapshot(spark, dest, index, snap["generation"])
+    lost = [r["shard"] for r in man.collect() if not all(path_exists(spark, p) for p in _shard_folders(dest, index, r))]
+    docs = restore_snapshot(spark, dest, index, snap["generation"], without=lost)
     # deep: recompute from the document text (a full read); quick: trust the
     # stored per-row fingerprints and read only the small columns
     size = F.octet_length("_source") if deep else F.col("_bytes")
@@ -828,15 +842,14 @@ def verify_snapshot(spark: SparkSession, dest: str, index: str, generation: str
         F.sum(F.when(hash_bucket(F.col("_routing"), n) != F.col("_shard"), 1).otherwise(0)).alias("misrouted"),
     )
     joined = F.broadcast(man).join(actual, "shard", "left")  # manifest: n rows
-    ok = (
-        (F.coalesce(F.col("docs_read"), F.lit(0)) == F.col("docs"))
-        & (F.coalesce(F.col("bytes_read"), F.lit(0)) == F.col("bytes"))
-        & (F.coalesce(F.col("checksum_read"), F.lit(0)) == F.col("checksum"))
-        & (F.coalesce(F.col("misrouted"), F.lit(0)) == 0)
-    )
+    reason = F.when(F.col("shard").isin(lost), "missing_folder")
+    for name in ("docs", "bytes", "checksum"):
+        reason = reason.when(F.coalesce(F.col(f"{name}_read"), F.lit(0)) != F.col(name), name)
+    reason = reason.when(F.coalesce(F.col("misrouted"), F.lit(0)) != 0, "misrouted")
     return joined.select(
         "shard",
-        ok.alias("ok"),
+        reason.isNull().alias("ok"),
+        reason.alias("reason"),
         F.coalesce(F.col("docs_read"), F.lit(0)).alias("docs"),
         F.col("docs").alias("expected_docs"),
     )
@@ -847,6 +860,54 @@ def remove_staging(spark: SparkSession, dest: str, index: str, generation: str)
     return delete_path(spark, accepted_dir(dest, index, generation))
 
 
+def expire_snapshots(spark: SparkSession, dest: str, index: str, keep: int = 1,
+                     older_than: _dt.timedelta = _dt.timedelta(days=7)) -> list[str]:
+    """Remove generations that are out of use; returns the folders removed.
+
+    Kept are the newest ``keep`` commits and whatever was begun less than
+    ``older_than`` ago: give it more time than any build or read takes.  Of
+    the rest, snapshot rows go first, then every shard folder that no kept
+    manifest names, manifests, rejects, and the staged copies of builds that
+    failed.  Nothing is removed while no generation is committed.
+    """
+    if keep < 1:
+        raise ValueError(f"keep must be at least 1, got {keep!r}")
+    if not path_exists(spark, layout.snapshots_root(dest, index)):
+        return []
+    snaps = [r.asDict() for r in list_snapshots(spark, dest, index).collect()]  # one row a generation
+    snaps.sort(key=lambda r: (r["commit_no"] or 0, r["generation"]), reverse=True)
+    limit = layout.generation_at(_dt.datetime.now(_dt.timezone.utc) - older_than)
+    kept = {r["generation"] for i, r in enumerate(snaps) if i < keep or r["generation"] >= limit}
+    if not kept:
+        return []
+    manifests = spark.read.schema(MANIFEST_SCHEMA).json([layout.manifest_path(dest, index, g) for g in sorted(kept)])
+    named = {p for r in manifests.collect() for p in _shard_folders(dest, index, r)}  # n rows a kept generation
+    used = {p.rsplit("/", 1)[0] for p in named}
+    root = layout.index_root(dest, index)
+    doomed = []
+    for parent in (layout.snapshots_root(dest, index), f"{root}/manifest", f"{root}/ingest"):
+        doomed += [f"{parent}/{f}" for f in _folders(spark, parent) if f[len("gen="):] not in kept and f[len("gen="):] < limit]
+    for f in _folders(spark, layout.data_root(dest, index)):
+        gen, folder = f[len("gen="):], f"{layout.data_root(dest, index)}/{f}"
+        if gen in kept or gen >= limit:
+            continue
+        if folder not in used:
+            doomed.append(folder)
+        else:
+            doomed += [f"{folder}/{s}" for s in _folders(spark, folder, "_shard=") if f"{folder}/{s}" not in named]
+    return [p for p in doomed if delete_path(spark, p)]
+
+
+def _folders(spark: SparkSession, parent: str, prefix: str = "gen=") -> list[str]:
+    """Names of the folders under ``parent`` that begin with ``prefix``."""
+    if not path_exists(spark, parent):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    return sorted(x for x in names if x.startswith(prefix))
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete a folder through the Hadoop file system API."""
     jvm = spark.sparkContext._jvm

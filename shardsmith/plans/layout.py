@@ -2,7 +2,7 @@
 
     <dest>/indices/<index>/data/gen=<g>/_shard=<k>/part-*.parquet   shard files
     <dest>/indices/<index>/manifest/gen=<g>/                         n rows, one per shard
-    <dest>/indices/<index>/rejects/gen=<g>/                          refused documents
+    <dest>/indices/<index>/ingest/gen=<g>/_status=rejected/          refused documents
     <dest>/snapshots/<index>/gen=<g>/                                one row; commits <g>
     <dest>/aliases/                                                  alias rows
 
@@ -18,8 +18,12 @@ import uuid
 
 
 def new_generation() -> str:
-    now = _dt.datetime.now(_dt.timezone.utc)
-    return f"g{now:%Y%m%dT%H%M%S%f}{uuid.uuid4().hex[:6]}"
+    return f"{generation_at(_dt.datetime.now(_dt.timezone.utc))}{uuid.uuid4().hex[:6]}"
+
+
+def generation_at(time: _dt.datetime) -> str:
+    """What the ids of generations begun at ``time`` (UTC) start with; older ones sort before it."""
+    return f"g{time:%Y%m%dT%H%M%S%f}"
 
 
 def snapshot_name(index: str) -> str:
@@ -47,10 +51,6 @@ def manifest_path(dest: str, index: str, gen: str) -> str:
     return f"{index_root(dest, index)}/manifest/gen={gen}"
 
 
-def rejects_path(dest: str, index: str, gen: str) -> str:
-    return f"{index_root(dest, index)}/rejects/gen={gen}"
-
-
 def snapshots_root(dest: str, index: str) -> str:
     return f"{dest.rstrip('/')}/snapshots/{index}"
 

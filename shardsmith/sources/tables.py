@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def spread_narrow(spark: SparkSession, df: DataFrame, min_bytes: int | None = No
         slots = spark.sparkContext.defaultParallelism
         narrow = df.rdd.getNumPartitions() < slots
         big = narrow and input_bytes(spark, df) >= (SPREAD_MIN_BYTES if min_bytes is None else min_bytes)
-    except Exception:  # no RDD/JVM access (e.g. a remote session): leave the scan as it is
+    except (PySparkAttributeError, PySparkNotImplementedError):  # a remote session has no RDDs: leave the scan as it is
         return df
     if not big:
         return df
