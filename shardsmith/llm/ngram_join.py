@@ -183,10 +183,12 @@ def _postings(docs: DataFrame, sketch: np.ndarray, buckets: int, common: int, si
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of the pairs (a, b) whose sets link."""
-    left = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("__a"))
-    right = sets.select(F.col("sid").alias("b"), F.col("shingles").alias("__b"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "__a", "__b")
+    """Those of the pairs (a, b) whose sets link; ``pairs`` is a written table."""
+    pairs = pairs.select("a", "b")
+    left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("__a")).join(pairs, "a")
+    wanted = materialize(pairs.select("b").distinct(), "ngram_wanted")  # few beside all classes: most sets need not move
+    right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("__b")).join(wanted, "b", "left_semi")
+    both = left.join(right, "b").select("a", "b", "__a", "__b")
 
     def run(batches):
         for batch in batches:
@@ -197,7 +199,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                 good.append(den * common >= num * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def _fits(x: str, y: str, num: int, den: int):
@@ -263,72 +265,80 @@ def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int =
     # groups: equal size, equal remaining prefix; the smallest class stands for it
     members = postings.groupBy("sid", "n").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
     members = members.filter(F.size("tokens") >= F.least(F.ceil(F.col("n") * num / den), F.lit(SHARED)))
-    members = materialize(members.select("sid", "n", F.xxhash64("n", "tokens").alias("g1"), F.xxhash64(F.lit(1), "tokens", "n").alias("g2")), "ngram_members")
-    groups = members.groupBy("g1", "g2").agg(F.min("sid").alias("gid"))
-    members = materialize(members.join(groups, ["g1", "g2"]).select("sid", "n", "gid"), "ngram_groups")
-    lists = materialize(postings.join(members.filter("sid = gid").select("sid"), "sid").select("token", F.col("sid").alias("gid"), "n"), "ngram_lists")
-
-    sets = materialize(_candidate_sets(docs, members.select("sid").join(classes, "sid").select("sid", "rep"), size, id_col, text_col), "ngram_candidates")
-    links = _verify(members.filter("sid <> gid").select(F.col("sid").alias("a"), F.col("gid").alias("b")), sets, num, den)
-    hubs = lists.groupBy("token").agg(F.min("gid").alias("hub"))
-    hubs = lists.join(hubs, "token").join(members.select(F.col("sid").alias("hub"), F.col("n").alias("m")), "hub")
+    members = members.select("sid", "n", F.xxhash64("n", "tokens").alias("g1"), F.xxhash64(F.lit(1), "tokens", "n").alias("g2"))
+    # from here on classes go by numbers, fixed by being written: a third of the bytes of their digests
+    members = materialize(members.withColumn("cid", F.monotonically_increasing_id()), "ngram_members")
+    groups = members.groupBy("g1", "g2").agg(F.min("cid").alias("gid"))
+    members = materialize(members.join(groups, ["g1", "g2"]).select("sid", "cid", "n", "gid"), "ngram_groups")
+    lists = materialize(postings.select("token", "sid", "n").join(members.filter("cid = gid").select("sid", "gid"), "sid").select("token", "gid", "n"), "ngram_lists")
+
+    sets = materialize(_candidate_sets(docs, members.select("sid", "cid").join(classes, "sid").select("sid", "cid", "rep"), size, id_col, text_col), "ngram_candidates")
+    # the first group of a list, with its size
+    hubs = lists.groupBy("token").agg(F.min(F.struct("gid", "n")).alias("h")).select("token", F.col("h.gid").alias("hub"), F.col("h.n").alias("m"))
+    hubs = lists.join(hubs, "token")
     hubs = hubs.filter((F.col("gid") != F.col("hub")) & _fits("n", "m", num, den)).groupBy("gid", "n", "hub", "m").agg(F.count(F.lit(1)).alias("shared"))
     hubs = hubs.filter(F.col("shared") >= _needed("n", "m", num, den))
     hubs = hubs.groupBy("gid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
-    tried = materialize(hubs.select(F.col("gid").alias("a"), F.col("hub").alias("b")), "ngram_hubs")
-    links = materialize(links.unionByName(_verify(tried, sets, num, den)), "ngram_links")
-    comp = components(links, "ngram_components")
+    tried = members.filter("cid <> gid").select(F.col("cid").alias("a"), F.col("gid").alias("b")).unionByName(hubs.select(F.col("gid").alias("a"), F.col("hub").alias("b")))
+    comp = components(_verify(materialize(tried, "ngram_hubs"), sets, num, den), "ngram_components")
 
     for last in (False, True):
         apart = materialize(_open_rows(lists, members, comp), "ngram_open")
-        pairs = _close_pairs(apart.join(sets.select("sid", "bits"), "sid"), num, den) if last else _hub_pairs(apart, num, den)
+        pairs = _close_pairs(apart.join(sets.select("cid", "bits"), "cid"), num, den) if last else _hub_pairs(apart, num, den)
         links = _verify(materialize(pairs, "ngram_pairs"), sets, num, den)
         comp = merge_components(comp, links, "ngram_components")
 
-    named = classes.select("sid", "first").join(comp.select(F.col("node").alias("sid"), "comp"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    least = named.groupBy("comp").agg(F.min("first").alias("component_id"))
-    named = named.join(least, "comp").select("sid", "component_id")
+    numbered = members.select("sid", "cid").join(comp.select(F.col("node").alias("cid"), "comp"), "cid").select("sid", "comp")
+    named = classes.select("sid", "first").join(numbered, "sid", "left")
+    least = named.filter(F.col("comp").isNotNull()).groupBy("comp").agg(F.min("first").alias("least"))
+    named = named.join(least, "comp", "left").select("sid", F.when(F.col("comp").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"))
     out = rows.filter("n > 0").join(named, "sid").select("id", ROW_KEY, "n", "component_id")
     none = rows.filter("n = 0").select("id", ROW_KEY, "n", F.col("id").alias("component_id"))
     return out.unionByName(none).select(F.col("id").alias(id_col), ROW_KEY, F.col("n").alias("n_shingles"), "component_id")
 
 
 def _candidate_sets(docs: DataFrame, reps: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(sid, shingles, bits) of the classes in ``reps``, from the text of one document of each.
+    """(cid, shingles, bits) of the classes in ``reps``, from the text of one document of each.
 
     A shingle turns over one bit of the bitmap, so bitmaps differ in at most as many bits as sets in shingles.
     """
-    want = reps.select("sid", F.col(f"rep.{ROW_KEY}").alias("__key"))
+    want = reps.select("sid", "cid", F.col(f"rep.{ROW_KEY}").alias("__key"))
     src = docs.select(row_key(id_col, text_col).alias(ROW_KEY), F.col(text_col).alias("__text"))
     # joined and reduced by the row key alone, so that the texts move once; a text of another set is told by its set
-    found = src.join(want, F.col(ROW_KEY) == F.col("__key")).select("sid", "__key", "__text")
-    found = found.withColumn("__hash", F.xxhash64("__text")).dropDuplicates(["__key", "sid", "__hash"]).select("sid", "__text")
+    found = src.join(want, F.col(ROW_KEY) == F.col("__key")).select("sid", "cid", "__key", "__text")
+    found = found.withColumn("__hash", F.xxhash64("__text")).dropDuplicates(["__key", "sid", "__hash"]).select("sid", "cid", "__text")
 
     def run(batches):
         hasher = WordHasher()
         for b in batches:
-            made = [shingle_set(hasher, t, size) for t in b.column(1).to_pylist()]
+            made = [shingle_set(hasher, t, size) for t in b.column(2).to_pylist()]
             same = [set_id(s) == sid for s, sid in zip(made, b.column(0).to_pylist())]
             maps = [np.packbits(np.bincount((s >> np.uint64(20)).astype(np.int64) % BITMAP, minlength=BITMAP) & 1).tobytes() for s in made]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in made], pa.binary()), pa.array(maps, pa.binary())], names=["sid", "shingles", "bits"]).filter(pa.array(same, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([s.tobytes() for s in made], pa.binary()), pa.array(maps, pa.binary())], names=["cid", "shingles", "bits"]).filter(pa.array(same, pa.bool_()))
 
-    return found.mapInArrow(run, "sid binary, shingles binary, bits binary")
+    return found.mapInArrow(run, "cid long, shingles binary, bits binary")
 
 
 def _open_rows(lists: DataFrame, members: DataFrame, comp: DataFrame) -> DataFrame:
-    """(token, sid, n, comp, low, size): the lists, by class, of shingles that join components; ``low``: the first component."""
-    label = members.join(comp.select(F.col("node").alias("sid"), "comp"), "sid", "left").select("gid", "sid", "n", F.coalesce("comp", "sid").alias("comp"))
-    rows = lists.select("token", "gid").join(label, "gid").select("token", "sid", "n", "comp")
-    mixed = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size")).filter("low <> high")
-    return rows.join(mixed.select("token", "low", "size"), "token").select("token", "sid", "n", "comp", "low", "size")
+    """(token, cid, n, comp, low, size): the lists, by class, of shingles that join components; ``low``: the first component.
+
+    Lists are looked at by group first, with the first and the last component of its classes, so
+    that only those that join components are written out by class.
+    """
+    label = members.join(comp.select(F.col("node").alias("cid"), "comp"), "cid", "left").select("gid", "cid", "n", F.coalesce("comp", "cid").alias("comp"))
+    label = materialize(label, "ngram_labels")
+    span = label.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size"))
+    mixed = lists.select("token", "gid").join(span, "gid").groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("size").alias("size"))
+    mixed = materialize(mixed.filter("low <> high").select("token", "low", "size"), "ngram_mixed")
+    return lists.select("token", "gid").join(mixed, "token").join(label, "gid").select("token", "cid", "n", "comp", "low", "size")
 
 
 def _hub_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
     """For each class the first class of another component that it shares most postings with."""
-    first = rows.filter("comp = low").groupBy("token").agg(F.min(F.struct("sid", "n")).alias("h")).select("token", F.col("h.sid").alias("hub"), F.col("h.n").alias("m"))
+    first = rows.filter("comp = low").groupBy("token").agg(F.min(F.struct("cid", "n")).alias("h")).select("token", F.col("h.cid").alias("hub"), F.col("h.n").alias("m"))
     pairs = rows.filter("comp <> low").join(first, "token").filter(_fits("n", "m", num, den))
-    pairs = pairs.groupBy("sid", "n", "hub", "m").agg(F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= _needed("n", "m", num, den))
-    return pairs.groupBy("sid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub")).select(F.col("sid").alias("a"), F.col("hub").alias("b"))
+    pairs = pairs.groupBy("cid", "n", "hub", "m").agg(F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= _needed("n", "m", num, den))
+    return pairs.groupBy("cid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub")).select(F.col("cid").alias("a"), F.col("hub").alias("b"))
 
 
 def _close_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
@@ -340,18 +350,18 @@ def _close_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
     bitmaps differ.
     """
     cut = F.ceil(F.col("size") / LIST).cast("int")
-    mine = F.pmod(F.xxhash64("sid"), F.col("cuts")).cast("int")
+    mine = F.pmod(F.xxhash64("cid"), F.col("cuts")).cast("int")
     rows = rows.withColumn("cuts", cut).withColumn("x", mine).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     rows = rows.withColumn("list", F.xxhash64("token", F.least("x", "y"), F.greatest("x", "y")))
     parts = max(1, rows.count() // BUCKET_ROWS)
-    rows = rows.select(F.pmod("list", F.lit(parts)).alias("bucket"), "list", "sid", "n", F.xxhash64("comp").alias("comp"), "bits")
+    rows = rows.select(F.pmod("list", F.lit(parts)).alias("bucket"), "list", "cid", "n", "comp", "bits")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["list", "sid"])
+        pdf = pdf.sort_values(["list", "cid"])
         of, n, comp = (pdf[c].to_numpy() for c in ("list", "n", "comp"))
-        sid = pdf["sid"].to_numpy()
+        cid = pdf["cid"].to_numpy()
         bits = np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), -1)
-        good: set[tuple[bytes, bytes]] = set()
+        good: set[tuple[int, int]] = set()
         left = np.arange(len(pdf))
         step = 1
         while len(left):  # each row with the one ``step`` after it on its list
@@ -365,8 +375,8 @@ def _close_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
                 a, b = i[k : k + 50_000], j[k : k + 50_000]
                 both = (n[a] + n[b] - np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)) // 2
                 near = den * both >= num * (n[a] + n[b] - both)
-                good.update(zip(sid[a[near]], sid[b[near]]))
+                good.update(zip(cid[a[near]].tolist(), cid[b[near]].tolist()))
             step += 1
-        return pd.DataFrame(list(good), columns=["a", "b"])
+        return pd.DataFrame(list(good), columns=["a", "b"], dtype="int64")
 
-    return rows.groupBy("bucket").applyInPandas(compare, "a binary, b binary").distinct()
+    return rows.groupBy("bucket").applyInPandas(compare, "a long, b long").distinct()
