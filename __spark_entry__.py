@@ -69,14 +69,10 @@ else:
 
 N = 8  # shard count used by the checks unless a query says otherwise
 
-# The sample mapping (integer ``a``, string ``b``, strict, 8 shards).
+# A strict mapping of an event's number and kind.
 SAMPLE_TEMPLATE = """
-{"template": "*",
- "settings": {"index.cache.query.enable": true, "number_of_replicas": 0, "number_of_shards": 8},
- "mappings": {"mydata": {"dynamic": "strict", "_all": {"enabled": false},
-   "properties": {
-     "a": {"type": "integer", "index": "not_analyzed", "norms": {"enabled": false}, "doc_values": true},
-     "b": {"type": "string", "index": "not_analyzed", "norms": {"enabled": false}, "doc_values": true}}}}}
+{"settings": {"number_of_shards": 8},
+ "mappings": {"sample": {"dynamic": "strict", "properties": {"a": {"type": "integer"}, "b": {"type": "keyword"}}}}}
 """
 SAMPLE_MAPPING = parse_template(SAMPLE_TEMPLATE)
 

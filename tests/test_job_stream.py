@@ -12,7 +12,7 @@ def test_cli_job(spark, scratch):
     src = f"{scratch}/input"
     lines = ['{"a": %d, "b": "v%d"}' % (i, i) for i in range(50)] + ['{"a":1,"zzz":2}', "junk"]
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(2).write.text(src)
-    args = parse_args([src, f"{scratch}/out", "4", os.path.join(FIXTURES, "template.json"), "idx", "mydata", "--id-field", "a"])
+    args = parse_args([src, f"{scratch}/out", "4", os.path.join(FIXTURES, "template.json"), "idx", "reading", "--id-field", "a"])
     out = run(spark, args)
     assert (out["scanned"], out["docs"], out["rejects"]) == (52, 50, 2)
     got = restore_snapshot(spark, f"{scratch}/out", "idx")
@@ -20,7 +20,7 @@ def test_cli_job(spark, scratch):
     # the same job with --upsert applies new lines to the committed index
     src2 = f"{scratch}/input2"
     spark.createDataFrame([('{"a": 7, "b": "new"}',), ('{"a": 99, "b": "added"}',)], "value string").coalesce(1).write.text(src2)
-    args2 = parse_args([src2, f"{scratch}/out", "4", os.path.join(FIXTURES, "template.json"), "idx", "mydata", "--id-field", "a", "--upsert"])
+    args2 = parse_args([src2, f"{scratch}/out", "4", os.path.join(FIXTURES, "template.json"), "idx", "reading", "--id-field", "a", "--upsert"])
     run(spark, args2)
     got = restore_snapshot(spark, f"{scratch}/out", "idx")
     assert got.count() == 51 and got.where("a = 7").first().b == "new"
@@ -30,7 +30,7 @@ def test_cli_job_plain_text(spark, scratch):
     src = f"{scratch}/text"
     lines = ["first line", "second line", "first line"]
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(src)
-    args = parse_args([src, f"{scratch}/out", "2", os.path.join(FIXTURES, "template.json"), "txt", "mydata", "--format", "text"])
+    args = parse_args([src, f"{scratch}/out", "2", os.path.join(FIXTURES, "template.json"), "txt", "reading", "--format", "text"])
     out = run(spark, args)
     assert (out["scanned"], out["docs"], out["rejects"]) == (3, 3, 0)  # equal lines stay separate documents
     got = sorted(r._source for r in restore_snapshot(spark, f"{scratch}/out", "txt").collect())

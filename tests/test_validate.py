@@ -37,9 +37,9 @@ def _check(spark, mapping, lines, **kw):
 
 
 def test_template_loads(mapping):
-    assert mapping.type_name == "mydata"
-    assert mapping.strict and mapping.default_shards == 8
-    assert mapping.struct_type.simpleString() == "struct<a:int,b:string>"
+    assert mapping.type_name == "reading"
+    assert mapping.strict and mapping.default_shards == 6
+    assert mapping.struct_type.simpleString() == "struct<a:int,b:string,notes:array<struct<by:string,stars:bigint>>>"
 
 
 def test_edge_lines(spark, mapping):
