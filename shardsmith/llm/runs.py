@@ -107,7 +107,8 @@ def _stream(batches, part: int, key_at: int, at_least: int, by_documents: bool,
             if not started:  # the partition's first run
                 opens = int(size[0]) if len(starts) > 1 else n
             started = True
-            good = np.repeat(total >= at_least, size)
+            good = np.zeros(n, bool)  # of all rows: the first ``head`` belong to the run before
+            good[head:] = np.repeat(total >= at_least, size)
             good[tail:] = False
             good[:opens] = False
             if len(starts) > 1 and opens:
