@@ -46,7 +46,7 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id; documents without words stay."""
     found = materialize(ngram_join.jaccard_components(docs), "pipeline_groups")
-    first = found.filter("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", ROW_KEY)).alias("r")).select("r.*")
+    first = found.filter("n_shingles > 0").groupBy("component_key").agg(F.min(F.struct("doc_id", ROW_KEY)).alias("r")).select("r.*")
     keep = first.unionByName(found.filter("n_shingles = 0").select("doc_id", ROW_KEY).distinct())
     out = join_rows(docs.withColumn(ROW_KEY, row_key("doc_id", "text")), keep, "doc_id", "inner")
     equal_rows = found.filter("n_shingles > 0").groupBy("doc_id", ROW_KEY).count().filter("count > 1")

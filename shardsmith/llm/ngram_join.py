@@ -252,7 +252,11 @@ def merge_components(comp: DataFrame, links: DataFrame, name: str) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, row key, n_shingles, component_id) for every row."""
+    """(id, row key, n_shingles, component_id, component_key) for every row.
+
+    ``component_key`` is never null and tells components apart whose ids are all null: the smallest
+    digest of the component's sets; that of the empty set goes with the row key.
+    """
     made = materialize(_sets(docs, size, id_col, text_col), "ngram_sets")
     rows = made.filter(F.col("key").isNull()).select("id", ROW_KEY, "n", "sid")
     sketch = _sketch(made)
@@ -290,11 +294,11 @@ def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int =
 
     numbered = members.select("sid", "cid").join(comp.select(F.col("node").alias("cid"), "comp"), "cid").select("sid", "comp")
     named = classes.select("sid", "first").join(numbered, "sid", "left")
-    least = named.filter(F.col("comp").isNotNull()).groupBy("comp").agg(F.min("first").alias("least"))
-    named = named.join(least, "comp", "left").select("sid", F.when(F.col("comp").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"))
-    out = rows.filter("n > 0").join(named, "sid").select("id", ROW_KEY, "n", "component_id")
-    none = rows.filter("n = 0").select("id", ROW_KEY, "n", F.col("id").alias("component_id"))
-    return out.unionByName(none).select(F.col("id").alias(id_col), ROW_KEY, F.col("n").alias("n_shingles"), "component_id")
+    least = named.filter(F.col("comp").isNotNull()).groupBy("comp").agg(F.min("first").alias("least"), F.min("sid").alias("key"))
+    named = named.join(least, "comp", "left").select("sid", F.when(F.col("comp").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"), F.coalesce("key", "sid").alias("component_key"))
+    out = rows.filter("n > 0").join(named, "sid").select("id", ROW_KEY, "n", "component_id", "component_key")
+    none = rows.filter("n = 0").select("id", ROW_KEY, "n", F.col("id").alias("component_id"), F.concat("sid", F.encode(F.col(ROW_KEY).cast("string"), "utf-8")).alias("component_key"))
+    return out.unionByName(none).select(F.col("id").alias(id_col), ROW_KEY, F.col("n").alias("n_shingles"), "component_id", "component_key")
 
 
 def _candidate_sets(docs: DataFrame, reps: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:

@@ -3,9 +3,11 @@
 import random
 from collections import defaultdict
 
+import corpus_pipeline
 import pytest
 
-from shardsmith.llm import runs
+from conftest import SF001
+from shardsmith.llm import ngram_join, runs
 from shardsmith.llm.common import ROW_KEY
 
 
@@ -32,3 +34,15 @@ def test_runs_across_batches(spark, by_documents, at_least):
         for c, v in old.items():
             spark.conf.set(c, v)
     assert sorted(got) == want
+
+
+def test_groups_of_null_ids(spark):
+    """Different texts without ids are different groups; copies among them are one."""
+    rng = random.Random(12)
+    texts = [" ".join(f"w{i}x{rng.randrange(400)}" for _ in range(80)) for i in range(3)]
+    near = " ".join(["other", *texts[0].split()[1:]])
+    docs = spark.createDataFrame([(None, t) for t in (*texts, texts[1], near)], "doc_id bigint, text string")
+    kept = [r.text for r in corpus_pipeline.one_of_each_group(spark, docs, SF001).collect()]
+    assert len(kept) == 3 and set(texts[1:]) <= set(kept) and len({texts[0], near} & set(kept)) == 1
+    found = ngram_join.jaccard_components(docs)
+    assert found.filter("component_key is null").count() == 0 and found.select("component_key").distinct().count() == 3
