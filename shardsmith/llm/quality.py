@@ -5,10 +5,14 @@ tokens that are byte fallback (their bytes are no whole characters) and the
 entropy of the tokens.  Rejection bands hold for a language and an octave of
 the token count (entropy depends on length): the quartiles of all documents
 that pass the base rules, widened by ``spread`` times their distance and by
-``floor`` of the median at least.  Groups of fewer than ``min_group``
-documents have no band and reject nothing.  A document without a language
-goes by its script.  Quartiles are exact: values are integers (thousandths),
-counted over all documents.
+``floor`` of the median at least.  A group of fewer than ``min_group``
+documents goes by the first wider one that is large enough: its octave with
+both neighbours, its language in all octaves, its script, or the whole corpus
+however small.  In a band over octaves a text's entropy is low only if it is
+so in bits and as a share of the most that its token count allows: bits grow
+with the length, the share falls.  A document without a language goes by its
+script.  Quartiles are exact: values are integers (thousandths), counted over
+all documents.
 
 Base rules: fewer than 50 words, or more than half of the words in 3-word
 windows that occur twice.
@@ -173,32 +177,61 @@ def _group(lang_col: str | None) -> Column:
     return F.coalesce(F.col(lang_col), F.col("script")) if lang_col else F.col("script")
 
 
+#: (column, octaves beside the own one, none for all) of each level, from the narrowest group to the widest.
+LEVELS = [("__group", (0,)), ("__group", (-1, 0, 1)), ("__group", None), ("script", None), (None, None)]
+SHARE = "entropy_share"
+
+
 def fit_bands(measured: DataFrame, lang_col: str | None = "lang", spread: float = 6.0, floor: float = 0.1, min_group: int = 50) -> DataFrame:
-    """(group, octave, <measure>_low, <measure>_high): the bands, from all documents that pass the base rules.
+    """(group, script, octave, <measure>_low, <measure>_high): the bands, from all documents that pass the base rules.
 
     Written as a table, so that its size is known when it is joined: documents of one group are many.
     """
-    ok = measured.filter(~F.col("base_failed")).select(_group(lang_col).alias("__group"), _octave().alias("__octave"), *BANDS)
-    quartiles = ok.groupBy("__group", "__octave").agg(F.count(F.lit(1)).alias("__n"), *(F.percentile(m, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(m) for m in BANDS))
+    rows = measured.select("base_failed", _group(lang_col).alias("__group"), "script", _octave().alias("__octave"), *BANDS, _share().alias(SHARE))
+    levels = []  # the groups that a document counts in
+    for k, (by, octaves) in enumerate(LEVELS):
+        name = F.col(by) if by else F.lit("")
+        levels += [F.struct(F.lit(k).alias("level"), name.alias("name"), F.lit(-1).alias("at") if o is None else (F.col("__octave") + o).alias("at")) for o in octaves or (None,)]
+    measures = {**BANDS, SHARE: (True, False)}
+    ok = rows.filter(~F.col("base_failed")).select(F.explode(F.array(*levels)).alias("g"), *measures).select("g.*", *measures)
+    quartiles = ok.groupBy("level", "name", "at").agg(F.count(F.lit(1)).alias("__n"), *(F.percentile(m, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(m) for m in measures))
     cols = []
-    for m, (low, high) in BANDS.items():
+    for m, (low, high) in measures.items():
         q1, q2, q3 = (F.col(m)[i] for i in range(3))
         # a share that is 0 for most has quartiles of 0: 100 thousandths are always allowed
         room = F.greatest(spread * (q3 - q1), floor * q2, F.lit(100.0 if m == "fallback_share" else 1.0))
+        if m == SHARE:  # within one octave bits are enough
+            cols.append(F.when(F.col("level") > 0, q1 - room).alias(f"{m}_low"))
+            continue
         cols += [(q1 - room if low else F.lit(None).cast("double")).alias(f"{m}_low"), (q3 + room if high else F.lit(None).cast("double")).alias(f"{m}_high")]
-    return materialize(quartiles.filter(F.col("__n") >= min_group).select("__group", "__octave", *cols), "quality_bands")
+    large = (F.col("__n") >= min_group) | (F.col("level") == len(LEVELS) - 1)
+    bands = materialize(quartiles.filter(large).select("level", "name", "at", F.struct(*cols).alias("band")), "quality_levels")
+    out = materialize(rows.select("__group", "script", "__octave").distinct(), "quality_groups")
+    for k, (by, octaves) in enumerate(LEVELS):
+        name = F.col(by) if by else F.lit("")
+        here = bands.filter(F.col("level") == k).select(F.col("name").alias("__name"), F.col("at").alias("__at"), F.col("band").alias(f"__band_{k}"))
+        out = out.withColumn("__name", name).withColumn("__at", F.col("__octave") if octaves else F.lit(-1)).join(here, ["__name", "__at"], "left").drop("__name", "__at")
+    out = out.withColumn("band", F.coalesce(*(f"__band_{k}" for k in range(len(LEVELS)))))
+    return materialize(out.select("__group", F.col("script").alias("__script"), "__octave", "band.*"), "quality_bands")
 
 
 def _octave() -> Column:
     return F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))).cast("int")
 
 
+def _share() -> Column:
+    """The entropy in thousandths of the most that the token count allows."""
+    return F.round(1000 * F.col("token_entropy") / (1000 * F.log2(F.greatest(F.col("n_tokens"), F.lit(2))))).cast("long")
+
+
 def judge(measured: DataFrame, bands: DataFrame, lang_col: str | None = "lang") -> DataFrame:
     """``measured`` with ``rejected_by`` (the measures out of their band) and ``kept``."""
     names = [c for c in measured.columns if c not in ("rejected_by", "kept")]
-    left = measured.select(*names).withColumn("__group", _group(lang_col)).withColumn("__octave", _octave())
-    joined = left.join(bands, ["__group", "__octave"], "left")
-    out = [F.when((F.col(m) < F.col(f"{m}_low")) | (F.col(m) > F.col(f"{m}_high")), F.lit(m)) for m in BANDS]
+    left = measured.select(*names).withColumn("__group", _group(lang_col)).withColumn("__script", F.col("script")).withColumn("__octave", _octave())
+    joined = left.join(bands, ["__group", "__script", "__octave"], "left")
+    low = {m: F.col(m) < F.col(f"{m}_low") for m in BANDS}
+    low["token_entropy"] &= F.col(f"{SHARE}_low").isNull() | (_share() < F.col(f"{SHARE}_low"))
+    out = [F.when(low[m] | (F.col(m) > F.col(f"{m}_high")), F.lit(m)) for m in BANDS]
     joined = joined.withColumn("rejected_by", F.concat_ws(",", *out))
     return joined.select(*names, "rejected_by", (~F.col("base_failed") & (F.col("rejected_by") == "")).alias("kept"))
 

@@ -7,7 +7,7 @@ import corpus_pipeline
 import pytest
 
 from conftest import SF001
-from shardsmith.llm import ngram_join, runs
+from shardsmith.llm import ngram_join, quality, runs
 from shardsmith.llm.common import ROW_KEY
 
 
@@ -46,3 +46,21 @@ def test_groups_of_null_ids(spark):
     assert len(kept) == 3 and set(texts[1:]) <= set(kept) and len({texts[0], near} & set(kept)) == 1
     found = ngram_join.jaccard_components(docs)
     assert found.filter("component_key is null").count() == 0 and found.select("component_key").distinct().count() == 3
+
+
+def garbage(rng, n):
+    return " ".join(f"☃{rng.randrange(9)}☄{rng.randrange(9)}" for _ in range(n))
+
+
+def test_small_quality_groups(spark):
+    """A bad document is rejected however few share its language and length; good ones stay."""
+    rng = random.Random(13)
+    prose = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    docs = [(i, prose(120), "en") for i in range(49)] + [(100, garbage(rng, 120), "en"), (101, garbage(rng, 3000), "en"), (102, garbage(rng, 120), "xx"), (103, garbage(rng, 120), None)]
+    docs += [(200, prose(6000), "en"), (201, prose(60), "en"), (202, prose(120), "xx"), (203, prose(120), None)]
+    for few in (docs, docs + [(300 + i, prose(120), "en") for i in range(20)]):
+        got = quality.quality_rules(spark.createDataFrame(few, "doc_id bigint, text string, lang string")).filter("not kept and not base_failed")
+        assert sorted(r.doc_id for r in got.collect()) == [100, 101, 102, 103]
+    planted = [(i, prose(120), "en") for i in range(80)] + [(80, " ".join(f"☃{rng.randrange(9)}☄" for _ in range(120)), "en")]
+    got = quality.quality_rules(spark.createDataFrame(planted, "doc_id bigint, text string, lang string"), min_group=20)
+    assert [r.doc_id for r in got.filter("not kept").collect()] == [80]
