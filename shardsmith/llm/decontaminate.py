@@ -1,16 +1,16 @@
 """Benchmark decontamination: SimHash windows, Hamming blocks, exact check.
 
-Windows of a few sizes slide over each text, word by word.  Each has a 64-bit
-SimHash of its words.  The sizes form a ladder; a benchmark item is probed by
-windows that tile it, of the largest ladder size that fits it and of the
-largest that fits half of it.  A verbatim item has all of them at distance 0,
-and an item changed in one place has one of the smaller ones at distance 0,
-for two at least lie side by side.  Fingerprints are cut into
-``radius + 1`` blocks: two within the radius agree in one block at least, so
-the block tables find every pair within the radius.  A pair lines the item up
-with a place in the text; there the item-sized windows are compared exactly by
-weighted Jaccard similarity of their 5-word shingles.  A shingle weighs one
-over the number of items that have it, 1 if none.
+Windows of five words, as long as a shingle, slide over each text.  Each has a
+64-bit SimHash of its words.  A benchmark item is probed by some of its own
+windows: so many that their shingles weigh more than what a copy may lose at
+the threshold.  Any window of a text that is similar enough then has one of
+them at distance 0, wherever and in however many places it was changed.
+Fingerprints are cut into ``radius + 1`` blocks: two within the radius agree
+in one block at least, so the block tables find every pair within the radius.
+Around a pair all item-sized windows that hold it are compared exactly by
+weighted Jaccard similarity of their 5-word shingles; those at the ends of a
+text may be cut short.  A shingle weighs one over the number of items that
+have it, 1 if none.
 
 The benchmark is a query set of bounded size: items are collected and shipped
 in blocks of ``items_at_once``; each block is one pass over the texts.
@@ -34,19 +34,11 @@ from pyspark.sql import types as T
 from shardsmith.llm.common import SPACE, WordHasher, add_columns, shingle_hashes
 
 SHINGLE = 5
-SHORTEST = 8  # words of a probe, if the item has them: shorter windows are alike by chance
+NEAR = 1e-9  # more than the rounding of running sums of weights
 WORDS_AT_ONCE = 100_000  # words of texts whose windows are looked up together
 SEGMENT = 2048  # windows fingerprinted at a time; their counts fit a processor's cache
 
 
-def ladder(longest: int) -> list[int]:
-    """Window sizes: every size to 5 words, then each half as large again."""
-    sizes = list(range(1, 6))
-    while sizes[-1] < longest:
-        sizes.append(sizes[-1] * 3 // 2 + 1)
-    return sizes
-
-
 def fingerprints(h: np.ndarray, sizes: list[int]):
     """(size, first window, SimHashes) of all windows of the words hashed in ``h``, a segment at a time.
 
@@ -73,11 +65,6 @@ def fingerprints(h: np.ndarray, sizes: list[int]):
             yield size, lo, np.packbits(total > size // 2, axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
-def tiles(n: int, size: int) -> list[int]:
-    """Where windows of ``size`` words start that cover ``n`` words: side by side, and one at the end."""
-    return sorted({*range(0, n - size + 1, size), n - size})
-
-
 class Blocks:
     """All fingerprints within a radius of those given, through tables of their blocks."""
 
@@ -114,22 +101,34 @@ class Blocks:
 class Benchmark:
     """Items prepared for the search: probes by window size, shingles and weights."""
 
-    def __init__(self, items: list[str], radius: int, weights: dict[int, float]):
-        self.weights, self.hasher = weights, WordHasher()
+    def __init__(self, items: list[str], radius: int, weights: dict[int, float], threshold: float):
+        self.weights, self.threshold, self.hasher = weights, threshold, WordHasher()
         self.hashes = [self.hasher(t) for t in items]
         self.lengths = [len(h) for h in self.hashes]
         self.shingles = [Counter(shingle_hashes(h, SHINGLE).tolist()) for h in self.hashes]
-        probes: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        steps = ladder(max(self.lengths))
-        for k, (h, n) in enumerate(zip(self.hashes, self.lengths)):
-            for most in {n, min(n, max(n // 2, SHORTEST))}:
-                size = max(s for s in steps if s <= most)
-                prints = np.concatenate([p for _, _, p in fingerprints(h, [size])])
-                probes[size] += [(int(prints[i]), k, i) for i in tiles(n, size)]
+        self.totals = [sum(self.weights.get(s, 1.0) * n for s, n in c.items()) for c in self.shingles]
+        probes: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for k, h in enumerate(self.hashes):
+            size = min(SHINGLE, len(h))
+            prints = np.concatenate([p for _, _, p in fingerprints(h, [size])])
+            probes[size] += [(int(prints[i]), k) for i in self.probes(k)]
         self.sizes = sorted(probes)
-        self.blocks = {s: Blocks(np.array([p for p, _, _ in v], np.uint64), radius) for s, v in probes.items()}
-        self.item_of = {s: np.array([k for _, k, _ in v]) for s, v in probes.items()}
-        self.offset = {s: np.array([o for _, _, o in v]) for s, v in probes.items()}
+        self.blocks = {s: Blocks(np.array([p for p, _ in v], np.uint64), radius) for s, v in probes.items()}
+        self.item_of = {s: np.array([k for _, k in v]) for s, v in probes.items()}
+
+    def probes(self, k: int) -> list[int]:
+        """Windows of item ``k`` whose shingles weigh more than 1 - threshold of all: the heaviest, ties by hash."""
+        first: dict[int, int] = {}
+        for i, s in enumerate(shingle_hashes(self.hashes[k], SHINGLE).tolist()):
+            first.setdefault(s, i)
+        weight = {s: self.weights.get(s, 1.0) * n for s, n in self.shingles[k].items()}
+        taken, at = 0.0, []
+        for s in sorted(first, key=lambda s: (-weight[s], s)):
+            if at and taken > (1 - self.threshold) * self.totals[k] + NEAR:
+                break
+            taken += weight[s]
+            at.append(first[s])
+        return at
 
     def similarity(self, window: np.ndarray, k: int) -> float:
         a, b = Counter(shingle_hashes(window, SHINGLE).tolist()), self.shingles[k]
@@ -140,52 +139,94 @@ class Benchmark:
             either += w * max(a[s], b[s])
         return both / either if either else 0.0
 
-    def search(self, texts: list[str | None], threshold: float, slack: int) -> list[list[tuple[int, float, int, int]]]:
+    def search(self, texts: list[str | None]) -> list[list[tuple[int, float, int, int]]]:
         """For each text (item, similarity, first word, words) of the items found, their best place; by item."""
         out, held, n = [], [], 0
         for t in texts:
             held.append(self.hasher(t))
             n += len(held[-1])
             if n >= WORDS_AT_ONCE:
-                out += self._search(held, threshold, slack)
+                out += self._search(held)
                 held, n = [], 0
-        return out + self._search(held, threshold, slack)
+        return out + self._search(held)
 
-    def _search(self, hashes: list[np.ndarray], threshold: float, slack: int) -> list[list[tuple[int, float, int, int]]]:
+    def _search(self, hashes: list[np.ndarray]) -> list[list[tuple[int, float, int, int]]]:
         prints: dict[int, list] = defaultdict(list)
         for t, h in enumerate(hashes):
             sizes = [s for s in self.sizes if s <= len(h)]
             if sizes:
                 for size, lo, p in fingerprints(h, sizes):
                     prints[size].append((t, lo, p))
-        places: dict[int, set[tuple[int, int]]] = defaultdict(set)
+        places: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
         for size, parts in prints.items():
             i, j = self.blocks[size].pairs(np.concatenate([p for _, _, p in parts]))
             ends = np.cumsum([len(p) for _, _, p in parts])
             at = np.searchsorted(ends, i, "right")
             first = np.array([lo for _, lo, _ in parts]) - ends + [len(p) for _, _, p in parts]
             text = np.array([t for t, _, _ in parts])
-            for t, k, p in zip(text[at].tolist(), self.item_of[size][j].tolist(), (i + first[at] - self.offset[size][j]).tolist()):
-                places[t].add((k, p))
-        return [self._best(h, places[t], threshold, slack) if t in places else [] for t, h in enumerate(hashes)]
-
-    def _best(self, h: np.ndarray, places: set[tuple[int, int]], threshold: float, slack: int) -> list[tuple[int, float, int, int]]:
-        best: dict[int, tuple[float, int, int]] = {}
-        tried: set[tuple[int, int]] = set()
-        shingles = shingle_hashes(h, SHINGLE)
-        for k, p in places:
-            n = self.lengths[k]
-            around = shingles[max(p - slack, 0) : max(p + n + slack, 1)]
-            if n >= SHINGLE and not any(map(self.shingles[k].__contains__, around.tolist())):
-                continue  # nothing in common at any of the places tried
-            for q in range(p - slack, p + slack + 1):
-                lo, hi = max(q, 0), min(q + n, len(h))
-                if hi > lo and (k, q) not in tried:
-                    tried.add((k, q))
-                    s = self.similarity(h[lo:hi], k)
-                    if s >= threshold and (k not in best or (-s, lo) < (-best[k][0], best[k][1])):
-                        best[k] = (s, lo, hi - lo)
-        return [(k, *best[k]) for k in sorted(best)]
+            for t, k, x in zip(text[at].tolist(), self.item_of[size][j].tolist(), (i + first[at]).tolist()):
+                places[t][k].add(x)
+        return [self._best(h, places[t]) if t in places else [] for t, h in enumerate(hashes)]
+
+    def _best(self, h: np.ndarray, places: dict[int, set[int]]) -> list[tuple[int, float, int, int]]:
+        found, shingles = [], shingle_hashes(h, SHINGLE).tolist()
+        for k in sorted(places):
+            n, best = self.lengths[k], None
+            for lo, hi in self._starts(places[k], n):
+                for q in self._similar(shingles, k, lo, hi) if n >= SHINGLE else range(lo, hi + 1):
+                    first, end = max(q, 0), min(q + n, len(h))
+                    s = self.similarity(h[first:end], k)
+                    if s >= self.threshold and (best is None or (-s, first) < (-best[0], best[1])):
+                        best = (s, first, end - first)
+            if best:
+                found.append((k, *best))
+        return found
+
+    def _starts(self, places: set[int], n: int) -> list[list[int]]:
+        """The ranges of starts of all windows of ``n`` words that hold one of the places, from left to right."""
+        out: list[list[int]] = []
+        for x in sorted(places):
+            lo = x - n + min(n, SHINGLE)
+            if out and lo <= out[-1][1] + 1:
+                out[-1][1] = x
+            else:
+                out.append([lo, x])
+        return out
+
+    def _similar(self, shingles: list[int], k: int, lo: int, hi: int) -> list[int]:
+        """The starts from ``lo`` to ``hi`` whose windows may be the most similar ones and reach the threshold, by running sums."""
+        of, m = self.shingles[k], self.lengths[k] - SHINGLE + 1
+        weights, total = self.weights, self.totals[k]
+        region = shingles[max(lo, 0) : max(hi + m, 0)]
+        there = Counter(s for s in region if s in of)
+        if sum(weights.get(s, 1.0) * min(n, of[s]) for s, n in there.items()) < self.threshold * total - NEAR:
+            return []  # too little in common at any of the starts
+        has: Counter = Counter()
+        mine = both = 0.0
+        out, least = [], self.threshold
+        for i in range(lo, hi + m):
+            if 0 <= i < len(shingles):
+                s = shingles[i]
+                w = weights.get(s, 1.0)
+                mine += w
+                if s in of:
+                    has[s] += 1
+                    both += w if has[s] <= of[s] else 0.0
+            q = i - m + 1
+            if q < lo:
+                continue
+            similar = both / (mine + total - both)
+            if similar >= least - NEAR:
+                out.append((similar, q))
+                least = max(least, similar)
+            if 0 <= q < len(shingles):
+                s = shingles[q]
+                w = weights.get(s, 1.0)
+                mine -= w
+                if s in of:
+                    both -= w if has[s] <= of[s] else 0.0
+                    has[s] -= 1
+        return [q for s, q in out if s >= least - NEAR]
 
 
 def shingle_weights(benchmark: DataFrame, text_col: str) -> dict[int, float]:
@@ -197,7 +238,7 @@ def shingle_weights(benchmark: DataFrame, text_col: str) -> dict[int, float]:
     return {s: 1 / n for s, n in found.items() if n > 1}
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, radius: int = 3, threshold: float = 0.75, slack: int = 2, items_at_once: int = 20_000, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, radius: int = 3, threshold: float = 0.75, items_at_once: int = 20_000, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``contamination``: an array of (item, similarity, start_word, n_words), by item."""
     spark = docs.sparkSession
     field = T.StructType([T.StructField("item", T.LongType()), T.StructField("similarity", T.DoubleType()), T.StructField("start_word", T.LongType()), T.StructField("n_words", T.LongType())])
@@ -215,10 +256,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, radius: int = 3, thresh
 
         def make(shipped=shipped):
             rows, weights = shipped.value
-            bench = Benchmark([t for _, t in rows], radius, weights)
+            bench = Benchmark([t for _, t in rows], radius, weights, threshold)
 
             def search(texts):
-                return [[[{"item": rows[k][0], "similarity": s, "start_word": p, "n_words": n} for k, s, p, n in found] for found in bench.search(texts, threshold, slack)]]
+                return [[[{"item": rows[k][0], "similarity": s, "start_word": p, "n_words": n} for k, s, p, n in found] for found in bench.search(texts)]]
 
             return search
 

@@ -1,14 +1,14 @@
 """Cases of the second review, each of which gave a wrong or a partial result before."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import corpus_pipeline
 import pytest
 
 from conftest import SF001
-from shardsmith.llm import ngram_join, quality, runs
-from shardsmith.llm.common import ROW_KEY
+from shardsmith.llm import decontaminate, ngram_join, quality, runs
+from shardsmith.llm.common import ROW_KEY, WordHasher, shingle_hashes
 
 
 @pytest.mark.parametrize("by_documents", [True, False])
@@ -64,3 +64,46 @@ def test_small_quality_groups(spark):
     planted = [(i, prose(120), "en") for i in range(80)] + [(80, " ".join(f"☃{rng.randrange(9)}☄" for _ in range(120)), "en")]
     got = quality.quality_rules(spark.createDataFrame(planted, "doc_id bigint, text string, lang string"), min_group=20)
     assert [r.doc_id for r in got.filter("not kept").collect()] == [80]
+
+
+def brute_windows(h, bench, k):
+    """The most similar window of an item's length, the earliest of equal ones, over all starts."""
+    n = bench.lengths[k]
+    if not bench.shingles[k].keys() & set(shingle_hashes(h).tolist()) and n >= 5:
+        return None
+    tried = [(bench.similarity(h[max(q, 0) : q + n], k), -max(q, 0), min(q + n, len(h)) - max(q, 0)) for q in range(1 - n, len(h))]
+    s, lo, words = max(tried, key=lambda x: x[:2])
+    return (k, s, -lo, words) if s >= 0.75 else None
+
+
+def changed(rng, ws, at, how):
+    ws = list(ws)
+    for i in sorted(at, reverse=True):
+        ws[i : i + 1] = {"replace": ["changed"], "insert": ["added", ws[i]], "delete": []}[how]
+    return ws
+
+
+def test_decontamination_is_whole():
+    """Copies with changes in any places are found as by brute force over all windows."""
+    rng = random.Random(14)
+    item = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    items = [item(n) for n in (15, 18, 26, 40, 53, 74, 120, 200, 3)]
+    items += [[*items[3][:20], *item(20)], items[4] * 2, item(30) * 2]  # shared shingles and repeated ones
+    shared = Counter(s for ws in items for s in set(shingle_hashes(WordHasher()(" ".join(ws))).tolist()))
+    bench = decontaminate.Benchmark([" ".join(ws) for ws in items], 3, {s: 1 / n for s, n in shared.items() if n > 1}, 0.75)
+    copies = [(2, (0, 25), "replace"), (3, (0, 39), "replace"), (5, (10, 50), "replace")]
+    for k, ws in enumerate(items):
+        copies += [(k, rng.sample(range(len(ws)), min(c, len(ws) - 1)), how) for how in ("replace", "insert", "delete") for c in (0, 1, 2, 4) for _ in range(2)]
+    texts = []
+    for k, at, how in copies:
+        ws = changed(rng, items[k], at, how)
+        turn = rng.choice((0, 0, len(ws) // 2))  # some with their halves exchanged, some at an end of the text
+        texts.append([*item(rng.choice((0, 30))), *ws[turn:], *ws[:turn], *item(rng.choice((0, 30)))])
+    got = bench.search([" ".join(ws) for ws in texts])
+    hits = 0
+    for ws, found in zip(texts, got):
+        h = WordHasher()(" ".join(ws))
+        want = [x for k in range(len(items)) if (x := brute_windows(h, bench, k))]
+        assert found == want
+        hits += len(want)
+    assert all(any(f[0] == k for f in got[i]) for i, (k, _, _) in enumerate(copies[:3])) and hits > 100
