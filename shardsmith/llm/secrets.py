@@ -5,7 +5,7 @@ digit.  Features: length, shares of character classes and of distinct
 characters, transitions between classes, entropy, coverage by the corpus'
 dictionary (words in ``min_docs`` documents or more), the path, and the
 neighbouring words.  The forest is trained on a sample of labelled findings:
-``max_labelled`` of them at most, picked by hash.  Everything is DataFrame
+``max_labelled`` of them at most, picked by hash, half of each label.  Everything is DataFrame
 functions and Spark's own forest.
 
 Defined cases: null and empty texts have no candidates; null paths are empty;
@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shardsmith.session import shared_dir
+
 CHARS = "A-Za-z0-9+/_-"
 CANDIDATE = rf"(?<![{CHARS}])(?=[A-Za-z+/_-]*+[0-9])[{CHARS}]{{12,}}+"
 NEAR = 80  # characters kept on each side of a candidate
@@ -102,8 +104,16 @@ def label_by_format(features: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame, max_labelled: int = 20_000, trees: int = 40, depth: int = 8, seed: int = 1) -> PipelineModel | None:
-    """A forest from findings with features and ``label``; none without both labels."""
-    rows = labelled.orderBy(F.xxhash64(F.lit(seed), "value", "left", "right"), "value", "start").limit(max_labelled)
+    """A forest from findings with features and ``label``; none without both labels.
+
+    Half of ``max_labelled`` is kept for each label, so a rare label is never crowded out of the sample.
+    The model comes back from the shared folder it is saved to: as fitted, it holds its training summary and with
+    that the session, which can't be shipped to tasks once a query has used ``observe``.
+    """
+    spark = labelled.sparkSession
+    pick = [F.xxhash64(F.lit(seed), "value", "left", "right"), "value", "start"]
+    half = lambda secret: labelled.filter(F.col("label") == secret).orderBy(*pick).limit(max_labelled // 2)
+    rows = half(1.0).unionByName(half(0.0))
     inputs = [*NUMBERS, *(f"{s}_{i}" for s in ("left", "right") for i in range(BUCKETS))]
     assemble = VectorAssembler(inputCols=inputs, outputCol="__features")
     rows = assemble.transform(rows).select("__features", "label").cache()
@@ -111,7 +121,9 @@ def train(labelled: DataFrame, max_labelled: int = 20_000, trees: int = 40, dept
         if rows.select("label").distinct().count() < 2:
             return None
         forest = RandomForestClassifier(featuresCol="__features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed, probabilityCol="__p", rawPredictionCol="__raw", predictionCol="__label")
-        return PipelineModel([assemble, forest.fit(rows)])
+        path = shared_dir(spark, "llm", "secret_forest", unique=True)
+        PipelineModel([assemble, forest.fit(rows)]).save(path)
+        return PipelineModel.load(path)
     finally:
         rows.unpersist()
 

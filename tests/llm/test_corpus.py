@@ -307,7 +307,9 @@ def test_secrets(spark, edge, none):
     assert held and all(r.is_secret == bool(r.label) for r in held)
     assert secrets.train(labelled.filter("label = 1")) is None
     assert secrets.score(found, None).filter("is_secret").count() == found.count()
-    assert secrets.findings(edge).count() >= 0 and secrets.findings(none).count() == 0
+    want = Counter((r[0], v) for r in edge_rows() for v in re.findall(secrets.CANDIDATE, r[1] or ""))
+    assert Counter((r.doc_id, r.value) for r in secrets.findings(edge).collect()) == want
+    assert secrets.findings(none).count() == 0
     plan = secrets.score(found, model)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
 
