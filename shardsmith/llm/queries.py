@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardsmith.llm import decontaminate, language, line_dedup, mixing, ngram_join, pii, quality, revisits, secrets, substring_dedup
+from shardsmith.llm import decontaminate, language, line_dedup, mixing, ngram_join, periodic, pii, quality, revisits, secrets, substring_dedup
 from shardsmith.llm.common import materialize
 
 QUERIES: dict = {}
@@ -186,3 +186,68 @@ SELECT doc_id, count(*) AS n_lines, count(hot.key) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE hot.key IS NULL), '')) AS kept_sha256
 FROM keyed LEFT JOIN hot USING (key) GROUP BY doc_id
 """
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """``documents`` with a periodic end planted in every document whose crc32 ends in the digit 0."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    docs = docs.withColumns({"__h": h, "__w": F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))})
+    n, g = F.size("__w"), F.floor(F.col("__h") / 10)
+    docs = docs.withColumns({"__n": n, "__a": F.when(n > 0, g % n).cast("int")})
+    docs = docs.withColumn("__p", (1 + F.floor((F.col("__n") - F.col("__a")) / (3 + g % 8))).cast("int"))
+    rest = F.col("__n") - F.col("__a")
+    unit = F.slice("__w", F.col("__a") + 1, F.least("__p", rest))
+    ends = F.slice(F.flatten(F.array_repeat(unit, F.ceil(rest / F.col("__p")).cast("int"))), F.lit(1), rest)
+    planted = F.array_join(F.concat(F.slice("__w", F.lit(1), F.col("__a")), ends), " ")
+    return docs.select("doc_id", F.when(F.col("__n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The runs of every document, some of which get a periodic end first; the longest one, and digests of all
+    and of the text that is left."""
+    out = periodic.collapse_runs(_with_periods(documents(spark, sf)))
+    longest = F.reduce("runs", F.get("runs", F.lit(0)), lambda a, r: F.when(r["length"] > a["length"], r).otherwise(a))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    out = out.withColumns({"__first": longest, "__listed": listed})
+    r = F.col("__first")
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), r["start"].alias("start"), r["length"].alias("length"), r["period"].alias("period"), F.floor(1000 * r["length"] / r["period"]).alias("exponent_milli"), F.sha2("__listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
+# crc32 of the decimal doc_id: each digit goes into the low bits, then eight shifts
+CRC = """xor(4294967295, list_reduce(list_concat([4294967295], flatten([[ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]
+    FOR x IN string_split(doc_id::VARCHAR, '')])), lambda acc, e:
+    CASE WHEN e >= 0 THEN xor(acc, e) WHEN acc % 2 = 1 THEN xor(acc // 2, 3988292384) ELSE acc // 2 END))"""
+
+ORACLES["op11_periodic_runs"] = f"""
+WITH cut AS (
+  SELECT *, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM (
+    SELECT doc_id, {CRC} AS h, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents)),
+spots AS (
+  SELECT doc_id, i, n, w[CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) ELSE i END + 1] AS word
+  FROM (SELECT *, len(w) AS n, unnest(range(len(w))) AS i FROM cut)),
+sixes AS (
+  SELECT doc_id, i, n, hash(array_to_string(v[i + 1 : i + 6], ' ')) AS six FROM (
+    SELECT doc_id, max(n) AS n, list(word ORDER BY i) AS v, unnest(range(max(n) - 5)) AS i FROM spots GROUP BY doc_id)),
+hits AS (
+  SELECT b.doc_id, b.i - a.i AS lag, b.i FROM sixes a JOIN sixes b ON a.doc_id = b.doc_id AND a.six = b.six AND a.i < b.i
+  WHERE 2 * (b.i - a.i) <= b.n),
+islands AS (
+  SELECT doc_id, lag, min(i) - lag AS start, count(*) + 5 + lag AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, lag ORDER BY i) AS island FROM hits)
+  GROUP BY doc_id, lag, island),
+runs AS (
+  SELECT doc_id, start, length, min(lag) AS period FROM islands WHERE length >= greatest(12, 2 * lag) GROUP BY doc_id, start, length),
+told AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed
+  FROM runs GROUP BY doc_id),
+best AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed FROM spots s
+  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = s.doc_id AND s.i >= r.start + r.period AND s.i < r.start + r.length)
+  GROUP BY doc_id)
+SELECT c.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256, len(w) AS n_words
+FROM cut c LEFT JOIN told USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
