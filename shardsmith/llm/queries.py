@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardsmith.llm import decontaminate, language, line_dedup, mixing, ngram_join, periodic, pii, quality, revisits, secrets, substring_dedup
+from shardsmith.llm import decontaminate, language, line_dedup, merkle, mixing, ngram_join, periodic, pii, quality, revisits, secrets, similarity, substring_dedup
 from shardsmith.llm.common import materialize
 
 QUERIES: dict = {}
@@ -251,3 +251,80 @@ SELECT c.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * le
   sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256, len(w) AS n_words
 FROM cut c LEFT JOIN told USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's leaf, roots and proof; some are then checked with the line breaks of their text deleted."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    seen = merkle.leaf_digest(*(F.col(f) for f in fields[:-1]), tampered)
+    docs = documents(spark, sf, "source", "lang", "n_chars")
+    out = merkle.manifest(docs, fields, "source", "doc_id", {"seen": seen})
+    folded = merkle.fold(F.col("seen"), F.col("path"))
+    out = out.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _merkle_sql(levels: int = 9) -> str:
+    told = lambda text: "sha256(" + " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    ctes = [f"""leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS g, {told("text")} AS leaf,
+    {told(f"(CASE WHEN ({CRC}) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END)")} AS seen FROM documents),
+d0 AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS total,
+    seen AS acc, '' AS proof FROM leaves),
+a0 AS (SELECT g, i, total, leaf AS node FROM d0)"""]
+
+    def climb(node: str, walk: str):
+        for k in range(levels):
+            ctes.append(f"""{node}{k + 1} AS (
+  SELECT g, i // 3 AS i, (max(total) + 2) // 3 AS total,
+    CASE WHEN max(total) > 1 THEN sha256(string_agg(node, '' ORDER BY i)) ELSE max(node) END AS node
+  FROM {node}{k} GROUP BY g, i // 3),
+{node}s{k} AS (
+  SELECT a.g, a.i, max(a.total) AS n, coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), '') AS l,
+    coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '') AS r
+  FROM {node}{k} a JOIN {node}{k} b ON a.g = b.g AND a.i // 3 = b.i // 3 GROUP BY a.g, a.i),
+{walk}{k + 1} AS (
+  SELECT d.* REPLACE (d.i // 3 AS i, CASE WHEN n > 1 THEN sha256(l || acc || r) ELSE acc END AS acc,
+    proof || CASE WHEN n > 1 THEN l || r ELSE '' END AS proof)
+  FROM {walk}{k} d JOIN {node}s{k} s ON s.g = d.g AND s.i = d.i)""")
+
+    climb("a", "d")
+    ctes.append(f"""b0 AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS total, node, g AS source FROM a{levels}),
+e0 AS (SELECT d.* REPLACE ('' AS g, b.i AS i), b.node AS subroot FROM d{levels} d JOIN b0 b ON b.source = d.g)""")
+    climb("b", "e")
+    return f"""WITH {", ".join(ctes)}
+SELECT doc_id, leaf, subroot, b.node AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = b.node AS verified
+FROM e{levels} CROSS JOIN b{levels} b"""
+
+
+ORACLES["op13_merkle_manifest"] = _merkle_sql()
+
+
+@query
+def op12_similarity_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    return similarity.near_duplicates(documents(spark, sf)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+# exact: two sets that link share one of the first n - ceil(0.8 n) + 1 shingles of each, rare ones first
+ORACLES["op12_similarity_sketch"] = """
+WITH RECURSIVE ws AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+spots AS (SELECT doc_id, w, unnest(range(greatest(len(w) - 1, least(len(w), 1)))) AS i FROM ws),
+shingles AS (SELECT DISTINCT doc_id, hash(array_to_string(w[i + 1 : i + 2], ' ')) AS s FROM spots),
+size AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+often AS (SELECT s, count(*) AS f FROM shingles GROUP BY s),
+ranked AS (SELECT doc_id, s, n, row_number() OVER (PARTITION BY doc_id ORDER BY f, s) AS r FROM shingles JOIN often USING (s) JOIN size USING (doc_id)),
+firsts AS (SELECT doc_id, s, n FROM ranked WHERE r <= n - (80 * n + 99) // 100 + 1),
+maybe AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM firsts a JOIN firsts b ON a.s = b.s AND a.doc_id < b.doc_id
+          WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+pairs AS (SELECT a, b, count(*) AS common FROM maybe JOIN shingles x ON x.doc_id = a JOIN shingles y ON y.doc_id = b AND y.s = x.s GROUP BY a, b),
+links AS (SELECT a, b FROM pairs JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, e.b FROM reach JOIN edges e ON e.a = reach.r)
+SELECT d.doc_id, coalesce(max(n), 0) AS n_shingles, min(r) AS component_id, d.doc_id = min(r) AS kept
+FROM documents d JOIN reach USING (doc_id) LEFT JOIN size USING (doc_id) GROUP BY d.doc_id
+"""
