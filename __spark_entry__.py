@@ -9,6 +9,7 @@ the same DJB2 hash with list functions (see ``_duck_djb2``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,8 +36,9 @@ from shardsmith.operators.routing import (
 from shardsmith.operators.search import multi_get, range_, search, term
 from shardsmith.operators.validate import rejects, typed_projection, validate
 from shardsmith.plans import layout
-from shardsmith.plans.alias import resolve_aliases
+from shardsmith.plans.alias import add_alias, resolve_aliases
 from shardsmith.plans.build import (
+    ConcurrentUpdateError,
     IndexSpec,
     build_index,
     compact_index,
@@ -47,13 +49,16 @@ from shardsmith.plans.build import (
     read_manifest,
     restore_snapshot,
     upsert,
+    verify_files,
     verify_snapshot,
 )
+from shardsmith.plans.commits import put_if_absent
+from shardsmith.plans.read import lookup, open_index
 from shardsmith.session import shared_dir
 from shardsmith.streaming.upserts import start_upsert_stream
 from shardsmith.sources.lines import read_lines, source_label
 from shardsmith.sources.tables import input_bytes, read_table
-from shardsmith.sources.template import parse_template
+from shardsmith.sources.template import load_template, parse_template
 
 # The corpus operators are a part of their own; without it the rest stands.
 try:
@@ -417,7 +422,7 @@ def q_compact_copies(spark, sf):
     texts = _t(spark, sf, "conversations").select(F.coalesce("text", F.lit("")).alias("value"))
     dest = _scratch(spark, "compact_copies")
     build_index(spark, documents_from_lines(texts, fmt="text"), dest, IndexSpec("texts", N, dedup=False))
-    compact_index(spark, dest, IndexSpec("texts", N))
+    compact_index(spark, dest, IndexSpec("texts", N), shards=list(range(N)))
     sound = verify_snapshot(spark, dest, "texts").where("NOT ok").isEmpty()
     return restore_snapshot(spark, dest, "texts").agg(
         F.count(F.lit(1)).alias("docs"), F.count_distinct("_id").alias("texts"), F.lit(sound).alias("sound")
@@ -432,7 +437,93 @@ def q_verify_damaged(spark, sf):
     spark.read.parquet(thinned).where("c_mktsegment <> 'MACHINERY'").write.parquet(rest)
     spark.read.parquet(rest).write.mode("overwrite").parquet(thinned)
     delete_path(spark, layout.shard_path(dest, "customer", res.generation, bucket_py("BUILDING", N)))
-    return verify_snapshot(spark, dest, "customer").select("shard", "ok", "reason")
+    return verify_snapshot(spark, dest, "customer").select("shard", "ok", "reason", "file_reason")
+
+
+def q_commit_race(spark, sf):
+    """Two updates of one parent at once, a delta and a rewrite: one is kept, the other refused, nothing of it is read."""
+    dest, res = _publish_table(spark, sf, "customer", "c_custkey", "commit_race")
+    auto = _t(spark, sf, "customer").where(F.col("c_mktsegment") == "AUTOMOBILE")
+
+    def update(mode: str, name: str) -> bool:
+        changes = documents_from_table(auto.withColumn("c_name", F.lit(name)), "c_custkey", seq_col=F.lit(1))
+        try:
+            upsert(spark, changes, dest, IndexSpec("customer", N, type_name="customer"), mode=mode, parent=res.generation)
+        except ConcurrentUpdateError:
+            return False
+        return True
+
+    with ThreadPoolExecutor(2) as pool:
+        kept = [f.result() for f in [pool.submit(update, "delta", "first"), pool.submit(update, "rewrite", "second")]]
+    winner = "first" if kept[0] else "second"
+    sound = verify_snapshot(spark, dest, "customer").where("NOT ok").isEmpty()
+    return restore_snapshot(spark, dest, "customer").agg(
+        F.lit(sum(kept)).cast("bigint").alias("kept"),
+        F.lit(latest_snapshot(spark, dest, "customer")["commit_no"]).cast("bigint").alias("commits"),
+        F.count(F.lit(1)).alias("docs"),
+        F.count(F.when(F.col("c_name") == winner, 1)).alias("changed"),
+        F.count(F.when(F.col("c_name").isin("first", "second") & (F.col("c_name") != winner), 1)).alias("of_the_other"),
+        F.lit(sound).alias("sound"),
+    )
+
+
+def q_verify_files(spark, sf):
+    """Customers with a layer of changes, then the files of one shard's base are lost: sums by generation of what the files hold."""
+    dest, res = _publish_table(spark, sf, "customer", "c_custkey", "verify_files", routing_col="c_mktsegment")
+    changes = documents_from_table(_customer_changes(spark, sf), "c_custkey", routing_col="c_mktsegment", seq_col=F.lit(1))
+    upsert(spark, changes, dest, IndexSpec("customer", N, type_name="customer"), mode="delta")
+    delete_path(spark, layout.shard_path(dest, "customer", res.generation, bucket_py("BUILDING", N)))
+    each = verify_files(spark, dest, "customer").withColumn("base", F.col("gen") == res.generation)
+    return each.groupBy("shard", "base").agg(
+        F.max("reason").alias("reason"), F.sum("docs").alias("docs"), F.sum("expected_docs").alias("expected_docs"), F.sum("live_docs").alias("live_docs")
+    )
+
+
+def q_load_template(spark, sf):
+    """A template file read from storage; orders as JSON lines typed by it."""
+    path = f"{_scratch(spark, 'load_template')}/orders.json"
+    put_if_absent(spark, path, ORDER_TEMPLATE)
+    mapping = load_template(spark, path, "order")
+    orders = _t(spark, sf, "orders")
+    body = F.to_json(F.struct("o_orderkey", F.struct(F.col("o_custkey").alias("key")).alias("cust"), "o_totalprice", "o_orderpriority"))
+    typed = typed_projection(documents_from_lines(orders.select(body.alias("value")), id_field="o_orderkey"), mapping)
+    return typed.select("_id", "o_orderkey", F.col("cust.key").alias("custkey"), "o_totalprice", "o_orderpriority")
+
+
+# Mapping of the documents of ``load_template``.
+ORDER_TEMPLATE = """
+{"template": "orders*", "mappings": {"order": {"dynamic": "strict", "properties": {
+   "o_orderkey": {"type": "long"}, "cust": {"properties": {"key": {"type": "long"}}},
+   "o_totalprice": {"type": "double"}, "o_orderpriority": {"type": "string"}}}}}
+"""
+
+
+def q_missing_id(spark, sf):
+    """Events as JSON lines whose id is written only if their user has an even number; the others are refused."""
+    ev = _t(spark, sf, "events")
+    body = F.to_json(F.struct(F.when(F.col("user_id") % 2 == 0, F.col("event_id")).alias("id"), "event_type"))
+    dest = _scratch(spark, "missing_id")
+    res = build_index(spark, documents_from_lines(ev.select(body.alias("value")), id_field="id"), dest, IndexSpec("events", N))
+    kept = restore_snapshot(spark, dest, "events").agg(F.lit("stored").alias("reason"), F.count(F.lit(1)).alias("n"))
+    return reject_summary(res.rejects(spark)).unionByName(kept)
+
+
+def q_stored_alias(spark, sf):
+    """An alias is stored for one index, then moved to another, which is opened by it."""
+    dest = _scratch(spark, "stored_alias")
+    for seq, (table, key) in enumerate((("customer", "c_custkey"), ("supplier", "s_suppkey"))):
+        build_index(spark, documents_from_table(_t(spark, sf, table), key), dest, IndexSpec(table, N, type_name=table))
+        add_alias(spark, dest, "partners", table, seq)
+    docs, shards = open_index(spark, dest, "partners")
+    return docs.select("s_suppkey", "s_name", F.lit(shards).alias("shards"))
+
+
+def q_lookup_ids(spark, sf):
+    """Customers whose number is that of a nation, read by id through an alias: each from the shard that holds it."""
+    dest, res = _publish_table(spark, sf, "customer", "c_custkey", "lookup_ids")
+    add_alias(spark, dest, "clients", "customer", 1)
+    ids = [str(r.n_nationkey) for r in _t(spark, sf, "nation").select("n_nationkey").collect()]  # the 25 nations
+    return lookup(spark, dest, "clients", ids).select("_id", "c_custkey", "c_name", F.col("_shard").cast("int").alias("shard"))
 
 
 def q_nested_fields(spark, sf):
@@ -580,8 +671,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_modes": q_upsert_modes,
     "compact_copies": q_compact_copies,
     "verify_damaged": q_verify_damaged,
+    "verify_files": q_verify_files,
+    "commit_race": q_commit_race,
     "nested_fields": q_nested_fields,
+    "load_template": q_load_template,
+    "missing_id": q_missing_id,
     "resolve_alias": q_resolve_alias,
+    "stored_alias": q_stored_alias,
+    "lookup_ids": q_lookup_ids,
     "search_term": q_search_term,
     "search_range": q_search_range,
     "search_topk": q_search_topk,
@@ -746,9 +843,26 @@ def oracle_sql() -> dict[str, str]:
         "(SELECT count(DISTINCT k) AS docs FROM (SELECT c_custkey AS k FROM customer UNION ALL SELECT s_suppkey + 1000000 FROM supplier)), "
         "(SELECT count(*) AS suppliers FROM supplier)",
         "compact_copies": "SELECT count(*) AS docs, count(DISTINCT coalesce(text, '')) AS texts, true AS sound FROM conversations",
-        "verify_damaged": f"SELECT shard, reason IS NULL AS ok, reason FROM (SELECT shard, CASE WHEN shard = {_duck_bucket(chr(39) + 'BUILDING' + chr(39))} "
+        "verify_damaged": f"SELECT shard, reason IS NULL AS ok, reason, CASE WHEN reason IS NOT NULL THEN 'missing_file' END AS file_reason FROM (SELECT shard, CASE WHEN shard = {_duck_bucket(chr(39) + 'BUILDING' + chr(39))} "
         f"THEN 'missing_folder' WHEN shard = {_duck_bucket(chr(39) + 'MACHINERY' + chr(39))} THEN 'docs' END AS reason "
         f"FROM (SELECT CAST(i AS INTEGER) AS shard FROM range({N}) t(i)))",
+        "verify_files": f"""
+WITH base AS (SELECT c_custkey, {_duck_bucket('c_mktsegment')} AS shard, c_mktsegment = 'AUTOMOBILE' AS moved FROM customer),
+stored AS (
+  SELECT shard, true AS base, count(*) AS expected_docs, count(*) FILTER (NOT moved) AS live FROM base GROUP BY shard
+  UNION ALL
+  SELECT shard, false, count(*), count(*) FROM (SELECT shard FROM base WHERE moved UNION ALL
+    SELECT {_duck_bucket("'SUPPLIER'")} FROM supplier) GROUP BY shard)
+SELECT shard, base, CASE WHEN gone THEN 'missing_file' END AS reason, CASE WHEN gone THEN 0 ELSE expected_docs END AS docs,
+  expected_docs, CASE WHEN gone THEN 0 ELSE live END AS live_docs
+FROM (SELECT *, base AND shard = {_duck_bucket("'BUILDING'")} AS gone FROM stored)""",
+        "commit_race": "SELECT 1 AS kept, 2 AS commits, count(*) AS docs, count(*) FILTER (c_mktsegment = 'AUTOMOBILE') AS changed, "
+        "0 AS of_the_other, true AS sound FROM customer",
+        "load_template": "SELECT o_orderkey::VARCHAR AS _id, o_orderkey, o_custkey AS custkey, o_totalprice, o_orderpriority FROM orders",
+        "missing_id": "SELECT CASE WHEN user_id % 2 = 0 THEN 'stored' ELSE 'missing_id' END AS reason, count(*) AS n FROM events GROUP BY 1",
+        "stored_alias": f"SELECT s_suppkey, s_name, {N} AS shards FROM supplier",
+        "lookup_ids": f"SELECT c_custkey::VARCHAR AS _id, c_custkey, c_name, {cust_bucket} AS shard FROM customer "
+        "WHERE c_custkey IN (SELECT n_nationkey FROM nation)",
         "nested_fields": "SELECT conv_id, turn, CASE turn WHEN 1 THEN 'undeclared_field' WHEN 2 THEN 'wrong_type' WHEN 3 THEN 'wrong_type' END "
         "AS reason, CASE WHEN turn IN (1, 2, 3) THEN 'turns' END AS field FROM conversations",
         "resolve_alias": "SELECT alias, index FROM (SELECT lower(r_name) AS alias, lower(n_name) AS index, "

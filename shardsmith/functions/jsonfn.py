@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _as_col(c: Column | str) -> Column:
@@ -37,6 +38,48 @@ def is_json_object(text: Column | str) -> Column:
     return F.coalesce(object_keys(x).isNotNull() & alone & member, F.lit(False))
 
 
+# Fixed value: follows a line's text while it is parsed, so that whatever stands behind its first value is seen.
+END = "~end of line~"
+_TAIL = f',"{END}"]'
+
+
+def parse_objects(df: DataFrame, text: str = "value") -> DataFrame:
+    """``df`` with ``_object`` (P2), ``_compact`` (P1, else the text) and ``_doc``: the object as a VARIANT, parsed once.
+
+    The text goes through the parser as the first of two values, the second
+    one fixed: the pair is printed compactly, and that is parsed into a
+    VARIANT.  If its second value is the fixed one, the text is one value and
+    nothing else.  Texts that give no VARIANT (not JSON, or repeated members)
+    or hold the fixed value themselves go through :func:`is_json_object`;
+    their ``_doc`` is NULL.
+    """
+    x, cols = F.col(text), df.columns
+    pair = F.get_json_object(F.concat(F.lit("["), x, F.lit(_TAIL)), "$")
+    df = df.select(*cols, pair.alias("_pair")).select("*", F.try_parse_json("_pair").alias("_both"))
+    one = (F.try_variant_get("_both", "$[1]", "string") == END) & ~x.contains(END)
+    df = df.select("*", F.coalesce(one, F.lit(False)).alias("_one"))
+    is_object = F.when(F.col("_one"), F.col("_pair").startswith("[{")).otherwise(is_json_object(x))
+    df = df.select("*", is_object.alias("_object"))
+    parsed = F.col("_one") & F.col("_object")
+    printed = F.substr(F.col("_pair"), F.lit(2), F.length("_pair") - (1 + len(_TAIL)))
+    return df.select(
+        *cols,
+        "_object",
+        F.when(parsed, printed).when(F.col("_object"), compact_json(x)).otherwise(x).alias("_compact"),
+        F.when(parsed, F.variant_get("_both", "$[0]", "variant")).alias("_doc"),
+    )
+
+
+def member_text(doc: Column, source: Column, name: str) -> Column:
+    """The text of a member: from the VARIANT for texts and whole numbers, else as the document writes it (of repeated
+    members the last)."""
+    path = json_path(name)
+    kind = F.schema_of_variant(F.variant_get(doc, path, "variant"))
+    written = F.from_json(source, T.StructType([T.StructField(name, T.StringType())]))[name]
+    absent = doc.isNotNull() & kind.isNull()
+    return F.when(kind.isin("STRING", "BIGINT"), F.try_variant_get(doc, path, "string")).when(~absent, written)
+
+
 def json_path(*names: str) -> str:
     """A JSON path for nested member names, bracket-quoted where needed."""
     parts = ["$"]

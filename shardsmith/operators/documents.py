@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardsmith.functions.jsonfn import compact_json, is_json_object
+from shardsmith.functions.jsonfn import member_text, parse_objects
 
 ENVELOPE = ["_id", "_routing", "_seq", "_source"]
 
@@ -36,7 +36,9 @@ def documents_from_lines(
     """Turn a ``value STRING`` frame (one document per line) into documents.
 
     ``fmt='json'``: the line is parsed and re-printed compactly (P1); lines that
-    are not JSON objects keep their raw text and are later rejected (P2).
+    are not JSON objects keep their raw text and are later rejected (P2).  The
+    parsed object goes along as a VARIANT (``_doc``, with ``_object``) for the
+    checks and the build, which drop it.
     ``fmt='text'``: the raw line becomes ``{"value": <line>}`` (P8).
 
     Without ``id_field`` the id is the SHA-256 of the source text, so the same
@@ -44,29 +46,25 @@ def documents_from_lines(
     ``routing_field`` routes by a member of the document (R6); the default
     routing is the id.
     """
-    value = F.col("value")
     if fmt == "text":
-        docs = lines.select(text_document(value).alias("_source"))
+        docs = lines.select(text_document("value").alias("_source"))
+        parsed = []
     elif fmt == "json":
-        # the raw line is kept when it is not one object and nothing else
-        docs = lines.select(F.when(is_json_object(value), compact_json(value)).otherwise(value).alias("_source"))
+        # parsed here, and never again: ``_doc`` and ``_object`` go along until the checks are done
+        docs = parse_objects(lines.select("value")).select(F.col("_compact").alias("_source"), "_object", "_doc")
+        parsed = ["_object", "_doc"]
     else:
         raise ValueError(f"fmt must be 'json' or 'text', got {fmt!r}")
-    # id, routing and version members in one more parse (top-level names)
-    names = list(dict.fromkeys(f for f in (id_field, routing_field, seq_field) if f))
-    if names:
-        docs = docs.select("_source", F.json_tuple("_source", *names)).toDF("_source", *[f"_m{i}" for i in range(len(names))])
-    member = {n: F.col(f"_m{i}") for i, n in enumerate(names)}
     src = F.col("_source")
-    _id = member[id_field] if id_field else F.sha2(src, 256)
-    routing = member[routing_field] if routing_field else F.col("_id")
-    seq = member[seq_field].try_cast("bigint") if seq_field else F.lit(0).cast("bigint")
-    return (
-        docs.withColumn("_id", _id)
-        .withColumn("_routing", routing)
-        .withColumn("_seq", seq)
-        .select(*ENVELOPE)
-    )
+
+    doc = F.col("_doc") if parsed else F.lit(None).cast("variant")
+    member = lambda name: member_text(doc, src, name)
+
+    _id = member(id_field) if id_field else F.sha2(src, 256)
+    docs = docs.withColumn("_id", _id)
+    routing = member(routing_field) if routing_field else F.col("_id")
+    seq = member(seq_field).try_cast("bigint") if seq_field else F.lit(0).cast("bigint")
+    return docs.withColumns({"_routing": routing, "_seq": seq}).select(*ENVELOPE, *parsed)
 
 
 def text_document(text: Column | str) -> Column:

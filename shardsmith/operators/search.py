@@ -76,14 +76,29 @@ def get_by_id(index: DataFrame, n: int, ids: Iterable[str], routing: Iterable[st
     by_shard: dict[int, list[str]] = {}
     for i, r in zip(ids, routes):
         by_shard.setdefault(bucket_py(r, n), []).append(i)
-    conds = [(F.col("_shard") == s) & F.col("_id").isin(wanted) for s, wanted in sorted(by_shard.items())]
+    conds = [(F.col("_shard") == s) & _one_of(wanted) for s, wanted in sorted(by_shard.items())]
+    return index.where(_any(conds)) if conds else index.limit(0)
+
+
+def _any(conds: list[Column]) -> Column:
+    """A balanced disjunction."""
     while len(conds) > 1:
         conds = [a | b for a, b in zip(conds[::2], conds[1::2])] + (conds[-1:] if len(conds) % 2 else [])
-    return index.where(conds[0]) if conds else index.limit(0)
+    return conds[0]
+
+
+# Ids of a shard that go to the scan one by one.  A longer IN list reaches it as a range only, which Bloom filters can't answer.
+PUSHED_IDS = 256
+
+
+def _one_of(ids: list[str]) -> Column:
+    ids = sorted(set(ids))
+    return _any([F.col("_id") == i for i in ids]) if len(ids) <= PUSHED_IDS else F.col("_id").isin(ids)
 
 
-# Largest id list that is broadcast to every task (about 100 MB of keys).
-BROADCAST_IDS = 2_000_000
+# Most bytes of ids that are broadcast to every task, and what a key takes in the broadcast table besides its id.
+BROADCAST_ID_BYTES = 64 << 20
+KEY_OVERHEAD = 48
 
 
 def multi_get(
@@ -92,18 +107,25 @@ def multi_get(
     wanted: DataFrame,
     id_col: str = "_id",
     routing_col: str | None = None,
-    broadcast_limit: int = BROADCAST_IDS,
+    broadcast_bytes: int = BROADCAST_ID_BYTES,
+    pushed_ids: int = PUSHED_IDS,
 ) -> DataFrame:
     """Q2 for many ids held in a DataFrame: semi-join on (shard, id).
 
-    The distinct requested keys are counted first.  Up to ``broadcast_limit``
-    they are broadcast, so the index side is never shuffled and Spark prunes
-    shard folders at run time (dynamic partition pruning on ``_shard``).
-    Above the limit it is an ordinary shuffled join."""
+    The distinct requested keys are counted and measured first.  Up to
+    ``pushed_ids`` go into the filter as in :func:`get_by_id`: shard folders
+    are pruned and row groups skipped by the Bloom filters of their ids.  Up to
+    ``broadcast_bytes`` they are broadcast, so the index side is never shuffled
+    and Spark prunes shard folders at run time (dynamic partition pruning on
+    ``_shard``).  Above that it is an ordinary shuffled join."""
     keys = wanted.select(
         F.col(id_col).cast("string").alias("_id"),
         hash_bucket(F.col(routing_col or id_col).cast("string"), n).alias("_shard"),
     ).distinct()
-    if keys.count() <= broadcast_limit:
+    size = keys.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("_id")), F.lit(0)).alias("b")).first()
+    if size["n"] <= pushed_ids:
+        conds = [(F.col("_shard") == r["_shard"]) & (F.col("_id") == r["_id"]) for r in keys.where("_id IS NOT NULL").collect()]
+        return index.where(_any(conds)) if conds else index.limit(0)
+    if size["b"] + KEY_OVERHEAD * size["n"] <= broadcast_bytes:
         keys = F.broadcast(keys)
     return index.join(keys, ["_shard", "_id"], "left_semi")

@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardsmith.functions.jsonfn import is_json_object, json_path, object_keys, variant_kind
+from shardsmith.functions.jsonfn import json_path, object_keys, parse_objects, variant_kind
 from shardsmith.sources.template import FRACTIONAL, INTEGRAL, FieldSpec, Mapping
 
 # Reason codes written to the rejects table.
@@ -30,6 +30,8 @@ UNDECLARED_FIELD = "undeclared_field"
 WRONG_TYPE = "wrong_type"
 MISSING_ID = "missing_id"
 
+PARSED = ("_object", "_doc")  # what documents that were parsed bring along
+
 _INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 _NUM_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 _INT_KINDS = ["BIGINT", "INT", "SMALLINT", "TINYINT"]
@@ -180,8 +182,8 @@ def _members(spec_fields, v, names, plan: _Plan) -> list[Column]:
 def validate(docs: DataFrame, mapping: Mapping, *, numeric_text: bool = True, observation=None) -> DataFrame:
     """Add ``_reason``, ``_field`` and typed mapping columns to ``docs``.
 
-    Three projections: parse once (member names + VARIANT), materialise each
-    declared member's kind, then derive the reason and typed values from those
+    Three projections: take the VARIANT of :func:`documents_from_lines` (or
+    parse once) and the member names, materialise each declared member's kind, then derive the reason and typed values from those
     columns.  Filters on ``_reason`` that Spark pushes down therefore repeat
     only cheap comparisons, never a JSON parse."""
     src = F.col("_source")
@@ -192,15 +194,22 @@ def validate(docs: DataFrame, mapping: Mapping, *, numeric_text: bool = True, ob
     plan.add(F.size(keys) != F.size(F.array_distinct(keys)), DUPLICATE_FIELD, _first_duplicate(keys))
     plan.add(v.isNull(), DUPLICATE_FIELD, F.lit(None).cast("string"))
     if mapping.strict:
-        extra = F.array_except(keys, F.array(*[F.lit(n) for n in mapping.field_names]))
-        plan.add(F.size(extra) > 0, UNDECLARED_FIELD, F.element_at(extra, 1))
+        names = F.array(*[F.lit(n) for n in mapping.field_names])
+        extra = F.array_except(keys, names)
+        # a VARIANT has its members by name; of several undeclared ones the first written is named
+        first = F.when(F.size(extra) > 1, F.element_at(F.array_except(object_keys(src), names), 1)).otherwise(F.element_at(extra, 1))
+        plan.add(F.size(extra) > 0, UNDECLARED_FIELD, first)
     values = _members(mapping.fields, v, [], plan)
     plan.add(F.col("_id").isNull() | F.col("_routing").isNull(), MISSING_ID, F.lit(None).cast("string"))
-    parsed = docs.select("*", F.when(is_json_object(src), object_keys(src)).alias("_keys"), F.try_parse_json(src).alias("_v"))
+    carried = PARSED if set(PARSED) <= set(docs.columns) else ()
+    docs = docs if carried else parse_objects(docs, "_source").drop("_compact")
+    written = F.when(F.col("_object"), object_keys(src))  # only of objects that give no VARIANT
+    parsed = docs.withColumnRenamed("_doc", "_v")
+    parsed = parsed.withColumn("_keys", F.when(v.isNotNull(), _variant_keys(v, "$")).otherwise(written))
     kinded = parsed.select("*", *[e.alias(n) for n, e in plan.kinds])
     declared = set(mapping.field_names)
     checked = kinded.select(
-        *[c for c in docs.columns if c not in declared],  # validated values replace same-named columns
+        *[c for c in docs.columns if c not in declared and c not in PARSED],  # validated values replace same-named columns
         plan.reason().alias("_reason"),
         plan.field().alias("_field"),
         *[val.alias(spec.name) for val, spec in zip(values, mapping.fields)],

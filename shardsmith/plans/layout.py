@@ -2,8 +2,10 @@
 
     <dest>/indices/<index>/data/gen=<g>/_shard=<k>/part-*.parquet   shard files
     <dest>/indices/<index>/manifest/gen=<g>/                         n rows, one per shard
+    <dest>/indices/<index>/files/gen=<g>/                            a row for each data file (plans/files.py)
+    <dest>/indices/<index>/masks/gen=<g>/_shard=<k>/                 bitmaps of the rows that updates replaced
     <dest>/indices/<index>/ingest/gen=<g>/_status=rejected/          refused documents
-    <dest>/snapshots/<index>/gen=<g>/                                one row; commits <g>
+    <dest>/snapshots/<index>/commit-<n>.json                         one row; commits a generation (plans/commits.py)
     <dest>/aliases/                                                  alias rows
 
 A generation is never modified after it is written; a rebuild or upsert
@@ -47,6 +49,22 @@ def shard_path(dest: str, index: str, gen: str, shard: int) -> str:
     return f"{data_path(dest, index, gen)}/_shard={shard}"
 
 
+def files_root(dest: str, index: str) -> str:
+    return f"{index_root(dest, index)}/files"
+
+
+def files_path(dest: str, index: str, gen: str) -> str:
+    return f"{files_root(dest, index)}/gen={gen}"
+
+
+def masks_root(dest: str, index: str) -> str:
+    return f"{index_root(dest, index)}/masks"
+
+
+def masks_path(dest: str, index: str, gen: str) -> str:
+    return f"{masks_root(dest, index)}/gen={gen}"
+
+
 def manifest_path(dest: str, index: str, gen: str) -> str:
     return f"{index_root(dest, index)}/manifest/gen={gen}"
 
@@ -55,9 +73,5 @@ def snapshots_root(dest: str, index: str) -> str:
     return f"{dest.rstrip('/')}/snapshots/{index}"
 
 
-def snapshot_path(dest: str, index: str, gen: str) -> str:
-    return f"{snapshots_root(dest, index)}/gen={gen}"
-
-
 def aliases_root(dest: str) -> str:
     return f"{dest.rstrip('/')}/aliases"

@@ -2,30 +2,30 @@
 
 New JSON lines arriving in a folder are applied to a published index, one
 new generation per micro-batch (a delta layer or a shard rewrite, chosen by
-size), through ``foreachBatch``.  The batch id is
-stored in the committed snapshot row, so a micro-batch that is replayed after
-a failure (Structured Streaming re-runs the last uncommitted batch) is
-recognised and skipped: at most one generation per batch.
+size), through ``foreachBatch``.  Every commit carries the last batch of each
+query, so a micro-batch that is replayed after a failure (Structured Streaming
+re-runs the last uncommitted batch) is told from the newest commit alone, and
+skipped: at most one generation per batch.  A stream that starts over with a
+new checkpoint numbers its batches anew, so it needs a new ``query_name``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shardsmith.operators.documents import documents_from_lines
-from shardsmith.plans.build import IndexSpec, list_snapshots, upsert
+from shardsmith.plans.build import IndexSpec, newest_snapshot, upsert
 
 
 def apply_batch(spark: SparkSession, lines: DataFrame, batch_id: int, dest: str, spec: IndexSpec,
                 id_field: str, seq_field: str | None = None, routing_field: str | None = None,
                 query_name: str = "stream", mode: str = "auto") -> str | None:
-    tag = f"{query_name}:{batch_id}"
-    seen = list_snapshots(spark, dest, spec.index).where(F.col("tag") == tag).limit(1).count()
-    if seen:
+    newest = newest_snapshot(spark, dest, spec.index)
+    if newest and (newest.get("batches") or {}).get(query_name, -1) >= batch_id:
         return None
     docs = documents_from_lines(lines, id_field=id_field, seq_field=seq_field, routing_field=routing_field)
-    return upsert(spark, docs, dest, spec, tag=tag, mode=mode).generation
+    tag = f"{query_name}:{batch_id}"
+    return upsert(spark, docs, dest, spec, tag=tag, mode=mode, batch=(query_name, batch_id)).generation
 
 
 def start_upsert_stream(

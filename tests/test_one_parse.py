@@ -1,0 +1,65 @@
+"""A line is parsed into one VARIANT that the checks use; odd lines give what they gave."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from shardsmith.functions.jsonfn import END, compact_json, is_json_object, parse_objects
+from shardsmith.operators.documents import documents_from_columns, documents_from_lines
+from shardsmith.operators.validate import validate
+from shardsmith.plans.build import IndexSpec, prepare
+from shardsmith.sources.template import parse_template
+
+LINES = [
+    '{"b": 1, "a": null}', '  {"a":{"y":[1, 2 ,{"z":1.50}]}}\t', "{}", " { } ", '{"a":1}{"b":2}', '{"a":1},{"b":2}', '{"a":1}],[{"b":2}',
+    '{"a":1}],[2', '{"a":1}}', '{"a":1} x', "[{}]", "[1,2]", "42", "null", "true", '"text"', "", "   ", "{", "nope", '{"a":1,"a":2}',
+    "{'a': 'single'}", '{"a":"tab\there"}', '{"a":1e3,"b":1.0,"c":12345678901234567890123456789012345678901234567890}', '{"a":"\\u00e9 \\" \\\\ é"}',
+    f'{{"a":1}},"{END}"]', f'{{"a":"{END}"}}', f'{{"a":1}}, "{END}"] junk', f'"{END}"', '{"a":[]}', '{"a":{"a":1,"a":2}}', '{"":1}',
+]
+
+
+def lines(spark):
+    return spark.createDataFrame([(x,) for x in LINES] + [(None,)], "value string")
+
+
+def test_objects_and_compact_text(spark):
+    """The one parse agrees with the separate functions on every line."""
+    out = parse_objects(lines(spark)).withColumns({"object": is_json_object("value"), "compact": compact_json("value")})
+    for r in out.collect():
+        assert bool(r._object) == r.object, r.value
+        assert r._compact == (r.compact if r.object else r.value), r.value
+        assert r._doc is None or r.object
+    with_doc = {r.value for r in out.where(F.col("_doc").isNotNull()).collect()}
+    assert '{"b": 1, "a": null}' in with_doc and " { } " in with_doc and '{"a":1,"a":2}' not in with_doc
+
+
+@pytest.mark.parametrize("name", ["a", "b", "missing"])
+def test_member_texts(spark, name):
+    """Ids are the same whether they come from the VARIANT or from the text."""
+    got = documents_from_lines(lines(spark), id_field=name).select("_id", "_source", "_object").collect()
+    want = lines(spark).select(F.when(is_json_object("value"), compact_json("value")).otherwise(F.col("value")).alias("_source"))
+    want = want.select("_source", F.json_tuple("_source", name).alias("_id")).collect()
+    of = {r._source: r._id for r in want}
+    assert all(r._id == of[r._source] for r in got if r._object)
+
+
+def test_one_parse_json_in_the_plan(spark):
+    mapping = parse_template('{"mappings": {"t": {"dynamic": "strict", "properties": {"a": {"type": "string"}, "n": {"type": "integer"}}}}}')
+    docs = documents_from_lines(lines(spark), id_field="a", seq_field="n")
+    plan = prepare(docs, IndexSpec("x", 2, mapping=mapping))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"parse_json\(|parseJson", plan)) == 1, plan
+
+
+def test_checks_with_and_without_a_carried_parse(spark):
+    mapping = parse_template('{"mappings": {"t": {"dynamic": "strict", "properties": {"a": {"type": "string"}, "b": {"type": "long"}}}}}')
+    more = [('{"z":1,"y":2,"a":"x"}',), ('{"y":2,"z":1}',), ('{"a":{"k":1}}',), ('{"b":"7","a":"t"}',), ('{"b":7.5}',)]
+    df = lines(spark).unionByName(spark.createDataFrame(more, "value string"))
+    got = validate(documents_from_lines(df), mapping)
+    bare = validate(documents_from_columns(df.where("value is not null"), id_col=F.lit("i"), source="value"), mapping)
+    rows = {r._source: (r._reason, r._field, r.a, r.b) for r in got.collect()}
+    for r in bare.withColumn("_c", F.when(is_json_object("_source"), compact_json("_source")).otherwise(F.col("_source"))).collect():
+        assert rows[r._c] == (r._reason, r._field, r.a, r.b), r._source
+    assert rows['{"z":1,"y":2,"a":"x"}'][:2] == ("undeclared_field", "z") and rows['{"y":2,"z":1}'][:2] == ("undeclared_field", "y")
+    assert rows['{"a":1,"a":2}'][0] == "duplicate_field" and rows['{"b":"7","a":"t"}'] == (None, None, "t", 7)
+    assert not {"_doc", "_object"} & set(got.columns)
