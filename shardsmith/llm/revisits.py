@@ -10,14 +10,18 @@ that describe a body or a connection.
 
 The as-of join is two windows: within a URL and a time block, then over the
 last response of each block, so a URL that holds a third of all records is
-spread over its blocks.  Payloads are joined by record id in the end.
+spread over its blocks.  Records of equal URL and time are one row there, so
+that a window holds at most as many rows as its block has seconds.  The
+answer belongs to a URL and a time; payloads are joined to it in the end.
 
 Outcomes (``outcome``): ``response`` for what is no revisit, ``resolved``,
 ``mismatch``, ``no_validator`` or ``no_response``.  Defined cases: a null URL
 or time finds and serves nothing; a null header map is empty, header names
 are lower-cased and the last of equal names holds; responses of equal time
-go by the greatest id; rows with equal ids are one record as a source of
-payload; empty payloads are payloads; other columns stay as they are, save
+go by the greatest id, a null id being the smallest, and those of equal ids by
+a hash of headers and payload; ids need not be unique: a revisit gets the
+payload of its own URL, whatever else has its id; a response without an id
+serves, with a null ``refers_to``; empty payloads are payloads; other columns stay as they are, save
 those named like an output, which are replaced; empty tables give empty
 results.
 """
@@ -71,21 +75,29 @@ def resolve_revisits(records: DataFrame, block_seconds: int = 86_400) -> DataFra
     ``headers``, ``payload``, ``refers_to`` and ``outcome``."""
     names = [c for c in records.columns if c not in ("refers_to", "outcome")]
     records = records.select(*names).withColumns({"__url": canonical_url(F.col("url")), "headers": clean_headers(F.col("headers"))})
-    full = (F.col("record_type") == "response") & (F.col("status") == 200)
-    slim = records.filter(F.col("__url").isNotNull() & F.col("time").isNotNull()).select("record_id", "__url", "time", F.floor(F.col("time") / block_seconds).alias("__block"), F.coalesce(full, F.lit(False)).alias("__full"), (F.col("record_type") == "revisit").alias("__revisit"))
-    here = F.when(F.col("__full"), F.struct("time", "record_id"))
-    within = W.partitionBy("__url", "__block").orderBy("time").rangeBetween(W.unboundedPreceding, -1)
-    near = slim.select("*", F.max(here).over(within).alias("__near")).filter("__revisit")
-    blocks = slim.groupBy("__url", "__block").agg(F.max(here).alias("__last"))
+    full = F.coalesce((F.col("record_type") == "response") & (F.col("status") == 200), F.lit(False))
+    dated = F.col("__url").isNotNull() & F.col("time").isNotNull()
+    # tells apart responses of equal url, time and id
+    records = records.withColumn("__body", F.when(full & dated, F.xxhash64(F.array_sort(F.map_entries("headers")), F.col("payload").isNull(), "payload")))
+    here = F.when(full, F.struct("time", "record_id", "__body"))
+    slim = records.filter(dated).withColumns({"__block": F.floor(F.col("time") / block_seconds), "__here": here})
+    # one row for each second of a url, so a window holds no more than a block's seconds
+    points = slim.groupBy("__url", "__block", "time").agg(F.max("__here").alias("__here"), F.max(F.col("record_type") == "revisit").alias("__asked"))
+    within = W.partitionBy("__url", "__block").orderBy("time").rowsBetween(W.unboundedPreceding, -1)
+    near = points.withColumn("__near", F.max("__here").over(within)).filter("__asked")
+    blocks = points.groupBy("__url", "__block").agg(F.max("__here").alias("__last"))
     before = W.partitionBy("__url").orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
     far = blocks.select("__url", "__block", F.max("__last").over(before).alias("__far")).filter(F.col("__far").isNotNull())
-    near = near.join(far, ["__url", "__block"], "left").select("record_id", F.coalesce("__near", "__far")["record_id"].alias("refers_to")).filter(F.col("refers_to").isNotNull())
-    near = near.dropDuplicates(["record_id"])
-    served = records.filter(full).select(F.col("record_id").alias("__id"), F.col("headers").alias("__headers"), F.col("payload").alias("__payload")).dropDuplicates(["__id"])
-    found = near.join(served, F.col("refers_to") == F.col("__id")).select(F.col("record_id").alias("__revisit_id"), "refers_to", "__headers", "__payload")
-    revisits = records.filter(F.col("record_type") == "revisit").join(found, F.col("record_id") == F.col("__revisit_id"), "left")
+    # the answer is one of the url and time, whatever ids the records have
+    answers = near.join(far, ["__url", "__block"], "left").select(F.col("__url").alias("__at"), F.col("time").alias("__when"), F.coalesce("__near", "__far").alias("__r")).filter(F.col("__r").isNotNull())
+    served = records.filter(full & dated).select(F.col("__url").alias("__from"), F.struct("time", "record_id", "__body").alias("__key"), F.col("record_id").alias("refers_to"), F.col("headers").alias("__headers"), F.col("payload").alias("__payload"))
+    served = served.withColumns({"__t": F.col("__key")["time"], "__b": F.col("__key")["__body"]}).dropDuplicates(["__from", "__t", "refers_to", "__b"]).drop("__key")
+    r = F.col("__r")
+    same = (F.col("__at") == F.col("__from")) & (r["time"] == F.col("__t")) & (r["__body"] == F.col("__b")) & r["record_id"].eqNullSafe(F.col("refers_to"))
+    found = answers.join(served, same).select("__at", "__when", F.lit(True).alias("__found"), "refers_to", "__headers", "__payload")
+    revisits = records.filter(F.col("record_type") == "revisit").join(found, (F.col("__url") == F.col("__at")) & (F.col("time") == F.col("__when")), "left")
     agrees = _agrees(F.col("__headers"), F.col("headers"))
-    outcome = F.when(F.col("refers_to").isNull(), "no_response").when(agrees.isNull(), "no_validator").when(agrees, "resolved").otherwise("mismatch")
+    outcome = F.when(F.col("__found").isNull(), "no_response").when(agrees.isNull(), "no_validator").when(agrees, "resolved").otherwise("mismatch")
     revisits = revisits.withColumn("outcome", outcome)
     good = F.col("outcome") == "resolved"
     new = {

@@ -19,15 +19,16 @@ documents link when ``den * intersection >= num * union`` (4/5).  Steps:
     whole sets: first each against one hub, the class of its bands that has
     the most company (of near copies, that is the text they were made from);
     then against all hubs of its bands that are in another component; then
-    what is left, the pairs that share a band but no component, list by list.
-    There the sketches are compared in place, and only pairs that agree in at
-    least as many coordinates as a link does but with probability 2e-8 come
-    out to be verified.
+    what is left, the classes that share a hub but no component, list by list.
+    There sketches are compared in place, the whole sets of pairs that agree
+    in at least as many coordinates as a link does but with probability 2e-8
+    are compared in place as well, and only links come out.
 
 Links only have to yield components, so a pair within one is never looked at
-again: n copies of a text cost 2n verifications, and no pairs of them are
-listed.  A long list is cut into blocks, and each pair of blocks is a list of
-its own, so no list is gathered whole and none is capped.
+again: n copies of a text cost 2n verifications, and no pairs are ever listed.
+The company of a hub is cut into blocks, those of its main component against
+the rest, and each pair of blocks is a list of its own, so no list is gathered
+whole and none is capped.
 
 Defined cases: a null or empty text, or one without words, has the empty set
 (0 shingles) and links with nothing, so it is its own component; one word is
@@ -42,20 +43,18 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardsmith.llm.common import ROW_KEY, WordHasher, materialize, row_key, scramble
 from shardsmith.llm.ngram_join import components, merge_components, set_id, shingle_set
+from shardsmith.llm.pairs import company_lists, links, links_in_place
 
 SIZE = 2  # words of a shingle
 COORDS, ROWS = 210, 5
 BANDS = COORDS // ROWS
 AT_ONCE = 1 << 20  # shingles that are sketched together
-LIST = 1024  # classes of a list that are compared with one another in one place
-BUCKET_ROWS = 20_000  # rows of lists in a bucket, on average
 SIGMAS = 5.5  # of the count of coordinates in which a link agrees
 EMPTY = np.uint64(2**64 - 1)
 SEEDS = scramble(np.arange(101, 101 + 2 * COORDS, dtype=np.uint64))
@@ -181,11 +180,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(den * common >= num * (len(x) + len(y) - common))
+            sides = zip(batch.column(2), batch.column(3))
+            good = [links(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), num, den) for x, y in sides]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")
@@ -196,46 +192,16 @@ def _fits(x: str, y: str, num: int, den: int) -> Column:
     return den * F.least(x, y) >= num * F.greatest(x, y)
 
 
-def _with_components(shared: DataFrame, comp: DataFrame) -> DataFrame:
-    """The rows (key, cid, n, pop, hub, m) of the bands whose classes are in several components, with their own and
-    their hub's component."""
+def _with_components(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """Rows (cid, hub) with the component of each."""
     label = lambda c, to: comp.select(F.col("node").alias(c), F.col("comp").alias(to))
-    rows = shared.join(label("cid", "__comp"), "cid", "left").join(label("hub", "__of"), "hub", "left")
-    rows = rows.withColumns({"comp": F.coalesce("__comp", "cid"), "of": F.coalesce("__of", "hub")}).drop("__comp", "__of")
-    return rows
-
-
-def _last_pairs(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs of different components on a list (key, cid, n, comp, size) whose sketches may be those of a link."""
-    cut = F.ceil(F.col("size") / LIST).cast("int")
-    rows = rows.withColumn("__cuts", cut).withColumn("__x", F.pmod(F.xxhash64("cid"), F.col("__cuts")).cast("int"))
-    rows = rows.withColumn("__y", F.explode(F.sequence(F.lit(0), F.col("__cuts") - 1)))
-    rows = rows.withColumn("list", F.xxhash64("key", F.least("__x", "__y"), F.greatest("__x", "__y")))
-    parts = max(1, rows.count() // BUCKET_ROWS)
-    rows = rows.join(sets.select("cid", "prints"), "cid").select(F.pmod("list", F.lit(parts)).alias("bucket"), "list", "cid", "n", "comp", "prints")
-    least = least_agreement(num, den)
+    rows = rows.join(label("cid", "__comp"), "cid", "left").join(label("hub", "__of"), "hub", "left")
+    return rows.withColumns({"comp": F.coalesce("__comp", "cid"), "of": F.coalesce("__of", "hub")}).drop("__comp", "__of")
+
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["list", "cid"])
-        of, n, comp, cid = (pdf[c].to_numpy() for c in ("list", "n", "comp", "cid"))
-        mine = np.frombuffer(b"".join(pdf["prints"]), np.uint8).reshape(len(pdf), -1)
-        good: set[tuple[int, int]] = set()
-        left, step = np.arange(len(pdf)), 1
-        while len(left):  # each row with the one ``step`` after it on its list
-            left = left[left + step < len(of)]
-            left = left[of[left] == of[left + step]]
-            right = left + step
-            small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
-            ok = (comp[left] != comp[right]) & (den * small >= num * large)
-            i, j = left[ok], right[ok]
-            for k in range(0, len(i), 20_000):
-                a, b = i[k : k + 20_000], j[k : k + 20_000]
-                near = (mine[a] == mine[b]).sum(axis=1) >= least
-                good.update(zip(cid[a[near]].tolist(), cid[b[near]].tolist()))
-            step += 1
-        return pd.DataFrame(list(good), columns=["a", "b"], dtype="int64")
-
-    return rows.groupBy("bucket").applyInPandas(compare, "a long, b long").distinct()
+def _last_links(lists: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    least = least_agreement(num, den)
+    return links_in_place(lists, sets, lambda x, y, n, m: (x == y).sum(axis=1) >= least, num, den)
 
 
 def near_duplicates(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -261,14 +227,12 @@ def near_duplicates(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "
 
     others = tried.select(F.col("cid").alias("a"), F.col("hub").alias("b")).join(best, ["a", "b"], "left_anti")
     apart = _with_components(others.withColumnsRenamed({"a": "cid", "b": "hub"}), comp).filter(F.col("comp") != F.col("of"))
-    links = _verify(materialize(apart.select(F.col("cid").alias("a"), F.col("hub").alias("b")), "similar_pairs"), sets, num, den)
-    comp = merge_components(comp, links, "similar_components")
-
-    label = comp.select(F.col("node").alias("cid"), F.col("comp").alias("__comp"))
-    left = materialize(shared.join(label, "cid", "left").select("key", "cid", "n", "size", F.coalesce("__comp", "cid").alias("comp")), "similar_left")
-    mixed = left.groupBy("key").agg(F.min("comp").alias("__low"), F.max("comp").alias("__high")).filter("__low <> __high").select("key")
-    pairs = materialize(_last_pairs(left.join(mixed, "key"), sets, num, den), "similar_pairs")
-    comp = merge_components(comp, _verify(pairs, sets, num, den), "similar_components")
+    further = _verify(materialize(apart.select(F.col("cid").alias("a"), F.col("hub").alias("b")), "similar_pairs"), sets, num, den)
+    comp = merge_components(comp, further, "similar_components")
+
+    companies = shared.groupBy("hub", "cid").agg(F.first("n").alias("n"))
+    lists = materialize(company_lists(companies, comp), "similar_lists")
+    comp = merge_components(comp, materialize(_last_links(lists, sets, num, den), "similar_pairs"), "similar_components")
 
     named = classes.select("sid", "cid", "first").join(comp.select(F.col("node").alias("cid"), "comp"), "cid", "left")
     least = named.filter(F.col("comp").isNotNull()).groupBy("comp").agg(F.min("first").alias("least"))

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from shardsmith.llm import similarity
+from shardsmith.llm import pairs, similarity
 from shardsmith.llm.common import scramble, words
 
 SCHEMA = "doc_id bigint, text string, n int, sid string, comp string, kept string"
@@ -130,8 +130,8 @@ def test_components(spark):
 
 def test_long_lists(spark, monkeypatch):
     """Lists that are cut into blocks, when hubs settle nothing, lose no link."""
-    monkeypatch.setattr(similarity, "LIST", 4)
-    monkeypatch.setattr(similarity, "BUCKET_ROWS", 16)
+    monkeypatch.setattr(similarity, "company_lists", lambda c, comp: pairs.company_lists(c, comp, 4))
+    monkeypatch.setattr(pairs, "BUCKET_ROWS", 16)
     rng = random.Random(11)
     base = [f"w{i}" for i in range(300)]
     docs = []
