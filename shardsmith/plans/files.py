@@ -48,13 +48,16 @@ def slice_ranges(slices: list[int], most: int = SLICE_RANGES) -> list[tuple[int,
     return [(s[a], s[b - 1]) for a, b in zip(cuts, cuts[1:]) if a < b]
 
 
-def in_slices(slices: list[int]) -> Column:
-    """Whether ``_slice`` may be one of the slices: a filter that Parquet footers can answer."""
-    c = F.col("_slice")
-    conds = [c == a if a == b else (c >= a) & (c <= b) for a, b in slice_ranges(slices)]
-    while len(conds) > 1:
-        conds = [a | b for a, b in zip(conds[::2], conds[1::2])] + (conds[-1:] if len(conds) % 2 else [])
-    return conds[0] if conds else F.lit(False)
+def in_slices(slices: list[int]) -> Column | None:
+    """Whether ``_slice`` may be one of the slices: a filter that Parquet footers can answer.  None if the slices
+    are so many that it would leave little out."""
+    ranges = slice_ranges(slices)
+    if 2 * sum(b - a + 1 for a, b in ranges) > SLICES:
+        return None
+    conds = [f"_slice = {a}" if a == b else f"(_slice >= {a} AND _slice <= {b})" for a, b in ranges]
+    while len(conds) > 1:  # as one text, as deep as its logarithm
+        conds = [f"({a} OR {b})" for a, b in zip(conds[::2], conds[1::2])] + (conds[-1:] if len(conds) % 2 else [])
+    return F.expr(conds[0]) if conds else F.lit(False)
 
 
 # ------------------------------------------------------------ file table ----
@@ -72,13 +75,13 @@ def file_stats(written: DataFrame, size: Column | None = None, fingerprint: Colu
 
 
 def file_ids(written: DataFrame, stats: DataFrame) -> DataFrame:
-    """``stats`` with the ids of each file's first and last row, found by row number."""
-    at = F.col("_metadata.row_index")
-    rows = written.select(F.col("_shard").cast("int").alias("shard"), F.col("_metadata.file_name").alias("file"), at.alias("row"), "_id")
-    first = rows.where("row = 0").select("shard", "file", F.col("_id").alias("min_id"))
-    ends = F.broadcast(stats.select("shard", "file", (F.col("docs") - 1).alias("row")))  # a row for each file
-    last = rows.join(ends, ["shard", "file", "row"]).select("shard", "file", F.col("_id").alias("max_id"))
-    return stats.join(first, ["shard", "file"], "left").join(last, ["shard", "file"], "left")
+    """``stats`` with the ids of each file's first and last row, found by row number: two rows of a file are looked at."""
+    rows = written.select(F.col("_shard").cast("int").alias("shard"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"), "_id")
+    ends = rows.join(F.broadcast(stats.select("shard", "file", "docs")), ["shard", "file"])  # a row for each file
+    ends = ends.where((F.col("row") == 0) | (F.col("row") == F.col("docs") - 1))
+    ids = ends.groupBy("shard", "file").agg(F.array_sort(F.collect_list(F.struct("row", "_id"))).alias("ends"))
+    ids = ids.select("shard", "file", F.col("ends")[0]["_id"].alias("min_id"), F.element_at("ends", -1)["_id"].alias("max_id"))
+    return stats.join(ids, ["shard", "file"], "left")
 
 
 def write_file_table(spark: SparkSession, dest: str, index: str, gen: str) -> DataFrame:
