@@ -4,8 +4,9 @@ A document's set is its distinct 5-word shingles, as 64-bit hashes.  Two
 documents link when ``den * intersection >= num * union`` (3/4).  Steps:
 
 1.  Documents with equal sets are one *class*; only classes are compared.
-2.  Shingles are ordered by a count sketch over all documents, rare ones
-    first (any one order gives right results).  Two linked sets share l
+2.  Shingles are ordered by how often they repeat, rare ones first, by the
+    counts of the 2^20 most frequent of all documents (any one order gives
+    right results).  Two linked sets share l
     shingles among the first ``n - ceil(t * n) + l`` of each, the prefixes,
     or all that they must share, if that is fewer; l is ``SHARED``.
 3.  Postings (shingle of a prefix, class) travel packed, by hash buckets, and
@@ -19,11 +20,10 @@ Links only have to yield components, so a pair within a component is never
 looked at again.  First each group is verified against one hub, the group it
 shares most postings with among the first groups of its shingles, and each
 class against the first of its group; then each class against a hub in
-another component.  The pairs between different components that are left are
-compared in place, list by list, by size and by a bitmap of 1024 bits (an
-exact bound), and only those that it can't tell apart come out and are
-verified.  So a group of n near copies costs 2n verifications, and no pairs
-of it are ever listed.
+another component.  What is left on lists with several components is compared
+company by company (:mod:`shardsmith.llm.pairs`): by size, by a bitmap of 1024
+bits (an exact bound), then by the whole sets, in place.  So a group of n near
+copies costs 2n verifications, and no candidate pairs of it are ever listed.
 
 Defined cases: a null or empty text, or one without words, has the empty set
 (0 shingles) and links with nothing, so it is its own component; fewer than
@@ -34,6 +34,8 @@ none; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -41,14 +43,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardsmith.llm.common import ROW_KEY, WordHasher, materialize, row_key, shingle_hashes, sum_vectors
+from shardsmith.llm.common import ROW_KEY, WordHasher, materialize, row_key, shingle_hashes
+from shardsmith.llm.pairs import company_lists, links_in_place
 
-SKETCH_ROWS, SKETCH_BITS = 2, 19
+CHUNK = 1 << 22  # shingles whose repeats are counted together
+COUNT_BITS, COUNT_BUCKETS = 6, 64
+MOST_COUNTED = 1 << 20  # shingles whose counts are shipped to all tasks
 SHARED = 8  # shingles that the prefixes of linked sets share at least (or all that they must share, if fewer)
-PIECE = 1 << 15  # counters of the sketch in one row of a table
 BUCKET_POSTINGS = 400_000  # postings of a bucket, on average
-LIST = 1024  # classes of a list that are compared with one another in one place
-BUCKET_ROWS = 20_000  # rows of lists in a bucket, on average
 BITMAP = 1024  # bits of a class' bitmap
 
 
@@ -63,14 +65,13 @@ def set_id(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
-def _cells(s: np.ndarray) -> list[np.ndarray]:
-    """The counter of each shingle in each row of the sketch: different bits of the hash."""
-    return [((s << np.uint64(r * SKETCH_BITS)) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64) for r in range(SKETCH_ROWS)]
-
-
-def sketch_counts(sketch: np.ndarray, s: np.ndarray) -> np.ndarray:
-    """At least the number of documents of each shingle."""
-    return np.min([sketch[r][c] for r, c in enumerate(_cells(s))], axis=0)
+def counts_of(often: tuple[np.ndarray, np.ndarray], s: np.ndarray) -> np.ndarray:
+    """The count of each shingle of ``s``; 1 for those that are not among the ``often`` (shingles in order, counts)."""
+    tokens, counts = often
+    if not len(tokens):
+        return np.ones(len(s), np.int64)
+    at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
+    return np.where(tokens[at] == s, counts[at], 1)
 
 
 def least_overlap(n: int, num: int, den: int) -> int:
@@ -78,26 +79,31 @@ def least_overlap(n: int, num: int, den: int) -> int:
     return -(-num * n // den)
 
 
-def prefix(s: np.ndarray, sketch: np.ndarray, num: int, den: int) -> np.ndarray:
+def prefix(s: np.ndarray, often: tuple[np.ndarray, np.ndarray], num: int, den: int) -> np.ndarray:
     """The first ``n - least_overlap(n) + SHARED`` shingles, rare ones first, ties by hash."""
     keep = min(len(s), len(s) - least_overlap(len(s), num, den) + SHARED)
-    key = (np.minimum(sketch_counts(sketch, s), (1 << 24) - 1).astype(np.uint64) << np.uint64(40)) | (s >> np.uint64(24))
+    key = (np.minimum(counts_of(often, s), (1 << 24) - 1).astype(np.uint64) << np.uint64(40)) | (s >> np.uint64(24))
     return s[key <= np.partition(key, keep - 1)[keep - 1]]
 
 
 def _sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """One row for each document (``id``, row key, ``n``, ``sid``) and rows that carry pieces of the sketch (``key``, ``part``, ``vec``)."""
+    """One row for each document (``id``, row key, ``n``, ``sid``), and packed rows (``bucket``, ``tokens``, ``counts``) of the
+    shingles that repeat among the documents of a chunk of about ``CHUNK`` shingles."""
     src = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias(ROW_KEY), F.col(text_col).alias("__text"))
     kind = src.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, {ROW_KEY} long, n long, sid binary, key string, part int, vec binary"
+    schema = f"id {kind}, {ROW_KEY} long, n long, sid binary, bucket int, tokens binary, counts binary"
+    names = ["id", ROW_KEY, "n", "sid", "bucket", "tokens", "counts"]
 
-    def run(batches):
-        from pyspark import TaskContext
+    def repeats(chunk: list[np.ndarray], like: pa.DataType) -> pa.RecordBatch:
+        t, c = np.unique(np.concatenate(chunk), return_counts=True)
+        t, c = t[c > 1], c[c > 1].astype(np.int64)
+        cuts = np.searchsorted(t, np.arange(1, COUNT_BUCKETS, dtype=np.uint64) << np.uint64(64 - COUNT_BITS))
+        k = COUNT_BUCKETS
+        packed = [pa.array([x.tobytes() for x in np.split(y, cuts)], pa.binary()) for y in (t, c)]
+        return pa.RecordBatch.from_arrays([pa.nulls(k, like), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()), *packed], names=names)
 
-        part, hasher = TaskContext.get().partitionId(), WordHasher()
-        sketch = np.zeros((SKETCH_ROWS, 1 << SKETCH_BITS), np.int64)
-        names = ["id", ROW_KEY, "n", "sid", "key", "part", "vec"]
-        like = pa.null()
+    def run(batches):
+        hasher, chunk, held, like = WordHasher(), [], 0, pa.null()
         for b in batches:
             like = b.column(0).type
             n, sid = [], []
@@ -105,37 +111,63 @@ def _sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
                 s = shingle_set(hasher, text, size)
                 n.append(len(s))
                 sid.append(set_id(s))
-                for row, at in zip(sketch, _cells(s)):
-                    np.add.at(row, at, 1)
+                chunk.append(s)
+                held += len(s)
+                if held >= CHUNK:
+                    yield repeats(chunk, like)
+                    chunk, held = [], 0
             k = b.num_rows
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.nulls(k, pa.string()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=names)
-        flat = sketch.reshape(-1, PIECE)
-        at = [i for i in range(len(flat)) if flat[i].any()]
-        if at:
-            k = len(at)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, like), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array([str(i) for i in at]), pa.array([part] * k, pa.int32()), pa.array([flat[i].tobytes() for i in at], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names=names)
+        if held:
+            yield repeats(chunk, like)
 
     return src.mapInArrow(run, schema)
 
 
-def _sketch(made: DataFrame) -> np.ndarray:
-    """The sketch of all documents: a fixed number of counters, whatever the input."""
-    flat = np.zeros((SKETCH_ROWS << SKETCH_BITS) // PIECE * PIECE, np.int64).reshape(-1, PIECE)
-    for r in sum_vectors(made.filter(F.col("key").isNotNull()).select("key", "part", "vec")).collect():
-        flat[int(r["key"])] = np.frombuffer(r["vec"], np.int64)
-    return np.minimum(flat, 1 << 30).astype(np.int32).reshape(SKETCH_ROWS, -1)
+def _often(made: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles with the greatest counts, ``MOST_COUNTED`` at most, in order, and their counts.
 
+    Counts are of what repeats within the chunks of all documents, so they are a bit low.  They only order the shingles.
+    """
 
-def _postings(docs: DataFrame, sketch: np.ndarray, buckets: int, common: int, size: int, num: int, den: int, text_col: str) -> DataFrame:
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        t = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["tokens"]])
+        c = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["counts"]])
+        order = np.argsort(t, kind="stable")
+        t, c = t[order], c[order]
+        at = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1]))) if len(t) else np.empty(0, np.int64)
+        total = np.add.reduceat(c, at) if len(at) else c
+        level = np.log2(total).astype(np.int64) if len(at) else total
+        t = t[at]
+        found = np.unique(level)
+        picked = [level == k for k in found]
+        return pd.DataFrame({"level": found, "n": [int(p.sum()) for p in picked], "tokens": [t[p].tobytes() for p in picked], "counts": [total[p].tobytes() for p in picked]})
+
+    packed = made.filter(F.col("bucket").isNotNull()).select("bucket", "tokens", "counts")
+    summed = materialize(packed.groupBy("bucket").applyInPandas(add, "level long, n long, tokens binary, counts binary"), "ngram_counts")
+    least, held = 64, 0
+    for r in summed.groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect():  # 64 rows at most
+        held += r["n"]
+        if held > MOST_COUNTED:
+            break
+        least = r["level"]
+    rows = summed.filter(F.col("level") >= least).select("tokens", "counts").collect()  # MOST_COUNTED shingles at most
+    t = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(r["tokens"], np.uint64) for r in rows)])
+    c = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(r["counts"], np.int64) for r in rows)])
+    order = np.argsort(t)
+    return t[order], c[order]
+
+
+def _postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], buckets: int, common: int, size: int, num: int, den: int, text_col: str) -> DataFrame:
     """(shingle, sid, n): postings of the prefixes, only of shingles that two classes or more have.
 
     Packed rows hold the postings of one batch and bucket.  Shingles that may have more than ``common``
     classes aren't gathered in their bucket: they are passed on as they are, spread by class.
     """
-    shipped = docs.sparkSession.sparkContext.broadcast(sketch)  # SKETCH_ROWS << SKETCH_BITS counters
+    shipped = docs.sparkSession.sparkContext.broadcast(often)  # MOST_COUNTED shingles at most
 
     def pack(batches):
-        hasher, sketch = WordHasher(), shipped.value
+        hasher, often = WordHasher(), shipped.value
         for b in batches:
             sids, ns, tokens, seen = [], [], [], set()
             for text in b.column(0).to_pylist():
@@ -146,15 +178,15 @@ def _postings(docs: DataFrame, sketch: np.ndarray, buckets: int, common: int, si
                         seen.add(sid)
                         sids.append(sid)
                         ns.append(len(s))
-                        tokens.append(prefix(s, sketch, num, den))
+                        tokens.append(prefix(s, often, num, den))
             if not sids:
                 continue
             token = np.concatenate(tokens)
             owner = np.repeat(np.arange(len(sids)), [len(t) for t in tokens])
             sid, n = np.array(sids, "V16"), np.array(ns, np.int64)
-            often = sketch_counts(sketch, token) > common
+            many = counts_of(often, token) > common
             spread = sid.view(np.uint64).reshape(-1, 2)[owner, 0]
-            bucket = np.where(often, spread % np.uint64(buckets) + np.uint64(buckets), token % np.uint64(buckets)).astype(np.int64)
+            bucket = np.where(many, spread % np.uint64(buckets) + np.uint64(buckets), token % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order])) + 1
             groups = np.split(order, cuts)
@@ -258,13 +290,13 @@ def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int =
     digest of the component's sets; that of the empty set goes with the row key.
     """
     made = materialize(_sets(docs, size, id_col, text_col), "ngram_sets")
-    rows = made.filter(F.col("key").isNull()).select("id", ROW_KEY, "n", "sid")
-    sketch = _sketch(made)
+    rows = made.filter(F.col("bucket").isNull()).select("id", ROW_KEY, "n", "sid")
+    often = _often(made)
     classes = rows.filter("n > 0").groupBy("sid").agg(F.min(F.struct("id", ROW_KEY)).alias("rep"), F.min("id").alias("first"), F.first("n").alias("n"))
     total = int(rows.agg(F.sum(F.col("n") - F.ceil(F.col("n") * num / den) + SHARED)).head()[0] or 0)
     buckets = max(1, total // BUCKET_POSTINGS)
-    common = max(1 << 16, 4 * int(sketch[0].mean()))
-    postings = materialize(_postings(docs, sketch, buckets, common, size, num, den, text_col), "ngram_postings")
+    common = 1 << 16
+    postings = materialize(_postings(docs, often, buckets, common, size, num, den, text_col), "ngram_postings")
 
     # groups: equal size, equal remaining prefix; the smallest class stands for it
     members = postings.groupBy("sid", "n").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
@@ -286,11 +318,13 @@ def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int =
     tried = members.filter("cid <> gid").select(F.col("cid").alias("a"), F.col("gid").alias("b")).unionByName(hubs.select(F.col("gid").alias("a"), F.col("hub").alias("b")))
     comp = components(_verify(materialize(tried, "ngram_hubs"), sets, num, den), "ngram_components")
 
-    for last in (False, True):
-        apart = materialize(_open_rows(lists, members, comp), "ngram_open")
-        pairs = _close_pairs(apart.join(sets.select("cid", "bits"), "cid"), num, den) if last else _hub_pairs(apart, num, den)
-        links = _verify(materialize(pairs, "ngram_pairs"), sets, num, den)
-        comp = merge_components(comp, links, "ngram_components")
+    apart = materialize(_open_rows(lists, members, comp), "ngram_open")
+    links = _verify(materialize(_hub_pairs(apart, num, den), "ngram_pairs"), sets, num, den)
+    comp = merge_components(comp, links, "ngram_components")
+    apart = materialize(_open_rows(lists, members, comp), "ngram_open")
+    left = materialize(company_lists(_companies(apart), comp), "ngram_left")
+    links = links_in_place(left, sets.withColumnRenamed("bits", "prints"), partial(_may_link, num=num, den=den), num, den)
+    comp = merge_components(comp, materialize(links, "ngram_pairs"), "ngram_components")
 
     numbered = members.select("sid", "cid").join(comp.select(F.col("node").alias("cid"), "comp"), "cid").select("sid", "comp")
     named = classes.select("sid", "first").join(numbered, "sid", "left")
@@ -345,42 +379,19 @@ def _hub_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.groupBy("cid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub")).select(F.col("cid").alias("a"), F.col("hub").alias("b"))
 
 
-def _close_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """The class pairs of different components on a list that size and bitmaps can't tell apart.
+def _companies(rows: DataFrame) -> DataFrame:
+    """(hub, cid, n): the classes of all lists that have the same hub, the class with the most postings on a list.
 
-    A list longer than ``LIST`` is cut into blocks, and every pair of blocks is a list.  Lists
-    travel in buckets; within a bucket pairs are compared where they are, and only those that may
-    link come out: two sets share at most half of what their sizes exceed the bits in which their
-    bitmaps differ.
+    Classes that share a shingle share its hub, and the lists of near copies mostly have one, so that a class is in few
+    companies where it is on many lists.
     """
-    cut = F.ceil(F.col("size") / LIST).cast("int")
-    mine = F.pmod(F.xxhash64("cid"), F.col("cuts")).cast("int")
-    rows = rows.withColumn("cuts", cut).withColumn("x", mine).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    rows = rows.withColumn("list", F.xxhash64("token", F.least("x", "y"), F.greatest("x", "y")))
-    parts = max(1, rows.count() // BUCKET_ROWS)
-    rows = rows.select(F.pmod("list", F.lit(parts)).alias("bucket"), "list", "cid", "n", "comp", "bits")
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["list", "cid"])
-        of, n, comp = (pdf[c].to_numpy() for c in ("list", "n", "comp"))
-        cid = pdf["cid"].to_numpy()
-        bits = np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), -1)
-        good: set[tuple[int, int]] = set()
-        left = np.arange(len(pdf))
-        step = 1
-        while len(left):  # each row with the one ``step`` after it on its list
-            left = left[left + step < len(of)]
-            left = left[of[left] == of[left + step]]
-            right = left + step
-            small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
-            ok = (comp[left] != comp[right]) & (den * small >= num * large)
-            i, j = left[ok], right[ok]
-            for k in range(0, len(i), 50_000):
-                a, b = i[k : k + 50_000], j[k : k + 50_000]
-                both = (n[a] + n[b] - np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)) // 2
-                near = den * both >= num * (n[a] + n[b] - both)
-                good.update(zip(cid[a[near]].tolist(), cid[b[near]].tolist()))
-            step += 1
-        return pd.DataFrame(list(good), columns=["a", "b"], dtype="int64")
-
-    return rows.groupBy("bucket").applyInPandas(compare, "a long, b long").distinct()
+    popular = rows.groupBy("cid").agg(F.count(F.lit(1)).alias("pop"))
+    hubs = rows.select("token", "cid").join(popular, "cid").groupBy("token").agg(F.max(F.struct("pop", "cid"))["cid"].alias("hub"))
+    return rows.select("token", "cid", "n").join(hubs, "token").select("hub", "cid", "n").distinct()
+
+
+def _may_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets with the bitmaps ``x`` and ``y`` can be alike enough: they share at most half of what their sizes
+    exceed the bits in which their bitmaps differ."""
+    both = (n + m - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) // 2
+    return den * both >= num * (n + m - both)

@@ -25,19 +25,19 @@ def links(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
     return den * common >= num * (len(x) + len(y) - common)
 
 
-def company_lists(company: DataFrame, comp: DataFrame, size: int = LIST) -> DataFrame:
+def company_lists(company: DataFrame, comp: DataFrame) -> DataFrame:
     """(list, cid, n, comp): the classes to be compared with one another, from companies (hub, cid, n) without repeats.
 
     A company within one component (``comp``: node, comp; a class that is no node is its own) has nothing left to
     compare.  In the others the component with the most classes is the *main* one: its classes are compared with the
-    rest, and the rest with itself, in blocks of ``size`` classes on each side.  So a company that is all but one
+    rest, and the rest with itself, in blocks of ``LIST`` classes on each side.  So a company that is all but one
     component costs about its own size, not its square.
     """
     label = comp.select(F.col("node").alias("cid"), F.col("comp").alias("__comp"))
     rows = company.join(label, "cid", "left").withColumn("comp", F.coalesce("__comp", "cid")).drop("__comp")
     of = rows.groupBy("hub", "comp").agg(F.count(F.lit(1)).alias("k"))
     of = of.groupBy("hub").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("all"))
-    blocks = lambda n: F.ceil(n / size)
+    blocks = lambda n: F.ceil(n / LIST)
     of = of.filter(F.col("all") > F.col("m.k")).select("hub", F.col("m.comp").alias("main"), blocks(F.col("m.k")).alias("mains"), blocks(F.col("all") - F.col("m.k")).alias("rests"))
     rows = rows.join(of, "hub")
     h = F.xxhash64("cid")

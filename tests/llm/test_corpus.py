@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from oracle_compare import _rows, duck
-from shardsmith.llm import decontaminate, language, line_dedup, mixing, ngram_join, pii, quality, queries, revisits, secrets, substring_dedup
+from shardsmith.llm import decontaminate, language, line_dedup, mixing, ngram_join, pairs, pii, quality, queries, revisits, secrets, substring_dedup
 from shardsmith.llm.common import WordHasher, shingle_hashes, words
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept string, pass string, state int"
@@ -83,7 +83,7 @@ def test_ngram_join(spark, edge, none):
 
 def test_ngram_join_chains_and_blocks(spark, monkeypatch):
     """Chains of near copies, more of them than one list is compared in."""
-    monkeypatch.setattr(ngram_join, "LIST", 7)
+    monkeypatch.setattr(pairs, "LIST", 7)
     monkeypatch.setattr(ngram_join, "BUCKET_POSTINGS", 500)
     rng = random.Random(5)
     ws, rows = prose(rng, 120).split(), []

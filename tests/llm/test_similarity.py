@@ -130,7 +130,7 @@ def test_components(spark):
 
 def test_long_lists(spark, monkeypatch):
     """Lists that are cut into blocks, when hubs settle nothing, lose no link."""
-    monkeypatch.setattr(similarity, "company_lists", lambda c, comp: pairs.company_lists(c, comp, 4))
+    monkeypatch.setattr(pairs, "LIST", 4)
     monkeypatch.setattr(pairs, "BUCKET_ROWS", 16)
     rng = random.Random(11)
     base = [f"w{i}" for i in range(300)]
