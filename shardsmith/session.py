@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,4 +49,29 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     path = "/".join([base, "shardsmith", *parts])
     if unique:
         path = f"{path}/{uuid.uuid4().hex}"
+        for made in _scopes:
+            made.append(path)
     return path
+
+
+_scopes: list[list[str]] = []  # of the scopes that are open, what was handed out since
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove, at the end of the ``with`` block, every scratch folder that was handed out in it.
+
+    Operators write intermediate tables to the shared folder, and the frames
+    they return read them, so only the caller knows when they are done with:
+    write or collect the results inside the block.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes[:] = [s for s in _scopes if s is not made]
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
