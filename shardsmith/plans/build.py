@@ -577,9 +577,10 @@ def _mask_groups(man: list, limit: int) -> list[tuple[list, bool]]:
     return ([(plain, False)] if plain else []) + [(g, True) for g in groups]
 
 
-def _scan(spark: SparkSession, dest: str, index: str, schema: T.StructType | None, man: list, where: Column | None = None) -> list[DataFrame]:
-    """The stored rows that the manifest rows ``man`` name, located, with
-    ``_live``: one scan for each group of :func:`_mask_groups`, filtered by ``where`` first."""
+def _scan(spark: SparkSession, dest: str, index: str, schema: T.StructType | None, man: list, where: Column | None = None,
+          locate: bool = False) -> list[DataFrame]:
+    """The stored rows that the manifest rows ``man`` name, with ``_live`` (and
+    located, if asked for): one scan for each group of :func:`_mask_groups`, filtered by ``where`` first."""
     out = []
     for rows, has_masks in _mask_groups(man, files.BROADCAST_MASK_BYTES):
         paths = [p for r in rows for p in _shard_folders(dest, index, r)]
@@ -588,7 +589,8 @@ def _scan(spark: SparkSession, dest: str, index: str, schema: T.StructType | Non
         reader = spark.read.option("basePath", layout.data_root(dest, index))
         if schema is not None:  # declared schema: no footer reads to infer it; columns that a layer lacks are NULL
             reader = reader.schema(T.StructType([f for f in schema.fields if f.name != "_shard"]))
-        df = files.located(reader.parquet(*paths))
+        df = reader.parquet(*paths)
+        df = files.located(df) if has_masks or locate else df
         if where is not None:
             df = df.where(where)
         if has_masks:
@@ -782,7 +784,7 @@ def _stored_rows(spark, latest: DataFrame, seen: dict, dest, spec, base_snap, ba
     keys = latest.select(F.col("_shard").alias("_k_shard"), F.col("_id").alias("_k_id"))
     if seen["id_bytes"] + KEY_OVERHEAD * seen["keys"] <= BROADCAST_KEY_BYTES:  # checked bound before broadcasting
         keys = F.broadcast(keys)
-    parts = _scan(spark, dest, spec.index, _schema(base_snap), [base_man[s] for s in touched], where=files.in_slices(list(seen["slices"])))
+    parts = _scan(spark, dest, spec.index, _schema(base_snap), [base_man[s] for s in touched], where=files.in_slices(list(seen["slices"])), locate=True)
     on = (F.col("_shard") == F.col("_k_shard")) & (F.col("_id") == F.col("_k_id"))
     return _union([p.where("_live").select(
         F.col("_shard").cast("int").alias("_shard"), "_id", F.col("_seq").alias("_old_seq"), F.col("_hash").alias("_old_hash"),
