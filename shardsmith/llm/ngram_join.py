@@ -22,7 +22,8 @@ shares most postings with among the first groups of its shingles, and each
 class against the first of its group; then each class against a hub in
 another component.  What is left on lists with several components is compared
 company by company (:mod:`shardsmith.llm.pairs`): by size, by a bitmap of 1024
-bits (an exact bound), then by the whole sets, in place.  So a group of n near
+bits (an exact bound) and a similarity sketch (which loses a link with a
+probability of 2e-8), then by the whole sets, in place.  So a group of n near
 copies costs 2n verifications, and no candidate pairs of it are ever listed.
 
 Defined cases: a null or empty text, or one without words, has the empty set
@@ -45,6 +46,7 @@ from pyspark.sql import functions as F
 
 from shardsmith.llm.common import ROW_KEY, WordHasher, materialize, row_key, shingle_hashes
 from shardsmith.llm.pairs import company_lists, links_in_place
+from shardsmith.llm.sketches import least_agreement, prints, sketched
 
 CHUNK = 1 << 22  # shingles whose repeats are counted together
 COUNT_BITS, COUNT_BUCKETS = 6, 64
@@ -323,7 +325,8 @@ def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int =
     comp = merge_components(comp, links, "ngram_components")
     apart = materialize(_open_rows(lists, members, comp), "ngram_open")
     left = materialize(company_lists(_companies(apart), comp), "ngram_left")
-    links = links_in_place(left, sets.withColumnRenamed("bits", "prints"), partial(_may_link, num=num, den=den), num, den)
+    may_link = partial(_may_link, least=least_agreement(num, den), num=num, den=den)
+    links = links_in_place(left, sets, may_link, num, den, "ngram_partners")
     comp = merge_components(comp, materialize(links, "ngram_pairs"), "ngram_components")
 
     numbered = members.select("sid", "cid").join(comp.select(F.col("node").alias("cid"), "comp"), "cid").select("sid", "comp")
@@ -336,7 +339,7 @@ def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int =
 
 
 def _candidate_sets(docs: DataFrame, reps: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(cid, shingles, bits) of the classes in ``reps``, from the text of one document of each.
+    """(cid, shingles, prints: bitmap and sketch) of the classes in ``reps``, from the text of one document of each.
 
     A shingle turns over one bit of the bitmap, so bitmaps differ in at most as many bits as sets in shingles.
     """
@@ -352,9 +355,10 @@ def _candidate_sets(docs: DataFrame, reps: DataFrame, size: int, id_col: str, te
             made = [shingle_set(hasher, t, size) for t in b.column(2).to_pylist()]
             same = [set_id(s) == sid for s, sid in zip(made, b.column(0).to_pylist())]
             maps = [np.packbits(np.bincount((s >> np.uint64(20)).astype(np.int64) % BITMAP, minlength=BITMAP) & 1).tobytes() for s in made]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([s.tobytes() for s in made], pa.binary()), pa.array(maps, pa.binary())], names=["cid", "shingles", "bits"]).filter(pa.array(same, pa.bool_()))
+            maps = [m + p.tobytes() for m, p in zip(maps, prints(sketched(made)))]
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([s.tobytes() for s in made], pa.binary()), pa.array(maps, pa.binary())], names=["cid", "shingles", "prints"]).filter(pa.array(same, pa.bool_()))
 
-    return found.mapInArrow(run, "cid long, shingles binary, bits binary")
+    return found.mapInArrow(run, "cid long, shingles binary, prints binary")
 
 
 def _open_rows(lists: DataFrame, members: DataFrame, comp: DataFrame) -> DataFrame:
@@ -390,8 +394,12 @@ def _companies(rows: DataFrame) -> DataFrame:
     return rows.select("token", "cid", "n").join(hubs, "token").select("hub", "cid", "n").distinct()
 
 
-def _may_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Whether sets with the bitmaps ``x`` and ``y`` can be alike enough: they share at most half of what their sizes
-    exceed the bits in which their bitmaps differ."""
-    both = (n + m - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) // 2
-    return den * both >= num * (n + m - both)
+def _may_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, least: int, num: int, den: int) -> np.ndarray:
+    """Whether sets of those prints can be alike enough: they share at most half of what their sizes exceed the bits in
+    which their bitmaps differ (exact, but it says little of long sets), and their sketches agree in ``least``
+    coordinates (true of a link but with probability 2e-8)."""
+    cut = BITMAP // 8
+    both = (n + m - np.bitwise_count(x[:, :cut] ^ y[:, :cut]).sum(axis=1, dtype=np.int64)) // 2
+    near = den * both >= num * (n + m - both)
+    near[near] = (x[near, cut:] == y[near, cut:]).sum(axis=1) >= least
+    return near

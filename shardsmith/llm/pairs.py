@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shardsmith.llm.common import materialize
+
 LIST = 1024  # classes on each side of a list
 BUCKET_ROWS, BUCKET_BYTES = 20_000, 64 << 20  # rows of lists in a bucket, and bytes of their sets, on average
 
@@ -49,38 +51,64 @@ def company_lists(company: DataFrame, comp: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.when(F.col("comp") == F.col("main"), with_rest).otherwise(with_both)).alias("list"), "cid", "n", "comp")
 
 
-def links_in_place(lists: DataFrame, sets: DataFrame, may_link: Callable, num: int, den: int) -> DataFrame:
+def _each_pair(pdf: pd.DataFrame, may_link: Callable, num: int, den: int):
+    """(rows a, rows b) of the pairs of different components on a list of ``pdf`` (list, cid, n, comp, prints; in that
+    order of lists) whose sizes and prints allow a link."""
+    of, n, comp = (pdf[c].to_numpy() for c in ("list", "n", "comp"))
+    mine = np.frombuffer(b"".join(pdf["prints"]), np.uint8).reshape(len(pdf), -1)
+    left, step = np.arange(len(pdf)), 1
+    while len(left):  # each row with the one ``step`` after it on its list
+        left = left[left + step < len(of)]
+        left = left[of[left] == of[left + step]]
+        right = left + step
+        small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
+        ok = (comp[left] != comp[right]) & (den * small >= num * large)
+        i, j = left[ok], right[ok]
+        for k in range(0, len(i), 20_000):
+            a, b = i[k : k + 20_000], j[k : k + 20_000]
+            near = may_link(mine[a], mine[b], n[a], n[b])
+            yield a[near], b[near]
+        step += 1
+
+
+def links_in_place(lists: DataFrame, sets: DataFrame, may_link: Callable, num: int, den: int, name: str | None = None) -> DataFrame:
     """(a, b): the pairs of different components on a list whose sets link.
 
     ``lists`` is a written table, ``sets`` holds (cid, shingles, prints): the sorted set and a short print of it, both
     as bytes.  ``may_link(prints of a, prints of b, sizes of a, sizes of b)`` rules pairs out by rows of prints; the
-    sets of the others are compared whole.
+    sets of the others are compared whole, on their list.  With a ``name`` the lists are looked at with the prints
+    alone before, and each class without a partner on a list leaves it: worth it where most classes have none.
     """
+    if name is not None:
+        lists = materialize(_with_partners(lists, sets, may_link, num, den), name)
     size = lists.agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("s")).head()
     parts = max(1, size["n"] // BUCKET_ROWS, 8 * (size["s"] or 0) // BUCKET_BYTES)
     rows = lists.join(sets, "cid").select(F.pmod("list", F.lit(parts)).alias("bucket"), "list", "cid", "n", "comp", "prints", "shingles")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["list", "cid"])
-        of, n, comp, cid = (pdf[c].to_numpy() for c in ("list", "n", "comp", "cid"))
-        mine = np.frombuffer(b"".join(pdf["prints"]), np.uint8).reshape(len(pdf), -1)
-        whole = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+        cid, whole = pdf["cid"].to_numpy(), [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
         seen: dict[tuple[int, int], bool] = {}
-        left, step = np.arange(len(pdf)), 1
-        while len(left):  # each row with the one ``step`` after it on its list
-            left = left[left + step < len(of)]
-            left = left[of[left] == of[left + step]]
-            right = left + step
-            small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
-            ok = (comp[left] != comp[right]) & (den * small >= num * large)
-            i, j = left[ok], right[ok]
-            for k in range(0, len(i), 20_000):
-                a, b = i[k : k + 20_000], j[k : k + 20_000]
-                near = may_link(mine[a], mine[b], n[a], n[b])
-                for x, y in zip(a[near].tolist(), b[near].tolist()):
-                    if (pair := (int(cid[x]), int(cid[y]))) not in seen:
-                        seen[pair] = links(whole[x], whole[y], num, den)
-            step += 1
+        for a, b in _each_pair(pdf, may_link, num, den):
+            for x, y in zip(a.tolist(), b.tolist()):
+                if (pair := (int(cid[x]), int(cid[y]))) not in seen:
+                    seen[pair] = links(whole[x], whole[y], num, den)
         return pd.DataFrame([p for p, good in seen.items() if good], columns=["a", "b"], dtype="int64")
 
     return rows.groupBy("bucket").applyInPandas(compare, "a long, b long").distinct()
+
+
+def _with_partners(lists: DataFrame, sets: DataFrame, may_link: Callable, num: int, den: int) -> DataFrame:
+    """The rows of ``lists`` whose class has a partner on the list, by sizes and prints."""
+    size = lists.agg(F.count(F.lit(1)).alias("n")).head()
+    rows = lists.join(sets.select("cid", "prints"), "cid")
+    rows = rows.select(F.pmod("list", F.lit(max(1, size["n"] // BUCKET_ROWS))).alias("bucket"), "list", "cid", "n", "comp", "prints")
+
+    def partners(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["list", "cid"])
+        has = np.zeros(len(pdf), bool)
+        for a, b in _each_pair(pdf, may_link, num, den):
+            has[a] = has[b] = True
+        return pdf.loc[has, ["list", "cid", "n", "comp"]]
+
+    return rows.groupBy("bucket").applyInPandas(partners, "list long, cid long, n long, comp long")

@@ -40,8 +40,6 @@ rows gives none; other columns are ignored.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -50,47 +48,12 @@ from pyspark.sql import functions as F
 from shardsmith.llm.common import ROW_KEY, WordHasher, materialize, row_key, scramble
 from shardsmith.llm.ngram_join import components, merge_components, set_id, shingle_set
 from shardsmith.llm.pairs import company_lists, links, links_in_place
+from shardsmith.llm.sketches import COORDS, least_agreement, prints, sketched
 
 SIZE = 2  # words of a shingle
-COORDS, ROWS = 210, 5
+ROWS = 5
 BANDS = COORDS // ROWS
-AT_ONCE = 1 << 20  # shingles that are sketched together
-SIGMAS = 5.5  # of the count of coordinates in which a link agrees
-EMPTY = np.uint64(2**64 - 1)
-SEEDS = scramble(np.arange(101, 101 + 2 * COORDS, dtype=np.uint64))
 PLACES = scramble(np.arange(31, 31 + ROWS, dtype=np.uint64)) | np.uint64(1)
-LOW = np.uint64(2**32 - 1)
-
-
-def _throw(x: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """The bin and the value of each shingle in round i."""
-    h = scramble(x ^ SEEDS[i])
-    return ((h >> np.uint64(32)) * np.uint64(COORDS) >> np.uint64(32)).astype(np.int64), (h & LOW) | np.uint64(i << 32)
-
-
-def sketch(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of ``COORDS`` values for each of the sets, none of which is empty."""
-    size = np.array([len(s) for s in sets], np.int64)
-    x, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
-    out = np.full((len(sets), COORDS), EMPTY, np.uint64)
-    flat = out.reshape(-1)
-    open_ = np.arange(len(sets))
-    for i in range(COORDS):
-        at, value = _throw(x, i)
-        np.minimum.at(flat, owner * COORDS + at, value)
-        still = (out[open_] == EMPTY).any(axis=1)
-        if not still.all():
-            open_ = open_[still]
-            if not len(open_):
-                return out
-            stays = np.zeros(len(sets), bool)
-            stays[open_] = True
-            x, owner = x[stays[owner]], owner[stays[owner]]
-    for k in open_:  # sets of a few shingles
-        missing = np.flatnonzero(out[k] == EMPTY)
-        h = scramble(sets[k][:, None] ^ SEEDS[COORDS + missing])
-        out[k, missing] = (h & LOW).min(axis=0) | ((COORDS + missing).astype(np.uint64) << np.uint64(32))
-    return out
 
 
 def bands(sketches: np.ndarray) -> np.ndarray:
@@ -99,38 +62,6 @@ def bands(sketches: np.ndarray) -> np.ndarray:
     return scramble(keys + np.arange(1, BANDS + 1, dtype=np.uint64))
 
 
-def prints(sketches: np.ndarray) -> np.ndarray:
-    """A byte of each coordinate."""
-    return (scramble(sketches) >> np.uint64(56)).astype(np.uint8)
-
-
-def least_agreement(num: int, den: int) -> int:
-    """The coordinates in which the sketches of a link agree, but for ``SIGMAS`` deviations."""
-    p = num / den
-    return max(0, math.floor(COORDS * p - SIGMAS * math.sqrt(COORDS * p * (1 - p))))
-
-
-def _portions(sets: list[np.ndarray]):
-    """Consecutive slices of about ``AT_ONCE`` shingles, a set or more each."""
-    start = total = 0
-    for i, s in enumerate(sets):
-        if total and total + len(s) > AT_ONCE:
-            yield slice(start, i)
-            start, total = i, 0
-        total += len(s)
-    if start < len(sets):
-        yield slice(start, len(sets))
-
-
-def _sketched(sets: list[np.ndarray]) -> np.ndarray:
-    """The sketches of sets that may be empty; theirs is empty too."""
-    out = np.full((len(sets), COORDS), EMPTY, np.uint64)
-    full = [i for i, s in enumerate(sets) if len(s)]
-    for part in _portions([sets[i] for i in full]):
-        out[full[part]] = sketch([sets[i] for i in full[part]])
-    return out
-
-
 def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, row key, n, sid, bands) of every document."""
     src = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias(ROW_KEY), F.col(text_col).alias("__text"))
@@ -140,7 +71,7 @@ def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         hasher = WordHasher()
         for b in batches:
             sets = [shingle_set(hasher, t, SIZE) for t in b.column(2).to_pylist()]
-            keys = bands(_sketched(sets)).reshape(-1).view(np.int64)
+            keys = bands(sketched(sets)).reshape(-1).view(np.int64)
             ends = np.arange(len(sets) + 1, dtype=np.int32) * BANDS
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))],
@@ -162,7 +93,7 @@ def _class_sets(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) ->
         for b in batches:
             sets = [shingle_set(hasher, t, SIZE) for t in b.column(2).to_pylist()]
             same = [set_id(s) == sid for s, sid in zip(sets, b.column(1).to_pylist())]
-            made = prints(_sketched(sets))
+            made = prints(sketched(sets))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([p.tobytes() for p in made], pa.binary())], names=["cid", "shingles", "prints"]
             ).filter(pa.array(same, pa.bool_()))

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from shardsmith.llm import pairs, similarity
+from shardsmith.llm import pairs, similarity, sketches
 from shardsmith.llm.common import scramble, words
 
 SCHEMA = "doc_id bigint, text string, n int, sid string, comp string, kept string"
@@ -20,22 +20,22 @@ def test_sketches_are_filled():
     """Sets of every size fill all coordinates, as if sketched alone."""
     rng = np.random.default_rng(1)
     sets = [some_set(rng, n) for n in (1, 1, 2, 3, 5, 8, 30, 200, 1000, 20_000)]
-    made = similarity.sketch(sets)
-    assert (made != similarity.EMPTY).all()
+    made = sketches.sketch(sets)
+    assert (made != sketches.EMPTY).all()
     for s, row in zip(sets, made):
-        assert (similarity.sketch([s])[0] == row).all()
+        assert (sketches.sketch([s])[0] == row).all()
     rounds = made >> np.uint64(32)
-    assert rounds[-1].max() <= 1 and rounds[0].max() >= similarity.COORDS  # a large set needs a round or two, one shingle more than COORDS
-    assert (rounds[rounds >= similarity.COORDS] < 2 * similarity.COORDS).all()
-    assert (similarity._sketched([sets[0][:0], sets[5]])[1] == made[5]).all()
+    assert rounds[-1].max() <= 1 and rounds[0].max() >= sketches.COORDS  # a large set needs a round or two, one shingle more than COORDS
+    assert (rounds[rounds >= sketches.COORDS] < 2 * sketches.COORDS).all()
+    assert (sketches.sketched([sets[0][:0], sets[5]])[1] == made[5]).all()
 
 
 def test_coordinates_of_named_rounds():
     """Round COORDS + k fills coordinate k, from the whole set."""
     x = np.array([12345], np.uint64)
-    row = similarity.sketch([x])[0] >> np.uint64(32)
-    late = row >= similarity.COORDS
-    assert late.any() and (row[late] == similarity.COORDS + np.flatnonzero(late)).all()
+    row = sketches.sketch([x])[0] >> np.uint64(32)
+    late = row >= sketches.COORDS
+    assert late.any() and (row[late] == sketches.COORDS + np.flatnonzero(late)).all()
 
 
 @pytest.mark.parametrize("j", [0.2, 0.5, 0.8, 0.95])
@@ -48,23 +48,23 @@ def test_agreement_is_concentrated(j):
         common = round(n * j)
         s = some_set(rng, 2 * n - common)
         a, b = s[:n], s[n - common :]
-        x, y = similarity.sketch([a, b])
+        x, y = sketches.sketch([a, b])
         real = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
         got.append(((x == y).mean() - real, real))
     error = np.array([e for e, _ in got])
     p = np.mean([r for _, r in got])
-    assert abs(error.mean()) < 0.01 and error.std() < 1.15 * np.sqrt(p * (1 - p) / similarity.COORDS)
+    assert abs(error.mean()) < 0.01 and error.std() < 1.15 * np.sqrt(p * (1 - p) / sketches.COORDS)
 
 
 def test_bands_and_prints():
     rng = np.random.default_rng(3)
     s = some_set(rng, 500)
-    a, b = similarity.sketch([s, s[: int(len(s) * 0.85)]])
+    a, b = sketches.sketch([s, s[: int(len(s) * 0.85)]])
     ka, kb = similarity.bands(a[None])[0], similarity.bands(b[None])[0]
     same = (a == b).reshape(similarity.BANDS, similarity.ROWS).all(axis=1)
     assert same.any() and (ka == kb).tolist() == same.tolist() and len(set(ka.tolist())) == similarity.BANDS
-    assert ((similarity.prints(a) == similarity.prints(b)) >= (a == b)).all()
-    assert similarity.least_agreement(4, 5) < 0.8 * similarity.COORDS
+    assert ((sketches.prints(a) == sketches.prints(b)) >= (a == b)).all()
+    assert sketches.least_agreement(4, 5) < 0.8 * sketches.COORDS
 
 
 def brute(rows):
