@@ -12,7 +12,8 @@ The as-of join is two windows: within a URL and a time block, then over the
 last response of each block, so a URL that holds a third of all records is
 spread over its blocks.  Records of equal URL and time are one row there, so
 that a window holds at most as many rows as its block has seconds.  The
-answer belongs to a URL and a time; payloads are joined to it in the end.
+answer belongs to a URL and a time and names its response; each payload moves
+once, to the revisits that name it.
 
 Outcomes (``outcome``): ``response`` for what is no revisit, ``resolved``,
 ``mismatch``, ``no_validator`` or ``no_response``.  Defined cases: a null URL
@@ -89,13 +90,13 @@ def resolve_revisits(records: DataFrame, block_seconds: int = 86_400) -> DataFra
     before = W.partitionBy("__url").orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
     far = blocks.select("__url", "__block", F.max("__last").over(before).alias("__far")).filter(F.col("__far").isNotNull())
     # the answer is one of the url and time, whatever ids the records have
-    answers = near.join(far, ["__url", "__block"], "left").select(F.col("__url").alias("__at"), F.col("time").alias("__when"), F.coalesce("__near", "__far").alias("__r")).filter(F.col("__r").isNotNull())
-    served = records.filter(full & dated).select(F.col("__url").alias("__from"), F.struct("time", "record_id", "__body").alias("__key"), F.col("record_id").alias("refers_to"), F.col("headers").alias("__headers"), F.col("payload").alias("__payload"))
-    served = served.withColumns({"__t": F.col("__key")["time"], "__b": F.col("__key")["__body"]}).dropDuplicates(["__from", "__t", "refers_to", "__b"]).drop("__key")
-    r = F.col("__r")
-    same = (F.col("__at") == F.col("__from")) & (r["time"] == F.col("__t")) & (r["__body"] == F.col("__b")) & r["record_id"].eqNullSafe(F.col("refers_to"))
-    found = answers.join(served, same).select("__at", "__when", F.lit(True).alias("__found"), "refers_to", "__headers", "__payload")
-    revisits = records.filter(F.col("record_type") == "revisit").join(found, (F.col("__url") == F.col("__at")) & (F.col("time") == F.col("__when")), "left")
+    answers = near.join(far, ["__url", "__block"], "left").select(F.col("__url").alias("__at"), F.col("time").alias("__when"), F.coalesce("__near", "__far").alias("__key")).filter(F.col("__key").isNotNull())
+    asking = F.coalesce(F.col("record_type") == "revisit", F.lit(False)) & dated
+    # payloads move once, to the revisits: the rows that serve are reduced and joined by the same two columns
+    revisits = records.filter(asking).drop("__body").join(answers, (F.col("__url") == F.col("__at")) & (F.col("time") == F.col("__when")), "left").drop("__at", "__when")
+    served = records.filter(full & dated).select(F.col("__url").alias("__from"), F.struct("time", "record_id", "__body").alias("__response"), F.lit(True).alias("__found"), F.col("headers").alias("__headers"), F.col("payload").alias("__payload"))
+    served = served.dropDuplicates(["__from", "__response"]).withColumn("refers_to", F.col("__response")["record_id"])
+    revisits = revisits.join(served, (F.col("__url") == F.col("__from")) & (F.col("__key") == F.col("__response")), "left")
     agrees = _agrees(F.col("__headers"), F.col("headers"))
     outcome = F.when(F.col("__found").isNull(), "no_response").when(agrees.isNull(), "no_validator").when(agrees, "resolved").otherwise("mismatch")
     revisits = revisits.withColumn("outcome", outcome)
@@ -105,5 +106,6 @@ def resolve_revisits(records: DataFrame, block_seconds: int = 86_400) -> DataFra
         "payload": F.when(good, F.col("__payload")).otherwise(F.col("payload")),
     }
     revisits = revisits.select(*(new[c].alias(c) if c in new else F.col(c) for c in names), F.when(good, F.col("refers_to")).alias("refers_to"), "outcome")
-    rest = records.filter(~F.coalesce(F.col("record_type") == "revisit", F.lit(False))).select(*names, F.lit(None).cast(records.schema["record_id"].dataType).alias("refers_to"), F.lit("response").alias("outcome"))
+    no_answer = F.when(F.col("record_type") == "revisit", "no_response").otherwise("response")
+    rest = records.filter(~asking).select(*names, F.lit(None).cast(records.schema["record_id"].dataType).alias("refers_to"), no_answer.alias("outcome"))
     return rest.unionByName(revisits)
