@@ -12,9 +12,11 @@ documents link when ``den * intersection >= num * union`` (3/4).  Steps:
 3.  Postings (shingle of a prefix, class) travel packed, by hash buckets, and
     those of shingles with a single class go; so do classes that are left
     with fewer postings than any link needs.  Classes of equal size with the
-    same remaining prefix are one *group*.
+    same remaining prefix are one *group*, and of the lists of groups that
+    shingles have, equal ones are one list with a weight.
 4.  Group pairs are filtered by size and by the postings that they share,
-    then expanded to their classes, which are verified on the whole sets.
+    then expanded to their classes, which are verified on the whole sets,
+    if bitmaps of them (an exact bound) don't rule a pair out before.
 
 Links only have to yield components, so a pair within a component is never
 looked at again.  First each group is verified against one hub, the group it
@@ -35,13 +37,14 @@ none; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardsmith.llm.common import ROW_KEY, WordHasher, materialize, row_key, shingle_hashes
@@ -54,6 +57,7 @@ MOST_COUNTED = 1 << 20  # shingles whose counts are shipped to all tasks
 SHARED = 8  # shingles that the prefixes of linked sets share at least (or all that they must share, if fewer)
 BUCKET_POSTINGS = 400_000  # postings of a bucket, on average
 BITMAP = 1024  # bits of a class' bitmap
+KEY_BITS = 1 << 25  # bits of the table by which documents that aren't wanted are told before their texts move
 
 
 def shingle_set(hasher: WordHasher, text: str | None, size: int) -> np.ndarray:
@@ -160,65 +164,91 @@ def _often(made: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return t[order], c[order]
 
 
-def _postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], buckets: int, common: int, size: int, num: int, den: int, text_col: str) -> DataFrame:
-    """(shingle, sid, n): postings of the prefixes, only of shingles that two classes or more have.
+def _key_place(classes: DataFrame) -> tuple[int, int]:
+    """Start and width of the bytes of a class' digest that no other class has there: half of it, but for an accident."""
+    for start in (0, 8):
+        if classes.groupBy(_key(start, 8)).count().filter("count > 1").isEmpty():
+            return start, 8
+    return 0, 16
 
-    Packed rows hold the postings of one batch and bucket.  Shingles that may have more than ``common``
+
+def _key(start: int, width: int) -> Column:
+    return F.substring("sid", start + 1, width)
+
+
+def _postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], place: tuple[int, int], buckets: int, common: int, size: int, num: int, den: int, text_col: str) -> DataFrame:
+    """(token: shingle, class: key): postings of the prefixes, only of shingles that two classes or more have.
+
+    Packed rows hold the postings of one batch and bucket, a class by the bytes of its digest at ``place``.  Shingles that may have more than ``common``
     classes aren't gathered in their bucket: they are passed on as they are, spread by class.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(often)  # MOST_COUNTED shingles at most
+    start, width = place
 
     def pack(batches):
         hasher, often = WordHasher(), shipped.value
         for b in batches:
-            sids, ns, tokens, seen = [], [], [], set()
+            sids, tokens, seen = [], [], set()
             for text in b.column(0).to_pylist():
                 s = shingle_set(hasher, text, size)
                 if len(s):
                     sid = set_id(s)
                     if sid not in seen:
                         seen.add(sid)
-                        sids.append(sid)
-                        ns.append(len(s))
+                        sids.append(sid[start : start + width])
                         tokens.append(prefix(s, often, num, den))
             if not sids:
                 continue
             token = np.concatenate(tokens)
             owner = np.repeat(np.arange(len(sids)), [len(t) for t in tokens])
-            sid, n = np.array(sids, "V16"), np.array(ns, np.int64)
+            key = np.frombuffer(b"".join(sids), f"V{width}")
             many = counts_of(often, token) > common
-            spread = sid.view(np.uint64).reshape(-1, 2)[owner, 0]
+            spread = key.view(np.uint64).reshape(len(key), -1)[owner, 0]
             bucket = np.where(many, spread % np.uint64(buckets) + np.uint64(buckets), token % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order])) + 1
             groups = np.split(order, cuts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(bucket[g[0]]) for g in groups], pa.int64()), pa.array([token[g].tobytes() for g in groups], pa.binary()), pa.array([sid[owner[g]].tobytes() for g in groups], pa.binary()), pa.array([n[owner[g]].tobytes() for g in groups], pa.binary())],
-                names=["bucket", "token", "sid", "n"],
+                [pa.array([int(bucket[g[0]]) for g in groups], pa.int64()), pa.array([token[g].tobytes() for g in groups], pa.binary()), pa.array([key[owner[g]].tobytes() for g in groups], pa.binary())],
+                names=["bucket", "token", "class"],
             )
 
     def unpack(pdf: pd.DataFrame) -> pd.DataFrame:
         token = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["token"]])
-        sid = np.concatenate([np.frombuffer(x, "V16") for x in pdf["sid"]])
-        n = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["n"]])
-        two = sid.view(np.uint64).reshape(-1, 2)
-        order = np.lexsort((two[:, 1], two[:, 0], token))
-        t, a = token[order], two[order]
+        key = np.frombuffer(b"".join(pdf["class"]), f"V{width}")
+        parts = key.view(np.uint64).reshape(len(key), -1)
+        order = np.lexsort((*parts.T, token))
+        t, a = token[order], parts[order]
         same = np.zeros(len(t), bool)
         same[1:] = (t[1:] == t[:-1]) & (a[1:] == a[:-1]).all(axis=1)
         order, t = order[~same], t[~same]
         if pdf["bucket"].iat[0] < buckets:
             _, at, count = np.unique(t, return_inverse=True, return_counts=True)
             order = order[count[at] > 1]
-        return pd.DataFrame({"token": token[order].view(np.int64), "sid": [x.tobytes() for x in sid[order]], "n": n[order]})
+        return pd.DataFrame({"token": token[order].view(np.int64), "class": [x.tobytes() for x in key[order]]})
+
+    packed = docs.select(text_col).filter(F.col(text_col).isNotNull()).mapInArrow(pack, "bucket long, token binary, class binary")
+    return packed.groupBy("bucket").applyInPandas(unpack, "token long, class binary")
+
 
-    packed = docs.select(text_col).filter(F.col(text_col).isNotNull()).mapInArrow(pack, "bucket long, token binary, sid binary, n binary")
-    return packed.groupBy("bucket").applyInPandas(unpack, "token long, sid binary, n long")
+def _by_bitmaps(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of the pairs (a, b) that the classes' bitmaps and sizes don't rule out, so that few whole sets are moved."""
+    maps = sets.select("cid", (F.octet_length("shingles") / 8).cast("long").alias("n"), F.substring("prints", 1, BITMAP // 8).alias("map"))
+    for end in ("a", "b"):
+        pairs = pairs.join(maps.withColumnsRenamed({"cid": end, "n": f"n_{end}", "map": f"map_{end}"}), end)
+
+    def run(batches):
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("map_a", "map_b"))
+            good = _bitmaps_fit(x, y, b.column("n_a").to_numpy(), b.column("n_b").to_numpy(), num, den)
+            yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return pairs.select("a", "b", "n_a", "n_b", "map_a", "map_b").mapInArrow(run, "a long, b long")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Those of the pairs (a, b) whose sets link; ``pairs`` is a written table."""
-    pairs = pairs.select("a", "b")
+    pairs = materialize(_by_bitmaps(pairs.select("a", "b"), sets, num, den), "ngram_near")
     left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("__a")).join(pairs, "a")
     wanted = materialize(pairs.select("b").distinct(), "ngram_wanted")  # few beside all classes: most sets need not move
     right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("__b")).join(wanted, "b", "left_semi")
@@ -295,26 +325,30 @@ def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int =
     rows = made.filter(F.col("bucket").isNull()).select("id", ROW_KEY, "n", "sid")
     often = _often(made)
     classes = rows.filter("n > 0").groupBy("sid").agg(F.min(F.struct("id", ROW_KEY)).alias("rep"), F.min("id").alias("first"), F.first("n").alias("n"))
+    classes = materialize(classes, "ngram_classes")
+    place = _key_place(classes)
+    classes = classes.withColumn("class", _key(*place))
     total = int(rows.agg(F.sum(F.col("n") - F.ceil(F.col("n") * num / den) + SHARED)).head()[0] or 0)
     buckets = max(1, total // BUCKET_POSTINGS)
     common = 1 << 16
-    postings = materialize(_postings(docs, often, buckets, common, size, num, den, text_col), "ngram_postings")
+    postings = materialize(_postings(docs, often, place, buckets, common, size, num, den, text_col), "ngram_postings")
 
     # groups: equal size, equal remaining prefix; the smallest class stands for it
-    members = postings.groupBy("sid", "n").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    members = postings.groupBy("class").agg(F.sort_array(F.collect_list("token")).alias("tokens")).join(classes.select("class", "n"), "class")
     members = members.filter(F.size("tokens") >= F.least(F.ceil(F.col("n") * num / den), F.lit(SHARED)))
-    members = members.select("sid", "n", F.xxhash64("n", "tokens").alias("g1"), F.xxhash64(F.lit(1), "tokens", "n").alias("g2"))
+    members = members.select("class", "n", F.xxhash64("n", "tokens").alias("g1"), F.xxhash64(F.lit(1), "tokens", "n").alias("g2"))
     # from here on classes go by numbers, fixed by being written: a third of the bytes of their digests
     members = materialize(members.withColumn("cid", F.monotonically_increasing_id()), "ngram_members")
     groups = members.groupBy("g1", "g2").agg(F.min("cid").alias("gid"))
-    members = materialize(members.join(groups, ["g1", "g2"]).select("sid", "cid", "n", "gid"), "ngram_groups")
-    lists = materialize(postings.select("token", "sid", "n").join(members.filter("cid = gid").select("sid", "gid"), "sid").select("token", "gid", "n"), "ngram_lists")
+    members = materialize(members.join(groups, ["g1", "g2"]).select("class", "cid", "n", "gid"), "ngram_groups")
+    lists = postings.join(members.filter("cid = gid").select("class", "gid", "n"), "class").select("token", "gid", "n")
+    lists = materialize(_without_repeats(materialize(lists, "ngram_lists")), "ngram_lists")
 
-    sets = materialize(_candidate_sets(docs, members.select("sid", "cid").join(classes, "sid").select("sid", "cid", "rep"), size, id_col, text_col), "ngram_candidates")
+    sets = materialize(_candidate_sets(docs, members.select("class", "cid").join(classes, "class").select("sid", "cid", "rep"), size, id_col, text_col), "ngram_candidates")
     # the first group of a list, with its size
     hubs = lists.groupBy("token").agg(F.min(F.struct("gid", "n")).alias("h")).select("token", F.col("h.gid").alias("hub"), F.col("h.n").alias("m"))
     hubs = lists.join(hubs, "token")
-    hubs = hubs.filter((F.col("gid") != F.col("hub")) & _fits("n", "m", num, den)).groupBy("gid", "n", "hub", "m").agg(F.count(F.lit(1)).alias("shared"))
+    hubs = hubs.filter((F.col("gid") != F.col("hub")) & _fits("n", "m", num, den)).groupBy("gid", "n", "hub", "m").agg(F.sum("weight").alias("shared"))
     hubs = hubs.filter(F.col("shared") >= _needed("n", "m", num, den))
     hubs = hubs.groupBy("gid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
     tried = members.filter("cid <> gid").select(F.col("cid").alias("a"), F.col("gid").alias("b")).unionByName(hubs.select(F.col("gid").alias("a"), F.col("hub").alias("b")))
@@ -322,15 +356,15 @@ def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int =
 
     apart = materialize(_open_rows(lists, members, comp), "ngram_open")
     links = _verify(materialize(_hub_pairs(apart, num, den), "ngram_pairs"), sets, num, den)
-    comp = merge_components(comp, links, "ngram_components")
-    apart = materialize(_open_rows(lists, members, comp), "ngram_open")
+    before, comp = comp, merge_components(comp, links, "ngram_components")
+    apart = materialize(_still_open(apart, before, comp), "ngram_open")
     left = materialize(company_lists(_companies(apart), comp), "ngram_left")
     may_link = partial(_may_link, least=least_agreement(num, den), num=num, den=den)
     links = links_in_place(left, sets, may_link, num, den, "ngram_partners")
     comp = merge_components(comp, materialize(links, "ngram_pairs"), "ngram_components")
 
-    numbered = members.select("sid", "cid").join(comp.select(F.col("node").alias("cid"), "comp"), "cid").select("sid", "comp")
-    named = classes.select("sid", "first").join(numbered, "sid", "left")
+    numbered = members.select("class", "cid").join(comp.select(F.col("node").alias("cid"), "comp"), "cid").select("class", "comp")
+    named = classes.select("sid", "class", "first").join(numbered, "class", "left")
     least = named.filter(F.col("comp").isNotNull()).groupBy("comp").agg(F.min("first").alias("least"), F.min("sid").alias("key"))
     named = named.join(least, "comp", "left").select("sid", F.when(F.col("comp").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"), F.coalesce("key", "sid").alias("component_key"))
     out = rows.filter("n > 0").join(named, "sid").select("id", ROW_KEY, "n", "component_id", "component_key")
@@ -343,8 +377,9 @@ def _candidate_sets(docs: DataFrame, reps: DataFrame, size: int, id_col: str, te
 
     A shingle turns over one bit of the bitmap, so bitmaps differ in at most as many bits as sets in shingles.
     """
-    want = reps.select("sid", "cid", F.col(f"rep.{ROW_KEY}").alias("__key"))
+    want = materialize(reps.select("sid", "cid", F.col(f"rep.{ROW_KEY}").alias("__key")), "ngram_reps")
     src = docs.select(row_key(id_col, text_col).alias(ROW_KEY), F.col(text_col).alias("__text"))
+    src = src.filter(_may_be_among(want, "__key")(ROW_KEY))  # few beside all documents: most texts need not move
     # joined and reduced by the row key alone, so that the texts move once; a text of another set is told by its set
     found = src.join(want, F.col(ROW_KEY) == F.col("__key")).select("sid", "cid", "__key", "__text")
     found = found.withColumn("__hash", F.xxhash64("__text")).dropDuplicates(["__key", "sid", "__hash"]).select("sid", "cid", "__text")
@@ -361,25 +396,66 @@ def _candidate_sets(docs: DataFrame, reps: DataFrame, size: int, id_col: str, te
     return found.mapInArrow(run, "cid long, shingles binary, prints binary")
 
 
+def _may_be_among(keys: DataFrame, col: str) -> Callable:
+    """A filter for a column of 64-bit hashes that passes all that are among ``keys`` and few others: of a table of
+    ``KEY_BITS`` bits, however many keys there are, those that the keys have are set."""
+    bit = F.pmod(col, F.lit(KEY_BITS))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))
+    found = keys.groupBy(F.floor(bit / 64).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()  # KEY_BITS / 64 rows at most
+    table = np.zeros(KEY_BITS // 64, np.int64)
+    table[found["word"].to_numpy()] = found["bits"].to_numpy()
+    shipped = keys.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def among(key: pd.Series) -> pd.Series:
+        at = key.to_numpy() % KEY_BITS
+        return pd.Series((shipped.value[at // 64] >> (at % 64)) & 1 == 1)
+
+    return among
+
+
+def _without_repeats(lists: DataFrame) -> DataFrame:
+    """(token, gid, n, weight): one of the lists (token, gid, n) that have the same groups, and how many they are.
+
+    Near copies share runs of shingles, so most lists are repeats.  Lists are told apart by their length and 128 bits of
+    the hashes of their groups, which are distinct on a list.
+    """
+    mark = [F.bit_xor(F.xxhash64(F.lit(i), "gid")).alias(f"x{i}") for i in (1, 2)]
+    marked = lists.groupBy("token").agg(F.count(F.lit(1)).alias("k"), *mark)
+    kept = marked.groupBy("k", "x1", "x2").agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("weight"))
+    return lists.join(materialize(kept.select("token", "weight"), "ngram_distinct"), "token")
+
+
 def _open_rows(lists: DataFrame, members: DataFrame, comp: DataFrame) -> DataFrame:
-    """(token, cid, n, comp, low, size): the lists, by class, of shingles that join components; ``low``: the first component.
+    """(token, cid, n, comp, weight, low): the lists, by class, of shingles that join components; ``low``: the first component.
 
     Lists are looked at by group first, with the first and the last component of its classes, so
     that only those that join components are written out by class.
     """
     label = members.join(comp.select(F.col("node").alias("cid"), "comp"), "cid", "left").select("gid", "cid", "n", F.coalesce("comp", "cid").alias("comp"))
     label = materialize(label, "ngram_labels")
-    span = label.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size"))
-    mixed = lists.select("token", "gid").join(span, "gid").groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("size").alias("size"))
-    mixed = materialize(mixed.filter("low <> high").select("token", "low", "size"), "ngram_mixed")
-    return lists.select("token", "gid").join(mixed, "token").join(label, "gid").select("token", "cid", "n", "comp", "low", "size")
+    span = label.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    mixed = lists.select("token", "gid").join(span, "gid").groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    mixed = materialize(mixed.filter("low <> high").select("token", "low"), "ngram_mixed")
+    return lists.select("token", "gid", "weight").join(mixed, "token").join(label, "gid").select("token", "cid", "n", "comp", "weight", "low")
+
+
+def _still_open(rows: DataFrame, before: DataFrame, comp: DataFrame) -> DataFrame:
+    """Those of the open rows whose lists still join components: only the lists that a merger is on are looked at."""
+    was = before.select("node", F.col("comp").alias("__was"))
+    merged = comp.join(was, "node", "left").select(F.coalesce("__was", "node").alias("comp"), F.col("comp").alias("__to"))
+    merged = materialize(merged.filter("comp <> __to").distinct(), "ngram_merged")
+    touched = materialize(rows.join(merged, "comp", "left_semi").select("token").distinct(), "ngram_touched")
+    now = rows.join(touched, "token", "left_semi").join(merged, "comp", "left").select("token", F.coalesce("__to", "comp").alias("comp"))
+    one = now.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low = high").select("token")
+    return rows.join(materialize(one, "ngram_settled"), "token", "left_anti")
 
 
 def _hub_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
     """For each class the first class of another component that it shares most postings with."""
     first = rows.filter("comp = low").groupBy("token").agg(F.min(F.struct("cid", "n")).alias("h")).select("token", F.col("h.cid").alias("hub"), F.col("h.n").alias("m"))
     pairs = rows.filter("comp <> low").join(first, "token").filter(_fits("n", "m", num, den))
-    pairs = pairs.groupBy("cid", "n", "hub", "m").agg(F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= _needed("n", "m", num, den))
+    pairs = pairs.groupBy("cid", "n", "hub", "m").agg(F.sum("weight").alias("shared")).filter(F.col("shared") >= _needed("n", "m", num, den))
     return pairs.groupBy("cid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub")).select(F.col("cid").alias("a"), F.col("hub").alias("b"))
 
 
@@ -389,7 +465,7 @@ def _companies(rows: DataFrame) -> DataFrame:
     Classes that share a shingle share its hub, and the lists of near copies mostly have one, so that a class is in few
     companies where it is on many lists.
     """
-    popular = rows.groupBy("cid").agg(F.count(F.lit(1)).alias("pop"))
+    popular = rows.groupBy("cid").agg(F.sum("weight").alias("pop"))
     hubs = rows.select("token", "cid").join(popular, "cid").groupBy("token").agg(F.max(F.struct("pop", "cid"))["cid"].alias("hub"))
     return rows.select("token", "cid", "n").join(hubs, "token").select("hub", "cid", "n").distinct()
 
@@ -399,7 +475,12 @@ def _may_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, least:
     which their bitmaps differ (exact, but it says little of long sets), and their sketches agree in ``least``
     coordinates (true of a link but with probability 2e-8)."""
     cut = BITMAP // 8
-    both = (n + m - np.bitwise_count(x[:, :cut] ^ y[:, :cut]).sum(axis=1, dtype=np.int64)) // 2
-    near = den * both >= num * (n + m - both)
+    near = _bitmaps_fit(x[:, :cut], y[:, :cut], n, m, num, den)
     near[near] = (x[near, cut:] == y[near, cut:]).sum(axis=1) >= least
     return near
+
+
+def _bitmaps_fit(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets of those bitmaps and sizes can be alike enough (exact: no link is ruled out)."""
+    both = (n + m - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) // 2
+    return den * both >= num * (n + m - both)

@@ -51,10 +51,36 @@ def company_lists(company: DataFrame, comp: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.when(F.col("comp") == F.col("main"), with_rest).otherwise(with_both)).alias("list"), "cid", "n", "comp")
 
 
-def _each_pair(pdf: pd.DataFrame, may_link: Callable, num: int, den: int):
-    """(rows a, rows b) of the pairs of different components on a list of ``pdf`` (list, cid, n, comp, prints; in that
-    order of lists) whose sizes and prints allow a link."""
-    of, n, comp = (pdf[c].to_numpy() for c in ("list", "n", "comp"))
+class Forest:
+    """Numbers from 0 on, joined to components; ``at`` leads from each to the root of its component."""
+
+    def __init__(self, n: int):
+        self.at = np.arange(n)
+
+    def root(self, i: int) -> int:
+        at = self.at
+        while at[i] != i:
+            at[i] = at[at[i]]
+            i = at[i]
+        return i
+
+    def join(self, i: int, j: int) -> None:
+        i, j = self.root(i), self.root(j)
+        self.at[max(i, j)] = min(i, j)
+
+    def roots(self) -> np.ndarray:
+        while (self.at != (up := self.at[self.at])).any():
+            self.at = up
+        return self.at
+
+
+def _each_pair(pdf: pd.DataFrame, comp: np.ndarray, joined: Forest, may_link: Callable, num: int, den: int):
+    """(rows a, rows b) of the pairs of different components on a list of ``pdf`` (list, cid, n, prints; in that
+    order of lists) whose sizes and prints allow a link.
+
+    ``comp`` numbers the rows' components; those that the caller has ``joined`` in between are one from the next step on.
+    """
+    of, n = (pdf[c].to_numpy() for c in ("list", "n"))
     mine = np.frombuffer(b"".join(pdf["prints"]), np.uint8).reshape(len(pdf), -1)
     left, step = np.arange(len(pdf)), 1
     while len(left):  # each row with the one ``step`` after it on its list
@@ -62,7 +88,8 @@ def _each_pair(pdf: pd.DataFrame, may_link: Callable, num: int, den: int):
         left = left[of[left] == of[left + step]]
         right = left + step
         small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
-        ok = (comp[left] != comp[right]) & (den * small >= num * large)
+        now = joined.roots()[comp]
+        ok = (now[left] != now[right]) & (den * small >= num * large)
         i, j = left[ok], right[ok]
         for k in range(0, len(i), 20_000):
             a, b = i[k : k + 20_000], j[k : k + 20_000]
@@ -72,7 +99,10 @@ def _each_pair(pdf: pd.DataFrame, may_link: Callable, num: int, den: int):
 
 
 def links_in_place(lists: DataFrame, sets: DataFrame, may_link: Callable, num: int, den: int, name: str | None = None) -> DataFrame:
-    """(a, b): the pairs of different components on a list whose sets link.
+    """(a, b): links between different components, by which all are joined that any pair on a list links.
+
+    A link between components that those found in the same bucket have joined already isn't looked for: a bucket gives
+    fewer rows than it has components, however many of its pairs link.
 
     ``lists`` is a written table, ``sets`` holds (cid, shingles, prints): the sorted set and a short print of it, both
     as bytes.  ``may_link(prints of a, prints of b, sizes of a, sizes of b)`` rules pairs out by rows of prints; the
@@ -88,12 +118,22 @@ def links_in_place(lists: DataFrame, sets: DataFrame, may_link: Callable, num: i
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["list", "cid"])
         cid, whole = pdf["cid"].to_numpy(), [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
-        seen: dict[tuple[int, int], bool] = {}
-        for a, b in _each_pair(pdf, may_link, num, den):
+        # the components as far as the links of this bucket join them
+        _, mine = np.unique(pdf["comp"].to_numpy(), return_inverse=True)
+        joined = Forest(int(mine.max()) + 1)
+        made: list[tuple[int, int]] = []
+        failed: set[tuple[int, int]] = set()
+        for a, b in _each_pair(pdf, mine, joined, may_link, num, den):
             for x, y in zip(a.tolist(), b.tolist()):
-                if (pair := (int(cid[x]), int(cid[y]))) not in seen:
-                    seen[pair] = links(whole[x], whole[y], num, den)
-        return pd.DataFrame([p for p, good in seen.items() if good], columns=["a", "b"], dtype="int64")
+                pair = int(cid[x]), int(cid[y])
+                if pair in failed or joined.root(mine[x]) == joined.root(mine[y]):
+                    continue
+                if links(whole[x], whole[y], num, den):
+                    joined.join(mine[x], mine[y])
+                    made.append(pair)
+                else:
+                    failed.add(pair)
+        return pd.DataFrame(made, columns=["a", "b"], dtype="int64")
 
     return rows.groupBy("bucket").applyInPandas(compare, "a long, b long").distinct()
 
@@ -107,7 +147,8 @@ def _with_partners(lists: DataFrame, sets: DataFrame, may_link: Callable, num: i
     def partners(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["list", "cid"])
         has = np.zeros(len(pdf), bool)
-        for a, b in _each_pair(pdf, may_link, num, den):
+        _, comp = np.unique(pdf["comp"].to_numpy(), return_inverse=True)
+        for a, b in _each_pair(pdf, comp, Forest(int(comp.max()) + 1), may_link, num, den):
             has[a] = has[b] = True
         return pdf.loc[has, ["list", "cid", "n", "comp"]]
 
