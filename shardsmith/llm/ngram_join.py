@@ -176,10 +176,20 @@ def _key(start: int, width: int) -> Column:
     return F.substring("sid", start + 1, width)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts byte by byte: their high bytes are zeros, which compress."""
+    return counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.uint8).reshape(4, -1).T.copy().view(np.uint32).reshape(-1)
+
+
 def _postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], place: tuple[int, int], buckets: int, common: int, size: int, num: int, den: int, text_col: str) -> DataFrame:
     """(token: shingle, class: key): postings of the prefixes, only of shingles that two classes or more have.
 
-    Packed rows hold the postings of one batch and bucket, a class by the bytes of its digest at ``place``.  Shingles that may have more than ``common``
+    Packed rows hold the postings of one batch and bucket, a class by the bytes of its digest at ``place``, once
+    for all its postings there.  Shingles that may have more than ``common``
     classes aren't gathered in their bucket: they are passed on as they are, spread by class.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(often)  # MOST_COUNTED shingles at most
@@ -208,14 +218,15 @@ def _postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], place: tupl
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order])) + 1
             groups = np.split(order, cuts)
+            runs = [np.unique(owner[g], return_counts=True) for g in groups]  # owners are in order
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(bucket[g[0]]) for g in groups], pa.int64()), pa.array([token[g].tobytes() for g in groups], pa.binary()), pa.array([key[owner[g]].tobytes() for g in groups], pa.binary())],
-                names=["bucket", "token", "class"],
+                [pa.array([int(bucket[g[0]]) for g in groups], pa.int64()), pa.array([token[g].tobytes() for g in groups], pa.binary()), pa.array([key[o].tobytes() for o, _ in runs], pa.binary()), pa.array([_packed(k) for _, k in runs], pa.binary())],
+                names=["bucket", "token", "class", "times"],
             )
 
     def unpack(pdf: pd.DataFrame) -> pd.DataFrame:
         token = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["token"]])
-        key = np.frombuffer(b"".join(pdf["class"]), f"V{width}")
+        key = np.repeat(np.frombuffer(b"".join(pdf["class"]), f"V{width}"), np.concatenate([_unpacked(x) for x in pdf["times"]]))
         parts = key.view(np.uint64).reshape(len(key), -1)
         order = np.lexsort((*parts.T, token))
         t, a = token[order], parts[order]
@@ -227,7 +238,7 @@ def _postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], place: tupl
             order = order[count[at] > 1]
         return pd.DataFrame({"token": token[order].view(np.int64), "class": [x.tobytes() for x in key[order]]})
 
-    packed = docs.select(text_col).filter(F.col(text_col).isNotNull()).mapInArrow(pack, "bucket long, token binary, class binary")
+    packed = docs.select(text_col).filter(F.col(text_col).isNotNull()).mapInArrow(pack, "bucket long, token binary, class binary, times binary")
     return packed.groupBy("bucket").applyInPandas(unpack, "token long, class binary")
 
 
@@ -336,13 +347,15 @@ def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int =
     # groups: equal size, equal remaining prefix; the smallest class stands for it
     members = postings.groupBy("class").agg(F.sort_array(F.collect_list("token")).alias("tokens")).join(classes.select("class", "n"), "class")
     members = members.filter(F.size("tokens") >= F.least(F.ceil(F.col("n") * num / den), F.lit(SHARED)))
-    members = members.select("class", "n", F.xxhash64("n", "tokens").alias("g1"), F.xxhash64(F.lit(1), "tokens", "n").alias("g2"))
+    members = members.select("class", "n", "tokens", F.xxhash64("n", "tokens").alias("g1"), F.xxhash64(F.lit(1), "tokens", "n").alias("g2"))
     # from here on classes go by numbers, fixed by being written: a third of the bytes of their digests
     members = materialize(members.withColumn("cid", F.monotonically_increasing_id()), "ngram_members")
     groups = members.groupBy("g1", "g2").agg(F.min("cid").alias("gid"))
+    groups = materialize(groups, "ngram_groups")
+    firsts = members.select(F.col("cid").alias("gid"), "n", "tokens").join(groups.select("gid"), "gid", "left_semi")
+    lists = materialize(firsts.select(F.explode("tokens").alias("token"), "gid", "n"), "ngram_lists")
+    lists = materialize(_without_repeats(lists), "ngram_lists")
     members = materialize(members.join(groups, ["g1", "g2"]).select("class", "cid", "n", "gid"), "ngram_groups")
-    lists = postings.join(members.filter("cid = gid").select("class", "gid", "n"), "class").select("token", "gid", "n")
-    lists = materialize(_without_repeats(materialize(lists, "ngram_lists")), "ngram_lists")
 
     sets = materialize(_candidate_sets(docs, members.select("class", "cid").join(classes, "class").select("sid", "cid", "rep"), size, id_col, text_col), "ngram_candidates")
     # the first group of a list, with its size
@@ -420,10 +433,11 @@ def _without_repeats(lists: DataFrame) -> DataFrame:
     Near copies share runs of shingles, so most lists are repeats.  Lists are told apart by their length and 128 bits of
     the hashes of their groups, which are distinct on a list.
     """
-    mark = [F.bit_xor(F.xxhash64(F.lit(i), "gid")).alias(f"x{i}") for i in (1, 2)]
+    lists = lists.filter(F.col("token").isNotNull()).repartition("token")  # by which they are marked and taken: they move once
+    mark = [F.bit_xor(F.xxhash64(F.lit(i), "gid", "n")).alias(f"x{i}") for i in (1, 2)]
     marked = lists.groupBy("token").agg(F.count(F.lit(1)).alias("k"), *mark)
     kept = marked.groupBy("k", "x1", "x2").agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("weight"))
-    return lists.join(materialize(kept.select("token", "weight"), "ngram_distinct"), "token")
+    return lists.join(kept.select("token", "weight"), "token")
 
 
 def _open_rows(lists: DataFrame, members: DataFrame, comp: DataFrame) -> DataFrame:
