@@ -154,3 +154,12 @@ def test_old_generations_can_be_read_until_they_expire(spark, scratch):
     with pytest.raises(FileNotFoundError):
         latest_snapshot(spark, scratch, "o", first.generation)
     assert restore_snapshot(spark, scratch, "o").count() == 6 and not commits.exists(spark, layout.data_path(scratch, "o", first.generation))
+
+
+def test_hint_that_is_being_replaced(spark, scratch):
+    """A hint whose checksum is another one's is damaged: the folder is listed."""
+    commits.replace_file(spark, f"{scratch}/hint.json", '{"commit": 7, "checkpoint": null}')
+    with open(f"{scratch.removeprefix('file://').removeprefix('file:')}/hint.json", "w") as f:
+        f.write('{"commit": 8, "checkpoint": null}')
+    assert commits._hint(spark, scratch) == (0, None)
+    assert commits.newest(spark, scratch) is None
