@@ -8,16 +8,18 @@ space (``[^\\x20\\x09-\\x0D]+``), lower-cased in A-Z only: exactly what
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardsmith.session import shared_dir
 
 ROW_KEY = "__row_key"
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 SPACE = " \t\n\x0b\x0c\r"  # the characters that separate words
 
 
@@ -33,6 +35,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is written within the ``with`` block goes to Python in batches of ``BATCH_BYTES``, or as the session says.
+
+    By default a batch has 10 000 rows, and a task has several batches of texts or sets in memory, on both sides.
+    """
+    ours = spark.conf.get(BATCH_CONF, None) is None
+    if ours:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if ours:
+            spark.conf.unset(BATCH_CONF)
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     """A key for a row made from its own values: equal rows share it, and it is never null."""
     return F.xxhash64(F.col(id_col), F.col(text_col))

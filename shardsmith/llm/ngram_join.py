@@ -47,15 +47,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardsmith.llm.common import ROW_KEY, WordHasher, materialize, row_key, shingle_hashes
+from shardsmith.llm.common import ROW_KEY, WordHasher, materialize, row_key, shingle_hashes, small_batches
 from shardsmith.llm.pairs import company_lists, links_in_place
 from shardsmith.llm.sketches import least_agreement, prints, sketched
 
 CHUNK = 1 << 22  # shingles whose repeats are counted together
-COUNT_BITS, COUNT_BUCKETS = 6, 64
+COUNT_BITS, COUNT_BUCKETS = 8, 256
 MOST_COUNTED = 1 << 20  # shingles whose counts are shipped to all tasks
 SHARED = 8  # shingles that the prefixes of linked sets share at least (or all that they must share, if fewer)
 BUCKET_POSTINGS = 400_000  # postings of a bucket, on average
+PACKED = 1 << 20  # postings that are packed together
 BITMAP = 1024  # bits of a class' bitmap
 KEY_BITS = 1 << 25  # bits of the table by which documents that aren't wanted are told before their texts move
 
@@ -71,6 +72,17 @@ def set_id(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
+def repeated(chunk: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values that ``chunk`` has more than once, in order, and their counts; sorts ``chunk`` in place, so that no
+    second one is in memory."""
+    chunk.sort()
+    at = np.flatnonzero(chunk[1:] == chunk[:-1])
+    new = np.ones(len(at), bool)
+    new[1:] = at[1:] != at[:-1] + 1
+    starts = np.flatnonzero(new)
+    return chunk[at[starts]], np.diff(starts, append=len(at)) + 1
+
+
 def counts_of(often: tuple[np.ndarray, np.ndarray], s: np.ndarray) -> np.ndarray:
     """The count of each shingle of ``s``; 1 for those that are not among the ``often`` (shingles in order, counts)."""
     tokens, counts = often
@@ -100,16 +112,15 @@ def _sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     schema = f"id {kind}, {ROW_KEY} long, n long, sid binary, bucket int, tokens binary, counts binary"
     names = ["id", ROW_KEY, "n", "sid", "bucket", "tokens", "counts"]
 
-    def repeats(chunk: list[np.ndarray], like: pa.DataType) -> pa.RecordBatch:
-        t, c = np.unique(np.concatenate(chunk), return_counts=True)
-        t, c = t[c > 1], c[c > 1].astype(np.int64)
+    def repeats(chunk: np.ndarray, like: pa.DataType) -> pa.RecordBatch:
+        t, c = repeated(chunk)
         cuts = np.searchsorted(t, np.arange(1, COUNT_BUCKETS, dtype=np.uint64) << np.uint64(64 - COUNT_BITS))
         k = COUNT_BUCKETS
         packed = [pa.array([x.tobytes() for x in np.split(y, cuts)], pa.binary()) for y in (t, c)]
         return pa.RecordBatch.from_arrays([pa.nulls(k, like), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()), *packed], names=names)
 
     def run(batches):
-        hasher, chunk, held, like = WordHasher(), [], 0, pa.null()
+        hasher, chunk, held, like = WordHasher(), np.empty(CHUNK, np.uint64), 0, pa.null()
         for b in batches:
             like = b.column(0).type
             n, sid = [], []
@@ -117,15 +128,17 @@ def _sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
                 s = shingle_set(hasher, text, size)
                 n.append(len(s))
                 sid.append(set_id(s))
-                chunk.append(s)
+                if held + len(s) > len(chunk):
+                    yield repeats(chunk[:held], like)
+                    held = 0
+                    if len(s) > len(chunk):
+                        chunk = np.empty(len(s), np.uint64)
+                chunk[held : held + len(s)] = s
                 held += len(s)
-                if held >= CHUNK:
-                    yield repeats(chunk, like)
-                    chunk, held = [], 0
             k = b.num_rows
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names=names)
         if held:
-            yield repeats(chunk, like)
+            yield repeats(chunk[:held], like)
 
     return src.mapInArrow(run, schema)
 
@@ -188,17 +201,33 @@ def _unpacked(packed: bytes) -> np.ndarray:
 def _postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], place: tuple[int, int], buckets: int, common: int, size: int, num: int, den: int, text_col: str) -> DataFrame:
     """(token: shingle, class: key): postings of the prefixes, only of shingles that two classes or more have.
 
-    Packed rows hold the postings of one batch and bucket, a class by the bytes of its digest at ``place``, once
+    Packed rows hold those of about ``PACKED`` postings that are in one bucket, a class by the bytes of its digest at ``place``, once
     for all its postings there.  Shingles that may have more than ``common``
     classes aren't gathered in their bucket: they are passed on as they are, spread by class.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(often)  # MOST_COUNTED shingles at most
     start, width = place
 
+    def rows(sids, tokens, many) -> pa.RecordBatch:
+        token, many = np.concatenate(tokens), np.concatenate(many)
+        owner = np.repeat(np.arange(len(sids), dtype=np.int32), [len(t) for t in tokens])
+        key = np.frombuffer(b"".join(sids), f"V{width}")
+        bucket = (token % np.uint64(buckets)).astype(np.int64)
+        spread = key.view(np.uint64).reshape(len(key), -1)[owner[many], 0]
+        bucket[many] = (spread % np.uint64(buckets) + np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+        groups = np.split(order, cuts)
+        runs = [np.unique(owner[g], return_counts=True) for g in groups]  # owners are in order
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(bucket[g[0]]) for g in groups], pa.int64()), pa.array([token[g].tobytes() for g in groups], pa.binary()), pa.array([key[o].tobytes() for o, _ in runs], pa.binary()), pa.array([_packed(k) for _, k in runs], pa.binary())],
+            names=["bucket", "token", "class", "times"],
+        )
+
     def pack(batches):
         hasher, often = WordHasher(), shipped.value
+        sids, tokens, many, seen, held = [], [], [], set(), 0
         for b in batches:
-            sids, tokens, seen = [], [], set()
             for text in b.column(0).to_pylist():
                 s = shingle_set(hasher, text, size)
                 if len(s):
@@ -207,22 +236,13 @@ def _postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], place: tupl
                         seen.add(sid)
                         sids.append(sid[start : start + width])
                         tokens.append(prefix(s, often, num, den))
-            if not sids:
-                continue
-            token = np.concatenate(tokens)
-            owner = np.repeat(np.arange(len(sids)), [len(t) for t in tokens])
-            key = np.frombuffer(b"".join(sids), f"V{width}")
-            many = counts_of(often, token) > common
-            spread = key.view(np.uint64).reshape(len(key), -1)[owner, 0]
-            bucket = np.where(many, spread % np.uint64(buckets) + np.uint64(buckets), token % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-            groups = np.split(order, cuts)
-            runs = [np.unique(owner[g], return_counts=True) for g in groups]  # owners are in order
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(bucket[g[0]]) for g in groups], pa.int64()), pa.array([token[g].tobytes() for g in groups], pa.binary()), pa.array([key[o].tobytes() for o, _ in runs], pa.binary()), pa.array([_packed(k) for _, k in runs], pa.binary())],
-                names=["bucket", "token", "class", "times"],
-            )
+                        many.append(counts_of(often, tokens[-1]) > common)
+                        held += len(tokens[-1])
+                if held >= PACKED:
+                    yield rows(sids, tokens, many)
+                    sids, tokens, many, seen, held = [], [], [], set(), 0
+        if held:
+            yield rows(sids, tokens, many)
 
     def unpack(pdf: pd.DataFrame) -> pd.DataFrame:
         token = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["token"]])
@@ -332,6 +352,11 @@ def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int =
     ``component_key`` is never null and tells components apart whose ids are all null: the smallest
     digest of the component's sets; that of the empty set goes with the row key.
     """
+    with small_batches(docs.sparkSession):
+        return _jaccard_components(docs, num, den, size, id_col, text_col)
+
+
+def _jaccard_components(docs: DataFrame, num: int, den: int, size: int, id_col: str, text_col: str) -> DataFrame:
     made = materialize(_sets(docs, size, id_col, text_col), "ngram_sets")
     rows = made.filter(F.col("bucket").isNull()).select("id", ROW_KEY, "n", "sid")
     often = _often(made)
