@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 
 from shardsmith.llm.common import ROW_KEY, WordHasher, materialize, row_key, shingle_hashes, small_batches
 from shardsmith.llm.pairs import company_lists, links_in_place
-from shardsmith.llm.sketches import least_agreement, prints, sketched
+from shardsmith.llm.sketches import BITMAP, bitmap, bitmaps_fit, least_agreement, may_link, prints, sketched
 
 CHUNK = 1 << 22  # shingles whose repeats are counted together
 COUNT_BITS, COUNT_BUCKETS = 8, 256
@@ -57,7 +57,6 @@ MOST_COUNTED = 1 << 20  # shingles whose counts are shipped to all tasks
 SHARED = 8  # shingles that the prefixes of linked sets share at least (or all that they must share, if fewer)
 BUCKET_POSTINGS = 400_000  # postings of a bucket, on average
 PACKED = 1 << 20  # postings that are packed together
-BITMAP = 1024  # bits of a class' bitmap
 KEY_BITS = 1 << 25  # bits of the table by which documents that aren't wanted are told before their texts move
 
 
@@ -271,7 +270,7 @@ def _by_bitmaps(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFr
     def run(batches):
         for b in batches:
             x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("map_a", "map_b"))
-            good = _bitmaps_fit(x, y, b.column("n_a").to_numpy(), b.column("n_b").to_numpy(), num, den)
+            good = bitmaps_fit(x, y, b.column("n_a").to_numpy(), b.column("n_b").to_numpy(), num, den)
             yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return pairs.select("a", "b", "n_a", "n_b", "map_a", "map_b").mapInArrow(run, "a long, b long")
@@ -309,30 +308,24 @@ def _needed(x: str, y: str, num: int, den: int):
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
-    """(node, comp): the smallest node reachable from each node of the edges (a, b).
+    """(node, comp), a written table: the smallest node reachable from each node of the edges (a, b).
 
     Each round sends the smallest neighbour of a node to all its neighbours (large star, then small
-    star), written to the shared folder; nothing comes to the driver but whether it has changed.
+    star), written to the shared folder, until all edges lead to the smallest node of their
+    component; nothing comes to the driver but whether they do.
     """
     edges = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
-    seen = _digest(edges)
-    while seen[0]:
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        near = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count_if(F.col("v") < F.col("u")).alias("lower"), F.count(F.lit(1)).alias("all"))
+        near = materialize(near, name)
+        if near.filter("lower > 0 and all > 1").isEmpty():  # a further round would change nothing
+            return near.select(F.col("u").alias("node"), F.col("m").alias("comp"))
+        large = both.filter("v > u").join(near.select("u", "m"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = materialize(large, name)  # with repeats, as many rows as edges
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), name)
-        before, seen, edges = seen, _digest(new), new
-        if before == seen:
-            break
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
-
-
-def _digest(edges: DataFrame) -> tuple:
-    """Count, sum and parity of the edges' hashes: one row, by which two sets of edges are told apart."""
-    h = F.xxhash64("u", "v")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h)).head())
+        edges = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), name)
 
 
 def merge_components(comp: DataFrame, links: DataFrame, name: str) -> DataFrame:
@@ -397,8 +390,8 @@ def _jaccard_components(docs: DataFrame, num: int, den: int, size: int, id_col:
     before, comp = comp, merge_components(comp, links, "ngram_components")
     apart = materialize(_still_open(apart, before, comp), "ngram_open")
     left = materialize(company_lists(_companies(apart), comp), "ngram_left")
-    may_link = partial(_may_link, least=least_agreement(num, den), num=num, den=den)
-    links = links_in_place(left, sets, may_link, num, den, "ngram_partners")
+    near = partial(may_link, least=least_agreement(num, den), num=num, den=den)
+    links = links_in_place(left, sets, near, num, den, "ngram_partners")
     comp = merge_components(comp, materialize(links, "ngram_pairs"), "ngram_components")
 
     numbered = members.select("class", "cid").join(comp.select(F.col("node").alias("cid"), "comp"), "cid").select("class", "comp")
@@ -411,10 +404,7 @@ def _jaccard_components(docs: DataFrame, num: int, den: int, size: int, id_col:
 
 
 def _candidate_sets(docs: DataFrame, reps: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(cid, shingles, prints: bitmap and sketch) of the classes in ``reps``, from the text of one document of each.
-
-    A shingle turns over one bit of the bitmap, so bitmaps differ in at most as many bits as sets in shingles.
-    """
+    """(cid, shingles, prints: bitmap and sketch) of the classes in ``reps``, from the text of one document of each."""
     want = materialize(reps.select("sid", "cid", F.col(f"rep.{ROW_KEY}").alias("__key")), "ngram_reps")
     src = docs.select(row_key(id_col, text_col).alias(ROW_KEY), F.col(text_col).alias("__text"))
     src = src.filter(_may_be_among(want, "__key")(ROW_KEY))  # few beside all documents: most texts need not move
@@ -427,8 +417,7 @@ def _candidate_sets(docs: DataFrame, reps: DataFrame, size: int, id_col: str, te
         for b in batches:
             made = [shingle_set(hasher, t, size) for t in b.column(2).to_pylist()]
             same = [set_id(s) == sid for s, sid in zip(made, b.column(0).to_pylist())]
-            maps = [np.packbits(np.bincount((s >> np.uint64(20)).astype(np.int64) % BITMAP, minlength=BITMAP) & 1).tobytes() for s in made]
-            maps = [m + p.tobytes() for m, p in zip(maps, prints(sketched(made)))]
+            maps = [bitmap(s) + p.tobytes() for s, p in zip(made, prints(sketched(made)))]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array([s.tobytes() for s in made], pa.binary()), pa.array(maps, pa.binary())], names=["cid", "shingles", "prints"]).filter(pa.array(same, pa.bool_()))
 
     return found.mapInArrow(run, "cid long, shingles binary, prints binary")
@@ -507,19 +496,3 @@ def _companies(rows: DataFrame) -> DataFrame:
     popular = rows.groupBy("cid").agg(F.sum("weight").alias("pop"))
     hubs = rows.select("token", "cid").join(popular, "cid").groupBy("token").agg(F.max(F.struct("pop", "cid"))["cid"].alias("hub"))
     return rows.select("token", "cid", "n").join(hubs, "token").select("hub", "cid", "n").distinct()
-
-
-def _may_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, least: int, num: int, den: int) -> np.ndarray:
-    """Whether sets of those prints can be alike enough: they share at most half of what their sizes exceed the bits in
-    which their bitmaps differ (exact, but it says little of long sets), and their sketches agree in ``least``
-    coordinates (true of a link but with probability 2e-8)."""
-    cut = BITMAP // 8
-    near = _bitmaps_fit(x[:, :cut], y[:, :cut], n, m, num, den)
-    near[near] = (x[near, cut:] == y[near, cut:]).sum(axis=1) >= least
-    return near
-
-
-def _bitmaps_fit(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Whether sets of those bitmaps and sizes can be alike enough (exact: no link is ruled out)."""
-    both = (n + m - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) // 2
-    return den * both >= num * (n + m - both)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from shardsmith.llm.common import materialize
 
 LIST = 1024  # classes on each side of a list
-BUCKET_ROWS, BUCKET_BYTES = 20_000, 16 << 20  # rows of lists in a bucket, and bytes of their sets, on average
+BUCKET_ROWS, BUCKET_BYTES = 5_000, 16 << 20  # rows of lists in a bucket, and bytes of their sets, on average
 
 
 def links(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:

@@ -20,9 +20,10 @@ documents link when ``den * intersection >= num * union`` (4/5).  Steps:
     the most company (of near copies, that is the text they were made from);
     then against all hubs of its bands that are in another component; then
     what is left, the classes that share a hub but no component, list by list.
-    There sketches are compared in place, the whole sets of pairs that agree
-    in at least as many coordinates as a link does but with probability 2e-8
-    are compared in place as well, and only links come out.
+    There bitmaps of 1024 bits (an exact bound) and sketches are compared in
+    place, the whole sets of pairs that agree in at least as many coordinates
+    as a link does but with probability 2e-8 are compared in place as well,
+    and only links come out.
 
 Links only have to yield components, so a pair within one is never looked at
 again: n copies of a text cost 2n verifications, and no pairs are ever listed.
@@ -40,6 +41,8 @@ rows gives none; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -48,7 +51,7 @@ from pyspark.sql import functions as F
 from shardsmith.llm.common import ROW_KEY, WordHasher, materialize, row_key, scramble
 from shardsmith.llm.ngram_join import components, merge_components, set_id, shingle_set
 from shardsmith.llm.pairs import company_lists, links, links_in_place
-from shardsmith.llm.sketches import COORDS, least_agreement, prints, sketched
+from shardsmith.llm.sketches import COORDS, bitmap, least_agreement, may_link, prints, sketched
 
 SIZE = 2  # words of a shingle
 ROWS = 5
@@ -82,7 +85,7 @@ def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _class_sets(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(cid, shingles, prints) of the classes in ``reps`` (cid, sid, row key), from the text of one document of each."""
+    """(cid, shingles, prints: bitmap and sketch) of the classes in ``reps`` (cid, sid, row key), from the text of one document of each."""
     src = docs.select(row_key(id_col, text_col).alias(ROW_KEY), F.col(text_col).alias("__text")).filter(F.col("__text").isNotNull())
     found = src.join(reps, ROW_KEY).select("cid", "sid", ROW_KEY, "__text")
     # equal rows share a key: one is enough, and a text of another set is told by its set
@@ -93,9 +96,9 @@ def _class_sets(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) ->
         for b in batches:
             sets = [shingle_set(hasher, t, SIZE) for t in b.column(2).to_pylist()]
             same = [set_id(s) == sid for s, sid in zip(sets, b.column(1).to_pylist())]
-            made = prints(sketched(sets))
+            made = [bitmap(s) + p.tobytes() for s, p in zip(sets, prints(sketched(sets)))]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([p.tobytes() for p in made], pa.binary())], names=["cid", "shingles", "prints"]
+                [b.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(made, pa.binary())], names=["cid", "shingles", "prints"]
             ).filter(pa.array(same, pa.bool_()))
 
     return found.mapInArrow(run, "cid long, shingles binary, prints binary")
@@ -131,8 +134,8 @@ def _with_components(rows: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def _last_links(lists: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    least = least_agreement(num, den)
-    return links_in_place(lists, sets, lambda x, y, n, m: (x == y).sum(axis=1) >= least, num, den)
+    near = partial(may_link, least=least_agreement(num, den), num=num, den=den)
+    return links_in_place(lists, sets, near, num, den)
 
 
 def near_duplicates(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -150,14 +153,14 @@ def near_duplicates(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "
     reps = classes.join(popular.select("cid"), "cid").select("cid", "sid", F.col(f"rep.{ROW_KEY}").alias(ROW_KEY))
     sets = materialize(_class_sets(docs, reps, id_col, text_col), "similar_sets")
 
-    tried = shared.filter((F.col("cid") != F.col("hub")) & _fits("n", "m", num, den)).groupBy("cid", "hub").agg(F.count(F.lit(1)).alias("common"))
+    tried = shared.filter((F.col("cid") != F.col("hub")) & _fits("n", "m", num, den)).select(F.col("cid").alias("a"), "hub")
+    tried = tried.repartition("a").groupBy("a", "hub").agg(F.count(F.lit(1)).alias("common"))  # BANDS rows of a class at most
+    tried = tried.groupBy("a").agg(F.max(F.struct("common", "hub"))["hub"].alias("b"), F.collect_list("hub").alias("hubs"))
     tried = materialize(tried, "similar_tried")
-    best = tried.groupBy("cid").agg(F.max(F.struct("common", "hub"))["hub"].alias("b")).withColumnRenamed("cid", "a")
-    best = materialize(best, "similar_pairs")
-    comp = materialize(components(_verify(best, sets, num, den), "similar_components"), "similar_components")
+    comp = components(_verify(tried.select("a", "b"), sets, num, den), "similar_components")
 
-    others = tried.select(F.col("cid").alias("a"), F.col("hub").alias("b")).join(best, ["a", "b"], "left_anti")
-    apart = _with_components(others.withColumnsRenamed({"a": "cid", "b": "hub"}), comp).filter(F.col("comp") != F.col("of"))
+    others = tried.select(F.col("a").alias("cid"), "b", F.explode("hubs").alias("hub")).filter("hub <> b").drop("b")
+    apart = _with_components(others, comp).filter(F.col("comp") != F.col("of"))
     further = _verify(materialize(apart.select(F.col("cid").alias("a"), F.col("hub").alias("b")), "similar_pairs"), sets, num, den)
     comp = merge_components(comp, further, "similar_components")
 

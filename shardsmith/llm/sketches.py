@@ -1,4 +1,4 @@
-"""Fast similarity sketches of sets of 64-bit hashes (see :mod:`shardsmith.llm.similarity` for the method)."""
+"""Fast similarity sketches and bitmaps of sets of 64-bit hashes (see :mod:`shardsmith.llm.similarity` for the method)."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ import numpy as np
 from shardsmith.llm.common import scramble
 
 COORDS = 210
+BITMAP = 1024  # bits of a set's bitmap
 AT_ONCE = 1 << 20  # shingles that are sketched together
 SIGMAS = 5.5  # of the count of coordinates in which a link agrees
 EMPTY = np.uint64(2**64 - 1)
@@ -58,6 +59,27 @@ def least_agreement(num: int, den: int) -> int:
     return max(0, math.floor(COORDS * p - SIGMAS * math.sqrt(COORDS * p * (1 - p))))
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """``BITMAP`` bits, of which each shingle turns over one: bitmaps differ in at most as many bits as sets in shingles."""
+    return np.packbits(np.bincount((s >> np.uint64(20)).astype(np.int64) % BITMAP, minlength=BITMAP) & 1).tobytes()
+
+
+def bitmaps_fit(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets of those bitmaps and sizes can be alike enough (exact: no link is ruled out)."""
+    both = (n + m - np.bitwise_count((x ^ y).view(np.uint64)).sum(axis=1, dtype=np.int64)) // 2
+    return den * both >= num * (n + m - both)
+
+
+def may_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, least: int, num: int, den: int) -> np.ndarray:
+    """Whether sets of those prints (bitmap, then sketch) can be alike enough: they share at most half of what their
+    sizes exceed the bits in which their bitmaps differ (exact, but it says little of long sets), and their sketches
+    agree in ``least`` coordinates (true of a link but with probability 2e-8)."""
+    cut = BITMAP // 8
+    near = bitmaps_fit(x[:, :cut], y[:, :cut], n, m, num, den)
+    near[near] = (x[near, cut:] == y[near, cut:]).sum(axis=1) >= least
+    return near
+
+
 def _portions(sets: list[np.ndarray]):
     """Consecutive slices of about ``AT_ONCE`` shingles, a set or more each."""
     start = total = 0
