@@ -8,7 +8,7 @@ space (``[^\\x20\\x09-\\x0D]+``), lower-cased in A-Z only: exactly what
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,7 @@ from shardsmith.session import shared_dir
 
 ROW_KEY = "__row_key"
 BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+SHUFFLE_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACE = " \t\n\x0b\x0c\r"  # the characters that separate words
 
 
@@ -36,19 +37,41 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """What is written within the ``with`` block goes to Python in batches of ``BATCH_BYTES``, or as the session says.
-
-    By default a batch has 10 000 rows, and a task has several batches of texts or sets in memory, on both sides.
-    """
-    ours = spark.conf.get(BATCH_CONF, None) is None
+def _set_within(spark: SparkSession, conf: str, value: str) -> Iterator[None]:
+    """``conf`` has ``value`` within the ``with`` block, or what the session says."""
+    ours = spark.conf.get(conf, None) is None
     if ours:
-        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+        spark.conf.set(conf, value)
     try:
         yield
     finally:
         if ours:
-            spark.conf.unset(BATCH_CONF)
+            spark.conf.unset(conf)
+
+
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """What is written within the ``with`` block goes to Python in batches of ``BATCH_BYTES``, or as the session says.
+
+    By default a batch has 10 000 rows, and a task has several batches of texts or sets in memory, on both sides.
+    """
+    return _set_within(spark, BATCH_CONF, str(BATCH_BYTES))
+
+
+def brief_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """The shuffle files of what is written within the ``with`` block go as soon as it is written, or as the session says.
+
+    By default they stay until the driver happens to collect its garbage.
+    """
+    return _set_within(spark, SHUFFLE_CONF, "true")
+
+
+def squeezed(data: bytes) -> bytes:
+    """``data`` compressed, with its length before it."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unsqueezed(data: bytes) -> bytes:
+    return pa.decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
 
 
 def row_key(id_col: str, text_col: str) -> Column:

@@ -9,9 +9,12 @@ documents link when ``den * intersection >= num * union`` (3/4).  Steps:
     right results).  Two linked sets share l
     shingles among the first ``n - ceil(t * n) + l`` of each, the prefixes,
     or all that they must share, if that is fewer; l is ``SHARED``.
-3.  Postings (shingle of a prefix, class) travel packed, by hash buckets, and
-    those of shingles with a single class go; so do classes that are left
-    with fewer postings than any link needs.  Classes of equal size with the
+3.  Postings (shingle of a prefix, class) travel packed, by hash buckets: of a
+    shingle as many bits as tell the shingles of every set apart and the
+    bucket doesn't say, of a class its step from the one before, in a pack
+    that is named once for a bucket.  So a posting takes the same bytes
+    however many buckets there are.  Those of shingles with a single class
+    go; so do classes that are left with fewer postings than any link needs.  Classes of equal size with the
     same remaining prefix are one *group*, and of the lists of groups that
     shingles have, equal ones are one list with a weight.
 4.  Group pairs are filtered by size and by the postings that they share,
@@ -47,8 +50,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardsmith.llm.common import ROW_KEY, WordHasher, materialize, row_key, shingle_hashes, small_batches
-from shardsmith.llm.pairs import company_lists, links_in_place
+from shardsmith.llm.common import ROW_KEY, WordHasher, brief_shuffles, materialize, row_key, shingle_hashes, small_batches, squeezed, unsqueezed
+from shardsmith.llm.pairs import company_lists, links, links_in_place
 from shardsmith.llm.sketches import BITMAP, bitmap, bitmaps_fit, least_agreement, may_link, prints, sketched
 
 CHUNK = 1 << 22  # shingles whose repeats are counted together
@@ -57,6 +60,7 @@ MOST_COUNTED = 1 << 20  # shingles whose counts are shipped to all tasks
 SHARED = 8  # shingles that the prefixes of linked sets share at least (or all that they must share, if fewer)
 BUCKET_POSTINGS = 400_000  # postings of a bucket, on average
 PACKED = 1 << 20  # postings that are packed together
+TOKEN_BITS = (48, 56, 64)  # of a shingle's hash that postings have: the fewest of these that tell the shingles of every set apart
 KEY_BITS = 1 << 25  # bits of the table by which documents that aren't wanted are told before their texts move
 
 
@@ -71,6 +75,21 @@ def set_id(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
+def set_reader(size: int) -> Callable[[bytes], np.ndarray]:
+    """A function that makes the sets of squeezed texts."""
+    hasher = WordHasher()
+    return lambda text: shingle_set(hasher, unsqueezed(text), size)
+
+
+def token_bits(s: np.ndarray) -> int:
+    """The fewest of ``TOKEN_BITS``, counted from the highest, by which the sorted shingles of a set differ."""
+    for bits in TOKEN_BITS:
+        cut = s >> np.uint64(64 - bits)
+        if (cut[1:] != cut[:-1]).all():
+            return bits
+    raise ValueError("a set has a shingle twice")
+
+
 def repeated(chunk: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The values that ``chunk`` has more than once, in order, and their counts; sorts ``chunk`` in place, so that no
     second one is in memory."""
@@ -104,29 +123,30 @@ def prefix(s: np.ndarray, often: tuple[np.ndarray, np.ndarray], num: int, den: i
 
 
 def _sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """One row for each document (``id``, row key, ``n``, ``sid``), and packed rows (``bucket``, ``tokens``, ``counts``) of the
+    """One row for each document (``id``, row key, ``n``, ``sid``, ``bits``: its set's ``token_bits``), and packed rows (``bucket``, ``tokens``, ``counts``) of the
     shingles that repeat among the documents of a chunk of about ``CHUNK`` shingles."""
     src = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias(ROW_KEY), F.col(text_col).alias("__text"))
     kind = src.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, {ROW_KEY} long, n long, sid binary, bucket int, tokens binary, counts binary"
-    names = ["id", ROW_KEY, "n", "sid", "bucket", "tokens", "counts"]
+    schema = f"id {kind}, {ROW_KEY} long, n long, sid binary, bits int, bucket int, tokens binary, counts binary"
+    names = ["id", ROW_KEY, "n", "sid", "bits", "bucket", "tokens", "counts"]
 
     def repeats(chunk: np.ndarray, like: pa.DataType) -> pa.RecordBatch:
         t, c = repeated(chunk)
         cuts = np.searchsorted(t, np.arange(1, COUNT_BUCKETS, dtype=np.uint64) << np.uint64(64 - COUNT_BITS))
         k = COUNT_BUCKETS
         packed = [pa.array([x.tobytes() for x in np.split(y, cuts)], pa.binary()) for y in (t, c)]
-        return pa.RecordBatch.from_arrays([pa.nulls(k, like), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()), *packed], names=names)
+        return pa.RecordBatch.from_arrays([pa.nulls(k, like), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()), pa.array(range(k), pa.int32()), *packed], names=names)
 
     def run(batches):
         hasher, chunk, held, like = WordHasher(), np.empty(CHUNK, np.uint64), 0, pa.null()
         for b in batches:
             like = b.column(0).type
-            n, sid = [], []
+            n, sid, bits = [], [], []
             for text in b.column(2).to_pylist():
                 s = shingle_set(hasher, text, size)
                 n.append(len(s))
                 sid.append(set_id(s))
+                bits.append(token_bits(s))
                 if held + len(s) > len(chunk):
                     yield repeats(chunk[:held], like)
                     held = 0
@@ -135,7 +155,7 @@ def _sets(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
                 chunk[held : held + len(s)] = s
                 held += len(s)
             k = b.num_rows
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.array(bits, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names=names)
         if held:
             yield repeats(chunk[:held], like)
 
@@ -188,44 +208,52 @@ def _key(start: int, width: int) -> Column:
     return F.substring("sid", start + 1, width)
 
 
-def _packed(counts: np.ndarray) -> bytes:
-    """Counts byte by byte: their high bytes are zeros, which compress."""
-    return counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+def _packed(values: np.ndarray) -> bytes:
+    """Values byte by byte, squeezed: their high bytes are zeros or few."""
+    return squeezed(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def _unpacked(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, np.uint8).reshape(4, -1).T.copy().view(np.uint32).reshape(-1)
-
-
-def _postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], place: tuple[int, int], buckets: int, common: int, size: int, num: int, den: int, text_col: str) -> DataFrame:
-    """(token: shingle, class: key): postings of the prefixes, only of shingles that two classes or more have.
-
-    Packed rows hold those of about ``PACKED`` postings that are in one bucket, a class by the bytes of its digest at ``place``, once
-    for all its postings there.  Shingles that may have more than ``common``
-    classes aren't gathered in their bucket: they are passed on as they are, spread by class.
+    return np.frombuffer(unsqueezed(packed), np.uint8).reshape(8, -1).T.copy().view(np.uint64).reshape(-1)
+
+
+def pack_rows(keys: list[bytes], tokens: list[np.ndarray], many: list[np.ndarray], bits: int, buckets: int) -> pa.RecordBatch:
+    """A pack: the ``tokens`` of each document by bucket, and its class' key; ``many`` tells those that aren't gathered."""
+    token, many = np.concatenate(tokens) >> np.uint64(64 - bits), np.concatenate(many)
+    owner = np.repeat(np.arange(len(keys)), [len(t) for t in tokens])
+    bucket = np.where(many, buckets + owner % buckets, (token % np.uint64(buckets)).astype(np.int64))
+    token = np.where(many, token, token // np.uint64(buckets))
+    order = np.argsort(bucket, kind="stable")  # owners stay in order
+    groups = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)
+    listed = b"".join(keys)
+    pack = xxhash.xxh3_64_intdigest(listed)
+    k = len(groups)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([*(int(bucket[g[0]]) for g in groups), 2 * buckets + pack % buckets], pa.int64()),
+            pa.array(np.full(k + 1, pack, np.uint64).view(np.int64), pa.int64()),
+            pa.array([*(_packed(token[g]) for g in groups), None], pa.binary()),
+            pa.array([*(_packed(np.diff(owner[g], prepend=0)) for g in groups), None], pa.binary()),
+            pa.array([*[None] * k, listed], pa.binary()),
+        ],
+        names=["bucket", "pack", "token", "steps", "classes"],
+    )
+
+
+def _postings(docs: DataFrame, classes: DataFrame, often: tuple[np.ndarray, np.ndarray], place: tuple[int, int], bits: int, buckets: int, common: int, size: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """(pack, at, token, class): postings of the prefixes (token: the first ``bits`` of a shingle, of the document ``at`` in ``pack``;
+    no class), only of shingles that two documents or more have, and a row for each document looked at (its class; no token).
+
+    One document of each class is looked at, and few others, by a table of the row keys.  A pack has about ``PACKED``
+    postings and goes by its classes; a packed row holds those that are in one bucket.  Shingles that may have more than
+    ``common`` classes aren't gathered in their bucket: they are passed on as they are, spread by document.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(often)  # MOST_COUNTED shingles at most
     start, width = place
 
-    def rows(sids, tokens, many) -> pa.RecordBatch:
-        token, many = np.concatenate(tokens), np.concatenate(many)
-        owner = np.repeat(np.arange(len(sids), dtype=np.int32), [len(t) for t in tokens])
-        key = np.frombuffer(b"".join(sids), f"V{width}")
-        bucket = (token % np.uint64(buckets)).astype(np.int64)
-        spread = key.view(np.uint64).reshape(len(key), -1)[owner[many], 0]
-        bucket[many] = (spread % np.uint64(buckets) + np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-        groups = np.split(order, cuts)
-        runs = [np.unique(owner[g], return_counts=True) for g in groups]  # owners are in order
-        return pa.RecordBatch.from_arrays(
-            [pa.array([int(bucket[g[0]]) for g in groups], pa.int64()), pa.array([token[g].tobytes() for g in groups], pa.binary()), pa.array([key[o].tobytes() for o, _ in runs], pa.binary()), pa.array([_packed(k) for _, k in runs], pa.binary())],
-            names=["bucket", "token", "class", "times"],
-        )
-
     def pack(batches):
         hasher, often = WordHasher(), shipped.value
-        sids, tokens, many, seen, held = [], [], [], set(), 0
+        keys, tokens, many, seen, held = [], [], [], set(), 0
         for b in batches:
             for text in b.column(0).to_pylist():
                 s = shingle_set(hasher, text, size)
@@ -233,37 +261,58 @@ def _postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], place: tupl
                     sid = set_id(s)
                     if sid not in seen:
                         seen.add(sid)
-                        sids.append(sid[start : start + width])
+                        keys.append(sid[start : start + width])
                         tokens.append(prefix(s, often, num, den))
                         many.append(counts_of(often, tokens[-1]) > common)
                         held += len(tokens[-1])
                 if held >= PACKED:
-                    yield rows(sids, tokens, many)
-                    sids, tokens, many, seen, held = [], [], [], set(), 0
+                    yield pack_rows(keys, tokens, many, bits, buckets)
+                    keys, tokens, many, seen, held = [], [], [], set(), 0
         if held:
-            yield rows(sids, tokens, many)
-
-    def unpack(pdf: pd.DataFrame) -> pd.DataFrame:
-        token = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["token"]])
-        key = np.repeat(np.frombuffer(b"".join(pdf["class"]), f"V{width}"), np.concatenate([_unpacked(x) for x in pdf["times"]]))
-        parts = key.view(np.uint64).reshape(len(key), -1)
-        order = np.lexsort((*parts.T, token))
-        t, a = token[order], parts[order]
-        same = np.zeros(len(t), bool)
-        same[1:] = (t[1:] == t[:-1]) & (a[1:] == a[:-1]).all(axis=1)
-        order, t = order[~same], t[~same]
-        if pdf["bucket"].iat[0] < buckets:
-            _, at, count = np.unique(t, return_inverse=True, return_counts=True)
-            order = order[count[at] > 1]
-        return pd.DataFrame({"token": token[order].view(np.int64), "class": [x.tobytes() for x in key[order]]})
-
-    packed = docs.select(text_col).filter(F.col(text_col).isNotNull()).mapInArrow(pack, "bucket long, token binary, class binary, times binary")
-    return packed.groupBy("bucket").applyInPandas(unpack, "token long, class binary")
+            yield pack_rows(keys, tokens, many, bits, buckets)
+
+    def unpack(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        packs = table.column("pack").to_numpy()
+        if bucket >= 2 * buckets:
+            found = [np.frombuffer(x, f"V{width}") for x in table.column("classes").to_pylist()]
+            each = [len(x) for x in found]
+            k = sum(each)
+            return pa.table({"pack": np.repeat(packs, each), "at": np.concatenate([np.arange(n) for n in each]), "token": pa.nulls(k, pa.int64()), "class": pa.array([x.tobytes() for y in found for x in y], pa.binary())})
+        found = [_unpacked(x) for x in table.column("token").to_pylist()]
+        token, which = np.concatenate(found), np.repeat(np.arange(len(found)), [len(x) for x in found])
+        at = np.concatenate([np.cumsum(_unpacked(x)) for x in table.column("steps").to_pylist()]).astype(np.int64)
+        if bucket < buckets:
+            token = token * np.uint64(buckets) + np.uint64(bucket)
+            token, which, at = _shared(token, which, at)
+        of = packs[which]
+        order = np.lexsort((at, of, token))  # a pack may come twice
+        token, of, at = token[order], of[order], at[order]
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (of[1:] != of[:-1]) | (at[1:] != at[:-1])
+        token, of, at = token[new], of[new], at[new]
+        if bucket < buckets:
+            token, of, at = _shared(token, of, at)
+        return pa.table({"pack": of, "at": at, "token": token.view(np.int64), "class": pa.nulls(len(token), pa.binary())})
+
+    src = docs.filter(F.col(text_col).isNotNull()).select(row_key(id_col, text_col).alias(ROW_KEY), text_col)
+    src = src.filter(_may_be_among(classes, f"rep.{ROW_KEY}")(ROW_KEY)).select(text_col)
+    packed = src.mapInArrow(pack, "bucket long, pack long, token binary, steps binary, classes binary")
+    return packed.groupBy("bucket").applyInArrow(unpack, "pack long, at long, token long, class binary")
+
+
+def _shared(token: np.ndarray, *others: np.ndarray) -> list[np.ndarray]:
+    """The postings, in order of their tokens, whose token is there more than once."""
+    order = np.argsort(token, kind="stable")
+    t = token[order]
+    same = t[1:] == t[:-1]
+    order = order[np.append(same, False) | np.append(False, same)] if len(t) else order
+    return [x[order] for x in (token, *others)]
 
 
 def _by_bitmaps(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Those of the pairs (a, b) that the classes' bitmaps and sizes don't rule out, so that few whole sets are moved."""
-    maps = sets.select("cid", (F.octet_length("shingles") / 8).cast("long").alias("n"), F.substring("prints", 1, BITMAP // 8).alias("map"))
+    maps = sets.select("cid", "n", F.substring("prints", 1, BITMAP // 8).alias("map"))
     for end in ("a", "b"):
         pairs = pairs.join(maps.withColumnsRenamed({"cid": end, "n": f"n_{end}", "map": f"map_{end}"}), end)
 
@@ -276,22 +325,24 @@ def _by_bitmaps(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFr
     return pairs.select("a", "b", "n_a", "n_b", "map_a", "map_b").mapInArrow(run, "a long, b long")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Those of the pairs (a, b) whose sets link; ``pairs`` is a written table."""
     pairs = materialize(_by_bitmaps(pairs.select("a", "b"), sets, num, den), "ngram_near")
-    left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("__a")).join(pairs, "a")
-    wanted = materialize(pairs.select("b").distinct(), "ngram_wanted")  # few beside all classes: most sets need not move
-    right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("__b")).join(wanted, "b", "left_semi")
+    left = sets.select(F.col("cid").alias("a"), F.col("text").alias("__a")).join(pairs, "a")
+    wanted = materialize(pairs.select("b").distinct(), "ngram_wanted")  # few beside all classes: most texts need not move
+    right = sets.select(F.col("cid").alias("b"), F.col("text").alias("__b")).join(wanted, "b", "left_semi")
     both = left.join(right, "b").select("a", "b", "__a", "__b")
 
     def run(batches):
+        read, last = set_reader(size), {}  # at either end the last class and its set: a hub is in many pairs in a row
         for batch in batches:
             good = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(den * common >= num * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns)):
+                for end, cid, text in (("a", a, x), ("b", b, y)):
+                    if end not in last or last[end][0] != cid:
+                        last[end] = cid, read(text)
+                good.append(links(last["a"][1], last["b"][1], num, den))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")
 
@@ -345,25 +396,27 @@ def jaccard_components(docs: DataFrame, num: int = 3, den: int = 4, size: int =
     ``component_key`` is never null and tells components apart whose ids are all null: the smallest
     digest of the component's sets; that of the empty set goes with the row key.
     """
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession), brief_shuffles(docs.sparkSession):
         return _jaccard_components(docs, num, den, size, id_col, text_col)
 
 
 def _jaccard_components(docs: DataFrame, num: int, den: int, size: int, id_col: str, text_col: str) -> DataFrame:
     made = materialize(_sets(docs, size, id_col, text_col), "ngram_sets")
-    rows = made.filter(F.col("bucket").isNull()).select("id", ROW_KEY, "n", "sid")
+    rows = made.filter(F.col("bucket").isNull()).select("id", ROW_KEY, "n", "sid", "bits")
     often = _often(made)
     classes = rows.filter("n > 0").groupBy("sid").agg(F.min(F.struct("id", ROW_KEY)).alias("rep"), F.min("id").alias("first"), F.first("n").alias("n"))
     classes = materialize(classes, "ngram_classes")
     place = _key_place(classes)
     classes = classes.withColumn("class", _key(*place))
-    total = int(rows.agg(F.sum(F.col("n") - F.ceil(F.col("n") * num / den) + SHARED)).head()[0] or 0)
-    buckets = max(1, total // BUCKET_POSTINGS)
+    whole = rows.agg(F.sum(F.col("n") - F.ceil(F.col("n") * num / den) + SHARED).alias("postings"), F.max("bits").alias("bits")).head()
+    buckets = max(1, int(whole["postings"] or 0) // BUCKET_POSTINGS)
     common = 1 << 16
-    postings = materialize(_postings(docs, often, place, buckets, common, size, num, den, text_col), "ngram_postings")
+    postings = materialize(_postings(docs, classes, often, place, whole["bits"] or 64, buckets, common, size, num, den, id_col, text_col), "ngram_postings")
 
     # groups: equal size, equal remaining prefix; the smallest class stands for it
-    members = postings.groupBy("class").agg(F.sort_array(F.collect_list("token")).alias("tokens")).join(classes.select("class", "n"), "class")
+    owners = postings.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min(F.struct("pack", "at")).alias("o"))  # documents of a class have the same
+    owners = owners.join(classes.select("class", "n"), "class").select("o.pack", "o.at", "class", "n")
+    members = postings.filter(F.col("class").isNull()).groupBy("pack", "at").agg(F.sort_array(F.collect_list("token")).alias("tokens")).join(owners, ["pack", "at"])
     members = members.filter(F.size("tokens") >= F.least(F.ceil(F.col("n") * num / den), F.lit(SHARED)))
     members = members.select("class", "n", "tokens", F.xxhash64("n", "tokens").alias("g1"), F.xxhash64(F.lit(1), "tokens", "n").alias("g2"))
     # from here on classes go by numbers, fixed by being written: a third of the bytes of their digests
@@ -383,16 +436,16 @@ def _jaccard_components(docs: DataFrame, num: int, den: int, size: int, id_col:
     hubs = hubs.filter(F.col("shared") >= _needed("n", "m", num, den))
     hubs = hubs.groupBy("gid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
     tried = members.filter("cid <> gid").select(F.col("cid").alias("a"), F.col("gid").alias("b")).unionByName(hubs.select(F.col("gid").alias("a"), F.col("hub").alias("b")))
-    comp = components(_verify(materialize(tried, "ngram_hubs"), sets, num, den), "ngram_components")
+    comp = components(_verify(materialize(tried, "ngram_hubs"), sets, size, num, den), "ngram_components")
 
     apart = materialize(_open_rows(lists, members, comp), "ngram_open")
-    links = _verify(materialize(_hub_pairs(apart, num, den), "ngram_pairs"), sets, num, den)
-    before, comp = comp, merge_components(comp, links, "ngram_components")
+    found = _verify(materialize(_hub_pairs(apart, num, den), "ngram_pairs"), sets, size, num, den)
+    before, comp = comp, merge_components(comp, found, "ngram_components")
     apart = materialize(_still_open(apart, before, comp), "ngram_open")
     left = materialize(company_lists(_companies(apart), comp), "ngram_left")
     near = partial(may_link, least=least_agreement(num, den), num=num, den=den)
-    links = links_in_place(left, sets, near, num, den, "ngram_partners")
-    comp = merge_components(comp, materialize(links, "ngram_pairs"), "ngram_components")
+    found = links_in_place(left, sets.select("cid", F.col("text").alias("shingles"), "prints"), near, num, den, "ngram_partners", partial(set_reader, size))
+    comp = merge_components(comp, materialize(found, "ngram_pairs"), "ngram_components")
 
     numbered = members.select("class", "cid").join(comp.select(F.col("node").alias("cid"), "comp"), "cid").select("class", "comp")
     named = classes.select("sid", "class", "first").join(numbered, "class", "left")
@@ -404,23 +457,33 @@ def _jaccard_components(docs: DataFrame, num: int, den: int, size: int, id_col:
 
 
 def _candidate_sets(docs: DataFrame, reps: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(cid, shingles, prints: bitmap and sketch) of the classes in ``reps``, from the text of one document of each."""
+    """(cid, n, text: squeezed, prints: bitmap and sketch) of the classes in ``reps``, from one document of each.
+
+    Texts are kept and moved, squeezed, not sets: they have about a third of the bytes, and sets are soon made of them.
+    """
     want = materialize(reps.select("sid", "cid", F.col(f"rep.{ROW_KEY}").alias("__key")), "ngram_reps")
     src = docs.select(row_key(id_col, text_col).alias(ROW_KEY), F.col(text_col).alias("__text"))
     src = src.filter(_may_be_among(want, "__key")(ROW_KEY))  # few beside all documents: most texts need not move
+
+    def squeeze(batches):
+        for b in batches:
+            texts = pa.array([squeezed((t or "").encode()) for t in b.column(2).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), texts], names=[ROW_KEY, "__hash", "__text"])
+
+    src = src.select(ROW_KEY, F.xxhash64("__text").alias("__hash"), "__text").mapInArrow(squeeze, f"{ROW_KEY} long, __hash long, __text binary")
     # joined and reduced by the row key alone, so that the texts move once; a text of another set is told by its set
-    found = src.join(want, F.col(ROW_KEY) == F.col("__key")).select("sid", "cid", "__key", "__text")
-    found = found.withColumn("__hash", F.xxhash64("__text")).dropDuplicates(["__key", "sid", "__hash"]).select("sid", "cid", "__text")
+    found = src.join(want, F.col(ROW_KEY) == F.col("__key")).select("sid", "cid", "__key", "__hash", "__text")
+    found = found.dropDuplicates(["__key", "sid", "__hash"]).select("sid", "cid", "__text")
 
     def run(batches):
-        hasher = WordHasher()
+        read = set_reader(size)
         for b in batches:
-            made = [shingle_set(hasher, t, size) for t in b.column(2).to_pylist()]
+            made = [read(t) for t in b.column(2).to_pylist()]
             same = [set_id(s) == sid for s, sid in zip(made, b.column(0).to_pylist())]
             maps = [bitmap(s) + p.tobytes() for s, p in zip(made, prints(sketched(made)))]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([s.tobytes() for s in made], pa.binary()), pa.array(maps, pa.binary())], names=["cid", "shingles", "prints"]).filter(pa.array(same, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([len(s) for s in made], pa.int64()), b.column(2), pa.array(maps, pa.binary())], names=["cid", "n", "text", "prints"]).filter(pa.array(same, pa.bool_()))
 
-    return found.mapInArrow(run, "cid long, shingles binary, prints binary")
+    return found.mapInArrow(run, "cid long, n long, text binary, prints binary")
 
 
 def _may_be_among(keys: DataFrame, col: str) -> Callable:

@@ -27,6 +27,10 @@ def links(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
     return den * common >= num * (len(x) + len(y) - common)
 
 
+def _sorted_sets() -> Callable[[bytes], np.ndarray]:
+    return lambda shingles: np.frombuffer(shingles, np.uint64)
+
+
 def company_lists(company: DataFrame, comp: DataFrame) -> DataFrame:
     """(list, cid, n, comp): the classes to be compared with one another, from companies (hub, cid, n) without repeats.
 
@@ -98,7 +102,7 @@ def _each_pair(pdf: pd.DataFrame, comp: np.ndarray, joined: Forest, may_link: Ca
         step += 1
 
 
-def links_in_place(lists: DataFrame, sets: DataFrame, may_link: Callable, num: int, den: int, name: str | None = None) -> DataFrame:
+def links_in_place(lists: DataFrame, sets: DataFrame, may_link: Callable, num: int, den: int, name: str | None = None, reader: Callable = _sorted_sets) -> DataFrame:
     """(a, b): links between different components, by which all are joined that any pair on a list links.
 
     A link between components that those found in the same bucket have joined already isn't looked for: a bucket gives
@@ -108,6 +112,7 @@ def links_in_place(lists: DataFrame, sets: DataFrame, may_link: Callable, num: i
     as bytes.  ``may_link(prints of a, prints of b, sizes of a, sizes of b)`` rules pairs out by rows of prints; the
     sets of the others are compared whole, on their list.  With a ``name`` the lists are looked at with the prints
     alone before, and each class without a partner on a list leaves it: worth it where most classes have none.
+    ``reader()`` returns a function that makes the sorted set of what ``sets`` has as ``shingles``.
     """
     if name is not None:
         lists = materialize(_with_partners(lists, sets, may_link, num, den), name)
@@ -117,7 +122,7 @@ def links_in_place(lists: DataFrame, sets: DataFrame, may_link: Callable, num: i
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["list", "cid"])
-        cid, whole = pdf["cid"].to_numpy(), [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+        cid, whole = pdf["cid"].to_numpy(), list(map(reader(), pdf["shingles"]))
         # the components as far as the links of this bucket join them
         _, mine = np.unique(pdf["comp"].to_numpy(), return_inverse=True)
         joined = Forest(int(mine.max()) + 1)
