@@ -249,13 +249,14 @@ def _postings(docs: DataFrame, classes: DataFrame, often: tuple[np.ndarray, np.n
     ``common`` classes aren't gathered in their bucket: they are passed on as they are, spread by document.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(often)  # MOST_COUNTED shingles at most
+    table = docs.sparkSession.sparkContext.broadcast(_key_table(classes, f"rep.{ROW_KEY}"))  # looked up where packs are made: no further worker
     start, width = place
 
     def pack(batches):
         hasher, often = WordHasher(), shipped.value
         keys, tokens, many, seen, held = [], [], [], set(), 0
         for b in batches:
-            for text in b.column(0).to_pylist():
+            for text in b.column(1).filter(pa.array(_passes(table.value, b.column(0).to_numpy()))).to_pylist():
                 s = shingle_set(hasher, text, size)
                 if len(s):
                     sid = set_id(s)
@@ -296,7 +297,6 @@ def _postings(docs: DataFrame, classes: DataFrame, often: tuple[np.ndarray, np.n
         return pa.table({"pack": of, "at": at, "token": token.view(np.int64), "class": pa.nulls(len(token), pa.binary())})
 
     src = docs.filter(F.col(text_col).isNotNull()).select(row_key(id_col, text_col).alias(ROW_KEY), text_col)
-    src = src.filter(_may_be_among(classes, f"rep.{ROW_KEY}")(ROW_KEY)).select(text_col)
     packed = src.mapInArrow(pack, "bucket long, pack long, token binary, steps binary, classes binary")
     return packed.groupBy("bucket").applyInArrow(unpack, "pack long, at long, token long, class binary")
 
@@ -459,47 +459,49 @@ def _jaccard_components(docs: DataFrame, num: int, den: int, size: int, id_col:
 def _candidate_sets(docs: DataFrame, reps: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     """(cid, n, text: squeezed, prints: bitmap and sketch) of the classes in ``reps``, from one document of each.
 
-    Texts are kept and moved, squeezed, not sets: they have about a third of the bytes, and sets are soon made of them.
+    Texts are kept and moved on, squeezed, not sets: they have about a third of the bytes, and sets are soon made of them.
     """
     want = materialize(reps.select("sid", "cid", F.col(f"rep.{ROW_KEY}").alias("__key")), "ngram_reps")
     src = docs.select(row_key(id_col, text_col).alias(ROW_KEY), F.col(text_col).alias("__text"))
     src = src.filter(_may_be_among(want, "__key")(ROW_KEY))  # few beside all documents: most texts need not move
-
-    def squeeze(batches):
-        for b in batches:
-            texts = pa.array([squeezed((t or "").encode()) for t in b.column(2).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), texts], names=[ROW_KEY, "__hash", "__text"])
-
-    src = src.select(ROW_KEY, F.xxhash64("__text").alias("__hash"), "__text").mapInArrow(squeeze, f"{ROW_KEY} long, __hash long, __text binary")
     # joined and reduced by the row key alone, so that the texts move once; a text of another set is told by its set
-    found = src.join(want, F.col(ROW_KEY) == F.col("__key")).select("sid", "cid", "__key", "__hash", "__text")
-    found = found.dropDuplicates(["__key", "sid", "__hash"]).select("sid", "cid", "__text")
+    found = src.join(want, F.col(ROW_KEY) == F.col("__key")).select("sid", "cid", "__key", "__text")
+    found = found.withColumn("__hash", F.xxhash64("__text")).dropDuplicates(["__key", "sid", "__hash"]).select("sid", "cid", "__text")
 
     def run(batches):
-        read = set_reader(size)
+        hasher = WordHasher()
         for b in batches:
-            made = [read(t) for t in b.column(2).to_pylist()]
+            texts = b.column(2).to_pylist()
+            made = [shingle_set(hasher, t, size) for t in texts]
             same = [set_id(s) == sid for s, sid in zip(made, b.column(0).to_pylist())]
             maps = [bitmap(s) + p.tobytes() for s, p in zip(made, prints(sketched(made)))]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([len(s) for s in made], pa.int64()), b.column(2), pa.array(maps, pa.binary())], names=["cid", "n", "text", "prints"]).filter(pa.array(same, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([len(s) for s in made], pa.int64()), pa.array([squeezed((t or "").encode()) for t in texts], pa.binary()), pa.array(maps, pa.binary())], names=["cid", "n", "text", "prints"]).filter(pa.array(same, pa.bool_()))
 
     return found.mapInArrow(run, "cid long, n long, text binary, prints binary")
 
 
-def _may_be_among(keys: DataFrame, col: str) -> Callable:
-    """A filter for a column of 64-bit hashes that passes all that are among ``keys`` and few others: of a table of
-    ``KEY_BITS`` bits, however many keys there are, those that the keys have are set."""
+def _key_table(keys: DataFrame, col: str) -> np.ndarray:
+    """A table of ``KEY_BITS`` bits, however many keys there are: those that the keys (64-bit hashes) have are set."""
     bit = F.pmod(col, F.lit(KEY_BITS))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))
     found = keys.groupBy(F.floor(bit / 64).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()  # KEY_BITS / 64 rows at most
     table = np.zeros(KEY_BITS // 64, np.int64)
     table[found["word"].to_numpy()] = found["bits"].to_numpy()
-    shipped = keys.sparkSession.sparkContext.broadcast(table)
+    return table
+
+
+def _passes(table: np.ndarray, key: np.ndarray) -> np.ndarray:
+    at = key % (64 * len(table))
+    return (table[at // 64] >> (at % 64)) & 1 == 1
+
+
+def _may_be_among(keys: DataFrame, col: str) -> Callable:
+    """A filter for a column of 64-bit hashes that passes all that are among ``keys`` and few others."""
+    shipped = keys.sparkSession.sparkContext.broadcast(_key_table(keys, col))
 
     @F.pandas_udf("boolean")
     def among(key: pd.Series) -> pd.Series:
-        at = key.to_numpy() % KEY_BITS
-        return pd.Series((shipped.value[at // 64] >> (at % 64)) & 1 == 1)
+        return pd.Series(_passes(shipped.value, key.to_numpy()))
 
     return among
 
